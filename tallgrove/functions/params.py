@@ -134,7 +134,10 @@ def unnest(df: DataFrame, keep: list[str], names: str, ints: str, doubles: str,
 
 
 def pivot_params(params: DataFrame, key: str, names: list[str]) -> DataFrame:
-    """Per-group parameter rows as one row per group, a double column per name."""
+    """Per-group parameter rows as one row per group, a double column per name.
+
+    Text parameters come out as NULL.
+    """
     value = F.coalesce(F.col("DOUBLE_VALUE"), F.col("INT_VALUE").cast("double"))
     return params.groupBy(key).agg(*[
         F.max(F.when(F.col("PARAM_NAME") == name, value)).alias(name) for name in names

@@ -196,10 +196,11 @@ def feature_value(header: Header, name: str, fill: float | None = None) -> Colum
     return F.coalesce(value, F.raise_error(F.lit(f"NULL in feature {name}")).cast("double"))
 
 
-def _expression(header: Header, tree: Tree, node: int, vote: str, fill: float | None) -> Column:
+def walk_expression(header: Header, tree: Tree, leaf, fill: float | None = None, node: int = 0) -> Column:
+    """The tree as nested conditions; ``leaf`` gives the column of a leaf's number."""
     here = tree.nodes[node]
     if tree.is_leaf(node):
-        return F.array(*[F.lit(float(v)) for v in _payload(header, tree, here, vote)])
+        return leaf(node)
     name = here["FEATURE"]
     value = feature_value(header, name, fill)
     known = dict(header.features)[name]
@@ -209,13 +210,16 @@ def _expression(header: Header, tree: Tree, node: int, vote: str, fill: float |
         go_left = F.coalesce(value.isin(*[c for c in here["CATEGORIES"] if c != UNSEEN]), F.lit(False))
         if UNSEEN in here["CATEGORIES"]:
             go_left = go_left | value.isNull() | ~value.isin(*known)
-    return F.when(go_left, _expression(header, tree, here["LEFT"], vote, fill)).otherwise(
-        _expression(header, tree, here["RIGHT"], vote, fill)
+    return F.when(go_left, walk_expression(header, tree, leaf, fill, here["LEFT"])).otherwise(
+        walk_expression(header, tree, leaf, fill, here["RIGHT"])
     )
 
 
 def _expression_sums(header: Header, trees: list[Tree], vote: str, fill: float | None) -> Column:
-    parts = [_expression(header, tree, 0, vote, fill) for tree in trees]
+    def votes(tree: Tree):
+        return lambda node: F.array(*[F.lit(float(v)) for v in _payload(header, tree, tree.nodes[node], vote)])
+
+    parts = [walk_expression(header, tree, votes(tree), fill) for tree in trees]
     if len(parts) == 1:
         return parts[0]
     width = 1 if header.kind == "boosted" else len(header.labels)

@@ -142,30 +142,50 @@ class _Boosted:
 KINDS = {"tree": _Tree, "boosted": _Boosted}
 
 
-def _held_out_counts(rows: DataFrame, header: Header, answer, candidate_ids: list[int]) -> DataFrame:
-    """``(CANDIDATE, SCORE, POSITIVE, WRONG, ROWS)`` of one fit on its held-out fold."""
-    shared = rows.sparkSession.sparkContext.broadcast(answer)
+def candidate_counts(
+    rows: DataFrame, header: Header, trees: list[Tree], kind: str, variants: list[dict], ids: list[int]
+) -> DataFrame:
+    """``(CANDIDATE, SCORE, POSITIVE, WRONG, ROWS)``: all variants of one fit in one pass.
+
+    ``rows`` has the features and ``label``, the index of the true class.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast((header, trees, variants))
+    build = KINDS[kind].answers
 
     @F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-        build, args = shared.value
-        probabilities = build(*args)
+        probabilities = build(*shared.value)
         for batch in batches:
             yield pd.Series([p.tolist() for p in probabilities(batch)])
 
-    ids = F.array(*[F.lit(i) for i in candidate_ids])
+    numbers = F.array(*[F.lit(i) for i in ids])
     answered = rows.select("label", F.posexplode(ask(feature_struct(header))).alias("v", "probs"))
     guess = F.array_position("probs", F.array_max("probs")) - 1
     # With more than two classes there is no area; one score then suffices.
     value = F.col("probs")[1] if len(header.labels) == 2 else F.lit(0.0)
     return answered.groupBy(
-        F.element_at(ids, F.col("v") + 1).alias("CANDIDATE"),
+        F.element_at(numbers, F.col("v") + 1).alias("CANDIDATE"),
         value.alias("SCORE"),
         (F.col("label") == 1).alias("POSITIVE"),
         (guess != F.col("label")).alias("WRONG"),
     ).agg(F.count(F.lit(1)).alias("ROWS"))
 
 
+def candidate_metrics(counts: DataFrame, by: list[str], classes: int = 2) -> DataFrame:
+    """``(*by, ERROR_RATE, AUC)`` from candidate counts."""
+    errors = counts.groupBy(*by).agg(
+        (F.sum(F.when(F.col("WRONG"), F.col("ROWS")).otherwise(0)) / F.sum("ROWS")).alias("ERROR_RATE")
+    )
+    by_score = counts.groupBy(*by, "SCORE").agg(
+        F.sum(F.when(F.col("POSITIVE"), F.col("ROWS")).otherwise(0)).alias("p"),
+        F.sum(F.when(~F.col("POSITIVE"), F.col("ROWS")).otherwise(0)).alias("n"),
+    )
+    if classes != 2:
+        return errors.withColumn("AUC", F.lit(None).cast("double"))
+    areas = area(running_totals(by_score, by, "SCORE", ["p", "n"]), tuple(by))
+    return errors.join(areas, by).select(*by, "ERROR_RATE", F.col("STAT_VALUE").alias("AUC"))
+
+
 def search(prepared: Prepared, params: Params, kind: str, max_depth: int = 10) -> SearchResult:
     """Try every candidate on every fold and pick the best mean of the chosen metric.
 
@@ -195,9 +215,8 @@ def search(prepared: Prepared, params: Params, kind: str, max_depth: int = 10) -
         model = estimator.fit(prepared.rows.filter(F.col(FOLD) != fold))
         trees = load_model(encode(header, export_nodes(model, header, spark))).trees
         mine = [i for i, c in enumerate(candidates) if all(c[n] == v for n, v in zip(way.fit_names, values))]
-        answer = (way.answers, (header, trees, [candidates[i] for i in mine]))
         held_out = prepared.rows.filter(F.col(FOLD) == fold)
-        counts = _held_out_counts(held_out, header, answer, mine)
+        counts = candidate_counts(held_out, header, trees, kind, [candidates[i] for i in mine], mine)
         # Own folder per fit: fits run side by side and must not share a commit.
         counts.withColumn(FOLD, F.lit(fold)).write.parquet(f"{path}/fit={number}")
 
@@ -205,21 +224,10 @@ def search(prepared: Prepared, params: Params, kind: str, max_depth: int = 10) -
         list(pool.map(run, enumerate(product(range(folds), fixed_values))))
 
     counts = spark.read.parquet(path)
-    by = ("CANDIDATE", FOLD)
-    errors = counts.groupBy(*by).agg(
-        (F.sum(F.when(F.col("WRONG"), F.col("ROWS")).otherwise(0)) / F.sum("ROWS")).alias("ERROR_RATE")
-    )
-    by_score = counts.groupBy(*by, "SCORE").agg(
-        F.sum(F.when(F.col("POSITIVE"), F.col("ROWS")).otherwise(0)).alias("p"),
-        F.sum(F.when(~F.col("POSITIVE"), F.col("ROWS")).otherwise(0)).alias("n"),
-    )
-    areas = area(running_totals(by_score, list(by), "SCORE", ["p", "n"]), by)
-    if len(header.labels) != 2:
-        areas = areas.withColumn("STAT_VALUE", F.lit(None).cast("double"))
     means = (
-        errors.join(areas, list(by))
+        candidate_metrics(counts, ["CANDIDATE", FOLD], len(header.labels))
         .groupBy("CANDIDATE")
-        .agg(F.avg("ERROR_RATE").alias("ERROR_RATE"), F.avg("STAT_VALUE").alias("AUC"))
+        .agg(F.avg("ERROR_RATE").alias("ERROR_RATE"), F.avg("AUC").alias("AUC"))
     )
     kinds = {n: "double" if any(isinstance(v, float) for v in values) else "int" for n, values in grid.items()}
     listed = spark.createDataFrame(
