@@ -37,10 +37,10 @@ def confusion_matrix(
     added to the (classes x classes) result with a count of zero.
     """
     cells = (
-        df.filter(F.col(actual).isNotNull() & F.col(predicted).isNotNull())
-        .groupBy(*by, F.col(actual).cast("string").alias("ACTUAL_CLASS"),
-                 F.col(predicted).cast("string").alias("PREDICTED_CLASS"))
-        .agg(F.count(F.lit(1)).alias("COUNT"))
+        df.groupBy(*by, F.col(actual).cast("string").alias("ACTUAL_CLASS"),
+                   F.col(predicted).cast("string").alias("PREDICTED_CLASS"))
+        .agg(F.count_if(F.col(actual).isNotNull() & F.col(predicted).isNotNull()).alias("COUNT"))
+        .filter(F.col("COUNT") > 0)
     )
     classes = F.array_distinct(F.flatten(F.collect_set(F.array("ACTUAL_CLASS", "PREDICTED_CLASS"))))
     empty = (
@@ -101,10 +101,13 @@ def _score_groups(
 ) -> DataFrame:
     """One row per distinct score with positives, negatives and their running sums."""
     is_positive = F.col(actual).cast("string") == positive
+    known = F.col(actual).isNotNull() & F.col(prob).isNotNull()
+    # Unknown scores are dropped as one group: a filter on the score would be
+    # moved below it and compute every score twice.
     grouped = (
-        df.filter(F.col(actual).isNotNull() & F.col(prob).isNotNull())
-        .groupBy(*by, F.col(prob).alias("_score"))
-        .agg(F.count_if(is_positive).alias("p"), F.count_if(~is_positive).alias("n"))
+        df.groupBy(*by, F.col(prob).alias("_score"))
+        .agg(F.count_if(known & is_positive).alias("p"), F.count_if(known & ~is_positive).alias("n"))
+        .filter(F.col("p") + F.col("n") > 0)
     )
     return running_totals(grouped, list(by), "_score", ["p", "n"], rows_per_bucket)
 

@@ -12,6 +12,8 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -23,7 +25,7 @@ from tallgrove.operators.nodes import UNSEEN
 from tallgrove.sources.model_rows import HEADER, Header, decode
 from tallgrove.sources.tables import scratch_path
 
-EXPRESSION_NODES = 200  # larger models would overflow a generated method
+EXPRESSION_NODES = 64  # Spark copies expressions when it moves filters, so only small models
 BROADCAST_CHARS = 64_000_000  # text size of the trees that travel at once
 
 
@@ -216,15 +218,19 @@ def walk_expression(header: Header, tree: Tree, leaf, fill: float | None = None,
 
 
 def _expression_sums(header: Header, trees: list[Tree], vote: str, fill: float | None) -> Column:
-    def votes(tree: Tree):
-        return lambda node: F.array(*[F.lit(float(v)) for v in _payload(header, tree, tree.nodes[node], vote)])
+    """One plain sum of conditions per slot: no lambda, so Spark compiles all of it."""
 
-    parts = [walk_expression(header, tree, votes(tree), fill) for tree in trees]
-    if len(parts) == 1:
-        return parts[0]
-    width = 1 if header.kind == "boosted" else len(header.labels)
-    start = F.array(*[F.lit(0.0)] * width)
-    return F.aggregate(F.array(*parts), start, lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b))
+    def slot(tree: Tree, i: int) -> Column:
+        return walk_expression(
+            header, tree, lambda node: F.lit(float(_payload(header, tree, tree.nodes[node], vote)[i])), fill
+        )
+
+    return F.array(*[reduce(add, [slot(tree, i) for tree in trees]) for i in range(slots(header))])
+
+
+def slots(header: Header) -> int:
+    """Numbers a row's sum consists of: one margin, or a share per class."""
+    return 1 if header.kind == "boosted" else len(header.labels)
 
 
 def descent_udf(spark: SparkSession, header: Header, trees: list[Tree], vote: str = "hard"):
@@ -245,7 +251,7 @@ def part_sums(
 ) -> Column:
     """The sums column for trees small enough to travel at once."""
     if engine == "auto":
-        size = sum(len(tree.nodes) for tree in trees)
+        size = sum(len(tree.reachable()) for tree in trees)
         engine = "expression" if size <= EXPRESSION_NODES else "arrays"
     inputs = feature_struct(header, fill, df)
     if engine == "expression":
@@ -258,7 +264,7 @@ def probabilities(header: Header, sums: Column, trees: int) -> Column:
     if header.kind == "boosted":
         second = 1 / (1 + F.exp(-2 * sums[0]))
         return F.array(1 - second, second)
-    return F.transform(sums, lambda v: v / F.lit(float(trees)))
+    return F.array(*[sums[i] / F.lit(float(trees)) for i in range(slots(header))])
 
 
 def _label_array(header: Header) -> Column:
@@ -287,7 +293,7 @@ def row_probabilities(
             *keep, probabilities(model.header, F.col("_sums"), trees).alias("PROBS")
         )
     path = scratch_path(df.sparkSession, "votes")
-    width = 1 if model.header.kind == "boosted" else len(model.header.labels)
+    width = slots(model.header)
     for number, part in enumerate(model.parts):
         sums = part_sums(df, model.header, part, vote, fill, engine)
         partial = df.select(*keep, sums.alias("_s"))

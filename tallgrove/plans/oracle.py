@@ -398,8 +398,8 @@ DATE '2024-01-02' AS MODEL_DATE, '03:04:05' AS MODEL_TIME FROM customer, (VALUES
 SELECT a.c AS ACTUAL_CLASS, p.c AS PREDICTED_CLASS,
 (SELECT count(*) FROM y WHERE SCORE = a.c AND a.c = p.c) AS COUNT FROM c a, c p""",
         "cv_metric": f"""{only_abt}, y AS (SELECT * FROM {STEPPED})
-SELECT 'ERROR_RATE' AS STAT_NAME, 0.0::DOUBLE AS STAT_VALUE FROM y GROUP BY ALL
-UNION ALL SELECT 'AUC', 1.0 FROM y GROUP BY ALL""",
+SELECT 'ERROR_RATE' AS STAT_NAME, CASE WHEN count(*) > 0 THEN 0.0::DOUBLE END AS STAT_VALUE FROM y
+UNION ALL SELECT 'AUC', CASE WHEN count(DISTINCT SCORE) = 2 THEN 1.0::DOUBLE END FROM y""",
         "value_grid": f"""{GRID} SELECT e.CANDIDATE, round(ERROR_RATE, 6) AS ERROR_RATE, round(AREA, 6) AS AUC
 FROM (SELECT CANDIDATE, avg(CASE WHEN guess <> y THEN 1.0 ELSE 0.0 END) AS ERROR_RATE FROM answered GROUP BY 1) e
 JOIN {_area('answered', 'CANDIDATE')} a ON a.CANDIDATE = e.CANDIDATE""",

@@ -407,12 +407,19 @@ def params_table(spark: SparkSession, directory: str) -> DataFrame:
     """Typed parameter rows for every product group, sized by its own history."""
     sales = ft.retail_sales(spark, directory)
     periods = sales.groupBy("PRODUCT_ID").agg(F.count(F.lit(1)).alias("n"))
+
+    def row(name: str, whole=None, number=None, text=None):
+        return F.struct(
+            F.lit(name).alias("PARAM_NAME"),
+            (F.lit(None) if whole is None else whole).cast("int").alias("INT_VALUE"),
+            (F.lit(None) if number is None else number).cast("double").alias("DOUBLE_VALUE"),
+            (F.lit(None) if text is None else text).cast("string").alias("STRING_VALUE"),
+        )
+
     rows = F.array(
-        F.struct(F.lit("FORECAST_NUM").alias("PARAM_NAME"), (F.col("n") % 12).cast("int").alias("INT_VALUE"),
-                 F.lit(None).cast("double").alias("DOUBLE_VALUE"), F.lit(None).cast("string").alias("STRING_VALUE")),
-        F.struct(F.lit("ALPHA"), F.lit(None).cast("int"), F.round(F.lit(2.0) / (F.col("n") + 1), 6),
-                 F.lit(None).cast("string")),
-        F.struct(F.lit("MEASURE_NAME"), F.lit(None).cast("int"), F.lit(None).cast("double"), F.lit("MSE")),
+        row("FORECAST_NUM", whole=F.col("n") % 12),
+        row("ALPHA", number=F.round(F.lit(2.0) / (F.col("n") + 1), 6)),
+        row("MEASURE_NAME", text=F.lit("MSE")),
     )
     return periods.select("PRODUCT_ID", F.inline(rows))
 
