@@ -78,15 +78,21 @@ def running_totals(
     """
     stored, rows = counted_snapshot(df, label="running-totals")
     pieces = -(-rows // rows_per_bucket)
+    if pieces <= 1:
+        above = Window.partitionBy(*by).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
+        return stored.select(
+            *by, order, *sums,
+            *[F.coalesce(F.sum(m).over(above), F.lit(0)).alias(f"{m}_before") for m in sums],
+            *[F.sum(m).over(Window.partitionBy(*by)).alias(f"{m}_all") for m in sums],
+            F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(order))).cast("bigint").alias("position"),
+        )
     measures = [*sums, "_one"]
-    cut = stored.withColumn("_one", F.lit(1).cast("bigint"))
-    if pieces > 1:
-        shares = [i / pieces for i in range(1, pieces)]
-        bounds = sorted(set(stored.approxQuantile(order, shares, 1 / (4 * pieces))))
-        splits = [float("-inf"), *bounds, float("inf")]
-        cut = Bucketizer(splits=splits, inputCol=order, outputCol="_piece").transform(cut)
-    else:
-        cut = cut.withColumn("_piece", F.lit(0.0))
+    shares = [i / pieces for i in range(1, pieces)]
+    bounds = sorted(set(stored.approxQuantile(order, shares, 1 / (4 * pieces))))
+    splits = [float("-inf"), *bounds, float("inf")]
+    cut = Bucketizer(splits=splits, inputCol=order, outputCol="_piece").transform(
+        stored.withColumn("_one", F.lit(1).cast("bigint"))
+    )
 
     keys = [*by, "_piece"]
     totals = cut.groupBy(*keys).agg(*[F.sum(m).alias(f"{m}_sum") for m in measures])

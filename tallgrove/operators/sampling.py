@@ -22,9 +22,15 @@ def require_unique(df: DataFrame, id_column: str) -> None:
 
 
 def _assign(
-    df: DataFrame, id_column: str, stratify: str | None, seed: int, quotas: list[str], output: str
+    df: DataFrame,
+    id_column: str,
+    stratify: str | None,
+    seed: int,
+    quotas: list[str],
+    output: str,
+    keep: list[str],
 ) -> DataFrame:
-    """``(id, output)``: the first quota whose last row does not lie before the row.
+    """``(id, *keep, output)``: the first quota whose last row does not lie before the row.
 
     The last row of each quota is found first; with those few rows known the
     assignment is a map over ``df``, without a shuffle. Rows beyond the last
@@ -32,9 +38,9 @@ def _assign(
     """
     stratum = F.col(stratify) if stratify else F.lit(0)
     keyed = df.select(
-        F.col(id_column), stratum.alias("_stratum"), shuffle_key(id_column, seed).alias("_key")
+        F.col(id_column), *keep, stratum.alias("_stratum"), shuffle_key(id_column, seed).alias("_key")
     )
-    cuts = bounded(exact_cuts(keyed, ["_stratum"], "_key", id_column, quotas))
+    cuts = bounded(exact_cuts(keyed.drop(*keep), ["_stratum"], "_key", id_column, quotas))
     me = F.struct(keyed["_key"].alias("_key"), keyed[id_column].alias(id_column))
     ahead = F.filter(
         "CUTS", lambda c: F.struct(c["_key"].alias("_key"), c[id_column].alias(id_column)) >= me
@@ -42,9 +48,9 @@ def _assign(
     ceiling = F.array_min(F.transform(ahead, lambda c: c["rank"]))
     return (
         keyed.join(cuts, matching(keyed, cuts, ["_stratum"]))
-        .select(keyed[id_column], "QUOTAS", ceiling.alias("_ceiling"))
+        .select(*[keyed[c] for c in (id_column, *keep)], "QUOTAS", ceiling.alias("_ceiling"))
         .filter(F.col("_ceiling").isNotNull())
-        .select(id_column, (F.size(F.filter("QUOTAS", lambda q: q < F.col("_ceiling"))) + 1).alias(output))
+        .select(id_column, *keep, (F.size(F.filter("QUOTAS", lambda q: q < F.col("_ceiling"))) + 1).alias(output))
     )
 
 
@@ -55,13 +61,15 @@ def stratified_partition(
     shares: tuple[float, float, float] = (0.6, 0.2, 0.2),
     seed: int = 23,
     check_ids: bool = True,
+    keep_columns: bool = False,
 ) -> DataFrame:
     """``(id, PARTITION_TYPE)`` with 1 = train, 2 = test, 3 = validate.
 
     A stratum of n rows gives ``floor(n * c + 0.5)`` rows up to each cumulative
     share c, in the order of a seeded hash of the id. NULL is a stratum of its
     own; ``stratify=None`` treats all rows as one. Ids of a view grouped by id
-    need no check.
+    need no check. ``keep_columns`` adds the part to the rows of ``df`` instead,
+    which saves the join that brings assignment and rows together.
     """
     parts = [Decimal(str(s)) for s in shares]
     if any(p < 0 for p in parts) or sum(parts) > 1:
@@ -70,19 +78,30 @@ def stratified_partition(
         require_unique(df, id_column)
     upto = [int(sum(parts[: i + 1]) * SCALE) for i in range(3)]
     quotas = [f"(TOTAL * {u} + {SCALE // 2}) div {SCALE}" for u in upto]
-    return _assign(df, id_column, stratify, seed, quotas, "PARTITION_TYPE")
+    keep = [c for c in df.columns if c != id_column] if keep_columns else []
+    return _assign(df, id_column, stratify, seed, quotas, "PARTITION_TYPE", keep)
 
 
 def stratified_folds(
-    df: DataFrame, id_column: str, stratify: str | None, k: int, seed: int, check_ids: bool = True
+    df: DataFrame,
+    id_column: str,
+    stratify: str | None,
+    k: int,
+    seed: int,
+    check_ids: bool = True,
+    keep_columns: bool = False,
 ) -> DataFrame:
-    """``(id, FOLD)`` with folds 0..k-1 whose sizes per stratum differ by at most one."""
+    """``(id, FOLD)`` with folds 0..k-1 whose sizes per stratum differ by at most one.
+
+    ``keep_columns`` adds the fold to the rows of ``df`` instead.
+    """
     if k < 2:
         raise ValueError("at least two folds are needed")
     if check_ids:
         require_unique(df, id_column)
     quotas = [f"(TOTAL * {i}) div {k}" for i in range(1, k + 1)]
-    folds = _assign(df, id_column, stratify, seed, quotas, "FOLD")
+    keep = [c for c in df.columns if c != id_column] if keep_columns else []
+    folds = _assign(df, id_column, stratify, seed, quotas, "FOLD", keep)
     return folds.withColumn("FOLD", F.col("FOLD") - 1)
 
 

@@ -76,9 +76,8 @@ class Model:
 
 def load_model(rows: DataFrame, broadcast_chars: int = BROADCAST_CHARS) -> Model:
     """Parse model rows. The training driver held this model, so it fits here."""
-    docs = decode(rows).orderBy("DOC").toLocalIterator()
     header, parts, size = None, [[]], 0
-    for doc in docs:
+    for doc in sorted(decode(rows).collect(), key=lambda row: row["DOC"]):
         if doc["DOC"] == HEADER:
             header = Header.from_json(doc["TEXT"])
             continue
@@ -315,21 +314,23 @@ def score(
     fill: float | None = None,
     engine: str = "auto",
     text_confidence: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(id, SCORE, CONFIDENCE)``; with ``verbose`` one row per id and class.
+    """``(id, *keep, SCORE, CONFIDENCE)``; with ``verbose`` one row per id and class.
 
     ``model`` is a loaded model or its rows. Columns the model does not use,
     the label included, are ignored. ``vote='hard'`` counts the trees of a
-    forest, ``'soft'`` averages their class shares.
+    forest, ``'soft'`` averages their class shares. Columns to ``keep``, such as
+    the observed label, spare a join of scores and source afterwards.
     """
     if not isinstance(model, Model):
         model = load_model(model)
-    probs = row_probabilities(df, model, [id_column], vote, fill, engine)
+    probs = row_probabilities(df, model, [id_column, *keep], vote, fill, engine)
     if verbose:
         pairs = F.arrays_zip(_label_array(model.header).alias("SCORE"), F.col("PROBS").alias("CONFIDENCE"))
-        scored = probs.select(id_column, F.inline(pairs))
+        scored = probs.select(id_column, *keep, F.inline(pairs))
     else:
-        scored = probs.select(id_column, *score_columns(model.header, F.col("PROBS")))
+        scored = probs.select(id_column, *keep, *score_columns(model.header, F.col("PROBS")))
     if text_confidence:
         scored = scored.withColumn("CONFIDENCE", F.col("CONFIDENCE").cast("string"))
     return scored

@@ -68,8 +68,11 @@ def prepare_with_folds(df: DataFrame, params: Params) -> Prepared:
         raise ValueError("folds need an id column (HAS_ID = 1)")
     labelled = df.filter(F.col(roles.label).isNotNull())
     stratify = roles.label if method == "stratified_cv" else None
-    folds = stratified_folds(labelled, roles.id, stratify, params.whole("FOLD_NUM", 5), params.whole("SEED", 0))
-    return prepare(labelled.join(folds, roles.id), params, extra=(FOLD,), source=labelled)
+    stored = snapshot(labelled, label="search-rows")  # read for the cuts, the folds and the fits
+    folds = stratified_folds(
+        stored, roles.id, stratify, params.whole("FOLD_NUM", 5), params.whole("SEED", 0), keep_columns=True
+    )
+    return prepare(folds, params, extra=(FOLD,), source=stored)
 
 
 @dataclass

@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallgrove.operators.leaf_counts import fill_counts
-from tallgrove.operators.sampling import TRAIN, split, stratified_partition
+from tallgrove.operators.sampling import TRAIN, stratified_partition
 from tallgrove.operators.scoring import Model, Tree, load_model
 from tallgrove.sources import features as ft
 from tallgrove.sources.model_rows import Header, encode
+from tallgrove.sources.tables import snapshot
 
 SEED = 23
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
@@ -66,19 +67,32 @@ def header(kind: str) -> Header:
 
 
 @lru_cache(maxsize=32)
-def assignment(spark: SparkSession, directory: str) -> DataFrame:
-    """Train, test and validation parts of 60, 20 and 20 percent."""
-    view = ft.churn_view(spark, directory)
-    return stratified_partition(view, ft.ID, ft.LABEL, (0.6, 0.2, 0.2), SEED, check_ids=False)
+def feature_table(spark: SparkSession, directory: str) -> DataFrame:
+    """The labelled view as a stored table: split, training and scoring all read it."""
+    return snapshot(ft.churn_view(spark, directory), label="features")
 
 
-def part_of_view(spark: SparkSession, directory: str, part: int) -> DataFrame:
-    return split(ft.churn_view(spark, directory), assignment(spark, directory), ft.ID, part)
+@lru_cache(maxsize=32)
+def new_table(spark: SparkSession, directory: str) -> DataFrame:
+    """The unlabelled view as a stored table."""
+    return snapshot(ft.new_customer_view(spark, directory), label="new-features")
 
 
+@lru_cache(maxsize=32)
 def tagged_view(spark: SparkSession, directory: str) -> DataFrame:
-    """The labelled view with each row's part."""
-    return ft.churn_view(spark, directory).join(assignment(spark, directory), ft.ID)
+    """The labelled rows with their part: 60, 20 and 20 percent for train, test, validation."""
+    return stratified_partition(
+        feature_table(spark, directory), ft.ID, ft.LABEL, (0.6, 0.2, 0.2), SEED, check_ids=False, keep_columns=True
+    )
+
+
+def assignment(spark: SparkSession, directory: str) -> DataFrame:
+    """``(id, part)`` alone."""
+    return tagged_view(spark, directory).select(ft.ID, "PARTITION_TYPE")
+
+
+def part_of_view(spark: SparkSession, directory: str, part: int) -> DataFrame:
+    return tagged_view(spark, directory).filter(F.col("PARTITION_TYPE") == part).drop("PARTITION_TYPE")
 
 
 def node_rows(spark: SparkSession, directory: str, kind: str = "forest", later_weight: float = 1.0) -> DataFrame:
@@ -100,7 +114,8 @@ def model(spark: SparkSession, directory: str, kind: str = "forest", later_weigh
 
 def forget() -> None:
     """Drop what is kept, so that the next query splits and counts again."""
-    assignment.cache_clear()
+    for kept in (feature_table, new_table, tagged_view):
+        kept.cache_clear()
     model_rows.cache_clear()
     model.cache_clear()
 

@@ -14,7 +14,7 @@ from tallgrove.operators import evaluation as ev
 from tallgrove.operators import payloads as pl
 from tallgrove.operators.forecasting import ses_forecast
 from tallgrove.operators.nodes import tree_rules
-from tallgrove.operators.sampling import TEST, TRAIN, VALIDATE, stratified_folds, stratified_partition
+from tallgrove.operators.sampling import TEST, TRAIN, VALIDATE, split, stratified_folds, stratified_partition
 from tallgrove.operators.scoring import load_model, score
 from tallgrove.operators.training import TrainResult, train_boosted, train_forest, train_tree
 from tallgrove.operators.tuning import candidate_counts, candidate_metrics
@@ -122,19 +122,24 @@ def partition_label_counts(spark: SparkSession, directory: str) -> DataFrame:
     return tagged.groupBy("PARTITION_TYPE", ft.LABEL).agg(F.count(F.lit(1)).alias("NCOUNT"))
 
 
+def _joined_part(spark: SparkSession, directory: str, part: int) -> DataFrame:
+    """Rows joined with their assignment, as with a split stored on its own."""
+    return split(gs.feature_table(spark, directory), gs.assignment(spark, directory), ft.ID, part)
+
+
 @query
 def split_train(spark: SparkSession, directory: str) -> DataFrame:
-    return gs.part_of_view(spark, directory, TRAIN)
+    return _joined_part(spark, directory, TRAIN)
 
 
 @query
 def split_test(spark: SparkSession, directory: str) -> DataFrame:
-    return gs.part_of_view(spark, directory, TEST)
+    return _joined_part(spark, directory, TEST)
 
 
 @query
 def split_val(spark: SparkSession, directory: str) -> DataFrame:
-    return gs.part_of_view(spark, directory, VALIDATE)
+    return _joined_part(spark, directory, VALIDATE)
 
 
 @query
@@ -147,16 +152,15 @@ def folds(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _new_scores(spark: SparkSession, directory: str, **options) -> DataFrame:
-    return score(ft.new_customer_view(spark, directory), gs.model(spark, directory), ft.ID, **options)
+    return score(gs.new_table(spark, directory), gs.model(spark, directory), ft.ID, **options)
 
 
 def _part_scores(spark: SparkSession, directory: str, kind: str = "forest") -> DataFrame:
     """Scores of all labelled rows beside the observed label and the part."""
-    tagged = gs.tagged_view(spark, directory)
+    tagged = gs.tagged_view(spark, directory).withColumnRenamed(ft.LABEL, "ORIGINAL_LABEL")
     later = 0.1 if kind == "boosted" else 1.0
-    scored = score(tagged, gs.model(spark, directory, kind, later), ft.ID)
-    truth = tagged.select(ft.ID, "PARTITION_TYPE", F.col(ft.LABEL).alias("ORIGINAL_LABEL"))
-    return truth.join(scored, ft.ID)
+    model = gs.model(spark, directory, kind, later)
+    return score(tagged, model, ft.ID, keep=("PARTITION_TYPE", "ORIGINAL_LABEL"))
 
 
 @query
@@ -177,7 +181,7 @@ def verbose_score(spark: SparkSession, directory: str) -> DataFrame:
 
 @query
 def boosted_score(spark: SparkSession, directory: str) -> DataFrame:
-    view = ft.new_customer_view(spark, directory)
+    view = gs.new_table(spark, directory)
     scored = score(view, gs.model(spark, directory, "boosted", 0.1), ft.ID)
     return scored.withColumn("CONFIDENCE", F.round("CONFIDENCE", 6))
 
@@ -212,7 +216,7 @@ def churned_count(spark: SparkSession, directory: str) -> DataFrame:
 def high_conf(spark: SparkSession, directory: str) -> DataFrame:
     """Text confidences are turned into numbers before the comparison."""
     model = gs.model(spark, directory, "boosted", 0.1)
-    scored = score(ft.new_customer_view(spark, directory), model, ft.ID, text_confidence=True)
+    scored = score(gs.new_table(spark, directory), model, ft.ID, text_confidence=True)
     sure = (F.col("SCORE") == ft.POSITIVE) & (fc.to_double(F.col("CONFIDENCE")) > 0.55)
     return scored.filter(sure).select(
         ft.ID, "SCORE", F.round(fc.to_double(F.col("CONFIDENCE")), 6).alias("CONFIDENCE")
@@ -231,7 +235,7 @@ def to_double(spark: SparkSession, directory: str) -> DataFrame:
 @query
 def in_list(spark: SparkSession, directory: str) -> DataFrame:
     scored = _new_scores(spark, directory)
-    names = ft.new_customer_view(spark, directory).select(ft.ID, "ServiceName")
+    names = gs.new_table(spark, directory).select(ft.ID, "ServiceName")
     wanted = ["NATION_1", "NATION_4", "NATION_9", "NATION_16"]
     return names.filter(F.col("ServiceName").isin(wanted)).join(scored, ft.ID)
 
@@ -256,13 +260,13 @@ def top_risk(spark: SparkSession, directory: str) -> DataFrame:
 
 @query
 def parallel_score(spark: SparkSession, directory: str) -> DataFrame:
-    view = hash_partitioned(ft.new_customer_view(spark, directory), ft.ID, 8)
+    view = hash_partitioned(gs.new_table(spark, directory), ft.ID, 8)
     return score(view, gs.model(spark, directory), ft.ID)
 
 
 @query
 def partition_rows(spark: SparkSession, directory: str) -> DataFrame:
-    return partition_stats(hash_partitioned(ft.new_customer_view(spark, directory), ft.ID, 8))
+    return partition_stats(hash_partitioned(gs.new_table(spark, directory), ft.ID, 8))
 
 
 # ------------------------------------------------------------------ evaluation
@@ -277,8 +281,10 @@ def actual_vs_pred(spark: SparkSession, directory: str) -> DataFrame:
 
 @query
 def auc_input(spark: SparkSession, directory: str) -> DataFrame:
-    rows = _part_scores(spark, directory).filter(F.col("PARTITION_TYPE") == TRAIN)
-    return rows.select(F.col(ft.ID).alias("ID"), "ORIGINAL_LABEL", gs.probability())
+    train = gs.part_of_view(spark, directory, TRAIN)
+    rows = ev.compare_with_observed(train, score(train, gs.model(spark, directory), ft.ID), ft.ID, ft.LABEL, ft.ID)
+    rows = rows.withColumnRenamed("PREDICTED_LABEL", "SCORE")
+    return rows.select("ID", "ORIGINAL_LABEL", gs.probability())
 
 
 @query
@@ -346,9 +352,7 @@ def auc_many_scores(spark: SparkSession, directory: str) -> DataFrame:
 
 @query
 def roc_curve(spark: SparkSession, directory: str) -> DataFrame:
-    scored = score(gs.tagged_view(spark, directory), gs.model(spark, directory, "boosted", 0.1), ft.ID)
-    truth = ft.churn_view(spark, directory).select(ft.ID, F.col(ft.LABEL).alias("ORIGINAL_LABEL"))
-    rows = truth.join(scored, ft.ID).select("ORIGINAL_LABEL", gs.probability())
+    rows = _part_scores(spark, directory, "boosted").select("ORIGINAL_LABEL", gs.probability())
     points = ev.roc_curve(rows, "ORIGINAL_LABEL", "CHURN_PROBABILITY", ft.POSITIVE)
     return points.withColumn("FPR", F.round("FPR", 6)).withColumn("TPR", F.round("TPR", 6))
 
@@ -388,7 +392,7 @@ def champion(spark: SparkSession, directory: str) -> DataFrame:
     areas = snapshot(_model_areas(spark, directory), label="areas")
     forest = ev.single_value(areas.filter(F.col("MODEL_TYPE") == FOREST), "STAT_VALUE")
     boosted = ev.single_value(areas.filter(F.col("MODEL_TYPE") == BOOSTED), "STAT_VALUE")
-    registry = Registry(spark, scratch_path(spark, "registry"))
+    registry = Registry.create(spark, scratch_path(spark, "registry"))
     registry.save_champion(
         FOREST_NAME,
         ev.select_champion(forest, boosted),
@@ -479,7 +483,7 @@ def rules(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _registry(spark: SparkSession, directory: str) -> Registry:
-    registry = Registry(spark, scratch_path(spark, "registry"))
+    registry = Registry.create(spark, scratch_path(spark, "registry"))
     registry.save(FOREST_NAME, "1.1", FOREST, gs.model_rows(spark, directory), SAVED_AT)
     registry.save(FOREST_NAME, "1.2", BOOSTED, gs.model_rows(spark, directory, "boosted", 0.1), SAVED_AT)
     return registry
@@ -494,13 +498,13 @@ def registry_versions(spark: SparkSession, directory: str) -> DataFrame:
 def registry_load(spark: SparkSession, directory: str) -> DataFrame:
     """Score new rows with a model that went through the registry."""
     rows = _registry(spark, directory).load(FOREST_NAME, "1.1", FOREST)
-    return score(ft.new_customer_view(spark, directory), load_model(rows), ft.ID)
+    return score(gs.new_table(spark, directory), load_model(rows), ft.ID)
 
 
 @query
 def registry_load_boosted(spark: SparkSession, directory: str) -> DataFrame:
     rows = _registry(spark, directory).load(FOREST_NAME, 1.2, BOOSTED)
-    scored = score(ft.new_customer_view(spark, directory), load_model(rows), ft.ID)
+    scored = score(gs.new_table(spark, directory), load_model(rows), ft.ID)
     return scored.withColumn("CONFIDENCE", F.round("CONFIDENCE", 6))
 
 
@@ -525,7 +529,7 @@ def append_refill(spark: SparkSession, directory: str) -> DataFrame:
 
 @query
 def tvf_score(spark: SparkSession, directory: str) -> DataFrame:
-    register(ft.new_customer_view(spark, directory), "new_customer_view")
+    register(gs.new_table(spark, directory), "new_customer_view")
     routines.register_scoring_tvf(
         spark, "predict_customer_churn", "new_customer_view", gs.model(spark, directory), ft.ID
     )
@@ -535,7 +539,7 @@ def tvf_score(spark: SparkSession, directory: str) -> DataFrame:
 @query
 def score_one(spark: SparkSession, directory: str) -> DataFrame:
     """The function with an argument, for the account of the largest single order."""
-    register(ft.new_customer_view(spark, directory), "new_customer_view")
+    register(gs.new_table(spark, directory), "new_customer_view")
     register(load(spark, directory, "orders"), "orders_view")
     routines.register_scoring_tvf(
         spark, "predict_single_churn", "new_customer_view", gs.model(spark, directory), ft.ID, "ip_id"
@@ -554,13 +558,13 @@ def state_score(spark: SparkSession, directory: str) -> DataFrame:
     found = routines.states(spark).filter(F.col("DESCRIPTION") == description)
     assert found.filter(F.col("STATE_ID") == handle.state_id).count() == 1
     params = {"THREAD_RATIO": 0.5, "VERBOSE": 0, "STATE_ID": handle.state_id}
-    return routines.score_with_params(ft.new_customer_view(spark, directory), None, params, ft.ID)
+    return routines.score_with_params(gs.new_table(spark, directory), None, params, ft.ID)
 
 
 @query
 def stream_score(spark: SparkSession, directory: str) -> DataFrame:
     """New accounts written to a folder, scored as a stream of its files."""
-    view = ft.new_customer_view(spark, directory)
+    view = gs.new_table(spark, directory)
     source, sink = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
     view.write.parquet(source)
     scored = score_stream(read_feature_stream(spark, source, view.schema), gs.model(spark, directory), ft.ID)
@@ -573,7 +577,7 @@ def stream_score(spark: SparkSession, directory: str) -> DataFrame:
 
 def _stepped(spark: SparkSession, directory: str) -> DataFrame:
     columns = [ft.ID, "ServiceType", "DataUsage_PCT", "DataUsage_PCT_PM", "Revenue_Month_PM", ft.LABEL]
-    return ft.with_stepped_label(ft.churn_view(spark, directory)).select(*columns)
+    return ft.with_stepped_label(gs.feature_table(spark, directory)).select(*columns)
 
 
 def _churn_params(**more) -> dict:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,13 +36,15 @@ class Registry:
             F.date_format("SAVED_AT", "HH:mm:ss").alias("MODEL_TIME"),
         )
 
+    @classmethod
+    def create(cls, spark: SparkSession, path: str) -> Registry:
+        """An empty registry at a path that is not in use yet."""
+        empty = spark.createDataFrame([], SCHEMA)
+        empty.write.mode("errorifexists").partitionBy("MODEL_NAME", "MODEL_TYPE").parquet(path)
+        return cls(spark, path)
+
     def _stored(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(SCHEMA).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], SCHEMA)
+        return self.spark.read.schema(SCHEMA).parquet(self.path)
 
     def _version(self, name: str, version: float | str, model_type: str) -> DataFrame:
         # Name and type are partition folders, so other models are not read.
