@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallgrove.functions.params import pivot_params
-from tallgrove.sources.tables import bounded, counted_snapshot, snapshot
+from tallgrove.sources.tables import bounded, snapshot
 
 BLOCK_POINTS = 20_000
 SCAN_PIECE = 128
@@ -208,7 +208,7 @@ def ses_forecast(
     """
     settings = group_settings(params, group)
     matched = df.join(settings.select(group), group, "left_semi")
-    blocks, _ = counted_snapshot(_blocks(matched, group, time, value, block_points), label="blocks")
+    blocks = snapshot(_blocks(matched, group, time, value, block_points), label="blocks")
     run = _run(blocks, settings, group)
 
     totals = run.groupBy(group).agg(

@@ -78,6 +78,12 @@ def new_table(spark: SparkSession, directory: str) -> DataFrame:
     return snapshot(ft.new_customer_view(spark, directory), label="new-features")
 
 
+@lru_cache(maxsize=32)
+def wholesale_table(spark: SparkSession, directory: str) -> DataFrame:
+    """Spend per buyer as a stored table."""
+    return snapshot(ft.wholesale_view(spark, directory), label="wholesale")
+
+
 @lru_cache(maxsize=32)
 def tagged_view(spark: SparkSession, directory: str) -> DataFrame:
     """The labelled rows with their part: 60, 20 and 20 percent for train, test, validation."""
@@ -114,7 +120,7 @@ def model(spark: SparkSession, directory: str, kind: str = "forest", later_weigh
 
 def forget() -> None:
     """Drop what is kept, so that the next query splits and counts again."""
-    for kept in (feature_table, new_table, tagged_view):
+    for kept in (feature_table, new_table, wholesale_table, tagged_view):
         kept.cache_clear()
     model_rows.cache_clear()
     model.cache_clear()

@@ -100,14 +100,14 @@ def stratified_partition_ids(spark: SparkSession, directory: str) -> DataFrame:
 
 @query
 def partition_2way(spark: SparkSession, directory: str) -> DataFrame:
-    view = ft.wholesale_view(spark, directory)
+    view = gs.wholesale_table(spark, directory)
     parts = stratified_partition(view, "IDCOL", "CUSTOMERTYPE", (0.7, 0.3, 0.0), 23, check_ids=False)
     return parts.withColumnRenamed("PARTITION_TYPE", "PARTITION_NUMBER")
 
 
 @query
 def partition_unstratified(spark: SparkSession, directory: str) -> DataFrame:
-    view = ft.churn_view(spark, directory)
+    view = gs.feature_table(spark, directory)
     return stratified_partition(view, ft.ID, None, (0.6, 0.2, 0.1), 7, check_ids=False)
 
 
@@ -144,7 +144,7 @@ def split_val(spark: SparkSession, directory: str) -> DataFrame:
 
 @query
 def folds(spark: SparkSession, directory: str) -> DataFrame:
-    view = ft.wholesale_view(spark, directory)
+    view = gs.wholesale_table(spark, directory)
     return stratified_folds(view, "IDCOL", "CUSTOMERTYPE", 10, 25, check_ids=False)
 
 
@@ -654,7 +654,7 @@ def dt_train(spark: SparkSession, directory: str) -> DataFrame:
     params = _wholesale_params(
         MIN_RECORDS_OF_PARENT=4, MIN_RECORDS_OF_LEAF=3, IS_OUTPUT_RULES=1, IS_OUTPUT_CONFUSION_MATRIX=1
     )
-    return train_tree(ft.wholesale_view(spark, directory), params, max_depth=6).rules
+    return train_tree(gs.wholesale_table(spark, directory), params, max_depth=6).rules
 
 
 @query
@@ -675,7 +675,7 @@ def grid_search(spark: SparkSession, directory: str) -> DataFrame:
         EVALUATION_METRIC="AUC", PARAM_SEARCH_STRATEGY="grid", FOLD_NUM=3,
         PROGRESS_INDICATOR_ID="CROSS_VALIDATION",
     )
-    return train_tree(ft.wholesale_view(spark, directory), params, max_depth=5).candidates
+    return train_tree(gs.wholesale_table(spark, directory), params, max_depth=5).candidates
 
 
 @query

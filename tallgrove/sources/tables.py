@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A relation is handed to the driver (and from there to every executor) only
@@ -60,17 +60,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def snapshot(df: DataFrame, path: str | None = None, label: str = "snapshot") -> DataFrame:
     """Write ``df`` once and read it back, so later uses do not recompute it."""
-    return counted_snapshot(df, path, label)[0]
+    path = path or scratch_path(df.sparkSession, label)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def counted_snapshot(
-    df: DataFrame, path: str | None = None, label: str = "snapshot"
-) -> tuple[DataFrame, int]:
-    """``snapshot`` and its number of rows, counted while they are written."""
-    path = path or scratch_path(df.sparkSession, label)
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
+def counted_snapshot(df: DataFrame, label: str = "snapshot") -> tuple[DataFrame, int]:
+    """``snapshot`` and its number of rows, which the file footers know."""
+    stored = snapshot(df, label=label)
+    return stored, stored.count()
 
 
 def bounded(df: DataFrame, max_rows: int = LOCAL_ROW_LIMIT) -> DataFrame:
