@@ -100,7 +100,8 @@ def _payload(header: Header, tree: Tree, node: dict, vote: str) -> list[float]:
         winner = int(np.argmax(counts))  # the first of equals, i.e. the smallest label
         return [1.0 if i == winner else 0.0 for i in range(len(counts))]
     total = sum(counts)
-    return [c / total if total else 0.0 for c in counts]
+    # Given splits may leave a leaf without training rows: it knows nothing.
+    return [c / total if total else 1.0 / len(counts) for c in counts]
 
 
 class Descent:

@@ -118,7 +118,7 @@ def _votes(name: str, source: str, extra: str = "") -> str:
 
     value = "round((c1 - c0)::DOUBLE / (c0 + c1), 6)"
     hard = " + ".join(of(t, "CASE WHEN c1 > c0 THEN 1 ELSE 0 END", "0") for t in range(3))
-    soft = " + ".join(of(t, "c1::DOUBLE / (c0 + c1)", "0.0") for t in range(3))
+    soft = " + ".join(of(t, "c1::DOUBLE / (c0 + c1)", "0.5") for t in range(3))
     m = [of(t, value, "0.0") for t in range(3)]
     return f"""{name} AS (SELECT {source}.*, {hard} AS votes, {soft} AS soft,
   {m[0]} AS m0, {m[1]} AS m1, {m[2]} AS m2 FROM {source}{extra})"""
@@ -221,13 +221,13 @@ final AS (SELECT PRODUCT_ID, DAY AS last, a2 * SALES + (1 - a2) * f AS f FROM (S
       THEN abs((0.2 * (SALES - f) + 0.8 * e) / (0.2 * abs(SALES - f) + 0.8 * m)) ELSE a END AS a2 FROM lastrow))"""
 
 # Nodes of the three given trees: counts of a node add up those of its leaves.
-NODES = """nodes AS (SELECT t, k.node, sum(c0) AS c0, sum(c1) AS c1 FROM cnt JOIN (VALUES
+NODES = """nodes AS (SELECT t2 AS t, k.node, coalesce(sum(c0), 0) AS c0, coalesce(sum(c1), 0) AS c1 FROM cnt RIGHT JOIN (VALUES
   (0, 0, 2), (0, 0, 3), (0, 0, 5), (0, 0, 6), (0, 1, 2), (0, 1, 3), (0, 4, 5), (0, 4, 6),
   (0, 2, 2), (0, 3, 3), (0, 5, 5), (0, 6, 6),
   (1, 0, 2), (1, 0, 3), (1, 0, 5), (1, 0, 6), (1, 1, 2), (1, 1, 3), (1, 4, 5), (1, 4, 6),
   (1, 2, 2), (1, 3, 3), (1, 5, 5), (1, 6, 6),
   (2, 0, 2), (2, 0, 3), (2, 0, 4), (2, 1, 2), (2, 1, 3), (2, 2, 2), (2, 3, 3), (2, 4, 4)
-  ) AS k(t2, node, leaf) ON t = t2 AND l = leaf GROUP BY t, k.node)"""
+  ) AS k(t2, node, leaf) ON t = t2 AND l = leaf GROUP BY t2, k.node)"""
 
 RULES = """(VALUES
   (0, 2, 'Revenue_Month <= 100000.0 and DataUsage_PCT <= 0.0'),
@@ -245,9 +245,10 @@ RULES = """(VALUES
 # The first tree with every node's size and gain, for cutting it by a candidate's limits.
 GRID = f"""{BASE},
 {NODES},
-n0 AS (SELECT node, c0, c1, c0 + c1 AS n, 1 - (c0 * c0 + c1 * c1)::DOUBLE / ((c0 + c1) * (c0 + c1)) AS g
+n0 AS (SELECT node, c0, c1, c0 + c1 AS n,
+  coalesce(1 - (c0 * c0 + c1 * c1)::DOUBLE / nullif((c0 + c1) * (c0 + c1), 0), 0) AS g
   FROM nodes WHERE t = 0),
-gain AS (SELECT p.node, p.n, p.g - (a.n * a.g + b.n * b.g) / p.n AS gain FROM (VALUES (0, 1, 4), (1, 2, 3), (4, 5, 6))
+gain AS (SELECT p.node, p.n, coalesce(p.g - (a.n * a.g + b.n * b.g) / nullif(p.n, 0), 0) AS gain FROM (VALUES (0, 1, 4), (1, 2, 3), (4, 5, 6))
     AS k(node, l, r) JOIN n0 p ON p.node = k.node JOIN n0 a ON a.node = k.l JOIN n0 b ON b.node = k.r),
 cand AS (SELECT (pi * 3 + ti)::INTEGER AS CANDIDATE, p, th FROM (VALUES (0, 1), (1, 300), (2, 500)) AS x(pi, p),
     (VALUES (0, 0.0), (1, 0.001), (2, 0.1)) AS y(ti, th)),
@@ -257,7 +258,7 @@ stopped AS (SELECT CANDIDATE, y, CASE WHEN (SELECT c FROM cut WHERE cut.CANDIDAT
     WHEN l0 IN (2, 3) AND (SELECT c FROM cut WHERE cut.CANDIDATE = cand.CANDIDATE AND node = 1) THEN 1
     WHEN l0 IN (5, 6) AND (SELECT c FROM cut WHERE cut.CANDIDATE = cand.CANDIDATE AND node = 4) THEN 4
     ELSE l0 END AS node FROM cand, val),
-answered AS (SELECT CANDIDATE, y, c1::DOUBLE / n AS s, CASE WHEN c1 > c0 THEN 'Churned' ELSE 'Active' END AS guess
+answered AS (SELECT CANDIDATE, y, coalesce(c1::DOUBLE / nullif(n, 0), 0.5) AS s, CASE WHEN c1 > c0 THEN 'Churned' ELSE 'Active' END AS guess
   FROM stopped JOIN n0 USING (node))"""
 
 RANGES = f"""{BASE},

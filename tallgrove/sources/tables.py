@@ -49,12 +49,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
     Only a local session may fall back to a temporary folder of its machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="tallgrove-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tallgrove-"))
+        root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/tallgrove/{label}-{uuid.uuid4().hex}"
 
 
