@@ -97,9 +97,9 @@ def register_scoring_tvf(
     id_type = spark.table(source_view).schema[id_column].dataType.simpleString()
     labels = ", ".join("'" + label.replace("'", "\\'") + "'" for label in header.labels)
     if header.kind == "boosted":
-        probs = "array(1 - 1 / (1 + exp(-2 * sums[0])), 1 / (1 + exp(-2 * sums[0])))"
+        probs = "array(1 - 1 / (1 + exp(-2 * sums.s0)), 1 / (1 + exp(-2 * sums.s0)))"
     else:
-        probs = f"transform(sums, v -> v / {trees}D)"
+        probs = "array(" + ", ".join(f"sums.s{i} / {trees}D" for i in range(len(header.labels))) + ")"
     where = f"WHERE `{id_column}` = {name}.{arg}" if arg else ""
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {name}({f'{arg} {id_type}' if arg else ''})

@@ -225,7 +225,7 @@ def _expression_sums(header: Header, trees: list[Tree], vote: str, fill: float |
             header, tree, lambda node: F.lit(float(_payload(header, tree, tree.nodes[node], vote)[i])), fill
         )
 
-    return F.array(*[reduce(add, [slot(tree, i) for tree in trees]) for i in range(slots(header))])
+    return F.struct(*[reduce(add, [slot(tree, i) for tree in trees]).alias(f"s{i}") for i in range(slots(header))])
 
 
 def slots(header: Header) -> int:
@@ -234,14 +234,15 @@ def slots(header: Header) -> int:
 
 
 def descent_udf(spark: SparkSession, header: Header, trees: list[Tree], vote: str = "hard"):
-    """A pandas UDF from the feature struct to the row's sums."""
+    """A pandas UDF from the feature struct to the row's sums ``s0, s1, ...``."""
     shared = spark.sparkContext.broadcast(Descent(header, trees, vote))
+    names = [f"s{i}" for i in range(slots(header))]
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def descend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+    @F.pandas_udf(T.StructType([T.StructField(name, T.DoubleType()) for name in names]))
+    def descend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         descent = shared.value
         for rows in batches:
-            yield pd.Series(list(descent.sums(rows)))
+            yield pd.DataFrame(descent.sums(rows), columns=names)
 
     return descend
 
@@ -262,9 +263,9 @@ def part_sums(
 def probabilities(header: Header, sums: Column, trees: int) -> Column:
     """Class probabilities in label order from a row's sums."""
     if header.kind == "boosted":
-        second = 1 / (1 + F.exp(-2 * sums[0]))
+        second = 1 / (1 + F.exp(-2 * sums["s0"]))
         return F.array(1 - second, second)
-    return F.array(*[sums[i] / F.lit(float(trees)) for i in range(slots(header))])
+    return F.array(*[sums[f"s{i}"] / F.lit(float(trees)) for i in range(slots(header))])
 
 
 def _label_array(header: Header) -> Column:
@@ -297,12 +298,12 @@ def row_probabilities(
     for number, part in enumerate(model.parts):
         sums = part_sums(df, model.header, part, vote, fill, engine)
         partial = df.select(*keep, sums.alias("_s"))
-        partial.select(*keep, *[F.col("_s")[i].alias(f"_s{i}") for i in range(width)]).write.parquet(
+        partial.select(*keep, *[F.col("_s")[f"s{i}"].alias(f"_s{i}") for i in range(width)]).write.parquet(
             f"{path}/part={number}"
         )
     votes = df.sparkSession.read.parquet(path)
     added = votes.groupBy(*keep).agg(*[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(width)])
-    sums = F.array(*[F.col(f"_s{i}") for i in range(width)])
+    sums = F.struct(*[F.col(f"_s{i}").alias(f"s{i}") for i in range(width)])
     return added.select(*keep, probabilities(model.header, sums, trees).alias("PROBS"))
 
 

@@ -87,6 +87,11 @@ def prepare(
     placed = placed.persist(StorageLevel.MEMORY_AND_DISK)
 
     wanted = ["_label", *roles.categorical]
+    # Distinct values travel to the driver below, so their number is looked at first.
+    sizes = placed.agg(*[F.approx_count_distinct(c).alias(c) for c in wanted]).first()
+    for column in wanted:
+        if sizes[column] > 1.2 * MAX_CATEGORIES:
+            raise ValueError(f"{column} has about {sizes[column]} values, more than {MAX_CATEGORIES}")
     indexer = StringIndexer(
         inputCols=wanted,
         outputCols=["label"] + [f"_i_{c}" for c in roles.categorical],

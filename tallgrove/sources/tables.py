@@ -48,6 +48,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
     Only a local session may fall back to a temporary folder of its machine.
+    Paths lie under the application's id, so a finished run can be cleared as one.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -56,7 +57,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tallgrove-"))
         root = context.getCheckpointDir()
-    return f"{root.rstrip('/')}/tallgrove/{label}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/tallgrove/{context.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def snapshot(df: DataFrame, path: str | None = None, label: str = "snapshot") -> DataFrame:

@@ -49,3 +49,25 @@ def test_roles(spark):
     assert roles.id is None and roles.label == "label" and roles.numeric == ("id", "x", "k")
     with pytest.raises(ValueError, match="no column"):
         resolve_roles(df, Params.of(DEPENDENT_VARIABLE="missing"))
+
+
+def test_calls_with_parameter_tables(spark, churn):
+    from tallgrove.functions import calls
+
+    params = Params.of(
+        PARTITION_METHOD=1, RANDOM_SEED=23, HAS_ID=1, STRATIFIED_COLUMN="ContractActivityLABEL",
+        TRAINING_PERCENT=0.6, TESTING_PERCENT=0.2, VALIDATION_PERCENT=0.2,
+    ).to_df(spark)
+    parts = calls.partition(churn, params)
+    sizes = {r["PARTITION_TYPE"]: r["count"] for r in parts.groupBy("PARTITION_TYPE").count().collect()}
+    assert sum(sizes.values()) == churn.count() and abs(sizes[1] - 0.6 * churn.count()) <= 1
+    rows = [(1, "a", "a"), (2, "a", "b"), (3, "b", "b")]
+    df = spark.createDataFrame(rows, "ID long, ORIGINAL_LABEL string, PREDICTED_LABEL string")
+    matrix, stats = calls.confusion_matrix(df, {"BETA": 1})
+    assert matrix.count() == 4 and stats.count() == 2
+    rows = [(1, "a", 0.9), (2, "a", 0.4), (3, "b", 0.4)]
+    df = spark.createDataFrame(rows, "ID long, ORIGINAL_LABEL string, CHURN_PROBABILITY double")
+    area, points = calls.auc(df, {"POSITIVE_LABEL": "a"})
+    assert area.first()["STAT_VALUE"] == 0.75 and points.count() == 3
+    with pytest.raises(ValueError, match="POSITIVE_LABEL"):
+        calls.auc(df, {})

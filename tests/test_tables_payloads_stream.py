@@ -39,6 +39,7 @@ class FakeSession:
     def __init__(self, configured, master):
         self.conf = {"spark.checkpoint.dir": configured} if configured else {}
         self.sparkContext, self.master, self.folder = self, master, None
+        self.applicationId = "app-1"
 
     def getCheckpointDir(self):
         return self.folder
@@ -48,7 +49,7 @@ class FakeSession:
 
 
 def test_scratch_uses_the_configured_folder(spark):
-    assert tb.scratch_path(FakeSession("hdfs://x/ck/", "yarn"), "a").startswith("hdfs://x/ck/tallgrove/a-")
+    assert tb.scratch_path(FakeSession("hdfs://x/ck/", "yarn"), "a").startswith("hdfs://x/ck/tallgrove/app-1/a-")
     local = FakeSession(None, "local[2]")
     first, second = tb.scratch_path(local, "a"), tb.scratch_path(local, "a")
     assert first != second and first.startswith(local.folder) and second.startswith(local.folder)
