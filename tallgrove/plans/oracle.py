@@ -6,6 +6,7 @@ The texts share common table expressions but no code with the Spark side.
 from __future__ import annotations
 
 import datetime as dt
+import math
 from statistics import NormalDist
 
 LABELLED, SCORING = "2001-02-01", "2001-08-01"
@@ -275,6 +276,21 @@ centre AS (SELECT lab, pos, avg(v) AS c FROM item GROUP BY lab, pos),
 dist AS (SELECT NR, centre.lab, sum((v - c) * (v - c)) AS d FROM item JOIN centre USING (pos) GROUP BY NR, centre.lab)
 SELECT NR, arg_min(lab, d)::VARCHAR AS LABEL, round(min(d), 5) AS SCORE FROM dist GROUP BY NR"""
 
+# Poisson(1) distribution function, for draws from a hash of seed, tree and id.
+CDF = []
+for _k in range(12):
+    CDF.append((CDF[-1] if CDF else 0.0) + math.exp(-1) / math.factorial(_k))
+
+
+def _uniform(tree: str) -> str:
+    return f"(('0x' || substr(md5(concat('2:', {tree}, ':', AccountID)), 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
+
+
+def _draws(uniform: str) -> str:
+    cases = " ".join(f"WHEN {uniform} < {bound!r} THEN {k}" for k, bound in enumerate(CDF))
+    return f"CASE {cases} ELSE 12 END"
+
+
 STEPPED = """(SELECT AccountID, CASE WHEN ServiceType IN ('BUILDING', 'MACHINERY') AND DataUsage_PCT <= 0
   THEN 'Churned' ELSE 'Active' END AS SCORE FROM abt)"""
 
@@ -392,6 +408,17 @@ CASE WHEN c1 > c0 THEN 'Churned' ELSE 'Active' END AS RULES_CONTENT FROM {RULES}
         "registry_versions": """SELECT DISTINCT 'CUSTOMER_CHURN' AS MODEL_NAME, v AS MODEL_VERSION, k AS MODEL_TYPE,
 DATE '2024-01-02' AS MODEL_DATE, '03:04:05' AS MODEL_TIME FROM customer, (VALUES (1.1::DOUBLE, 'RDT'), (1.2, 'GBDT')) AS x(v, k)""",
         "append_refill": f"{OLD} SELECT {CHURN_COLUMNS} FROM old WHERE PARTITION_TYPE IN (1, 2)",
+        "bag_counts": f"""{only_abt}, d AS (SELECT t, {_uniform('t')} AS u FROM abt, range(8) AS x(t))
+SELECT t::INTEGER AS TREE_INDEX, count(*) FILTER (w = 0) AS N_OUTSIDE, sum(w)::BIGINT AS N_DRAWN
+FROM (SELECT t, {_draws('u')} AS w FROM d) GROUP BY t""",
+        "oob_given_trees": f"""{BASE}, v AS (SELECT ContractActivityLABEL AS y,
+{", ".join(f"({_uniform(str(t))} < {CDF[0]!r})::INTEGER AS o{t}" for t in range(3))},
+{", ".join(f"coalesce((SELECT (c1 > c0)::INTEGER FROM cnt WHERE t = {t} AND l = l{t}), 0) AS v{t}" for t in range(3))}
+FROM trainleaf), u AS (
+SELECT 0 AS t, y, o0 AS o, o0 * v0 AS p FROM v UNION ALL SELECT 1, y, o0 + o1, o0 * v0 + o1 * v1 FROM v
+UNION ALL SELECT 2, y, o0 + o1 + o2, o0 * v0 + o1 * v1 + o2 * v2 FROM v)
+SELECT t::INTEGER AS TREE_INDEX, round(avg(CASE WHEN (2 * p > o) <> (y = 'Churned') THEN 1.0 ELSE 0.0 END), 6) AS OOB_ERROR
+FROM u WHERE o > 0 GROUP BY t""",
         "rf_score": f"{only_abt} SELECT * FROM {STEPPED}",
         "gbt_score": f"{only_abt} SELECT * FROM {STEPPED}",
         "dt_score": f"{only_abt} SELECT *, 1.0::DOUBLE AS CONFIDENCE FROM {STEPPED}",

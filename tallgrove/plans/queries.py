@@ -14,6 +14,8 @@ from tallgrove.operators import evaluation as ev
 from tallgrove.operators import payloads as pl
 from tallgrove.operators.forecasting import ses_forecast
 from tallgrove.operators.nodes import tree_rules
+from tallgrove.operators.out_of_bag import bag_weight
+from tallgrove.operators.out_of_bag import oob_error as oob_error_of
 from tallgrove.operators.sampling import TEST, TRAIN, VALIDATE, split, stratified_folds, stratified_partition
 from tallgrove.operators.scoring import load_model, score
 from tallgrove.operators.training import TrainResult, train_boosted, train_forest, train_tree
@@ -607,6 +609,26 @@ def oob_error(spark: SparkSession, directory: str) -> DataFrame:
     return _forest(spark, directory, 8, oob=1).oob
 
 
+@query
+def bag_counts(spark: SparkSession, directory: str) -> DataFrame:
+    """Rows outside each tree's bag, and the rows the bag holds with repetition."""
+    table = gs.feature_table(spark, directory)
+    weights = F.array(*[bag_weight(ft.ID, 2, t) for t in range(8)])
+    return (
+        table.select(F.posexplode(weights).alias("TREE_INDEX", "w"))
+        .groupBy("TREE_INDEX")
+        .agg(F.count_if(F.col("w") == 0).alias("N_OUTSIDE"), F.sum("w").cast("bigint").alias("N_DRAWN"))
+    )
+
+
+@query
+def oob_given_trees(spark: SparkSession, directory: str) -> DataFrame:
+    """Out-of-bag error of the given trees, up to each of them."""
+    train = gs.part_of_view(spark, directory, TRAIN)
+    errors = oob_error_of(train, gs.model(spark, directory), ft.ID, ft.LABEL, seed=2)
+    return errors.withColumn("OOB_ERROR", F.round("OOB_ERROR", 6))
+
+
 @query
 def rf_score(spark: SparkSession, directory: str) -> DataFrame:
     """A forest on a rule it can express: every account gets the rule's class."""
