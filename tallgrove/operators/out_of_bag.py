@@ -24,7 +24,7 @@ from tallgrove.operators.scoring import Descent, Model, feature_struct
 from tallgrove.operators.training import Prepared, TrainResult, finish, forest_estimator
 
 MAX_DRAWS = 12  # P(Poisson(1) > 12) is below 1e-10
-PARALLEL_FITS = 4
+PARALLEL_FITS = 8  # a single fit waits for the driver between its many small jobs
 
 
 def bag_weight(id_column: str, seed: int, tree: int) -> Column:

@@ -32,7 +32,7 @@ from tallgrove.operators.training import Prepared, boosted_estimator, prepare, t
 from tallgrove.sources.model_rows import Header, encode
 from tallgrove.sources.tables import scratch_path, snapshot
 
-PARALLEL_FITS = 4
+PARALLEL_FITS = 8  # a single fit waits for the driver between its many small jobs
 FOLD = "FOLD"
 LARGER_IS_BETTER = {"AUC": True, "ERROR_RATE": False}
 

@@ -72,12 +72,6 @@ def feature_table(spark: SparkSession, directory: str) -> DataFrame:
     return snapshot(ft.churn_view(spark, directory), label="features")
 
 
-@lru_cache(maxsize=32)
-def new_table(spark: SparkSession, directory: str) -> DataFrame:
-    """The unlabelled view as a stored table."""
-    return snapshot(ft.new_customer_view(spark, directory), label="new-features")
-
-
 @lru_cache(maxsize=32)
 def wholesale_table(spark: SparkSession, directory: str) -> DataFrame:
     """Spend per buyer as a stored table."""
@@ -109,8 +103,8 @@ def node_rows(spark: SparkSession, directory: str, kind: str = "forest", later_w
 
 @lru_cache(maxsize=32)
 def model_rows(spark: SparkSession, directory: str, kind: str = "forest", later_weight: float = 1.0) -> DataFrame:
-    """The model's rows; the node counts behind them are a small driver-side relation."""
-    return encode(header(kind), node_rows(spark, directory, kind, later_weight))
+    """The model's rows as a stored table."""
+    return snapshot(encode(header(kind), node_rows(spark, directory, kind, later_weight)), label="model-rows")
 
 
 @lru_cache(maxsize=32)
@@ -120,7 +114,7 @@ def model(spark: SparkSession, directory: str, kind: str = "forest", later_weigh
 
 def forget() -> None:
     """Drop what is kept, so that the next query splits and counts again."""
-    for kept in (feature_table, new_table, wholesale_table, tagged_view):
+    for kept in (feature_table, wholesale_table, tagged_view):
         kept.cache_clear()
     model_rows.cache_clear()
     model.cache_clear()

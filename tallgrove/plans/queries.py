@@ -154,7 +154,7 @@ def folds(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _new_scores(spark: SparkSession, directory: str, **options) -> DataFrame:
-    return score(gs.new_table(spark, directory), gs.model(spark, directory), ft.ID, **options)
+    return score(ft.new_customer_view(spark, directory), gs.model(spark, directory), ft.ID, **options)
 
 
 def _part_scores(spark: SparkSession, directory: str, kind: str = "forest") -> DataFrame:
@@ -183,7 +183,7 @@ def verbose_score(spark: SparkSession, directory: str) -> DataFrame:
 
 @query
 def boosted_score(spark: SparkSession, directory: str) -> DataFrame:
-    view = gs.new_table(spark, directory)
+    view = ft.new_customer_view(spark, directory)
     scored = score(view, gs.model(spark, directory, "boosted", 0.1), ft.ID)
     return scored.withColumn("CONFIDENCE", F.round("CONFIDENCE", 6))
 
@@ -218,7 +218,7 @@ def churned_count(spark: SparkSession, directory: str) -> DataFrame:
 def high_conf(spark: SparkSession, directory: str) -> DataFrame:
     """Text confidences are turned into numbers before the comparison."""
     model = gs.model(spark, directory, "boosted", 0.1)
-    scored = score(gs.new_table(spark, directory), model, ft.ID, text_confidence=True)
+    scored = score(ft.new_customer_view(spark, directory), model, ft.ID, text_confidence=True)
     sure = (F.col("SCORE") == ft.POSITIVE) & (fc.to_double(F.col("CONFIDENCE")) > 0.55)
     return scored.filter(sure).select(
         ft.ID, "SCORE", F.round(fc.to_double(F.col("CONFIDENCE")), 6).alias("CONFIDENCE")
@@ -236,10 +236,8 @@ def to_double(spark: SparkSession, directory: str) -> DataFrame:
 
 @query
 def in_list(spark: SparkSession, directory: str) -> DataFrame:
-    scored = _new_scores(spark, directory)
-    names = gs.new_table(spark, directory).select(ft.ID, "ServiceName")
     wanted = ["NATION_1", "NATION_4", "NATION_9", "NATION_16"]
-    return names.filter(F.col("ServiceName").isin(wanted)).join(scored, ft.ID)
+    return _new_scores(spark, directory, keep=("ServiceName",)).filter(F.col("ServiceName").isin(wanted))
 
 
 @query
@@ -262,13 +260,13 @@ def top_risk(spark: SparkSession, directory: str) -> DataFrame:
 
 @query
 def parallel_score(spark: SparkSession, directory: str) -> DataFrame:
-    view = hash_partitioned(gs.new_table(spark, directory), ft.ID, 8)
+    view = hash_partitioned(ft.new_customer_view(spark, directory), ft.ID, 8)
     return score(view, gs.model(spark, directory), ft.ID)
 
 
 @query
 def partition_rows(spark: SparkSession, directory: str) -> DataFrame:
-    return partition_stats(hash_partitioned(gs.new_table(spark, directory), ft.ID, 8))
+    return partition_stats(hash_partitioned(ft.new_customer_view(spark, directory), ft.ID, 8))
 
 
 # ------------------------------------------------------------------ evaluation
@@ -500,13 +498,13 @@ def registry_versions(spark: SparkSession, directory: str) -> DataFrame:
 def registry_load(spark: SparkSession, directory: str) -> DataFrame:
     """Score new rows with a model that went through the registry."""
     rows = _registry(spark, directory).load(FOREST_NAME, "1.1", FOREST)
-    return score(gs.new_table(spark, directory), load_model(rows), ft.ID)
+    return score(ft.new_customer_view(spark, directory), load_model(rows), ft.ID)
 
 
 @query
 def registry_load_boosted(spark: SparkSession, directory: str) -> DataFrame:
     rows = _registry(spark, directory).load(FOREST_NAME, 1.2, BOOSTED)
-    scored = score(gs.new_table(spark, directory), load_model(rows), ft.ID)
+    scored = score(ft.new_customer_view(spark, directory), load_model(rows), ft.ID)
     return scored.withColumn("CONFIDENCE", F.round("CONFIDENCE", 6))
 
 
@@ -531,7 +529,7 @@ def append_refill(spark: SparkSession, directory: str) -> DataFrame:
 
 @query
 def tvf_score(spark: SparkSession, directory: str) -> DataFrame:
-    register(gs.new_table(spark, directory), "new_customer_view")
+    register(ft.new_customer_view(spark, directory), "new_customer_view")
     routines.register_scoring_tvf(
         spark, "predict_customer_churn", "new_customer_view", gs.model(spark, directory), ft.ID
     )
@@ -541,7 +539,7 @@ def tvf_score(spark: SparkSession, directory: str) -> DataFrame:
 @query
 def score_one(spark: SparkSession, directory: str) -> DataFrame:
     """The function with an argument, for the account of the largest single order."""
-    register(gs.new_table(spark, directory), "new_customer_view")
+    register(ft.new_customer_view(spark, directory), "new_customer_view")
     register(load(spark, directory, "orders"), "orders_view")
     routines.register_scoring_tvf(
         spark, "predict_single_churn", "new_customer_view", gs.model(spark, directory), ft.ID, "ip_id"
@@ -560,13 +558,13 @@ def state_score(spark: SparkSession, directory: str) -> DataFrame:
     found = routines.states(spark).filter(F.col("DESCRIPTION") == description)
     assert found.filter(F.col("STATE_ID") == handle.state_id).count() == 1
     params = {"THREAD_RATIO": 0.5, "VERBOSE": 0, "STATE_ID": handle.state_id}
-    return routines.score_with_params(gs.new_table(spark, directory), None, params, ft.ID)
+    return routines.score_with_params(ft.new_customer_view(spark, directory), None, params, ft.ID)
 
 
 @query
 def stream_score(spark: SparkSession, directory: str) -> DataFrame:
     """New accounts written to a folder, scored as a stream of its files."""
-    view = gs.new_table(spark, directory)
+    view = ft.new_customer_view(spark, directory)
     source, sink = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
     view.write.parquet(source)
     scored = score_stream(read_feature_stream(spark, source, view.schema), gs.model(spark, directory), ft.ID)

@@ -58,12 +58,12 @@ def test_scoring_moves_no_rows(large, churn, forest):
 
 def test_small_models_run_in_the_jvm(large):
     model = gs.model(large, CHECK)
-    plan = plan_of(score(gs.new_table(large, CHECK), model, ft.ID))
+    plan = plan_of(score(gs.feature_table(large, CHECK), model, ft.ID))
     assert "Python" not in plan and "Exchange" not in plan
 
 
 def test_scoring_reads_only_the_models_columns(large):
-    plan = plan_of(score(gs.new_table(large, CHECK), gs.model(large, CHECK), ft.ID))
+    plan = plan_of(score(gs.feature_table(large, CHECK), gs.model(large, CHECK), ft.ID))
     read = re.search(r"FileScan parquet \[([^\]]*)\]", plan).group(1)
     assert "Device_Lifetime" not in read and "Revenue_Month#" in read
 
