@@ -4,7 +4,6 @@ import random
 from statistics import NormalDist
 
 import pytest
-from pyspark.sql import functions as F
 
 from tallgrove.functions.params import SCHEMA, Params
 from tallgrove.operators.forecasting import ses_forecast, unmatched_groups

@@ -3,7 +3,6 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from tallgrove.functions import routines
 from tallgrove.operators import scoring as sc
