@@ -62,7 +62,44 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coa
 FROM doc LEFT JOIN hit h USING (r) LEFT JOIN named m USING (r)
 """
 
+LINES = r"""
+WITH line AS (
+  SELECT doc_id, i, parts[i] AS line,
+    translate(trim(parts[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents), unnest(range(1, len(parts) + 1)) t(i)),
+repeated AS (
+  SELECT k, max(doc_id) AS last FROM line WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+judged AS (
+  SELECT line.*, coalesce(doc_id < last, false) AS gone FROM line LEFT JOIN repeated USING (k))
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+NEAR = rf"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, coalesce(regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + least(len(w), 5) - 1), ' ') AS s
+  FROM doc, unnest(range(1, len(w) - least(len(w), 5) + 2)) t(i) WHERE len(w) > 0),
+sized AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY ALL),
+link AS (
+  SELECT a, b FROM common c JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b
+  WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)),
+reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+least AS (SELECT a AS doc_id, min(least(a, b)) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+  doc_id = coalesce(component_id, doc_id) AS kept
+FROM doc LEFT JOIN sized USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
+
 ORACLE = {
+    "op3_line_dedup": LINES,
     "op5_mixing": MIXING,
     "op8_decontamination": DECONTAMINATION,
+    "op9_near_dedup": NEAR,
 }

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallgrove.llm import decontamination, mixing
+from tallgrove.llm import decontamination, lines, mixing, near_dedup
 from tallgrove.sources.tables import load
 
 
+def op3_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    docs = load(spark, directory, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op5_mixing(spark: SparkSession, directory: str) -> DataFrame:
     docs = load(spark, directory, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", *mixing.OUTPUT)
@@ -20,7 +25,13 @@ def op8_decontamination(spark: SparkSession, directory: str) -> DataFrame:
     return found.select("doc_id", *decontamination.OUTPUT)
 
 
+def op9_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    return near_dedup.near_duplicates(load(spark, directory, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
+    "op3_line_dedup": op3_line_dedup,
     "op5_mixing": op5_mixing,
     "op8_decontamination": op8_decontamination,
+    "op9_near_dedup": op9_near_dedup,
 }
