@@ -62,6 +62,24 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coa
 FROM doc LEFT JOIN hit h USING (r) LEFT JOIN named m USING (r)
 """
 
+VECTORS = """
+WITH RECURSIVE vec AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vec a JOIN vec b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+least AS (SELECT a AS vec_id, min(least(a, b)) AS component_id FROM reach GROUP BY a),
+counted AS (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id,
+  vec_id = coalesce(component_id, vec_id) AS kept
+FROM embeddings LEFT JOIN counted USING (vec_id) LEFT JOIN least USING (vec_id)
+"""
+
 LINES = r"""
 WITH line AS (
   SELECT doc_id, i, parts[i] AS line,
@@ -98,6 +116,7 @@ FROM doc LEFT JOIN sized USING (doc_id) LEFT JOIN least USING (doc_id)
 """
 
 ORACLE = {
+    "op1_embedding_dedup": VECTORS,
     "op3_line_dedup": LINES,
     "op5_mixing": MIXING,
     "op8_decontamination": DECONTAMINATION,

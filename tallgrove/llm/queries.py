@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallgrove.llm import decontamination, lines, mixing, near_dedup
+from tallgrove.llm import decontamination, embedding_dedup, lines, mixing, near_dedup
 from tallgrove.sources.tables import load
 
 
+def op1_embedding_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    vectors = load(spark, directory, "embeddings").select("vec_id", "embedding", "label")
+    return embedding_dedup.duplicate_vectors(vectors).select("vec_id", *embedding_dedup.OUTPUT)
+
+
 def op3_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
     docs = load(spark, directory, "documents").select("doc_id", "text")
     return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -30,6 +35,7 @@ def op9_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op5_mixing": op5_mixing,
     "op8_decontamination": op8_decontamination,
