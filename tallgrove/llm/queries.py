@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallgrove.llm import decontamination, embedding_dedup, lines, mixing, near_dedup
+from tallgrove.llm import decontamination, embedding_dedup, lines, lm_scoring, mixing, near_dedup
 from tallgrove.sources.tables import load
 
 
@@ -24,6 +24,13 @@ def op5_mixing(spark: SparkSession, directory: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", *mixing.OUTPUT)
 
 
+def op6_lm_scoring(spark: SparkSession, directory: str) -> DataFrame:
+    docs = load(spark, directory, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", lm_scoring.held_out(F.col("doc_id")))
+    model = lm_scoring.Model(docs.filter("not held_out"))
+    return lm_scoring.score(docs, model).select("doc_id", "held_out", *lm_scoring.OUTPUT)
+
+
 def op8_decontamination(spark: SparkSession, directory: str) -> DataFrame:
     docs = load(spark, directory, "documents").select("doc_id", "text")
     found = decontamination.decontaminate(docs, load(spark, directory, "benchmark"))
@@ -38,6 +45,7 @@ QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op5_mixing": op5_mixing,
+    "op6_lm_scoring": op6_lm_scoring,
     "op8_decontamination": op8_decontamination,
     "op9_near_dedup": op9_near_dedup,
 }
