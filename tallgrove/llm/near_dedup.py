@@ -237,22 +237,19 @@ def ties_of_groups(percent: int, width: int):
 
 
 def links(members: DataFrame, percent: int, block: int) -> DataFrame:
-    """(a, b) ties that connect what the exact links connect, from (region, doc, text).
+    """(a, b) ties that connect what the exact links connect, from stored (region, n, pivot, doc, text) rows.
 
-    Small regions are one group each. In a large one every text is first held against the pivot; those that
+    n and pivot are the region's size and least document. Small regions are one group each. In a large one every text is first held against the pivot; those that
     match are settled, and only the others (in blocks) are compared with all blocks of the region.
     """
-    members = members.withColumn("apart", F.lit(0))
-    sizes = stored(members.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("pivot")), "region-sizes")
-    sized = members.join(sizes, "region")
+    sized = members.withColumn("apart", F.lit(0))
     small = sized.filter(F.col("n") <= block).select("region", "doc", "text", "apart")
     found = small.repartition("region").sortWithinPartitions("region", "doc").mapInArrow(
         ties_of_groups(percent, 1), "a long, b long"
     )
     large = sized.filter(F.col("n") > block)
-    if sizes.filter(F.col("n") > block).isEmpty():
+    if large.isEmpty():
         return found
-    large = stored(large, "large-regions")
     pivots = large.filter("doc = pivot").select(F.col("region").alias("at"), F.col("text").alias("pivot_text"))
 
     def near_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,9 +315,11 @@ def near_groups(
     sets = stored(sets, "sets")
     labels = sets.select(F.col("rep").alias("doc"), F.posexplode("labels").alias("tree", "label")).select("tree", "label", "doc")
     regions = stored(components(forest_ties(labels, least_depth)), "regions")
-    members = sets.join(regions, F.col("rep") == F.col("node")).select(F.col("rep").alias("of"), "component").distinct()
-    with_text = members.join(texts, F.col("of") == F.col("doc")).select(F.col("component").alias("region"), "doc", "text")
-    ties = links(with_text, percent, block)
+    members = sets.join(regions, F.col("rep") == F.col("node")).select(F.col("rep").alias("of"), F.col("component").alias("region")).distinct()
+    sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.min("of").alias("pivot"))
+    members = stored(members.join(sizes, "region"), "region-members")
+    with_text = members.join(texts, F.col("of") == F.col("doc")).select("region", "n", "pivot", "doc", "text")
+    ties = links(stored(with_text, "region-texts"), percent, block)
     placed = signed.select("doc", "n_shingles", "s1", "s2").join(
         sets.select("s1", "s2", "rep"), ["s1", "s2"], "left"
     )
