@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallgrove.llm import decontamination, embedding_dedup, lines, lm_scoring, mixing, near_dedup
+from tallgrove.llm import decontamination, embedding_dedup, lines, lm_scoring, mixing, near_dedup, suffix_dedup
 from tallgrove.sources.tables import load
 
 
@@ -14,6 +14,12 @@ def op1_embedding_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return embedding_dedup.duplicate_vectors(vectors).select("vec_id", *embedding_dedup.OUTPUT)
 
 
+def op2_suffix_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    docs = load(spark, directory, "documents").select("doc_id", "text")
+    left = suffix_dedup.remove_repeats(docs)
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
     docs = load(spark, directory, "documents").select("doc_id", "text")
     return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -43,6 +49,7 @@ def op9_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
 
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op5_mixing": op5_mixing,
     "op6_lm_scoring": op6_lm_scoring,
