@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallgrove.llm.frames import ready, without
+from tallgrove.llm.frames import ready, schema_with, without
 from tallgrove.llm.words import ALNUM, words
 
 WINDOW = 13
@@ -251,9 +251,11 @@ def decontaminate(
     names = without(docs, *OUTPUT, "clean_text").columns
     found = hits(without(docs, *OUTPUT, "clean_text"), items, window, group_bytes)
     per = round(1 / least_share)
-    schema = found.select(*names, "n_words").schema
-    for name, kind in zip(("n_hit", "n_items", "items_sha256", "contaminated", "clean_text"), ("long", "long", "string", "boolean", "string")):
-        schema = schema.add(name, kind)
+    schema = schema_with(
+        found.select(*names, "n_words"), n_hit="long", n_items="long", items_sha256="string", contaminated="boolean",
+        clean_text="string",
+    )
+    out = schema.names
 
     def finish(batches):
         for batch in batches:
@@ -272,7 +274,7 @@ def decontaminate(
                 pa.array([h > 0 and per * h >= n for h, n in zip(n_hit, total)], pa.bool_()),
                 pa.array(clean, pa.string()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            yield pa.RecordBatch.from_arrays(columns, names=out)
 
     return found.mapInArrow(finish, schema)
 

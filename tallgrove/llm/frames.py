@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallgrove.session import ship
 from tallgrove.sources.tables import scratch_path
@@ -30,3 +31,8 @@ def without(df: DataFrame, *names: str) -> DataFrame:
 
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
+
+
+def schema_with(df: DataFrame, **columns: str) -> T.StructType:
+    """The schema of ``df`` and further columns, given by name and type."""
+    return T.StructType([*df.schema.fields, *(T.StructField(n, T.StructType.fromDDL(f'c {k}')['c'].dataType) for n, k in columns.items())])

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallgrove.llm.frames import ascii_lower, ready, stored, without
+from tallgrove.llm.frames import ascii_lower, ready, schema_with, stored, without
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -237,9 +237,9 @@ def drop_repeated(docs: DataFrame, index: LineIndex, inserted: bool = False) ->
             F.col("_lost").isNotNull(), F.transform(split_lines(F.col("text")), lambda x: F.xxhash64(F.lit(1), line_key(x)))
         ),
     )
-    names, schema = base.columns, base.schema
-    for name, kind in zip(OUTPUT, ("long", "long", "string"), strict=True):
-        schema = schema.add(name, kind)
+    names = base.columns
+    schema = schema_with(base, n_lines="long", n_dropped="long", kept_text="string")
+    out = schema.names
 
     def cut(batches):
         for batch in batches:
@@ -259,7 +259,7 @@ def drop_repeated(docs: DataFrame, index: LineIndex, inserted: bool = False) ->
                 kept.append("\n".join(p for p, d in zip(parts, drop.tolist(), strict=True) if not d))
             columns = [batch.column(n) for n in names]
             columns += [pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            yield pa.RecordBatch.from_arrays(columns, names=out)
 
     return coded.mapInArrow(cut, schema)
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallgrove.llm.frames import ready, stored, without
+from tallgrove.llm.frames import ready, schema_with, stored, without
 from tallgrove.llm.words import BASE, SPACED, Words, mix, words
 
 BITS = 10  # of the filter for each entry
@@ -269,7 +269,7 @@ def score(docs: DataFrame, model: Model, weight: float = WEIGHT) -> DataFrame:
     """
     base = without(docs, *OUTPUT)
     total, distinct = model.tokens, model.words
-    names, schema = base.columns, base.schema
+    names = base.columns
     state = base.withColumn("_known", F.lit(0).cast("long")).withColumn("_base", F.lit(0.0)).withColumn(
         "_levels", F.lit(b"").cast("binary")
     )
@@ -328,8 +328,9 @@ def score(docs: DataFrame, model: Model, weight: float = WEIGHT) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, *OUTPUT])
 
-    for name, kind in zip(OUTPUT, ("long", "long", "long", "double", "double")):
-        schema = schema.add(name, kind)
+    schema = schema_with(
+        base, n_tokens="long", n_known="long", train_tokens="long", base_score="double", score="double"
+    )
     return state.mapInArrow(finish, schema)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallgrove.llm import decontamination, embedding_dedup, lines, lm_scoring, mixing, near_dedup, suffix_dedup
+from tallgrove.llm import decontamination, embedding_dedup, language_id, lines, lm_scoring, mixing, near_dedup, suffix_dedup
 from tallgrove.sources.tables import load
 
 
@@ -37,6 +37,13 @@ def op6_lm_scoring(spark: SparkSession, directory: str) -> DataFrame:
     return lm_scoring.score(docs, model).select("doc_id", "held_out", *lm_scoring.OUTPUT)
 
 
+def op7_language_id(spark: SparkSession, directory: str) -> DataFrame:
+    docs = load(spark, directory, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", language_id.held_out(F.col("doc_id")))
+    model = language_id.train(docs.filter("not held_out"))
+    return language_id.identify(docs.drop("lang"), model).select("doc_id", "held_out", *language_id.OUTPUT)
+
+
 def op8_decontamination(spark: SparkSession, directory: str) -> DataFrame:
     docs = load(spark, directory, "documents").select("doc_id", "text")
     found = decontamination.decontaminate(docs, load(spark, directory, "benchmark"))
@@ -53,6 +60,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op5_mixing": op5_mixing,
     "op6_lm_scoring": op6_lm_scoring,
+    "op7_language_id": op7_language_id,
     "op8_decontamination": op8_decontamination,
     "op9_near_dedup": op9_near_dedup,
 }
