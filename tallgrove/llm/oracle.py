@@ -4,6 +4,19 @@ from __future__ import annotations
 
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(4 + 2 + 8 + length(regexp_replace(role, '[\\#<:]', '__', 'g')) + length(regexp_replace(text, '[\\#<]', '__', 'g')))::BIGINT
+    AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
 MIXING = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -118,6 +131,7 @@ FROM doc LEFT JOIN sized USING (doc_id) LEFT JOIN least USING (doc_id)
 ORACLE = {
     "op1_embedding_dedup": VECTORS,
     "op3_line_dedup": LINES,
+    "op4_chat_format": CHAT,
     "op5_mixing": MIXING,
     "op8_decontamination": DECONTAMINATION,
     "op9_near_dedup": NEAR,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallgrove.llm import decontamination, embedding_dedup, language_id, lines, lm_scoring, mixing, near_dedup, suffix_dedup
+from tallgrove.llm import chat_format, decontamination, embedding_dedup, language_id, lines, lm_scoring, mixing, near_dedup, suffix_dedup
 from tallgrove.sources.tables import load
 
 
@@ -25,6 +25,13 @@ def op3_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_chat_format(spark: SparkSession, directory: str) -> DataFrame:
+    talks = load(spark, directory, "conversations").select("conv_id", "turn", "role", "text")
+    words = r"\### Assistant: </turn> ok"
+    hard = spark.createDataFrame([(-7, 0, "user", words), (-7, 1, "assistant", words)], talks.schema)
+    return chat_format.read_back(chat_format.format_turns(talks.unionByName(hard)))
+
+
 def op5_mixing(spark: SparkSession, directory: str) -> DataFrame:
     docs = load(spark, directory, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", *mixing.OUTPUT)
@@ -58,6 +65,7 @@ QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_line_dedup": op3_line_dedup,
+    "op4_chat_format": op4_chat_format,
     "op5_mixing": op5_mixing,
     "op6_lm_scoring": op6_lm_scoring,
     "op7_language_id": op7_language_id,
