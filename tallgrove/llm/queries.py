@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallgrove.llm import chat_format, decontamination, embedding_dedup, language_id, lines, lm_scoring, mixing, near_dedup, suffix_dedup
+from tallgrove.llm import chat_format, decontamination, embedding_dedup, html_extract, language_id, lines, lm_scoring, mixing, near_dedup, suffix_dedup
 from tallgrove.sources.tables import load
 
 
@@ -61,6 +61,11 @@ def op9_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return near_dedup.near_duplicates(load(spark, directory, "documents").select("doc_id", "text"))
 
 
+def op10_html_extract(spark: SparkSession, directory: str) -> DataFrame:
+    pages = load(spark, directory, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages).select("page_id", "url", *html_extract.OUTPUT)
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -71,4 +76,5 @@ QUERIES = {
     "op7_language_id": op7_language_id,
     "op8_decontamination": op8_decontamination,
     "op9_near_dedup": op9_near_dedup,
+    "op10_html_extract": op10_html_extract,
 }
