@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +31,13 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*names)
 
 
+def set_aside(df: DataFrame, names: Iterable[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with its columns of these names renamed, and the function that gives their names back."""
+    taken = {n.lower() for n in names}
+    away = {c: f"_own_{c}" for c in df.columns if c.lower() in taken}
+    return df.withColumnsRenamed(away), lambda out: out.withColumnsRenamed({b: a for a, b in away.items()})
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 

@@ -282,7 +282,7 @@ def held_out(identity: Column, parts: int = 4, part: int = 2) -> Column:
     return F.crc32(F.coalesce(identity.cast("string"), F.lit(""))) % parts == part
 
 
-def reject_unknown(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
+def reject_unknown(docs: DataFrame, least_score: float = 0.3) -> DataFrame:
     """``docs`` whose language is told with at least this score, by a model learned from their own labels."""
     model = train(docs.filter(~held_out(F.col("doc_id"))))
     told = identify(without(docs, *OUTPUT), model)
