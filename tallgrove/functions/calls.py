@@ -16,7 +16,7 @@ STRATIFIED = 1
 
 def partition(df: DataFrame, params: Params | DataFrame | dict, check_ids: bool = True) -> DataFrame:
     """``(id, PARTITION_TYPE)`` as asked by PARTITION_METHOD, STRATIFIED_COLUMN and the percents."""
-    params = Params.read(params)
+    params = Params.read(params, "partition")
     if params.whole("HAS_ID", 1) != 1:
         raise ValueError("a split needs an id column (HAS_ID = 1)")
     stratify = None
@@ -35,13 +35,13 @@ def confusion_matrix(df: DataFrame, params: Params | DataFrame | dict) -> tuple[
     """Matrix and class statistics of ``(id, original label, predicted label)``."""
     _, actual, predicted = df.columns[:3]
     matrix = ev.confusion_matrix(df, actual, predicted)
-    return matrix, ev.class_stats(matrix, Params.read(params).number("BETA", 1.0))
+    return matrix, ev.class_stats(matrix, Params.read(params, "confusion").number("BETA", 1.0))
 
 
 def auc(df: DataFrame, params: Params | DataFrame | dict) -> tuple[DataFrame, DataFrame]:
     """Area and ROC points of ``(id, original label, probability of the positive label)``."""
     _, actual, prob = df.columns[:3]
-    positive = Params.read(params).get("POSITIVE_LABEL")
+    positive = Params.read(params, "auc").get("POSITIVE_LABEL")
     if positive is None:
         raise ValueError("POSITIVE_LABEL is missing")
     return ev.auc(df, actual, prob, positive), ev.roc_curve(df, actual, prob, positive)

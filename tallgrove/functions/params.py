@@ -18,19 +18,19 @@ NAMES = {
     ],
     "forest": [
         "TREES_NUM", "TRY_NUM", "SEED", "SPLIT_THRESHOLD", "CALCULATE_OOB", "NODE_SIZE",
-        "HAS_ID", "DEPENDENT_VARIABLE", "CATEGORICAL_VARIABLE",
+        "HAS_ID", "DEPENDENT_VARIABLE", "CATEGORICAL_VARIABLE", "MAX_TREE_DEPTH", "INPUT_PARTITIONS",
     ],
     "boosted": [
         "FOLD_NUM", "CV_METRIC", "REF_METRIC", "MAX_TREE_DEPTH", "ITER_NUM", "LEARNING_RATE",
         "MIN_SPLIT_LOSS", "RANGE_ITER_NUM", "RANGE_LEARNING_RATE", "RANGE_MIN_SPLIT_LOSS",
-        "ROW_SAMPLE_RATE", "SEED", "HAS_ID", "DEPENDENT_VARIABLE", "CATEGORICAL_VARIABLE",
+        "ROW_SAMPLE_RATE", "SEED", "HAS_ID", "DEPENDENT_VARIABLE", "CATEGORICAL_VARIABLE", "INPUT_PARTITIONS",
     ],
     "tree": [
         "ALGORITHM", "MODEL_FORMAT", "MIN_RECORDS_OF_PARENT", "MIN_RECORDS_OF_LEAF", "SPLIT_THRESHOLD",
         "MIN_RECORDS_OF_PARENT_VALUES", "MIN_RECORDS_OF_LEAF_VALUES", "SPLIT_THRESHOLD_VALUES",
         "IS_OUTPUT_RULES", "IS_OUTPUT_CONFUSION_MATRIX", "CATEGORICAL_VARIABLE", "HAS_ID",
         "DEPENDENT_VARIABLE", "RESAMPLING_METHOD", "EVALUATION_METRIC", "PARAM_SEARCH_STRATEGY",
-        "FOLD_NUM", "SEED",
+        "FOLD_NUM", "SEED", "MAX_TREE_DEPTH", "INPUT_PARTITIONS",
     ],
     "score": ["VERBOSE", "STATE_ID"],
     "state": ["ALGORITHM", "STATE_DESCRIPTION"],
@@ -43,6 +43,13 @@ NAMES = {
 }
 # Accepted everywhere and without effect: Spark schedules and reports by itself.
 INERT = ["THREAD_RATIO", "PROGRESS_INDICATOR_ID"]
+# Accepted by their tasks and without effect: the one format, the one search strategy, a matrix and both
+# metrics that every call reports, and the kind of a model that its rows tell themselves.
+UNREAD = {
+    "tree": ["MODEL_FORMAT", "PARAM_SEARCH_STRATEGY", "IS_OUTPUT_CONFUSION_MATRIX"],
+    "boosted": ["REF_METRIC"],
+    "state": ["ALGORITHM"],
+}
 KNOWN = frozenset(INERT).union(*NAMES.values())
 
 # A parameter table has one row per name; anything longer is not one.
@@ -79,10 +86,16 @@ class Params(dict):
         return cls.from_arrays(*zip(*rows)) if rows else cls()
 
     @classmethod
-    def read(cls, source: Params | DataFrame | dict) -> Params:
+    def read(cls, source: Params | DataFrame | dict, task: str | None = None) -> Params:
+        """Parameters from any form; with a ``task``, a name of another task is an error."""
         if isinstance(source, cls):
-            return source
-        return cls.of(**source) if isinstance(source, dict) else cls.from_df(source)
+            params = source
+        else:
+            params = cls.of(**source) if isinstance(source, dict) else cls.from_df(source)
+        foreign = sorted(set(params) - {*NAMES[task], *INERT}) if task else []
+        if foreign:
+            raise ValueError(f"no parameter of {task}: {', '.join(foreign)}")
+        return params
 
     def number(self, name: str, default: float) -> float:
         value = self.get(name)

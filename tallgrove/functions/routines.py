@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallgrove.functions.params import Params
-from tallgrove.operators.scoring import Model, descent_udf, load_model, score
-from tallgrove.sources.model_rows import Header
+from tallgrove.operators.scoring import Model, load_model, score
 
 
 @dataclass(frozen=True)
@@ -18,25 +17,29 @@ class ModelHandle:
     state_id: str
     description: str
     model: Model
+    session: SparkSession
 
 
-# Models of this driver session by state id; executors hold their broadcasts.
+# Models of this driver by state id; each belongs to the session that loaded it, and executors
+# hold their broadcasts until the state is dropped.
 _states: dict[str, ModelHandle] = {}
 
 
 def load_state(rows: DataFrame, params: Params | DataFrame | dict) -> ModelHandle:
     """Parse a model once and keep it; scoring by its id needs no model rows."""
-    description = Params.read(params).get("STATE_DESCRIPTION") or ""
+    description = Params.read(params, "state").get("STATE_DESCRIPTION") or ""
     model = load_model(rows)
     text = repr((description, model.header, [(t.weight, t.nodes) for t in model.trees]))
-    handle = ModelHandle(hashlib.md5(text.encode()).hexdigest().upper(), description, model)
+    handle = ModelHandle(hashlib.md5(text.encode()).hexdigest().upper(), description, model, rows.sparkSession)
+    if handle.state_id in _states:
+        _states[handle.state_id].model.release()
     _states[handle.state_id] = handle
     return handle
 
 
 def states(spark: SparkSession) -> DataFrame:
     """``(STATE_ID, DESCRIPTION)`` of the models kept in this session."""
-    rows = [(h.state_id, h.description) for h in _states.values()]
+    rows = [(h.state_id, h.description) for h in _states.values() if h.session is spark]
     return spark.createDataFrame(rows, "STATE_ID string, DESCRIPTION string")
 
 
@@ -48,14 +51,15 @@ def find_state(description: str) -> ModelHandle:
 
 
 def drop_state(state_id: str) -> None:
-    _states.pop(state_id)
+    """Forget a model and take its broadcasts back."""
+    _states.pop(state_id).model.release()
 
 
 def score_with_params(
     df: DataFrame, model_rows: DataFrame | None, params: Params | DataFrame | dict, id_column: str, **options
 ) -> DataFrame:
     """Score as a parameter table asks: ``STATE_ID`` takes a kept model, else the rows."""
-    params = Params.read(params)
+    params = Params.read(params, "score")
     state = params.get("STATE_ID")
     if state is not None:
         if state not in _states:
@@ -66,14 +70,6 @@ def score_with_params(
     return score(df, model, id_column, verbose=params.whole("VERBOSE", 0) == 1, **options)
 
 
-def _feature_sql(header: Header) -> str:
-    parts = []
-    for name, known in header.features:
-        kind = "double" if known is None else "string"
-        parts.append(f"'{name}', CAST(`{name}` AS {kind})")
-    return f"named_struct({', '.join(parts)})"
-
-
 def register_scoring_tvf(
     spark: SparkSession,
     name: str,
@@ -85,36 +81,24 @@ def register_scoring_tvf(
 ) -> None:
     """Create ``name()`` or ``name(arg)`` returning (ACCOUNTID, PREDICTION, PRED_CONFIDENCE).
 
-    The function is SQL over a vectorised UDF: Spark inlines it, the argument
-    becomes a filter on the id, and the filter moves below the scoring.
+    The function is SQL over the view of the source's scores, so it is the same scoring as
+    ``score()`` for every model, size and NULL. Spark inlines it, and the argument becomes a
+    filter on the id that moves below the scoring to the scan.
     """
-    if not isinstance(model, Model):
-        model = load_model(model)
-    if len(model.parts) > 1:
-        raise ValueError("the model is too large for a table function; use score()")
-    header, trees = model.header, len(model.trees)
-    spark.udf.register(f"{name}_sums", descent_udf(spark, header, model.trees, vote))
-    id_type = spark.table(source_view).schema[id_column].dataType.simpleString()
-    labels = ", ".join("'" + label.replace("'", "\\'") + "'" for label in header.labels)
-    if header.kind == "boosted":
-        probs = "array(1 - 1 / (1 + exp(-2 * sums.s0)), 1 / (1 + exp(-2 * sums.s0)))"
-    else:
-        probs = "array(" + ", ".join(f"sums.s{i} / {trees}D" for i in range(len(header.labels))) + ")"
-    where = f"WHERE `{id_column}` = {name}.{arg}" if arg else ""
+    scored = scoring_procedure(spark.table(source_view), model, id_column, vote)
+    scored.createOrReplaceTempView(f"{name}_scores")
+    id_type = scored.schema["ACCOUNTID"].dataType.simpleString()
+    where = f"WHERE ACCOUNTID = {name}.{arg}" if arg else ""
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {name}({f'{arg} {id_type}' if arg else ''})
         RETURNS TABLE (ACCOUNTID {id_type}, PREDICTION STRING, PRED_CONFIDENCE DOUBLE)
-        RETURN SELECT id, element_at(array({labels}), CAST(array_position(probs, array_max(probs)) AS INT)),
-                      array_max(probs)
-               FROM (SELECT id, {probs} AS probs
-                     FROM (SELECT `{id_column}` AS id, {name}_sums({_feature_sql(header)}) AS sums
-                           FROM {source_view} {where}))
+        RETURN SELECT ACCOUNTID, PREDICTION, PRED_CONFIDENCE FROM {name}_scores {where}
     """)
 
 
-def scoring_procedure(df: DataFrame, model: Model | DataFrame, id_column: str) -> DataFrame:
+def scoring_procedure(df: DataFrame, model: Model | DataFrame, id_column: str, vote: str = "hard") -> DataFrame:
     """The same result by a plain call: (ACCOUNTID, PREDICTION, PRED_CONFIDENCE)."""
-    scored = score(df, model, id_column)
+    scored = score(df, model, id_column, vote=vote)
     return scored.select(
         F.col(id_column).alias("ACCOUNTID"),
         F.col("SCORE").alias("PREDICTION"),
@@ -123,12 +107,14 @@ def scoring_procedure(df: DataFrame, model: Model | DataFrame, id_column: str) -
 
 
 def register_wrapper(spark: SparkSession, name: str, procedure: DataFrame) -> None:
-    """A table function around the result of a procedure."""
+    """A table function around the result of a procedure, with its types."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in procedure.schema.fields)
+    names = ", ".join(f"`{f.name}`" for f in procedure.schema.fields)
     procedure.createOrReplaceTempView(f"{name}_result")
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {name}()
-        RETURNS TABLE (ACCOUNTID BIGINT, PREDICTION STRING, PRED_CONFIDENCE DOUBLE)
-        RETURN SELECT ACCOUNTID, PREDICTION, PRED_CONFIDENCE FROM {name}_result
+        RETURNS TABLE ({columns})
+        RETURN SELECT {names} FROM {name}_result
     """)
 
 

@@ -59,13 +59,14 @@ def _blocks(df: DataFrame, group: str, time: str, value: str, points: int) -> Da
     """``(group, BLOCK, POINTS)`` with at most ``points`` ordered points per block.
 
     Time counts in whole steps and a series has one row per step, which is
-    checked: two values for one step are an error.
+    checked: two values for one step are an error, and so is a step without a value.
     """
     steps = df.groupBy(group, F.col(time).cast("bigint").alias("t")).agg(
         F.max(F.col(value).cast("double")).alias("y"), F.count(F.lit(1)).alias("_rows")
     )
     twice = F.raise_error(F.concat(F.lit("two values for one step of group "), F.col(group).cast("string")))
-    one = F.when(F.col("_rows") == 1, F.col("y")).otherwise(twice.cast("double"))
+    none = F.raise_error(F.concat(F.lit("NULL value in group "), F.coalesce(F.col(group).cast("string"), F.lit("NULL"))))
+    one = F.when(F.col("_rows") > 1, twice.cast("double")).otherwise(F.coalesce("y", none.cast("double")))
     return (
         steps.withColumn("y", one)
         .groupBy(group, F.floor(F.col("t") / points).alias("BLOCK"))

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tallgrove.sources.model_rows import Header
 from tallgrove.sources.tables import scratch_path, snapshot
 
-# Fixed value: how StringIndexer names the slot of values it has not seen.
-UNSEEN = "__unknown"
+# The slot of values the indexer has not seen; no category can be NULL.
+UNSEEN = None
 
 NODE_SCHEMA = (
     "TREE int, WEIGHT double, NODE int, FEATURE string, THRESHOLD double, CATEGORIES array<string>,"
@@ -84,7 +84,7 @@ def tree_rules(nodes: DataFrame, labels: list[str] | tuple[str, ...]) -> DataFra
     condition = F.when(
         F.col("THRESHOLD").isNotNull(),
         F.concat(F.col("FEATURE"), F.lit(" <= "), F.col("THRESHOLD").cast("string")),
-    ).otherwise(F.concat(F.col("FEATURE"), F.lit(" in {"), F.concat_ws(", ", "CATEGORIES"), F.lit("}")))
+    ).otherwise(F.concat(F.col("FEATURE"), F.lit(" in {"), F.concat_ws(", ", F.transform("CATEGORIES", lambda c: F.coalesce(c, F.lit("any other")))), F.lit("}")))
     nodes = snapshot(nodes.select("TREE", "NODE", "LEFT", "RIGHT", "COUNTS", condition.alias("TEST")), label="rules")
     frontier = nodes.filter("NODE = 0").select("*", F.array().cast("array<string>").alias("PATH"))
     leaves = frontier.filter("LEFT < 0")
@@ -100,7 +100,7 @@ def tree_rules(nodes: DataFrame, labels: list[str] | tuple[str, ...]) -> DataFra
                 ),
             )),
         )
-        grown = nodes.join(steps, ["TREE", "NODE"])
+        grown = snapshot(nodes.join(steps, ["TREE", "NODE"]), label="rules")  # no level computes those above again
         leaves = leaves.unionByName(grown.filter("LEFT < 0"))
         frontier = grown.filter("LEFT >= 0")
     names = F.array(*[F.lit(label) for label in labels])

@@ -73,26 +73,24 @@ def running_totals(
 
     ``df`` has one row per ``(*by, order)``. Adds ``<sum>_before`` per column of
     ``sums``, ``<sum>_all`` for the group total, and ``position`` (1 = largest).
-    Above ``rows_per_bucket`` rows the value range is cut at measured quantiles,
-    so every window task holds about that many rows whatever the distribution.
+    NaN counts as the largest value and NULL as the smallest. The value range is cut
+    at measured quantiles into pieces of about ``rows_per_bucket`` rows, so every
+    window task holds about that many whatever the distribution; a small relation is
+    one piece of the same plan.
     """
     stored, rows = counted_snapshot(df, label="running-totals")
-    pieces = -(-rows // rows_per_bucket)
-    if pieces <= 1:
-        above = Window.partitionBy(*by).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
-        return stored.select(
-            *by, order, *sums,
-            *[F.coalesce(F.sum(m).over(above), F.lit(0)).alias(f"{m}_before") for m in sums],
-            *[F.sum(m).over(Window.partitionBy(*by)).alias(f"{m}_all") for m in sums],
-            F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(order))).cast("bigint").alias("position"),
-        )
-    measures = [*sums, "_one"]
+    pieces = max(1, -(-rows // rows_per_bucket))
     shares = [i / pieces for i in range(1, pieces)]
-    bounds = sorted(set(stored.approxQuantile(order, shares, 1 / (4 * pieces))))
-    splits = [float("-inf"), *bounds, float("inf")]
-    cut = Bucketizer(splits=splits, inputCol=order, outputCol="_piece").transform(
-        stored.withColumn("_one", F.lit(1).cast("bigint"))
-    )
+    bounds = sorted(set(stored.approxQuantile(order, shares, 1 / (4 * pieces)))) if shares else []
+    # Cutting needs numbers that compare; inside a piece Spark's own order applies.
+    place = F.coalesce(F.when(F.isnan(order), float("inf")).otherwise(F.col(order)), F.lit(float("-inf")))
+    cut = stored.withColumn("_one", F.lit(1).cast("bigint")).withColumn("_place", place)
+    if bounds:
+        splits = [float("-inf"), *bounds, float("inf")]
+        cut = Bucketizer(splits=splits, inputCol="_place", outputCol="_piece").transform(cut)
+    else:
+        cut = cut.withColumn("_piece", F.lit(0.0))
+    measures = [*sums, "_one"]
 
     keys = [*by, "_piece"]
     totals = cut.groupBy(*keys).agg(*[F.sum(m).alias(f"{m}_sum") for m in measures])

@@ -10,18 +10,16 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallgrove.functions.params import Params
-from tallgrove.operators.nodes import export_nodes
-from tallgrove.operators.scoring import Descent, Model, feature_struct
-from tallgrove.operators.training import Prepared, TrainResult, finish, forest_estimator
+from tallgrove.operators.nodes import NODE_SCHEMA, export_nodes
+from tallgrove.operators.scoring import Descent, Model, feature_value, trees_of
+from tallgrove.operators.training import Prepared, TrainResult, finish, forest_estimator, tell_depth
 
 MAX_DRAWS = 12  # P(Poisson(1) > 12) is below 1e-10
 PARALLEL_FITS = 8  # a single fit waits for the driver between its many small jobs
@@ -47,18 +45,22 @@ def train_with_bags(prepared: Prepared, params: Params, max_depth: int) -> Train
     seed, trees = params.whole("SEED", 0), params.whole("TREES_NUM", 100)
     header = prepared.header("forest")
 
-    def fit(t: int) -> tuple[np.ndarray, DataFrame]:
+    def fit(t: int) -> tuple[np.ndarray, list[Row]]:
         rows = prepared.rows.withColumn("_w", bag_weight(id_column, seed, t)).filter("_w > 0")
         estimator = forest_estimator(
             prepared, params, max_depth, numTrees=1, bootstrap=False, seed=seed + t, weightCol="_w"
         )
         model = estimator.fit(rows)
-        nodes = export_nodes(model, header, spark).withColumn("TREE", F.lit(t))
-        return model.featureImportances.toArray(), nodes.withColumn("WEIGHT", F.lit(1.0))
+        # A forest of one tree numbers it 0.
+        nodes = export_nodes(model, header, spark).withColumn("TREE", F.lit(t)).withColumn("WEIGHT", F.lit(1.0))
+        return model.featureImportances.toArray(), nodes.collect()  # the nodes of one tree
 
     with ThreadPoolExecutor(PARALLEL_FITS) as pool:
         fitted = list(pool.map(fit, range(trees)))
-    nodes = reduce(DataFrame.unionByName, [n for _, n in fitted])
+    rows = [node for _, tree in fitted for node in tree]
+    tell_depth([tree.depth for tree in trees_of(rows)], max_depth)
+    columns = [field.split()[0] for field in NODE_SCHEMA.split(", ")]
+    nodes = spark.createDataFrame([tuple(node[c] for c in columns) for node in rows], NODE_SCHEMA)
     mean = np.mean([i for i, _ in fitted], axis=0)
     mean = mean / mean.sum() if mean.sum() else mean
     importance = spark.createDataFrame(
@@ -73,34 +75,34 @@ def train_with_bags(prepared: Prepared, params: Params, max_depth: int) -> Train
 def oob_error(df: DataFrame, model: Model, id_column: str, label: str, seed: int) -> DataFrame:
     """``(TREE_INDEX, OOB_ERROR)``: error up to each tree among rows outside some bag.
 
-    One pass gives each row a mark per tree (not counted, right, wrong). The
-    marks are added per task before the shuffle, which carries one row per tree.
+    One pass descends all trees per batch and adds the batch's marks (right, wrong) up
+    before anything is shuffled: a batch gives one row per tree.
     """
     header, trees = model.header, model.trees
     shared = df.sparkSession.sparkContext.broadcast(Descent(header, trees, "hard"))
+    outside = F.array(*[bag_weight(id_column, seed, t) == 0 for t in range(len(trees))])
+    inputs = df.select(
+        *[feature_value(header, name).alias(name) for name, _ in header.features],
+        F.col(label).cast("string").alias("_truth"), outside.alias("_outside"),
+    )
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def marks(batches: Iterator[tuple[pd.DataFrame, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         descent = shared.value
         names = np.array(header.labels, dtype=object)
-        for rows, truth, outside in batches:
-            x = descent.matrix(rows)
-            out = np.stack(outside.to_numpy()) if len(outside) else np.zeros((0, len(descent.roots)))
+        for rows in batches:
+            if rows.empty:
+                continue
+            x, truth, out = descent.matrix(rows), rows["_truth"].to_numpy(), np.stack(rows["_outside"].to_numpy())
             votes = np.zeros((len(x), len(names)))
             seen = np.zeros(len(x), dtype=bool)
-            result = np.zeros((len(x), len(descent.roots)), dtype=np.int32)
+            wrong, counted = [], []
             for t, root in enumerate(descent.roots):
                 here = out[:, t].astype(bool)
                 votes[here] += descent.payload[descent.leaves(x[here], root)]
                 seen |= here
-                wrong = names[votes.argmax(axis=1)] != truth.to_numpy()
-                result[:, t] = np.where(seen, np.where(wrong, 2, 1), 0)
-            yield pd.Series(list(result))
+                wrong.append(int((seen & (names[votes.argmax(axis=1)] != truth)).sum()))
+                counted.append(int(seen.sum()))
+            yield pd.DataFrame({"TREE_INDEX": range(len(wrong)), "WRONG": wrong, "COUNTED": counted})
 
-    outside = F.array(*[bag_weight(id_column, seed, t) == 0 for t in range(len(trees))])
-    marked = df.select(
-        marks(feature_struct(header, source=df), F.col(label).cast("string"), outside).alias("m")
-    ).select(F.posexplode("m").alias("TREE_INDEX", "mark"))
-    return marked.groupBy("TREE_INDEX").agg(
-        F.try_divide(F.count_if(F.col("mark") == 2), F.count_if(F.col("mark") > 0)).alias("OOB_ERROR")
-    )
+    marks = inputs.mapInPandas(count, "TREE_INDEX int, WRONG long, COUNTED long")
+    return marks.groupBy("TREE_INDEX").agg(F.try_divide(F.sum("WRONG"), F.sum("COUNTED")).alias("OOB_ERROR"))

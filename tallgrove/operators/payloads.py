@@ -52,14 +52,13 @@ def centroid_model(df: DataFrame, label: str, values: str, name: str) -> DataFra
 
 def check_models(requested: DataFrame, catalogue: DataFrame) -> DataFrame:
     """``(MODEL_NAME, Code, Longtext)`` for every requested name."""
-    available = F.col("AVAILABLE")
-
     def answer(i: int):
         return (
-            F.when(available.isNull(), UNKNOWN[i]).when(available, AVAILABLE[i]).otherwise(UNAVAILABLE[i])
+            F.when(F.col("_listed").isNull(), UNKNOWN[i]).when(F.col("AVAILABLE"), AVAILABLE[i]).otherwise(UNAVAILABLE[i])
         )
 
-    return requested.join(catalogue, "MODEL_NAME", "left").select(
+    listed = catalogue.withColumn("_listed", F.lit(True))
+    return requested.join(listed, "MODEL_NAME", "left").select(
         "MODEL_NAME", answer(0).alias("Code"), answer(1).alias("Longtext")
     )
 
@@ -81,7 +80,7 @@ def classify_payloads(df: DataFrame, id_column: str, payload: str, model: DataFr
     def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         labels, centres = shared.value
         for payloads in batches:
-            data = np.stack([np.frombuffer(p, dtype="<f4") for p in payloads]).astype(float)
+            data = np.frombuffer(b"".join(payloads), dtype="<f4").reshape(len(payloads), -1).astype(float)
             best = np.full(len(data), np.inf)
             found = np.zeros(len(data), dtype=int)
             for i, centre in enumerate(centres):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
+from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +11,6 @@ from tallgrove.operators.ordering import exact_cuts, shuffle_key
 from tallgrove.sources.tables import bounded, matching
 
 TRAIN, TEST, VALIDATE = 1, 2, 3
-SCALE = 1_000_000  # shares are whole millionths, so quotas are exact integers
 
 
 def require_unique(df: DataFrame, id_column: str) -> None:
@@ -21,6 +20,21 @@ def require_unique(df: DataFrame, id_column: str) -> None:
         raise ValueError(f"duplicate id in {id_column}: {twice[0][0]}")
 
 
+def exact_share(share: float | str | Fraction) -> Fraction:
+    """A share as the fraction that was meant: floats by their shortest decimals, unless 1/3 and the like fit better."""
+    if isinstance(share, Fraction):
+        return share
+    exact = Fraction(str(share))
+    simple = exact.limit_denominator(1000)
+    return simple if abs(simple - exact) < Fraction(1, 10**12) else exact
+
+
+def rounded_part(share: Fraction) -> str:
+    """SQL for ``floor(TOTAL * share + 0.5)`` in whole numbers of up to 38 digits."""
+    twice = 2 * share.denominator
+    return f"((cast(TOTAL as decimal(18,0)) * {2 * share.numerator}BD + {share.denominator}BD) div {twice}BD)"
+
+
 def _assign(
     df: DataFrame,
     id_column: str,
@@ -58,7 +72,7 @@ def stratified_partition(
     df: DataFrame,
     id_column: str,
     stratify: str | None,
-    shares: tuple[float, float, float] = (0.6, 0.2, 0.2),
+    shares: tuple[float | Fraction, ...] = (0.6, 0.2, 0.2),
     seed: int = 23,
     check_ids: bool = True,
     keep_columns: bool = False,
@@ -71,13 +85,12 @@ def stratified_partition(
     need no check. ``keep_columns`` adds the part to the rows of ``df`` instead,
     which saves the join that brings assignment and rows together.
     """
-    parts = [Decimal(str(s)) for s in shares]
+    parts = [exact_share(s) for s in shares]
     if any(p < 0 for p in parts) or sum(parts) > 1:
         raise ValueError("shares must be non-negative and add up to at most 1")
     if check_ids:
         require_unique(df, id_column)
-    upto = [int(sum(parts[: i + 1]) * SCALE) for i in range(3)]
-    quotas = [f"(TOTAL * {u} + {SCALE // 2}) div {SCALE}" for u in upto]
+    quotas = [rounded_part(sum(parts[: i + 1], Fraction(0))) for i in range(3)]
     keep = [c for c in df.columns if c != id_column] if keep_columns else []
     return _assign(df, id_column, stratify, seed, quotas, "PARTITION_TYPE", keep)
 

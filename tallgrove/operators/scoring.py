@@ -3,15 +3,19 @@
 Scoring is a map: the model travels to the data. A model of a few dozen nodes
 becomes a JVM expression; a larger one is broadcast and descended by a
 vectorised pandas UDF inside a ``select``, so that filters on the id still reach
-the scan. A model beyond the broadcast bound is scored group of trees by group
-of trees, and the partial votes are added up per id.
+the scan. A model beyond the broadcast bound travels as several groups of trees;
+their sums are columns of the same ``select`` and are added per row. Rows need no
+key and none is moved, whatever the model's size.
+
+A NULL in a number that the model lists is an error for every engine, whether or
+not a tree looks at it, unless ``fill`` is given.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import add
 
@@ -23,7 +27,6 @@ from pyspark.sql import types as T
 
 from tallgrove.operators.nodes import UNSEEN
 from tallgrove.sources.model_rows import HEADER, Header, decode
-from tallgrove.sources.tables import scratch_path
 
 EXPRESSION_NODES = 64  # Spark copies expressions when it moves filters, so only small models
 BROADCAST_CHARS = 64_000_000  # text size of the trees that travel at once
@@ -41,6 +44,13 @@ class Tree:
         raw = json.loads(text)
         return cls(raw["WEIGHT"], {n["NODE"]: n for n in raw["NODES"]})
 
+    @property
+    def depth(self) -> int:
+        level, here = 0, [0]
+        while here := [c for n in here if not self.is_leaf(n) for c in (self.nodes[n]["LEFT"], self.nodes[n]["RIGHT"])]:
+            level += 1
+        return level
+
     def is_leaf(self, node: int) -> bool:
         return self.nodes[node].get("LEFT", -1) < 0
 
@@ -68,12 +78,35 @@ class Model:
 
     header: Header
     parts: list[list[Tree]]
+    _shared: dict = field(default_factory=dict, repr=False, compare=False)
+
+    def shared(self, spark: SparkSession, part: int, vote: str):
+        """The broadcast descent of one group of trees; sent once per application and vote."""
+        key = (spark.sparkContext.applicationId, part, vote)
+        if key not in self._shared:
+            self._shared[key] = spark.sparkContext.broadcast(Descent(self.header, self.parts[part], vote))
+        return self._shared[key]
+
+    def release(self) -> None:
+        """Take back what was broadcast; a later scoring sends it anew."""
+        for sent in self._shared.values():
+            sent.destroy()
+        self._shared.clear()
 
     @property
     def trees(self) -> list[Tree]:
         return [tree for part in self.parts for tree in part]
 
 
+def trees_of(rows: list) -> list[Tree]:
+    """Trees from collected node rows, in the order of their numbers."""
+    trees: dict[int, Tree] = {}
+    for row in rows:
+        node = {k: v for k, v in row.asDict(recursive=True).items() if v is not None}
+        trees.setdefault(row["TREE"], Tree(row["WEIGHT"], {})).nodes[row["NODE"]] = node
+    return [trees[number] for number in sorted(trees)]
+
+
 def load_model(rows: DataFrame, broadcast_chars: int = BROADCAST_CHARS) -> Model:
     """Parse model rows. The training driver held this model, so it fits here."""
     header, parts, size = None, [[]], 0
@@ -209,7 +242,7 @@ def walk_expression(header: Header, tree: Tree, leaf, fill: float | None = None,
     if known is None:
         go_left = value <= here["THRESHOLD"]
     else:
-        go_left = F.coalesce(value.isin(*[c for c in here["CATEGORIES"] if c != UNSEEN]), F.lit(False))
+        go_left = F.coalesce(value.isin(*[c for c in here["CATEGORIES"] if c is not UNSEEN]), F.lit(False))
         if UNSEEN in here["CATEGORIES"]:
             go_left = go_left | value.isNull() | ~value.isin(*known)
     return F.when(go_left, walk_expression(header, tree, leaf, fill, here["LEFT"])).otherwise(
@@ -225,7 +258,18 @@ def _expression_sums(header: Header, trees: list[Tree], vote: str, fill: float |
             header, tree, lambda node: F.lit(float(_payload(header, tree, tree.nodes[node], vote)[i])), fill
         )
 
-    return F.struct(*[reduce(add, [slot(tree, i) for tree in trees]).alias(f"s{i}") for i in range(slots(header))])
+    sums = F.struct(*[reduce(add, [slot(tree, i) for tree in trees]).alias(f"s{i}") for i in range(slots(header))])
+    numbers = [name for name, known in header.features if known is None]
+    if fill is not None or not numbers:
+        return sums
+    # The whole list is looked at, as the arrays do: which branch a row takes must not decide.
+    absent = F.coalesce(*[F.when(F.col(n).cast("double").isNull(), F.lit(n)) for n in numbers])
+    stop = F.raise_error(F.concat(F.lit("NULL in feature "), absent))
+    return F.when(absent.isNull(), sums).otherwise(stop.cast(_sums_type(header)))
+
+
+def _sums_type(header: Header) -> T.StructType:
+    return T.StructType([T.StructField(f"s{i}", T.DoubleType()) for i in range(slots(header))])
 
 
 def slots(header: Header) -> int:
@@ -233,12 +277,11 @@ def slots(header: Header) -> int:
     return 1 if header.kind == "boosted" else len(header.labels)
 
 
-def descent_udf(spark: SparkSession, header: Header, trees: list[Tree], vote: str = "hard"):
-    """A pandas UDF from the feature struct to the row's sums ``s0, s1, ...``."""
-    shared = spark.sparkContext.broadcast(Descent(header, trees, vote))
+def descent_udf(shared, header: Header):
+    """A pandas UDF from the feature struct to the row's sums ``s0, s1, ...``, by a broadcast descent."""
     names = [f"s{i}" for i in range(slots(header))]
 
-    @F.pandas_udf(T.StructType([T.StructField(name, T.DoubleType()) for name in names]))
+    @F.pandas_udf(_sums_type(header))
     def descend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         descent = shared.value
         for rows in batches:
@@ -247,17 +290,16 @@ def descent_udf(spark: SparkSession, header: Header, trees: list[Tree], vote: st
     return descend
 
 
-def part_sums(
-    df: DataFrame, header: Header, trees: list[Tree], vote: str, fill: float | None, engine: str = "auto"
-) -> Column:
-    """The sums column for trees small enough to travel at once."""
+def part_sums(df: DataFrame, model: Model, part: int, vote: str, fill: float | None, engine: str = "auto") -> Column:
+    """The sums column of one group of trees."""
+    header, trees = model.header, model.parts[part]
     if engine == "auto":
         size = sum(len(tree.reachable()) for tree in trees)
-        engine = "expression" if size <= EXPRESSION_NODES else "arrays"
+        engine = "expression" if size <= EXPRESSION_NODES and len(model.parts) == 1 else "arrays"
     inputs = feature_struct(header, fill, df)
     if engine == "expression":
         return _expression_sums(header, trees, vote, fill)
-    return descent_udf(df.sparkSession, header, trees, vote)(inputs)
+    return descent_udf(model.shared(df.sparkSession, part, vote), header)(inputs)
 
 
 def probabilities(header: Header, sums: Column, trees: int) -> Column:
@@ -286,25 +328,15 @@ def row_probabilities(
     fill: float | None = None,
     engine: str = "auto",
 ) -> DataFrame:
-    """``(*keep, PROBS)``. With several tree groups ``keep[0]`` must be unique."""
-    trees = len(model.trees)
-    if len(model.parts) == 1:
-        sums = part_sums(df, model.header, model.parts[0], vote, fill, engine)
-        return df.select(*keep, sums.alias("_sums")).select(
-            *keep, probabilities(model.header, F.col("_sums"), trees).alias("PROBS")
-        )
-    path = scratch_path(df.sparkSession, "votes")
-    width = slots(model.header)
-    for number, part in enumerate(model.parts):
-        sums = part_sums(df, model.header, part, vote, fill, engine)
-        partial = df.select(*keep, sums.alias("_s"))
-        partial.select(*keep, *[F.col("_s")[f"s{i}"].alias(f"_s{i}") for i in range(width)]).write.parquet(
-            f"{path}/part={number}"
-        )
-    votes = df.sparkSession.read.parquet(path)
-    added = votes.groupBy(*keep).agg(*[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(width)])
-    sums = F.struct(*[F.col(f"_s{i}").alias(f"s{i}") for i in range(width)])
-    return added.select(*keep, probabilities(model.header, sums, trees).alias("PROBS"))
+    """``(*keep, PROBS)`` of every row, in one ``select``."""
+    parts = range(len(model.parts))
+    sums = df.select(*keep, *[part_sums(df, model, p, vote, fill, engine).alias(f"_sums{p}") for p in parts])
+    total = F.struct(*[
+        reduce(add, [F.col(f"_sums{p}")[f"s{i}"] for p in parts]).alias(f"s{i}") for i in range(slots(model.header))
+    ])
+    return sums.select(*keep, total.alias("_total")).select(
+        *keep, probabilities(model.header, F.col("_total"), len(model.trees)).alias("PROBS")
+    )
 
 
 def score(

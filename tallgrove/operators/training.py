@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
@@ -20,6 +21,10 @@ from tallgrove.sources.tables import snapshot
 
 MAX_CATEGORIES = 4096  # a split search over more values is not meaningful
 MIN_BINS = 32
+DEEPEST = 30  # what the library can grow; MAX_TREE_DEPTH sets less
+LEAST_PARTITIONS, ROWS_PER_PARTITION = 8, 100_000  # INPUT_PARTITIONS sets the number itself
+
+_log = logging.getLogger(__name__)
 
 
 @dataclass
@@ -70,8 +75,10 @@ def prepare(
     """Index labels and categories alphabetically and assemble the feature vector.
 
     Rows without a label are left out. Spark's tree fits depend on the layout
-    of their input, so rows are placed and ordered by id in as many partitions
-    as the session shuffles into. ``extra`` columns are carried along.
+    of their input, so rows are placed and ordered by id, or by a hash of all columns
+    where there is none, in ``INPUT_PARTITIONS`` partitions; without the parameter
+    their number follows from the number of rows, never from the session.
+    ``extra`` columns are carried along.
     """
     roles = resolve_roles(df.drop(*extra), params)
     labelled = df.filter(F.col(roles.label).isNotNull()).select(
@@ -81,8 +88,8 @@ def prepare(
         *[F.col(c).cast("string").alias(c) for c in roles.categorical],
         *[F.col(c).cast("double").alias(c) for c in roles.numeric],
     )
-    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = roles.id or "_label"
+    count = params.whole("INPUT_PARTITIONS", 0) or max(LEAST_PARTITIONS, -(-labelled.count() // ROWS_PER_PARTITION))
+    order = F.col(roles.id) if roles.id else F.xxhash64(*labelled.columns)
     placed = labelled.repartition(count, order).sortWithinPartitions(order)
     placed = placed.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -146,10 +153,22 @@ def finish(
 
 def training_matrix(df: DataFrame, result: TrainResult, label: str) -> DataFrame:
     """Confusion matrix of the model on the rows it was trained on."""
-    scored = score(df.withColumn("_truth", F.col(label).cast("string")), result.model, "_truth")
+    scored = score(df.withColumn("_truth", F.col(label).cast("string")), result.model, "_truth")  # no key is needed
     return confusion_matrix(scored, "_truth", "SCORE")
 
 
+def depth_of(params: Params, max_depth: int | None, default: int = DEEPEST) -> int:
+    """The depth a call may grow to: its argument, else MAX_TREE_DEPTH, else the deepest possible."""
+    return min(DEEPEST, params.whole("MAX_TREE_DEPTH", default) if max_depth is None else max_depth)
+
+
+def tell_depth(depths: list[int], limit: int) -> None:
+    """Say so if trees would have grown beyond the limit."""
+    stopped = sum(depth >= limit for depth in depths)
+    if stopped:
+        _log.warning("%d of %d trees reached the depth limit of %d", stopped, len(depths), limit)
+
+
 def forest_estimator(prepared: Prepared, params: Params, max_depth: int, **more) -> RandomForestClassifier:
     tried = min(params.whole("TRY_NUM", 0) or len(prepared.roles.features), len(prepared.roles.features))
     settings = dict(
@@ -164,11 +183,12 @@ def forest_estimator(prepared: Prepared, params: Params, max_depth: int, **more)
     return RandomForestClassifier(**{**settings, **more})
 
 
-def train_forest(df: DataFrame, params, max_depth: int = 10) -> TrainResult:
+def train_forest(df: DataFrame, params, max_depth: int | None = None) -> TrainResult:
     """Random forest: model rows, importance, training matrix and, if asked, OOB error."""
     from tallgrove.operators.out_of_bag import train_with_bags
 
-    params = Params.read(params)
+    params = Params.read(params, "forest")
+    max_depth = depth_of(params, max_depth)
     prepared = prepare(df, params)
     try:
         if params.whole("CALCULATE_OOB", 0) == 1:
@@ -176,6 +196,7 @@ def train_forest(df: DataFrame, params, max_depth: int = 10) -> TrainResult:
         spark = df.sparkSession
         header = prepared.header("forest")
         model = forest_estimator(prepared, params, max_depth).fit(prepared.rows)
+        tell_depth([tree.depth for tree in model.trees], max_depth)
         nodes = export_nodes(model, header, spark).withColumn("WEIGHT", F.lit(1.0))
         return finish(prepared, header, nodes, _importance(model, header, spark, "COLUMN_NAME"))
     finally:
@@ -201,7 +222,7 @@ def train_boosted(df: DataFrame, params) -> TrainResult:
     """Boosted trees for two classes; ``RANGE_*`` parameters start a search first."""
     from tallgrove.operators.tuning import needs_folds, prepare_with_folds, search
 
-    params = Params.read(params)
+    params = Params.read(params, "boosted")
     searching = needs_folds(params)
     prepared = prepare_with_folds(df, params) if searching else prepare(df, params)
     try:
@@ -234,11 +255,12 @@ def tree_estimator(prepared: Prepared, params: Params, max_depth: int, **more) -
     return DecisionTreeClassifier(**{**settings, **more})
 
 
-def train_tree(df: DataFrame, params, max_depth: int = 10) -> TrainResult:
+def train_tree(df: DataFrame, params, max_depth: int | None = None) -> TrainResult:
     """CART: model rows, rules, training matrix, and statistics of a CV or grid search."""
     from tallgrove.operators.tuning import needs_folds, prepare_with_folds, search
 
-    params = Params.read(params)
+    params = Params.read(params, "tree")
+    max_depth = depth_of(params, max_depth)
     searching = needs_folds(params)
     prepared = prepare_with_folds(df, params) if searching else prepare(df, params)
     try:
@@ -251,6 +273,7 @@ def train_tree(df: DataFrame, params, max_depth: int = 10) -> TrainResult:
                     "statistics": found.statistics()}
         header = prepared.header("tree")
         model = tree_estimator(prepared, chosen, max_depth).fit(prepared.rows)
+        tell_depth([model.depth], max_depth)
         nodes = prune(export_nodes(model, header, spark), chosen.whole("MIN_RECORDS_OF_PARENT", 0))
         if params.whole("IS_OUTPUT_RULES", 0) == 1:
             more["rules"] = tree_rules(nodes, header.labels).drop("TREE")

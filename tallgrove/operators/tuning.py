@@ -19,7 +19,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallgrove.functions.params import Params, parse_range, parse_values, typed_row
 from tallgrove.functions.roles import resolve_roles
@@ -27,9 +26,9 @@ from tallgrove.operators.evaluation import area
 from tallgrove.operators.nodes import export_nodes
 from tallgrove.operators.ordering import running_totals
 from tallgrove.operators.sampling import stratified_folds
-from tallgrove.operators.scoring import Descent, Tree, feature_struct, load_model
-from tallgrove.operators.training import Prepared, boosted_estimator, prepare, tree_estimator
-from tallgrove.sources.model_rows import Header, encode
+from tallgrove.operators.scoring import Descent, Tree, feature_value, trees_of
+from tallgrove.operators.training import DEEPEST, Prepared, boosted_estimator, prepare, tree_estimator
+from tallgrove.sources.model_rows import Header
 from tallgrove.sources.tables import scratch_path, snapshot
 
 PARALLEL_FITS = 8  # a single fit waits for the driver between its many small jobs
@@ -146,32 +145,35 @@ KINDS = {"tree": _Tree, "boosted": _Boosted}
 
 
 def candidate_counts(
-    rows: DataFrame, header: Header, trees: list[Tree], kind: str, variants: list[dict], ids: list[int]
+    rows: DataFrame, header: Header, shared, kind: str, ids: list[int]
 ) -> DataFrame:
     """``(CANDIDATE, SCORE, POSITIVE, WRONG, ROWS)``: all variants of one fit in one pass.
 
-    ``rows`` has the features and ``label``, the index of the true class.
+    ``rows`` has the features and ``label``, the index of the true class; ``shared`` is the
+    broadcast (header, trees, variants). Batches are counted before the shuffle.
     """
-    shared = rows.sparkSession.sparkContext.broadcast((header, trees, variants))
     build = KINDS[kind].answers
+    keys = ["CANDIDATE", "SCORE", "POSITIVE", "WRONG"]
+    inputs = rows.select("label", *[feature_value(header, name).alias(name) for name, _ in header.features])
 
-    @F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         probabilities = build(*shared.value)
         for batch in batches:
-            yield pd.Series([p.tolist() for p in probabilities(batch)])
-
-    numbers = F.array(*[F.lit(i) for i in ids])
-    answered = rows.select("label", F.posexplode(ask(feature_struct(header))).alias("v", "probs"))
-    guess = F.array_position("probs", F.array_max("probs")) - 1
-    # With more than two classes there is no area; one score then suffices.
-    value = F.col("probs")[1] if len(header.labels) == 2 else F.lit(0.0)
-    return answered.groupBy(
-        F.element_at(numbers, F.col("v") + 1).alias("CANDIDATE"),
-        value.alias("SCORE"),
-        (F.col("label") == 1).alias("POSITIVE"),
-        (guess != F.col("label")).alias("WRONG"),
-    ).agg(F.count(F.lit(1)).alias("ROWS"))
+            if batch.empty:
+                continue
+            found = np.asarray(probabilities(batch))
+            truth = batch["label"].to_numpy()[:, None]
+            # With more than two classes there is no area; one score then suffices.
+            value = found[:, :, 1] if found.shape[2] == 2 else np.zeros(found.shape[:2])
+            yield pd.DataFrame({
+                "CANDIDATE": np.tile(np.array(ids), len(batch)),
+                "SCORE": value.ravel(),
+                "POSITIVE": np.repeat(truth[:, 0] == 1, len(ids)),
+                "WRONG": (found.argmax(axis=2) != truth).ravel(),
+            }).groupby(keys, as_index=False).size().rename(columns={"size": "ROWS"})
+
+    counted = inputs.mapInPandas(count, "CANDIDATE int, SCORE double, POSITIVE boolean, WRONG boolean, ROWS long")
+    return counted.groupBy(*keys).agg(F.sum("ROWS").alias("ROWS"))
 
 
 def candidate_metrics(counts: DataFrame, by: list[str], classes: int = 2) -> DataFrame:
@@ -189,7 +191,7 @@ def candidate_metrics(counts: DataFrame, by: list[str], classes: int = 2) -> Dat
     return errors.join(areas, by).select(*by, "ERROR_RATE", F.col("STAT_VALUE").alias("AUC"))
 
 
-def search(prepared: Prepared, params: Params, kind: str, max_depth: int = 10) -> SearchResult:
+def search(prepared: Prepared, params: Params, kind: str, max_depth: int = DEEPEST) -> SearchResult:
     """Try every candidate on every fold and pick the best mean of the chosen metric.
 
     ``CV_METRIC`` (or ``EVALUATION_METRIC``) selects: AUC is maximised, ERROR_RATE
@@ -216,12 +218,14 @@ def search(prepared: Prepared, params: Params, kind: str, max_depth: int = 10) -
         fixed = {n: v for n, v in zip(way.fit_names, values) if v is not None}
         estimator = way.estimator(prepared, params, grid, fixed, max_depth)
         model = estimator.fit(prepared.rows.filter(F.col(FOLD) != fold))
-        trees = load_model(encode(header, export_nodes(model, header, spark))).trees
+        trees = trees_of(export_nodes(model, header, spark).collect())  # one fit's nodes
         mine = [i for i, c in enumerate(candidates) if all(c[n] == v for n, v in zip(way.fit_names, values))]
         held_out = prepared.rows.filter(F.col(FOLD) == fold)
-        counts = candidate_counts(held_out, header, trees, kind, [candidates[i] for i in mine], mine)
+        shared = spark.sparkContext.broadcast((header, trees, [candidates[i] for i in mine]))
+        counts = candidate_counts(held_out, header, shared, kind, mine)
         # Own folder per fit: fits run side by side and must not share a commit.
         counts.withColumn(FOLD, F.lit(fold)).write.parquet(f"{path}/fit={number}")
+        shared.destroy()
 
     with ThreadPoolExecutor(PARALLEL_FITS) as pool:
         list(pool.map(run, enumerate(product(range(folds), fixed_values))))

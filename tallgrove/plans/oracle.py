@@ -453,6 +453,32 @@ SELECT DISTINCT 'SOURCE_' || source, '2', 'model is not registered' FROM documen
         "payload_classify": NEAREST.format(label="label"),
         "payload_parity": NEAREST.format(label="label % 2"),
     }
+    queries["score_grouped"] = f"{new_scores} UNION ALL SELECT {CHURN_COLUMNS} FROM scored"
+    queries["score_bucketed"] = new_scores
+    queries["procedure_score"] = queries["tvf_score"]
+    queries["routine_columns"] = """SELECT DISTINCT c_mktsegment, true AS "HAS_ACCOUNTID", true AS "HAS_PREDICTION",
+true AS "HAS_PRED_CONFIDENCE" FROM customer"""
+    queries["scripted_block"] = f"""{SCORED} SELECT AccountID, CONFIDENCE FROM scored WHERE SCORE = (
+SELECT SCORE FROM scored GROUP BY 1 ORDER BY count(*) DESC, SCORE DESC LIMIT 1)"""
+    queries["empty_copy"] = f"""WITH {NEWABT} SELECT ServiceName, count(*) AS NCOUNT, 0::BIGINT AS NBEFORE, true AS DROPPED
+FROM newabt WHERE ServiceType = 'BUILDING' GROUP BY 1"""
+    queries["account_in_list"] = f"""{new_scores} WHERE AccountID = 7
+OR AccountID = (SELECT min(o_custkey) FROM orders) OR AccountID = (SELECT max(o_custkey) FROM orders)"""
+    queries["score_positions"] = f"""{SCORED} SELECT AccountID, SCORE,
+row_number() OVER (PARTITION BY SCORE ORDER BY CONFIDENCE DESC, AccountID) AS POSITION FROM scored"""
+    queries["partition_thirds"] = """SELECT o_orderkey,
+(CASE WHEN r <= (2 * n + 3) // 6 THEN 1 WHEN r <= (4 * n + 3) // 6 THEN 2 ELSE 3 END)::INTEGER AS PARTITION_TYPE
+FROM (SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5(concat('11:', o_orderkey)), o_orderkey) AS r,
+  count(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders)"""
+    queries["confusion_call"] = queries["class_stats"]
+    queries["auc_pieces"] = queries["auc_many_scores"]
+    queries["roc_pieces"] = """WITH g AS (SELECT o_orderpriority AS k, o_totalprice / 1000000 AS s,
+  count(*) FILTER (o_orderstatus = 'F') AS p, count(*) FILTER (o_orderstatus <> 'F') AS n FROM orders GROUP BY 1, 2),
+w AS (SELECT k, row_number() OVER (PARTITION BY k ORDER BY s DESC) AS ID, sum(n) OVER (PARTITION BY k ORDER BY s DESC) AS cn,
+  sum(p) OVER (PARTITION BY k ORDER BY s DESC) AS cp, sum(n) OVER (PARTITION BY k) AS an, sum(p) OVER (PARTITION BY k) AS ap FROM g)
+SELECT k AS o_orderpriority, ID, round(cn::DOUBLE / an, 6) AS FPR, round(cp::DOUBLE / ap, 6) AS TPR FROM w
+UNION ALL SELECT DISTINCT k, 0, 0.0, 0.0 FROM g"""
+    queries["train_cm_grouped"] = queries["train_cm"]
     for name, part in (("split_train", 1), ("split_test", 2), ("split_val", 3)):
         queries[name] = f"{with_part} SELECT abt.* FROM abt JOIN part USING (AccountID) WHERE PARTITION_TYPE = {part}"
     return queries

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallgrove.functions import calls
 from tallgrove.functions import columns as fc
 from tallgrove.functions import params as fp
 from tallgrove.functions import routines
@@ -18,7 +19,7 @@ from tallgrove.operators.out_of_bag import bag_weight
 from tallgrove.operators.out_of_bag import oob_error as oob_error_of
 from tallgrove.operators.sampling import TEST, TRAIN, VALIDATE, split, stratified_folds, stratified_partition
 from tallgrove.operators.scoring import load_model, score
-from tallgrove.operators.training import TrainResult, train_boosted, train_forest, train_tree
+from tallgrove.operators.training import TrainResult, train_boosted, train_forest, train_tree, training_matrix
 from tallgrove.operators.tuning import candidate_counts, candidate_metrics
 from tallgrove.plans import given_splits as gs
 from tallgrove.sources import features as ft
@@ -26,6 +27,8 @@ from tallgrove.sources.model_rows import chunk, unchunk
 from tallgrove.sources.registry import BOOSTED, FOREST, Registry
 from tallgrove.sources.tables import (
     append,
+    drop,
+    empty_like,
     hash_partitioned,
     load,
     partition_stats,
@@ -33,6 +36,7 @@ from tallgrove.sources.tables import (
     register,
     scratch_path,
     snapshot,
+    write_bucketed,
 )
 from tallgrove.streaming.scoring import read_feature_stream, score_stream, write_scores
 
@@ -572,6 +576,132 @@ def stream_score(spark: SparkSession, directory: str) -> DataFrame:
     return spark.read.schema(scored.schema).parquet(sink)
 
 
+@query
+def score_grouped(spark: SparkSession, directory: str) -> DataFrame:
+    """A model that travels as several groups of trees, over rows whose ids repeat."""
+    view = ft.new_customer_view(spark, directory)
+    model = load_model(gs.model_rows(spark, directory), broadcast_chars=1)
+    return score(view.unionByName(view), model, ft.ID)
+
+
+@query
+def score_bucketed(spark: SparkSession, directory: str) -> DataFrame:
+    """A stored table, hash-bucketed by the id, scored in place."""
+    table = f"new_customers_{spark.sparkContext.applicationId.replace('-', '_').replace('.', '_')}"
+    view = write_bucketed(ft.new_customer_view(spark, directory), table, ft.ID, 8)
+    return score(view, gs.model(spark, directory), ft.ID)
+
+
+@query
+def procedure_score(spark: SparkSession, directory: str) -> DataFrame:
+    """The same scores by a plain call and by the table function wrapped around it, where both agree."""
+    view = ft.new_customer_view(spark, directory)
+    called = routines.scoring_procedure(view, gs.model(spark, directory), ft.ID)
+    routines.register_wrapper(spark, "churn_by_procedure", called)
+    return called.intersectAll(spark.sql("SELECT * FROM churn_by_procedure()"))
+
+
+@query
+def routine_columns(spark: SparkSession, directory: str) -> DataFrame:
+    """What the catalog says of the scoring function's columns, per segment of the customers."""
+    tvf_score(spark, directory)
+    told = routines.describe_routine(spark, "predict_customer_churn")
+    columns = told.agg(F.concat_ws(" ", F.collect_list("function_desc")).alias("text"))
+    segments = load(spark, directory, "customer").select("c_mktsegment").distinct()
+    return segments.join(columns).select(
+        "c_mktsegment",
+        *[F.col("text").contains(f"{name} ").alias(f"HAS_{name}") for name in ("ACCOUNTID", "PREDICTION", "PRED_CONFIDENCE")],
+    )
+
+
+@query
+def scripted_block(spark: SparkSession, directory: str) -> DataFrame:
+    """A script of statements: name the scores, count them, keep those of the larger class."""
+    register(_new_scores(spark, directory), "block_scores")
+    register(spark.sql("SELECT SCORE, count(*) AS n FROM block_scores GROUP BY SCORE"), "block_counts")
+    larger = ev.single_value(spark.sql("SELECT max_by(SCORE, struct(n, SCORE)) AS s FROM block_counts"), "s")
+    found = spark.sql("SELECT AccountID, CONFIDENCE FROM block_scores WHERE SCORE = :larger", args={"larger": larger})
+    drop(spark, "block_counts")
+    return found
+
+
+@query
+def empty_copy(spark: SparkSession, directory: str) -> DataFrame:
+    """An empty relation like the view is filled with one segment, counted and dropped."""
+    view = ft.new_customer_view(spark, directory)
+    path = scratch_path(spark, "empty-copy")
+    empty = refill(empty_like(view), path)
+    before = empty.count()
+    filled = append(view.filter(F.col("ServiceType") == "BUILDING"), path)
+    register(filled, "empty_copy_view")
+    dropped = drop(spark, "empty_copy_view") and not spark.catalog.tableExists("empty_copy_view")
+    return filled.groupBy("ServiceName").agg(
+        F.count(F.lit(1)).alias("NCOUNT"), F.lit(before).cast("bigint").alias("NBEFORE"), F.lit(dropped).alias("DROPPED")
+    )
+
+
+@query
+def account_in_list(spark: SparkSession, directory: str) -> DataFrame:
+    """Scores of listed account ids, one of them given as text."""
+    ids = load(spark, directory, "orders").select(F.col("o_custkey").alias("id"))
+    listed = [ev.single_value(ids.agg(f("id").alias("id")), "id") for f in (F.min, F.max)]
+    scored = score(ft.new_customer_view(spark, directory), gs.model(spark, directory), ft.ID)
+    return scored.filter(F.col(ft.ID).isin(*listed) | (F.col(ft.ID) == F.lit("7")))
+
+
+@query
+def score_positions(spark: SparkSession, directory: str) -> DataFrame:
+    """The order of the sorted report, as positions."""
+    ordered = _new_scores(spark, directory).orderBy("SCORE", F.desc("CONFIDENCE"), ft.ID)
+    stored = snapshot(ordered.withColumn("at", F.monotonically_increasing_id()), label="ordered")
+    in_order = Window.partitionBy("SCORE").orderBy("at")
+    return stored.select(ft.ID, "SCORE", F.row_number().over(in_order).cast("bigint").alias("POSITION"))
+
+
+# ------------------------------------------------------- calls with parameter tables
+
+
+@query
+def partition_thirds(spark: SparkSession, directory: str) -> DataFrame:
+    """Three thirds of all orders of each priority, asked by a parameter table."""
+    params = fp.Params.of(
+        PARTITION_METHOD=1, RANDOM_SEED=11, STRATIFIED_COLUMN="o_orderpriority", TRAINING_PERCENT=1 / 3,
+        TESTING_PERCENT=1 / 3, VALIDATION_PERCENT=1 / 3,
+    ).to_df(spark)
+    orders = load(spark, directory, "orders").select("o_orderkey", "o_orderpriority")
+    return calls.partition(orders, params)
+
+
+@query
+def confusion_call(spark: SparkSession, directory: str) -> DataFrame:
+    rows = _part_scores(spark, directory).select(ft.ID, "ORIGINAL_LABEL", F.col("SCORE").alias("PREDICTED_LABEL"))
+    params = fp.Params.from_arrays(["BETA"], doubles=[2.0]).to_df(spark)
+    return _rounded_stats(calls.confusion_matrix(rows, params)[1])
+
+
+def _late_orders(spark: SparkSession, directory: str) -> DataFrame:
+    return load(spark, directory, "orders").select(
+        F.when(F.col("o_orderstatus") == "F", ft.POSITIVE).otherwise(ft.NEGATIVE).alias("ORIGINAL_LABEL"),
+        (F.col("o_totalprice") / 1000000).alias("P"),
+        "o_orderpriority",
+    )
+
+
+@query
+def auc_pieces(spark: SparkSession, directory: str) -> DataFrame:
+    """The area by pieces of the score range much smaller than the groups."""
+    rows = _late_orders(spark, directory)
+    area = ev.auc(rows, "ORIGINAL_LABEL", "P", ft.POSITIVE, by=("o_orderpriority",), rows_per_bucket=97)
+    return area.withColumn("STAT_VALUE", F.round("STAT_VALUE", 6))
+
+
+@query
+def roc_pieces(spark: SparkSession, directory: str) -> DataFrame:
+    rows = _late_orders(spark, directory)
+    points = ev.roc_curve(rows, "ORIGINAL_LABEL", "P", ft.POSITIVE, ("o_orderpriority",), rows_per_bucket=97)
+    return points.withColumn("FPR", F.round("FPR", 6)).withColumn("TPR", F.round("TPR", 6))
+
+
 # ------------------------------------------------------- training on the tables
 
 
@@ -642,6 +772,16 @@ def train_cm(spark: SparkSession, directory: str) -> DataFrame:
     return train_tree(_stepped(spark, directory), _churn_params(ALGORITHM=3), max_depth=6).confusion_matrix
 
 
+@query
+def train_cm_grouped(spark: SparkSession, directory: str) -> DataFrame:
+    """The same matrix of a forest whose trees travel in groups."""
+    view = _stepped(spark, directory)
+    params = _churn_params(TREES_NUM=10, TRY_NUM=5, SPLIT_THRESHOLD=1e-5)
+    result = train_forest(view, params, max_depth=6)
+    result._model = load_model(result.model_rows, broadcast_chars=1)
+    return training_matrix(view, result, ft.LABEL)
+
+
 @query
 def dt_score(spark: SparkSession, directory: str) -> DataFrame:
     view = _stepped(spark, directory)
@@ -721,9 +861,9 @@ def value_grid(spark: SparkSession, directory: str) -> DataFrame:
         {"MIN_RECORDS_OF_PARENT": p, "SPLIT_THRESHOLD": t} for p in parents for t in thresholds
     ]
     model = gs.model(spark, directory, "tree")
+    shared = spark.sparkContext.broadcast((model.header, model.trees, variants))
     counts = candidate_counts(
-        _labelled_part(spark, directory, VALIDATE), model.header, model.trees, "tree", variants,
-        list(range(len(variants))),
+        _labelled_part(spark, directory, VALIDATE), model.header, shared, "tree", list(range(len(variants)))
     )
     metrics = candidate_metrics(counts, ["CANDIDATE"])
     return metrics.select(
@@ -741,7 +881,8 @@ def range_grid(spark: SparkSession, directory: str) -> DataFrame:
         model = gs.model(spark, directory, "boosted", rate)
         variants = [{"ITER_NUM": n} for n in iterations]
         ids = [i * len(iterations) + j for j in range(len(iterations))]
-        found = candidate_counts(rows, model.header, model.trees, "boosted", variants, ids)
+        shared = spark.sparkContext.broadcast((model.header, model.trees, variants))
+        found = candidate_counts(rows, model.header, shared, "boosted", ids)
         counts = found if counts is None else counts.unionByName(found)
     # Sums of the same leaves may differ in the last digits; such scores are ties.
     counts = counts.withColumn("SCORE", F.round("SCORE", 9))

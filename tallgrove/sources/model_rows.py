@@ -57,9 +57,10 @@ def chunk(df: DataFrame, keys: list[str], text: str, width: int) -> DataFrame:
 
 
 def unchunk(df: DataFrame, keys: list[str], order: str = "PIECE", content: str = "CONTENT") -> DataFrame:
-    """``(*keys, TEXT)``: the pieces of each text in order, joined again."""
+    """``(*keys, TEXT)``: the pieces of each text in order, joined again; a text of NULL pieces only is NULL."""
     ordered = F.array_sort(F.collect_list(F.struct(order, content)))
-    return df.groupBy(*keys).agg(F.concat_ws("", F.transform(ordered, lambda s: s[content])).alias("TEXT"))
+    text = F.concat_ws("", F.transform(ordered, lambda s: s[content]))
+    return df.groupBy(*keys).agg(F.when(F.count(content) > 0, text).alias("TEXT"))
 
 
 def _tree_texts(nodes: DataFrame) -> DataFrame:

@@ -21,8 +21,6 @@ def read_feature_stream(
 
 def score_stream(stream: DataFrame, model: Model, id_column: str, **options) -> DataFrame:
     """The batch scorer over a stream. Each row is scored alone: no state, no watermark."""
-    if len(model.parts) > 1:
-        raise ValueError("the model is too large to score a stream in one pass")
     return score(stream, model, id_column, **options)
 
 
