@@ -318,7 +318,8 @@ def near_groups(
     members = sets.join(regions, F.col("rep") == F.col("node")).select(F.col("rep").alias("of"), F.col("component").alias("region")).distinct()
     sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.min("of").alias("pivot"))
     members = stored(members.join(sizes, "region"), "region-members")
-    with_text = members.join(texts, F.col("of") == F.col("doc")).select("region", "n", "pivot", "doc", "text")
+    # Merged at every size: which side is small enough to send must not change what is moved.
+    with_text = members.join(texts.hint("merge"), F.col("of") == F.col("doc")).select("region", "n", "pivot", "doc", "text")
     ties = links(stored(with_text, "region-texts"), percent, block)
     placed = signed.select("doc", "n_shingles", "s1", "s2").join(
         sets.select("s1", "s2", "rep"), ["s1", "s2"], "left"
