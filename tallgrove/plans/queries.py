@@ -723,13 +723,13 @@ def _forest(spark: SparkSession, directory: str, trees: int, oob: int = 0, depth
 
 @query
 def rf_train(spark: SparkSession, directory: str) -> DataFrame:
-    rows = _forest(spark, directory, 20).model_rows
+    rows = _forest(spark, directory, 100).model_rows
     return rows.select("ROW_INDEX", "TREE_INDEX", fc.preview(F.col("MODEL_CONTENT")).alias("MODEL_CONTENT"))
 
 
 @query
 def importance(spark: SparkSession, directory: str) -> DataFrame:
-    return _forest(spark, directory, 10).importance
+    return _forest(spark, directory, 100).importance
 
 
 @query

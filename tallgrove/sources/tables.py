@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A relation is handed to the driver (and from there to every executor) only
-# when it is known to have at most this many rows.
+# when it is known to have at most so many rows and bytes.
 LOCAL_ROW_LIMIT = 100_000
+LOCAL_BYTE_LIMIT = 32_000_000
 
 
 def load(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -80,7 +81,7 @@ def bounded(df: DataFrame, max_rows: int = LOCAL_ROW_LIMIT) -> DataFrame:
     whether a join with it is broadcast; the written table is joined by shuffle.
     """
     head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
+    if head.num_rows > max_rows or head.nbytes > LOCAL_BYTE_LIMIT:
         return snapshot(df, label="bounded")
     return df.sparkSession.createDataFrame(head, df.schema)
 
