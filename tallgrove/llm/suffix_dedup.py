@@ -32,6 +32,7 @@ SECOND_DEPTH = 360
 NO_ID = -(2**63)
 OUTPUT = ("n_bytes", "n_removed", "n_spans", "kept")
 ID = ["doc", "digest"]
+PLACE = [*ID, "start"]
 
 
 def runs_of(mask: np.ndarray) -> np.ndarray:
@@ -77,18 +78,12 @@ class Repeats:
                 for p in byte_pieces(batch.column("text")):
                     at = Anchors(p, length, depth, whole_windows(p, length)).at
                     row = np.searchsorted(p.bounds, at, "right") - 1
-                    begin = np.maximum(p.bounds[row], at - (length - depth))
-                    end = np.minimum(p.bounds[row + 1], at + length)
-                    data = p.data
-                    around = np.array(
-                        [xxhash.xxh3_64_intdigest(data[a:b]) for a, b in zip(begin.tolist(), end.tolist())], np.uint64
-                    ) * np.uint64(1024) + (at - begin).astype(np.uint64)
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column(n).take(pa.array(row + p.first)) for n in ID
                         ] + [
                             pa.array((at - p.bounds[row]).astype(np.int32)), pa.array(p.hash(at, depth).view(np.int64)),
-                            pa.array(around.view(np.int64)),
+                            pa.array(surroundings(p, at, row, length, depth).view(np.int64)),
                         ],
                         names=[*ID, "pos", "key", "around"],
                     )
@@ -99,20 +94,7 @@ class Repeats:
         """(doc, digest, pos, full, witness): for each text the anchors whose string stands elsewhere too."""
         rows = stored(self.anchor_rows(), "anchors")
         again = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-        rows = stored(rows.join(again, "key"), "repeated-anchors")
-        classes = rows.groupBy("key", "around").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "digest", "pos")).alias("one")
-        )
-        classes = stored(classes, "anchor-classes")
-        mixed = classes.filter("n = 1").select("key").distinct().withColumn("mixed", F.lit(True))
-        full = classes.filter("n > 1").join(mixed, "key", "left")
-        judged = rows.join(full, ["key", "around"], "left").select(
-            *ID, "pos", F.col("n").isNotNull().alias("full"),
-            (F.coalesce("mixed", F.lit(False)) & (F.col("one") == F.struct("doc", "digest", "pos"))).alias("witness"),
-        )
-        return judged.groupBy(*ID).agg(
-            F.collect_list("pos").alias("pos"), F.collect_list("full").alias("full"), F.collect_list("witness").alias("witness")
-        )
+        return marks(rows, again, ID)
 
     def judge(self, marked: DataFrame) -> DataFrame:
         """Per text: settled window runs, and the zones of windows that stay open or bear witness."""
@@ -129,13 +111,7 @@ class Repeats:
                 for p in byte_pieces(texts):
                     valid = whole_windows(p, length)
                     chosen = Anchors(p, length, depth, valid)
-                    where, row = lists(batch, "pos", p.first, p.rows)
-                    full, _ = lists(batch, "full", p.first, p.rows)
-                    witness, _ = lists(batch, "witness", p.first, p.rows)
-                    where = where.astype(np.int64) + p.bounds[row]
-                    lonely = chosen.windows_of(np.setdiff1d(chosen.at, where))
-                    settled = chosen.windows_of(where[full.astype(bool)])
-                    bears = chosen.windows_of(where[witness.astype(bool)])
+                    lonely, settled, bears = verdict(batch, p, chosen)
                     settled &= valid & ~lonely
                     bears &= settled
                     still = valid & ~settled & ~lonely
@@ -169,10 +145,9 @@ class Repeats:
         return pa.RecordBatch.from_arrays([*arrays, text], names=names)
 
     def later_passes(self, zones: DataFrame) -> DataFrame:
-        """(doc, digest, starts): the open windows that repeat."""
+        """(doc, digest, starts): the open windows that repeat, as (start, end) runs in a flat list."""
         length, depth = self.length, self.second
         width = length - depth + 1
-        place = [*ID, "start"]
 
         def deeper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -180,32 +155,58 @@ class Repeats:
                     flags = zone_flags(batch, p)
                     at = Anchors(p, length, depth, flags > 0).at
                     row = np.searchsorted(p.bounds, at, "right") - 1
-                    open_ = np.zeros(len(p.data), bool)
-                    open_[: len(flags)] = flags & 1
-                    near = sliding(np.concatenate([np.zeros(width - 1, np.uint8), open_.astype(np.uint8)]), width, np.maximum)
+                    near = sliding(np.concatenate([np.zeros(width - 1, np.uint8), flags & 1]), width, np.maximum)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(n).take(pa.array(row + p.first)) for n in place]
+                        [batch.column(n).take(pa.array(row + p.first)) for n in PLACE]
                         + [
                             pa.array((at - p.bounds[row]).astype(np.int32)), pa.array(p.hash(at, depth).view(np.int64)),
+                            pa.array(surroundings(p, at, row, length, depth).view(np.int64)),
                             pa.array(near[at].astype(bool)),
                         ],
-                        names=[*place, "pos", "key", "near"],
+                        names=[*PLACE, "pos", "key", "around", "near"],
                     )
 
         rows = stored(
-            zones.mapInArrow(deeper, "doc long, digest long, start int, pos int, key long, near boolean"), "deeper-anchors"
+            zones.mapInArrow(
+                deeper, "doc long, digest long, start int, pos int, key long, around long, near boolean"
+            ),
+            "deeper-anchors",
         )
         again = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("near").alias("any")).filter("n > 1 and any")
-        alive = rows.join(again.select("key"), "key").groupBy(*place).agg(F.collect_list("pos").alias("pos"))
+        alive = marks(rows, again.select("key"), PLACE)
 
-        def deepest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for p in byte_pieces(batch.column("bytes")):
                     flags = zone_flags(batch, p)
                     chosen = Anchors(p, length, depth, flags > 0)
-                    where, row = lists(batch, "pos", p.first, p.rows)
-                    alone = np.setdiff1d(chosen.at, where.astype(np.int64) + p.bounds[row])
-                    flags[chosen.windows_of(alone)] = 0
+                    lonely, settled, bears = verdict(batch, p, chosen)
+                    settled &= (flags > 0) & ~lonely
+                    left = np.where((flags > 0) & ~lonely & (~settled | bears), flags & ~(settled.astype(np.uint8)) | 2, 0)
+                    sure = settled & (flags & 1 == 1)
+                    starts = batch.column("start").to_numpy()[p.first : p.first + p.rows].tolist()
+                    bounds = p.bounds.tolist()
+                    arrays = [batch.column(n).slice(p.first, p.rows) for n in PLACE]
+                    runs = [(runs_of(sure[a:b]) + x).ravel() for a, b, x in zip(bounds, bounds[1:], starts)]
+                    kept = [left[a:b] for a, b in zip(bounds, bounds[1:])]
+                    arrays += [
+                        pa.array(runs, pa.list_(pa.int32())),
+                        pa.array([k.astype(np.uint8).tobytes() if k.any() else None for k in kept], pa.binary()),
+                        pa.array([p.data[a:b] if k.any() else None for k, a, b in zip(kept, bounds, bounds[1:])], pa.binary()),
+                    ]
+                    yield pa.RecordBatch.from_arrays(arrays, names=[*PLACE, "sure", "flags", "bytes"])
+
+        decided = stored(
+            zones.join(alive, PLACE).mapInArrow(
+                decide, "doc long, digest long, start int, sure array<int>, flags binary, bytes binary"
+            ),
+            "decided-zones",
+        )
+
+        def deepest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for p in byte_pieces(batch.column("bytes")):
+                    flags = zone_flags(batch, p)
                     begin = np.flatnonzero(flags)
                     row = np.searchsorted(p.bounds, begin, "right") - 1
                     data = p.data
@@ -223,11 +224,63 @@ class Repeats:
                     )
 
         last = stored(
-            zones.join(alive, place).mapInArrow(deepest, "doc long, digest long, pos int, h1 long, h2 long, open boolean"),
+            decided.filter("flags is not null").mapInArrow(
+                deepest, "doc long, digest long, pos int, h1 long, h2 long, open boolean"
+            ),
             "deepest",
         )
-        twice = last.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2")
-        return last.filter("open").join(twice, ["h1", "h2"]).groupBy(*ID).agg(F.collect_list("pos").alias("starts"))
+        twice = stored(
+            last.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("any")).filter("n > 1 and any").select(
+                "h1", "h2"
+            ),
+            "deepest-repeated",
+        )
+        single = last.filter("open").join(twice, ["h1", "h2"]).select(*ID, F.array("pos", F.col("pos") + 1).alias("runs"))
+        runs = decided.filter(F.size("sure") > 0).select(*ID, F.col("sure").alias("runs"))
+        return runs.unionByName(single).groupBy(*ID).agg(F.flatten(F.collect_list("runs")).alias("starts"))
+
+
+def marks(rows: DataFrame, again: DataFrame, by: list[str]) -> DataFrame:
+    """(*by, pos, full, witness lists): of each text or zone the anchors whose string stands elsewhere too.
+
+    ``again`` are the keys to go on with. Full anchors repeat with all their surroundings; of each such class one
+    bears witness if its key also has anchors that do not.
+    """
+    rows = stored(rows.join(stored(again, "repeated-keys"), "key"), "repeated-anchors")
+    name = F.struct(*by, "pos")
+    classes = stored(
+        rows.groupBy("key", "around").agg(F.count(F.lit(1)).alias("n"), F.min(name).alias("one")), "anchor-classes"
+    )
+    mixed = classes.filter("n = 1").select("key").distinct().withColumn("mixed", F.lit(True))
+    full = stored(classes.filter("n > 1").join(mixed, "key", "left"), "full-classes")
+    judged = rows.join(full, ["key", "around"], "left").select(
+        *by, "pos", F.col("n").isNotNull().alias("full"), (F.coalesce("mixed", F.lit(False)) & (F.col("one") == name)).alias("witness")
+    )
+    return judged.groupBy(*by).agg(
+        F.collect_list("pos").alias("pos"), F.collect_list("full").alias("full"), F.collect_list("witness").alias("witness")
+    )
+
+
+def surroundings(p: Piece, at: np.ndarray, row: np.ndarray, length: int, depth: int) -> np.ndarray:
+    """Hash of all bytes that windows around each anchor can hold, and of where the anchor stands in them."""
+    begin = np.maximum(p.bounds[row], at - (length - depth))
+    end = np.minimum(p.bounds[row + 1], at + length)
+    data = p.data
+    codes = np.array([xxhash.xxh3_64_intdigest(data[a:b]) for a, b in zip(begin.tolist(), end.tolist())], np.uint64)
+    return codes * np.uint64(1024) + (at - begin).astype(np.uint64)
+
+
+def verdict(batch: pa.RecordBatch, p: Piece, chosen: Anchors) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the window at each byte: whether its own anchor stands alone, is full, bears witness."""
+    where, row = lists(batch, "pos", p.first, p.rows)
+    full, _ = lists(batch, "full", p.first, p.rows)
+    witness, _ = lists(batch, "witness", p.first, p.rows)
+    where = where.astype(np.int64) + p.bounds[row]
+    return (
+        chosen.windows_of(np.setdiff1d(chosen.at, where)),
+        chosen.windows_of(where[full.astype(bool)]),
+        chosen.windows_of(where[witness.astype(bool)]),
+    )
 
 
 def zone_flags(batch: pa.RecordBatch, p: Piece) -> np.ndarray:
@@ -262,8 +315,7 @@ def remove_repeats(
             columns: list[list] = [[], [], []]
             for settled, text, starts in zip(*(batch.column(n).to_pylist() for n in ("settled", "text", "starts"))):
                 data = text.encode()
-                begin = np.array(starts or [], np.int64)
-                windows = np.concatenate([np.frombuffer(settled, np.int64).reshape(-1, 2), np.stack([begin, begin + 1], 1)])
+                windows = np.concatenate([np.frombuffer(settled, np.int64), np.array(starts or [], np.int64)]).reshape(-1, 2)
                 for column, value in zip(columns, cut_out(data, covered(windows, length, len(data)))):
                     column.append(value)
             arrays = [batch.column("doc"), batch.column("n_bytes")]
