@@ -86,7 +86,7 @@ def test_depth_comes_from_the_parameters(churn):
     for train, more in ((tr.train_forest, {"TREES_NUM": 3}), (tr.train_tree, {})):
         shallow = train(churn, {**BASE, **more, "MAX_TREE_DEPTH": 1}).model
         deep = train(churn, {**BASE, **more}).model
-        assert max(t.depth for t in shallow.trees) == 1 and max(t.depth for t in deep.trees) > 5
+        assert max(t.depth for t in shallow.trees) <= 1 < max(t.depth for t in deep.trees)
 
 
 def test_forests_ignore_the_session(spark, churn):
