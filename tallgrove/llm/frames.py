@@ -14,8 +14,15 @@ from tallgrove.sources.tables import scratch_path
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+#: What a Python worker is handed at once; texts differ in length, so bytes count.
+BATCH_BYTES = 8 << 20
+BATCH_ROWS = 4000
+
+
 def ready(spark: SparkSession) -> SparkSession:
-    """Ship the package, so that Python workers can import it."""
+    """Ship the package to the Python workers, and bound the batches that these are handed."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return ship(spark)
 
 

@@ -26,12 +26,12 @@ from tallgrove.llm.frames import ready, schema_with, stored, without
 from tallgrove.llm.words import BASE, SPACED, Words, mix, words
 
 BITS = 10  # of the filter for each entry
-PROBES = 5
+PROBES = 4
 STEP = 1.5  # ratio of neighbouring count levels
 WEIGHT = 0.6  # of two-word grams
 SHARD_BYTES = 16_000_000  # of text for each shard
-ROUND_BYTES = 256_000_000
-FLUSH = 3_000_000  # grams a task holds before it deals them out
+ROUND_BYTES = 64_000_000
+FLUSH = 1_500_000  # grams a task holds before it deals them out
 END = np.uint64(0x2545F4914F6CDD1D)
 START = np.uint64(0x9FB21C651E98DF25)
 OUTPUT = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
@@ -69,10 +69,14 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
-def bit_places(keys: np.ndarray, step: int, probe: int, sizes: np.ndarray) -> np.ndarray:
-    mixed = mix(keys + np.uint64(step * 0x9E3779B97F4A7C15 % 2**64))
-    odd = (mixed >> np.uint64(32)) | np.uint64(1)
-    return (mixed + np.uint64(probe) * odd * np.uint64(0x100000001B3)) % sizes
+def step_hash(keys: np.ndarray, step: int) -> np.ndarray:
+    return mix(keys + np.uint64(step * 0x9E3779B97F4A7C15 % 2**64))
+
+
+def bit_places(mixed: np.ndarray, probe: int, sizes: np.ndarray) -> np.ndarray:
+    """Bits of a gram's step: from one hash, turned by an odd number for each probe; sizes are below 2**32."""
+    turned = (mixed + np.uint64(probe) * ((mixed << np.uint64(32)) | np.uint64(1))) >> np.uint64(32)
+    return (turned * sizes) >> np.uint64(32)
 
 
 def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -91,9 +95,9 @@ def bloom(keys: np.ndarray, counts: np.ndarray) -> bytes:
     size = max(64, (int(steps.sum()) * BITS + 7) // 8 * 8)
     bits = np.zeros(size, bool)
     for step in range(1, int(steps.max(initial=0)) + 1):
-        held = keys[steps >= step]
+        mixed = step_hash(keys[steps >= step], step)
         for probe in range(PROBES):
-            bits[bit_places(held, step, probe, np.uint64(size)).astype(np.int64)] = True
+            bits[bit_places(mixed, probe, np.uint64(size)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
 
 
@@ -153,7 +157,8 @@ def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, times = merged(*(parts[2] if parts[2][0] else none))
         bits = bloom(np.concatenate([words_, pairs]), np.concatenate([counts, times]))
         own = words_ != START
-        row = (now, int(own.sum()), int(counts[own].sum()), words_.tobytes(), counts.astype(np.int64).tobytes(), bits)
+        narrow = np.uint32 if counts.max(initial=0) < 2**32 else np.int64
+        row = (now, int(own.sum()), int(counts[own].sum()), words_.tobytes(), counts.astype(narrow).tobytes(), bits)
         schema = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays(
             [pa.array([v], k) for v, k in zip(row, schema)],
@@ -172,6 +177,11 @@ def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield finish()
 
 
+def counts_of(row) -> np.ndarray:
+    wide = len(row["counts"]) == len(row["keys"])
+    return np.frombuffer(row["counts"], np.int64 if wide else np.uint32)
+
+
 class Shards(NamedTuple):
     """What one round knows: the shards' words in order, and their filters end to end."""
 
@@ -194,7 +204,7 @@ class Shards(NamedTuple):
         return cls(
             first, last, of,
             np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows] or none[0]),
-            np.concatenate([np.frombuffer(r["counts"], np.int64) for r in rows] or none[1]),
+            np.concatenate([counts_of(r) for r in rows] or none[1]),
             np.concatenate(parts), (np.cumsum(lengths) - lengths) * 8, (lengths * 8).astype(np.uint64),
         )
 
@@ -207,22 +217,25 @@ class Shards(NamedTuple):
         if not len(self.keys):
             return np.zeros(len(keys), np.int64)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.counts[at], 0)
+        return np.where(self.keys[at] == keys, self.counts[at], 0).astype(np.int64)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
-        """Probe level by level until an entry is missing."""
+        """Probe level by level until an entry is missing; each distinct key once."""
+        keys, inverse = np.unique(keys, return_inverse=True)
         shard = shard_of(keys, self.of) - self.first
         start, size = self.starts[shard], self.sizes[shard]
         found = np.zeros(len(keys), np.uint8)
         open_ = np.arange(len(keys))
         for step in range(1, len(COUNT_OF)):
+            mixed = step_hash(keys[open_], step)
             for probe in range(PROBES):
-                if not len(open_):
-                    return found
-                place = start[open_] + bit_places(keys[open_], step, probe, size[open_]).astype(np.int64)
-                open_ = open_[(self.bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1]
+                place = start[open_] + bit_places(mixed, probe, size[open_]).astype(np.int64)
+                hit = (self.bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+                open_, mixed = open_[hit], mixed[hit]
+            if not len(open_):
+                break
             found[open_] = step
-        return found
+        return found[inverse]
 
 
 class Model:
@@ -273,12 +286,27 @@ def score(docs: DataFrame, model: Model, weight: float = WEIGHT) -> DataFrame:
     state = base.withColumn("_known", F.lit(0).cast("long")).withColumn("_base", F.lit(0.0)).withColumn(
         "_levels", F.lit(b"").cast("binary")
     )
+    final = schema_with(
+        base, n_tokens="long", n_known="long", train_tokens="long", base_score="double", score="double"
+    )
+    started = int(level(np.array([model.texts]))[0]) if model.texts else 0
+    floor, rounds = math.log10(total + distinct + 1), len(model.ranges)
+
+    def likelihoods(rows: np.ndarray, found: np.ndarray, texts: int) -> np.ndarray:
+        word, pair = COUNT_OF[found[:, 0]], COUNT_OF[found[:, 1]]
+        context = np.r_[COUNT_OF[started], word[:-1]]
+        context[np.r_[True, rows[1:] != rows[:-1]]] = COUNT_OF[started]
+        alone = np.minimum(1.0, (word + 1) / (total + distinct + 1))
+        share = np.minimum(1.0, pair / np.maximum(context, 1))
+        both = np.where(context > 0, weight * share + (1 - weight) * alone, alone)
+        return np.bincount(rows, np.log10(both), texts)
+
     for i, known in enumerate(model.rounds()):
 
-        def add(batches, known=known, opening=i == 0):
-            shards, floor = known.value, math.log10(total + distinct + 1)
+        def add(batches, known=known, opening=i == 0, closing=i + 1 == rounds):
+            shards = known.value
             for batch in batches:
-                n_known, sums, levels = [], [], []
+                n_tokens, n_known, sums, levels, scores = [], [], [], [], []
                 held = batch.column("_levels").to_pylist()
                 for w in words(batch.column("text"), SPACED):
                     tokens, rows = tokens_of(w)
@@ -292,46 +320,30 @@ def score(docs: DataFrame, model: Model, weight: float = WEIGHT) -> DataFrame:
                     found[there, 1] = shards.levels(pairs[there])
                     if not opening:
                         found |= np.frombuffer(b"".join(held[w.first : w.first + w.rows]), np.uint8).reshape(-1, 2)
-                    flat = found.tobytes()
-                    bounds = (2 * np.searchsorted(rows, np.arange(w.rows + 1))).tolist()
-                    levels.extend(flat[a:b] for a, b in zip(bounds, bounds[1:]))
+                    if closing:
+                        n_tokens.append(np.bincount(rows, minlength=w.rows))
+                        scores.append(likelihoods(rows, found, w.rows))
+                    else:
+                        flat = found.tobytes()
+                        bounds = (2 * np.searchsorted(rows, np.arange(w.rows + 1))).tolist()
+                        levels.extend(flat[a:b] for a, b in zip(bounds, bounds[1:]))
                 table = [batch.column(n) for n in names]
-                table += [
-                    pa.array(batch.column("_known").to_numpy() + np.concatenate(n_known or [np.zeros(0, np.int64)])),
-                    pa.array(batch.column("_base").to_numpy() + np.concatenate(sums or [np.zeros(0)])),
-                    pa.array(levels, pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(table, names=[*names, "_known", "_base", "_levels"])
-
-        state = state.mapInArrow(add, state.schema)
-        if i + 1 < len(model.ranges):
-            state = stored(state, "scoring-round")
-
-    started = int(level(np.array([model.texts]))[0]) if model.texts else 0
-
-    def finish(batches):
-        for batch in batches:
-            n_tokens, scores = [], []
-            for held in batch.column("_levels").to_pylist():
-                found = np.frombuffer(held, np.uint8).reshape(-1, 2)
-                word, pair = COUNT_OF[found[:, 0]], COUNT_OF[found[:, 1]]
-                context = np.r_[COUNT_OF[started], word[:-1]]
-                alone = np.minimum(1.0, (word + 1) / (total + distinct + 1))
-                share = np.minimum(1.0, pair / np.maximum(context, 1))
-                both = np.where(context > 0, weight * share + (1 - weight) * alone, alone)
-                n_tokens.append(len(found))
-                scores.append(float(np.log10(both).sum()))
-            columns = [batch.column(n) for n in names]
-            columns += [
-                pa.array(n_tokens, pa.int64()), batch.column("_known"), pa.array(np.full(batch.num_rows, total)),
-                batch.column("_base"), pa.array(scores, pa.float64()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, *OUTPUT])
-
-    schema = schema_with(
-        base, n_tokens="long", n_known="long", train_tokens="long", base_score="double", score="double"
-    )
-    return state.mapInArrow(finish, schema)
+                all_known = pa.array(batch.column("_known").to_numpy() + np.concatenate(n_known or [np.zeros(0, np.int64)]))
+                all_base = pa.array(batch.column("_base").to_numpy() + np.concatenate(sums or [np.zeros(0)]))
+                if closing:
+                    table += [
+                        pa.array(np.concatenate(n_tokens or [np.zeros(0, np.int64)]).astype(np.int64)), all_known,
+                        pa.array(np.full(batch.num_rows, total)), all_base, pa.array(np.concatenate(scores or [np.zeros(0)])),
+                    ]
+                    yield pa.RecordBatch.from_arrays(table, names=[*names, *OUTPUT])
+                else:
+                    table += [all_known, all_base, pa.array(levels, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(table, names=[*names, "_known", "_base", "_levels"])
+
+        if i + 1 == rounds:
+            return state.mapInArrow(add, final)
+        state = stored(state.mapInArrow(add, state.schema), "scoring-round")
+        known.destroy()  # the executors need room for the next
 
 
 def held_out(identity: Column, parts: int = 7, part: int = 2) -> Column:
