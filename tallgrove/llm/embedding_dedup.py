@@ -25,11 +25,14 @@ from tallgrove.llm.frames import ready, stored, without
 from tallgrove.llm.near_dedup import grouped
 
 THRESHOLD = 0.98
-#: Distinct vectors a cell should hold; with MAX_CELLS cells the centres of 64 dimensions take 2 MB.
-CELL = 512
+#: Distinct vectors a cell should hold, over all labels; with MAX_CELLS cells the centres of 64 dimensions take 2 MB.
+#: Finer cells save products but have more guests: in many dimensions most vectors are near some border.
+CELL = 8192
 MAX_CELLS = 4096
-SAMPLE_PER_CELL = 40
-CHUNK = 1024
+SAMPLE_PER_CELL = 300
+CHUNK = 4096
+#: Rows of a task's product that are held at once.
+STRIP = 256
 NO_ID = -(2**63)
 OUTPUT = ("n_links", "component_id", "kept")
 
@@ -108,7 +111,9 @@ def duplicate_vectors(
             reach[row["cell"]] = row["away"]
     rim = spark.sparkContext.broadcast(reach)
 
-    schema = "class long, cell int, member boolean, id long, h1 long, h2 long, copies long, vector array<double>"
+    single = table.schema["embedding"].dataType.elementType.simpleString() == "float"
+    number = np.dtype("<f4" if single else "<f8")
+    schema = "class long, cell int, member boolean, id long, h1 long, h2 long, copies long, vector binary"
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heart, reaches = known.value, rim.value
@@ -131,18 +136,22 @@ def duplicate_vectors(
                 row = np.concatenate([usual[at], others])
                 member = np.concatenate([cells == home[at], np.ones(len(others), bool)])
                 cell_of = np.concatenate([cells, np.full(len(others), -1)])
-            taken = batch.take(pa.array(row))
+            flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False).astype(number)
+            ends = np.cumsum(size)
+            raw = [flat[e - n : e].tobytes() for e, n in zip(ends.tolist(), size.tolist())]
+            taken = batch.drop_columns(["vector"]).take(pa.array(row))
             yield pa.RecordBatch.from_arrays(
                 [
                     taken.column("class"), pa.array(cell_of.astype(np.int32)), pa.array(member), taken.column("id"),
-                    taken.column("h1"), taken.column("h2"), taken.column("copies"), taken.column("vector"),
+                    taken.column("h1"), taken.column("h2"), taken.column("copies"),
+                    pa.array([raw[i] for i in row.tolist()], pa.binary()),
                 ],
                 names=["class", "cell", "member", "id", "h1", "h2", "copies", "vector"],
             )
 
     dealt = distinct.select(
         F.xxhash64("label", "size").alias("class"), "size", "id", "h1", "h2", "copies",
-        F.col("vector").cast("array<double>").alias("vector"),
+        "vector",
     ).mapInArrow(deal, schema)
     dealt = stored(dealt, "cells")
     counts = dealt.groupBy("class", "cell").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks"))
@@ -156,21 +165,22 @@ def duplicate_vectors(
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in grouped(batches, 4):
-            vectors = table.column("vector").combine_chunks()
-            x = matrix(vectors, len(vectors[0]))
+            vectors = table.column("vector").to_pylist()
+            x = unit(np.frombuffer(b"".join(vectors), number).reshape(len(vectors), -1).astype(np.float64))
             mine, member = table.column("mine").to_numpy(), table.column("member").to_numpy()
             ids, copies = table.column("id").to_numpy(), table.column("copies").to_numpy()
-            at, across = table.column("row")[0].as_py(), table.column("column")[0].as_py()
-            near = x @ x.T >= threshold
-            np.fill_diagonal(near, False)
-            if at != across:  # pairs inside a chunk belong to that chunk's own task
-                near &= mine[:, None] != mine
-            total = near @ copies
-            group = np.arange(len(x))
-            for i in np.flatnonzero(near.any(1)).tolist():
-                met = np.unique(group[np.append(np.flatnonzero(near[i]), i)])
-                if len(met) > 1:
-                    group[np.isin(group, met)] = met[0]
+            inside = table.column("row")[0] == table.column("column")[0]
+            total, group = np.zeros(len(x), np.int64), np.arange(len(x))
+            for at in range(0, len(x), STRIP):
+                near = x[at : at + STRIP] @ x.T >= threshold
+                near[np.arange(len(near)), np.arange(at, at + len(near))] = False
+                if not inside:  # pairs inside a chunk belong to that chunk's own task
+                    near &= mine[at : at + STRIP, None] != mine
+                total[at : at + STRIP] = near @ copies
+                for i in np.flatnonzero(near.any(1)).tolist():
+                    met = np.unique(group[np.append(np.flatnonzero(near[i]), at + i)])
+                    if len(met) > 1:
+                        group[np.isin(group, met)] = met[0]
             tied = (total > 0) & member | (group != np.arange(len(x)))
             pick = np.flatnonzero(tied)
             yield pa.RecordBatch.from_arrays(
