@@ -151,10 +151,9 @@ class LineIndex:
 
     def counts(self, keys: DataFrame | None = None) -> DataFrame:
         """(hi, lo, n, last) of the keys asked for: reference count and largest document."""
-        rows = self.postings()
-        if keys is not None:
-            rows = rows.join(keys, ["hi", "lo"], "left_semi")
-        return rows.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n"), F.max("doc").alias("last"))
+        totals = self.postings().groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n"), F.max("doc").alias("last"))
+        # Summed before the join, so that a key of very many documents is one row in it.
+        return totals if keys is None else totals.join(keys.select("hi", "lo").distinct(), ["hi", "lo"])
 
     def _shard(self) -> Column:
         return F.pmod("lo", F.lit(self.shards)).cast("int").alias("shard")
