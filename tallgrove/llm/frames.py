@@ -15,8 +15,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 #: What a Python worker is handed at once; texts differ in length, so bytes count.
-BATCH_BYTES = 8 << 20
-BATCH_ROWS = 4000
+BATCH_BYTES = 4 << 20
+BATCH_ROWS = 2000
 
 
 def ready(spark: SparkSession) -> SparkSession:

@@ -29,9 +29,9 @@ BITS = 10  # of the filter for each entry
 PROBES = 4
 STEP = 1.5  # ratio of neighbouring count levels
 WEIGHT = 0.6  # of two-word grams
-SHARD_BYTES = 16_000_000  # of text for each shard
+SHARD_BYTES = 8_000_000  # of text for each shard
 ROUND_BYTES = 64_000_000
-FLUSH = 1_500_000  # grams a task holds before it deals them out
+FLUSH = 1_000_000  # grams a task holds before it deals them out
 END = np.uint64(0x2545F4914F6CDD1D)
 START = np.uint64(0x9FB21C651E98DF25)
 OUTPUT = ("n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -27,7 +27,7 @@ class Piece(NamedTuple):
         return mix((self.sums[start + length] - self.sums[start]) * down[start])
 
 
-def byte_pieces(texts: pa.Array, size: int = 1_000_000) -> Iterator[Piece]:
+def byte_pieces(texts: pa.Array, size: int = 300_000) -> Iterator[Piece]:
     offsets, everything = raw(texts)
     for at, to in pieces(offsets, size):
         data = everything[offsets[at] : offsets[to]]
