@@ -1,12 +1,12 @@
 """MinHash near-deduplication by an LSH forest: sorted signature orders, and exact checks of whole shingle sets.
 
-1. Every text becomes its set of 5-word shingles (64-bit hashes) and, for each of ``TREES`` trees, a
+1. Every text becomes its set of 5-word shingles (64-bit hashes) and, for each tree, a
    label of ``DEPTH`` minima. Equal sets fall together first; one representative goes on.
 2. All labels are sorted by (tree, label) over range partitions. In one pass over the order the run
    of neighbours that share the first ``least_depth`` minima with the one before is tied to
    the run's first document, however long the run. Runs that overlap over the trees form regions;
    two texts above the threshold are in one region but for a chance of
-   (1 - s**least_depth)**TREES, 0.0001 at a similarity of 0.85.
+   (1 - s**least_depth)**trees. The trees follow the threshold (12 at 0.85, 17 at 0.8), so the chance is at most ``MISSED``.
 3. Adaptive depth: regions too large for one task take deeper prefixes until they are small enough or the deepest is
    reached; but a deeper prefix would lose pairs, so there it only gives the region's pivots. Texts that match
    the pivot are settled; blocks compare all others with the whole region.
@@ -16,7 +16,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,17 +30,30 @@ from tallgrove.llm.frames import ready, stored, without
 from tallgrove.llm.words import SPACED, Words, grams, mix, words
 
 SHINGLE = 5
-TREES = 12
 DEPTH = 8
 LEAST_DEPTH = 4
+#: Bound of the chance that no tree brings a pair at the threshold together.
+MISSED = 0.00015
 #: Texts of a region that one task compares; larger regions are cut into blocks of so many.
 BLOCK = 256
 NO_ID = -(2**63)
 OUTPUT = ("n_shingles", "component_id", "kept")
 
-_draw = np.random.default_rng(20240607)
-FACTORS = _draw.integers(1, 2**63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-SHIFTS = _draw.integers(0, 2**63, TREES * DEPTH, dtype=np.uint64)
+
+def trees_for(percent: int, least_depth: int = LEAST_DEPTH) -> int:
+    """Trees after which a pair of that similarity is missed with a chance of at most ``MISSED``."""
+    met = (percent / 100) ** least_depth
+    trees = math.ceil(math.log(MISSED) / math.log1p(-met)) if 0 < met < 1 else 1
+    if met <= 0 or trees > 255:
+        raise ValueError(f"{percent} percent is too low for prefixes of {least_depth} minima; take a smaller least_depth")
+    return trees
+
+
+def hash_family(trees: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and shifts of the minima of all trees."""
+    draw = np.random.default_rng(20240607)
+    factors = draw.integers(1, 2**63, trees * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return factors, draw.integers(0, 2**63, trees * DEPTH, dtype=np.uint64)
 
 
 def shingle_sets(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -66,37 +80,42 @@ def shingle_sets(w: Words) -> tuple[np.ndarray, np.ndarray]:
 SIGNED = "doc long, n_shingles long, s1 long, s2 long, labels array<binary>"
 
 
-def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Set size, 128-bit digest of the set, and the trees' labels of each text."""
-    for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        for w in words(batch.column(1), SPACED):
-            rows, codes = shingle_sets(w)
-            n = np.bincount(rows, minlength=w.rows)
-            full = np.flatnonzero(n)
-            starts = (np.cumsum(n) - n)[full]
-            labels = np.zeros((len(full), TREES * DEPTH), ">u4")
-            for k in range(TREES * DEPTH if len(full) else 0):
-                labels[:, k] = np.minimum.reduceat((codes * FACTORS[k] + SHIFTS[k]) >> np.uint64(32), starts)
-            digest = np.zeros((w.rows, 2), np.int64)
-            bounds = [*starts.tolist(), len(codes)]
-            for i, row in enumerate(full.tolist()):
-                digest[row] = np.frombuffer(xxhash.xxh3_128_digest(codes[bounds[i] : bounds[i + 1]].tobytes()), np.int64)
-            whole = labels.tobytes()
-            place = np.full(w.rows, -1, np.int64)
-            place[full] = np.arange(len(full))
-            width = DEPTH * 4
-            lists = [
-                [whole[(p * TREES + t) * width : (p * TREES + t + 1) * width] for t in range(TREES)] if p >= 0 else None
-                for p in place.tolist()
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids[w.first : w.first + w.rows], pa.int64()), pa.array(n, pa.int64()),
-                    pa.array(digest[:, 0]), pa.array(digest[:, 1]), pa.array(lists, pa.list_(pa.binary())),
-                ],
-                names=["doc", "n_shingles", "s1", "s2", "labels"],
-            )
+def sign(trees: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Map of texts to set size, 128-bit digest of the set, and the trees' labels."""
+    factors, shifts = hash_family(trees)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for w in words(batch.column(1), SPACED):
+                rows, codes = shingle_sets(w)
+                n = np.bincount(rows, minlength=w.rows)
+                full = np.flatnonzero(n)
+                starts = (np.cumsum(n) - n)[full]
+                labels = np.zeros((len(full), trees * DEPTH), ">u4")
+                for k in range(trees * DEPTH if len(full) else 0):
+                    labels[:, k] = np.minimum.reduceat((codes * factors[k] + shifts[k]) >> np.uint64(32), starts)
+                digest = np.zeros((w.rows, 2), np.int64)
+                bounds = [*starts.tolist(), len(codes)]
+                for i, row in enumerate(full.tolist()):
+                    digest[row] = np.frombuffer(xxhash.xxh3_128_digest(codes[bounds[i] : bounds[i + 1]].tobytes()), np.int64)
+                whole = labels.tobytes()
+                place = np.full(w.rows, -1, np.int64)
+                place[full] = np.arange(len(full))
+                width = DEPTH * 4
+                lists = [
+                    [whole[(p * trees + t) * width : (p * trees + t + 1) * width] for t in range(trees)] if p >= 0 else None
+                    for p in place.tolist()
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(ids[w.first : w.first + w.rows], pa.int64()), pa.array(n, pa.int64()),
+                        pa.array(digest[:, 0]), pa.array(digest[:, 1]), pa.array(lists, pa.list_(pa.binary())),
+                    ],
+                    names=["doc", "n_shingles", "s1", "s2", "labels"],
+                )
+
+    return run
 
 
 def forest_ties(labels: DataFrame, least_depth: int) -> DataFrame:
@@ -310,7 +329,7 @@ def near_groups(
     """(doc, n_shingles, component) of every row; links are pairs with at least ``percent`` similarity."""
     ready(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text")
-    signed = stored(texts.mapInArrow(sign, SIGNED), "signatures")
+    signed = stored(texts.mapInArrow(sign(trees_for(percent, least_depth)), SIGNED), "signatures")
     sets = signed.filter("n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc").alias("rep"), F.first("labels").alias("labels"))
     sets = stored(sets, "sets")
     labels = sets.select(F.col("rep").alias("doc"), F.posexplode("labels").alias("tree", "label")).select("tree", "label", "doc")
@@ -350,7 +369,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, least_depth: int = LEAST
     )
 
 
-def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
     """``docs`` less all but the least id of each group of near duplicates."""
     gone = near_duplicates(without(docs, *OUTPUT), percent).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

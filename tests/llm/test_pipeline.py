@@ -5,6 +5,7 @@ from __future__ import annotations
 import shutil
 import subprocess
 import sys
+from functools import partial
 from pathlib import Path
 
 import brute
@@ -12,7 +13,7 @@ import pytest
 from conftest import SMALL
 
 import corpus_pipeline
-from tallgrove.llm import oracle, queries
+from tallgrove.llm import near_dedup, oracle, queries
 
 ROOT = Path(__file__).resolve().parents[2]
 
@@ -55,6 +56,28 @@ def test_stages_on_odd_tables(spark, name, stage):
     assert stage(spark, docs.limit(0), SMALL).collect() == []
 
 
+def test_run_against_brute_force_at_80_percent(spark, monkeypatch):
+    monkeypatch.setattr(brute, "near", partial(brute.near, percent=80))
+    test_run_against_brute_force(spark)
+
+
+def test_near_stage_links_from_80_percent(spark):
+    """Pairs with 41 of 50 shingles in common (0.82) go; pairs with 39 of 50 (0.78) stay, as do those of op9 at 0.82."""
+    def pair(i: int, common: int) -> list[str]:
+        ends = 50 - common  # shingles of either text alone, half of them each
+        same = [f"w{i}x{k}" for k in range(common + 4)]
+        return [" ".join([f"l{i}x{k}" for k in range(ends // 2)] + same), " ".join(same + [f"r{i}x{k}" for k in range(ends - ends // 2)])]
+
+    texts = dict(enumerate(t for i in range(20) for t in pair(i, 41 if i < 10 else 39)))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = {i for i, v in brute.near(texts, 80).items() if v[2]}
+    assert len(want) == 30
+    assert {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, SMALL).collect()} == want
+    assert near_dedup.near_duplicates(docs).filter("kept").count() == 40
+    assert (near_dedup.trees_for(85), near_dedup.trees_for(80)) == (12, 17)
+    assert all((1 - (p / 100) ** 4) ** near_dedup.trees_for(p) <= 0.00015 for p in range(45, 100))
+
+
 def test_every_operator_has_a_query():
     assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
     assert set(oracle.ORACLE) <= set(queries.QUERIES)
