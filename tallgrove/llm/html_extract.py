@@ -1,7 +1,9 @@
 """Main text of web pages by paths on which the pages of a host agree.
 
 1. Each page's containers are scored by the text that stands in them outside of links and page furniture;
-   nearer containers get more of it. The best container's path (tags and classes, digits generalised) is the page's vote.
+   nearer containers get more of it. From the best one the vote rises to the outermost article or main around it, or to what
+   holds its headings and leads; its path (tags and classes, digits generalised) is the page's vote. A class or id
+   word alone never makes furniture of a container around the page's article, main or most of its text.
 2. Votes are summed per (host, path) with map-side sums, and each host's winner is taken.
 3. Pages are read again with the winner of their host: the blocks in the containers with that path are the
    text. A page without such a container, and one whose host is unknown or of two minds, uses its own best path.
@@ -38,6 +40,8 @@ BLOCKS = frozenset(
     " h4 h5 h6 head header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul option".split()
 )
 CONTAINERS = frozenset("body article main section div td center blockquote".split())
+#: Elements that a class or id word makes furniture only if they are not the page's wrapper.
+WRAPPERS = CONTAINERS | frozenset("table tbody tr".split())
 CLOSED_BY_OWN = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                  "th": {"td", "th"}, "option": {"option"}}
 FURNITURE = frozenset(
@@ -53,14 +57,20 @@ def attributes(source: str) -> dict[str, str]:
 
 
 def is_furniture(tag: str, found: dict[str, str], in_article: bool) -> bool:
+    """By tag, role or style."""
     if tag in SKIPPED or (tag == "header" and not in_article):
         return True
     if tag in ("html", "body", "article", "main"):
         return False
     if "hidden" in found or found.get("aria-hidden") == "true" or found.get("role") in ROLES:
         return True
-    if "display:none" in found.get("style", "").replace(" ", ""):
-        return True
+    return "display:none" in found.get("style", "").replace(" ", "")
+
+
+def named_furniture(tag: str, found: dict[str, str], in_article: bool) -> bool:
+    """By a word of its class or id."""
+    if tag in ("html", "body", "article", "main"):
+        return False
     words = set(re.split(r"[^a-z]+", f"{found.get('class', '')} {found.get('id', '')}".lower()))
     return bool(words & FURNITURE) or ("header" in words and not in_article)
 
@@ -70,8 +80,13 @@ class Page:
 
     def __init__(self, source: str) -> None:
         self.paths: list[str] = []  # of each container
+        self.above: list[int] = []  # the container around it, or -1
         self.blocks: list[tuple[str, tuple[int, ...], int]] = []  # text, containers from the outside, characters outside links
-        self._stack: list[tuple[str, int]] = []  # tag, container or -1
+        self.titles: set[int] = set()  # blocks that are an h1
+        self._marks: list[tuple[tuple[str, int], ...]] = []  # of each block: (tag, number) of the elements in _named, articles and mains around it
+        self._named: list[int] = []  # numbers of the elements that a class or id word may make furniture
+        self._elements = 0
+        self._stack: list[tuple[str, int, tuple[str, int] | None]] = []  # tag, container or -1, mark
         self._text: list[str] = []
         self._linked = 0
         self._links = 0
@@ -83,7 +98,10 @@ class Page:
             return
         text = " ".join("".join(self._text).split())
         if text:
-            inside = tuple(c for _, c in self._stack if c >= 0)
+            inside = tuple(c for _, c, _ in self._stack if c >= 0)
+            if any(tag == "h1" for tag, _, _ in self._stack):
+                self.titles.add(len(self.blocks))
+            self._marks.append(tuple(m for _, _, m in self._stack if m))
             self.blocks.append((text, inside, max(0, len(text) - self._linked)))
         self._text, self._linked = [], 0
 
@@ -98,7 +116,7 @@ class Page:
 
     def _close(self, depth: int) -> None:
         """Close all elements from this depth on."""
-        for tag, _ in self._stack[depth:]:
+        for tag, _, _ in self._stack[depth:]:
             self._links -= tag == "a"
         del self._stack[depth:]
         if self._skip >= depth:
@@ -118,20 +136,27 @@ class Page:
             if tag == "br":
                 self._add(" ")
             return
-        container = -1
+        container, mark = -1, None
         if self._skip < 0:
             found = attributes(source) if source.strip(" /") else {}
-            in_article = any(t in ("article", "main") for t, _ in stack)
-            if is_furniture(tag, found, in_article):
-                self._skip = len(stack)
-            elif tag in CONTAINERS:
-                above = next((c for _, c in reversed(stack) if c >= 0), -1)
+            in_article = any(t in ("article", "main") for t, _, _ in stack)
+            named = named_furniture(tag, found, in_article)
+            if named and tag in WRAPPERS or tag in ("article", "main"):
+                mark = (tag, self._elements)
+                self._elements += 1
+            if is_furniture(tag, found, in_article) or (named and not mark):
+                self._skip, mark = len(stack), None
+            elif named:
+                self._named.append(mark[1])
+            if self._skip < 0 and tag in CONTAINERS:
+                above = next((c for _, c, _ in reversed(stack) if c >= 0), -1)
+                self.above.append(above)
                 names = sorted({re.sub(r"\d+", "0", n) for n in found.get("class", "").lower().split()})
                 self.paths.append((self.paths[above] + ">" if above >= 0 else "") + ".".join([tag, *names]))
                 container = len(self.paths) - 1
         if tag == "a":
             self._links += 1
-        stack.append((tag, container))
+        stack.append((tag, container, mark))
 
     def _shut(self, tag: str) -> None:
         if tag in BLOCKS:
@@ -165,9 +190,54 @@ class Page:
             found = TAG.search(source, at)
         self._add(source[at:])
         self._flush()
+        if self._named:
+            wrappers = self._wrappers()
+            gone = {n for n in self._named if n not in wrappers}
+            left = [i for i, marks in enumerate(self._marks) if not any(n in gone for _, n in marks)]
+            self.titles = {k for k, i in enumerate(left) if i in self.titles}
+            self.blocks = [self.blocks[i] for i in left]
+
+    def _wrappers(self) -> set[int]:
+        """Elements around the page's article or main or most of its text, so that their names do not count."""
+        named = set(self._named)
+        own: dict[int, int] = {}  # characters outside links in each
+        held: dict[int, set[str]] = {}  # article and main, if in it
+        over: dict[int, tuple[set[int], bool]] = {}  # the named elements around it (-1: page), whether an article or main is
+        text_in: dict[str, set[int]] = {"article": set(), "main": set()}  # the nearest named elements around the text of such
+        whole = 0
+        for marks, (_, _, size) in zip(self._marks, self.blocks, strict=True):
+            whole += size
+            around, inside, nearest = {-1}, False, -1
+            for tag, n in marks:
+                if n in named:
+                    if n not in over:
+                        over[n] = (set(around), inside)
+                    around.add(n)
+                    nearest = n
+                    own[n] = own.get(n, 0) + size
+                else:
+                    inside = True
+            found: set[str] = set()
+            for tag, n in reversed(marks):
+                if n in named:
+                    held.setdefault(n, set()).update(found)
+                else:
+                    found.add(tag)
+            for tag in found:
+                text_in[tag].add(nearest)
+        out = set()
+        for n, (around, inside) in over.items():
+            if "main" in held[n]:
+                out.add(n)
+            elif not text_in["article"] & around:
+                if "article" in held[n] and not inside:
+                    out.add(n)
+                elif ("article" in held[n] or not text_in["main"] & around) and 2 * own[n] > whole:
+                    out.add(n)
+        return out
 
     def best(self) -> str:
-        """Path of the container with the highest score; '' if no text stands in one."""
+        """Path of the container that ``_rise`` finds from the one with the highest score; '' if no text stands in one."""
         scores = [0.0] * len(self.paths)
         for _, inside, own in self.blocks:
             for distance, container in enumerate(reversed(inside), 1):
@@ -176,7 +246,34 @@ class Page:
             if path.rpartition(">")[2].partition(".")[0] in ("article", "main"):
                 scores[i] *= 1.5
         top = max(scores, default=0.0)
-        return self.paths[scores.index(top)] if top > 0 else ""
+        return self.paths[self._rise(scores.index(top))] if top > 0 else ""
+
+    def _rise(self, container: int) -> int:
+        """The outermost article or main around a container; without one, the ancestor that holds its headings and leads.
+
+        Such an ancestor adds an h1 or text that stands in no other container, and other text only if it is
+        less than what is there already (body: none).
+        """
+        line = [container]
+        while self.above[line[-1]] >= 0:
+            line.append(self.above[line[-1]])
+        tags = [self.paths[c].rpartition(">")[2].partition(".")[0] for c in line]
+        whole = [c for c, tag in zip(line, tags) if tag in ("article", "main")]
+        if whole:
+            return whole[-1]
+        for ancestor, tag in zip(line[1:], tags[1:]):
+            kept = adds = other = 0
+            for i, (_, inside, own) in enumerate(self.blocks):
+                if container in inside:
+                    kept += own
+                elif ancestor in inside:
+                    if i in self.titles or inside[-1] in line:
+                        adds += own
+                    else:
+                        other += own
+            if adds and (other < kept if tag != "body" else not other):
+                container = ancestor
+        return container
 
     def text_at(self, path: str) -> list[str]:
         """Blocks in the containers with the path, in page order; '' is the whole page."""

@@ -84,6 +84,38 @@ def test_pages():
     assert main("<script>unclosed <p>x") == ""
 
 
+def test_whole_articles():
+    """Titles and leads beside the longest container of an article stay; so does an article in a wrapper named like furniture."""
+    long = "body of the text " * 40
+    whole = f"title\nlead\n{long.strip()}"
+    inner = f"<h1>title</h1><p>lead</p><div class=body>{long}</div>"
+    for outer in ("article", "main", "div class=post"):
+        assert main(f"<body><{outer}>{inner}</{outer.split()[0]}><div class=box>other</div></body>") == whole
+    assert main(f"<div class=post><div class=top><h1>title</h1></div><p>lead<div class=body>{long}</div></div>") == whole
+    for tag in ("blockquote", "section"):
+        assert main(f"<article><h1>title</h1><p>lead</p><{tag}>{long}</{tag}></article>") == whole
+    assert main(f"<article><h1>title</h1><p>lead</p><table><tr><td>{long}</table></article>") == whole
+    side = "<div class=sidebar><p>side</p></div>"
+    for wrapper in ("div class='page has-sidebar'", "section id=menu-page", "div class=header-fixed"):
+        for tag in ("article", "main", "div"):
+            page = f"<body><{wrapper}><{tag}>{inner}</{tag}>{side}</{wrapper.split()[0]}></body>"
+            assert main(page) == whole, page
+    assert main(f"<main><h1>top</h1><div class='has-sidebar'><article>{inner}</article>{side}</div></main>") == "top\n" + whole
+    talk = "<div id=comments>" + f"<article><p>comment {long}</p></article>" * 3 + "</div>"
+    assert main(f"<article>{inner}</article>{talk}") == whole
+    assert main(f"<main><article>{inner}</article>{talk}</main>") == whole
+    teasers = "<div class=sidebar><article><p>teaser</p></article></div>"
+    assert main(f"<body><div class='page has-sidebar'><article>{inner}</article></div>{teasers}</body>").startswith(whole)
+    assert main(f"<article><p>some <span class=share>Share</span> words</p>{side}</article>") == "some words"
+
+
+def test_hosts_keep_whole_articles(spark):
+    """Votes of a host's pages do not cut its pages to a part of the article."""
+    page = "<body><div class='page has-sidebar'><article><h1>title</h1><p>lead</p><div class=body>" + "long text " * 60 + "</div></article></div></body>"
+    df = spark.createDataFrame([(i, f"http://w.example/{i}", page) for i in range(3)], "page_id long, url string, html string")
+    assert {r["text"] for r in html_extract.extract(df).collect()} == {"title\nlead\n" + ("long text " * 60).strip()}
+
+
 def test_hosts_agree(spark):
     """A page whose longest container is not the host's: the host's path wins."""
     good = "<body><div class='content-{0}'><p>" + "text of the page " * 6 + "</p></div><div class='box'><p>box</p></div></body>"
