@@ -282,8 +282,19 @@ def held_out(identity: Column, parts: int = 4, part: int = 2) -> Column:
     return F.crc32(F.coalesce(identity.cast("string"), F.lit(""))) % parts == part
 
 
-def reject_unknown(docs: DataFrame, least_score: float = 0.3) -> DataFrame:
-    """``docs`` whose language is told with at least this score, by a model learned from their own labels."""
+def reject_unknown(docs: DataFrame) -> DataFrame:
+    """``docs`` less the rows that are 'und' by a model learned from their own labels.
+
+    No score is asked for: in a text of several languages the best mean is low however sure each word is. Where
+    nothing is labelled, only null texts and those without a letter go.
+    """
     model = train(docs.filter(~held_out(F.col("doc_id"))))
-    told = identify(without(docs, *OUTPUT), model)
-    return told.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).drop(*OUTPUT)
+    base = without(docs, *OUTPUT)
+    if model:
+        return identify(base, model).filter(F.col("lang_pred") != UNKNOWN).drop(*OUTPUT)
+
+    def lettered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([bool(t) and LETTER.search(t) is not None for t in batch.column("text").to_pylist()], pa.bool_()))
+
+    return base.mapInArrow(lettered, base.schema)

@@ -9,6 +9,7 @@ import brute
 import numpy as np
 import pytest
 from conftest import CHECK, SMALL
+from pyspark.sql import functions as F
 
 from tallgrove.llm import decontamination, language_id, lm_scoring, mixing, queries
 from tallgrove.llm.language_id import CHAIN, Chains
@@ -138,6 +139,23 @@ def test_language_edge_rows(spark):
     assert language_id.identify(odd.limit(0), model).collect() == []
 
 
+def test_unknown_languages_are_told_by_letters(spark):
+    """A text of four languages in equal parts stays, and so do all lettered texts where nothing is labelled."""
+    draw = random.Random(5)
+    own = {lang: ["".join(draw.choice(letters) for _ in range(6)) for _ in range(40)] for lang, letters in zip("abcd", ("abcde", "fghij", "klmno", "pqrst"))}
+
+    def text(lang: str) -> str:
+        return " ".join(draw.choice(own[lang]) for _ in range(64))
+
+    rows = [(i, text("abcd"[i % 4]), "abcd"[i % 4]) for i in range(120)]
+    rows += [(200 + k, " ".join(text(lang) for lang in "abcd"), None) for k in range(3)] + [(300, "12 !", None), (301, None, "a"), (302, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = {*range(120), 200, 201, 202}
+    assert {r["doc_id"] for r in language_id.reject_unknown(docs).collect()} == want
+    bare = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r["doc_id"] for r in language_id.reject_unknown(bare).collect()} == want
+
+
 def test_forward_backward_sums_over_all_paths():
     draw = np.random.default_rng(1)
     doc = np.array([0, 0, 0, 1, 2, 2])
