@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tallgrove.llm.frames import ready, schema_with, without
 from tallgrove.llm.words import ALNUM, words
+from tallgrove.operators.sampling import exact_share
 
 WINDOW = 13
 GROUP_BYTES = 16_000_000
@@ -250,7 +251,8 @@ def decontaminate(
     """
     names = without(docs, *OUTPUT, "clean_text").columns
     found = hits(without(docs, *OUTPUT, "clean_text"), items, window, group_bytes)
-    per = round(1 / least_share)
+    share = exact_share(least_share)
+    part, whole = share.numerator, share.denominator
     schema = schema_with(
         found.select(*names, "n_words"), n_hit="long", n_items="long", items_sha256="string", contaminated="boolean",
         clean_text="string",
@@ -271,7 +273,7 @@ def decontaminate(
                 pa.array(n_hit, pa.int64()),
                 pa.array([len(x) for x in items_of], pa.int64()),
                 pa.array(digest, pa.string()),
-                pa.array([h > 0 and per * h >= n for h, n in zip(n_hit, total)], pa.bool_()),
+                pa.array([h > 0 and whole * h >= part * n for h, n in zip(n_hit, total)], pa.bool_()),
                 pa.array(clean, pa.string()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=out)

@@ -49,6 +49,18 @@ def mixed(spark, rows):
     return mixing.mix(df).collect()
 
 
+@pytest.mark.parametrize("share,least", [(0.3, 3), (0.08, 1), (0.7, 7), (1 / 3, 4), (0.05, 1), (1.0, 10)])
+def test_contamination_share_is_exact(spark, share, least):
+    """Of ten words the share asked for, not the nearest 1/n."""
+    hit = "p q r s t u v w x y".split()
+    rows = [(k, " ".join(hit[:k] + [f"z{i}" for i in range(10 - k)])) for k in range(1, 11)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(hit[:k])) for k in range(1, 11)], "item_id long, text string")
+    got = decontamination.decontaminate(docs, bench, least_share=share).collect()
+    assert {r["doc_id"]: r["n_hit"] for r in got} == {k: k for k in range(1, 11)}
+    assert {r["doc_id"] for r in got if r["contaminated"]} == set(range(least, 11))
+
+
 def test_mixing(spark):
     draw = random.Random(2)
     rows = [(i, draw.choice(["a", "b", "b", "b", "é", "Z", None]), "w " * draw.randint(0, 40), 1) for i in range(300)]
