@@ -15,6 +15,7 @@ from tallgrove.operators import evaluation as ev
 from tallgrove.operators import payloads as pl
 from tallgrove.operators.forecasting import ses_forecast
 from tallgrove.operators.nodes import tree_rules
+from tallgrove.operators.ordering import ROWS_PER_BUCKET
 from tallgrove.operators.out_of_bag import bag_weight
 from tallgrove.operators.out_of_bag import oob_error as oob_error_of
 from tallgrove.operators.sampling import TEST, TRAIN, VALIDATE, split, stratified_folds, stratified_partition
@@ -687,18 +688,28 @@ def _late_orders(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+#: Pieces of the score range that the queries of pieces ask for, until each holds ROWS_PER_BUCKET rows.
+PIECES = 64
+
+
+def _piece_rows(rows: int) -> int:
+    return min(ROWS_PER_BUCKET, max(97, -(-rows // PIECES)))
+
+
 @query
 def auc_pieces(spark: SparkSession, directory: str) -> DataFrame:
-    """The area by pieces of the score range much smaller than the groups."""
+    """The area by pieces of the score range smaller than the groups."""
     rows = _late_orders(spark, directory)
-    area = ev.auc(rows, "ORIGINAL_LABEL", "P", ft.POSITIVE, by=("o_orderpriority",), rows_per_bucket=97)
+    size = _piece_rows(rows.count())
+    area = ev.auc(rows, "ORIGINAL_LABEL", "P", ft.POSITIVE, by=("o_orderpriority",), rows_per_bucket=size)
     return area.withColumn("STAT_VALUE", F.round("STAT_VALUE", 6))
 
 
 @query
 def roc_pieces(spark: SparkSession, directory: str) -> DataFrame:
     rows = _late_orders(spark, directory)
-    points = ev.roc_curve(rows, "ORIGINAL_LABEL", "P", ft.POSITIVE, ("o_orderpriority",), rows_per_bucket=97)
+    size = _piece_rows(rows.count())
+    points = ev.roc_curve(rows, "ORIGINAL_LABEL", "P", ft.POSITIVE, ("o_orderpriority",), rows_per_bucket=size)
     return points.withColumn("FPR", F.round("FPR", 6)).withColumn("TPR", F.round("TPR", 6))
 
 

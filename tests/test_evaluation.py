@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallgrove.operators import evaluation as ev
 from tallgrove.operators.ordering import running_totals
+from tallgrove.plans import queries
 
 SCHEMA = "ID long, ORIGINAL_LABEL string, PROBABILITY double"
 
@@ -37,6 +38,26 @@ def test_area_matches_pair_counting(spark, digits, per_bucket):
     assert got == pytest.approx(brute_area(rows), abs=1e-12)
 
 
+@pytest.mark.parametrize("name", ["auc_pieces", "roc_pieces"])
+def test_queries_of_pieces_bound_their_number(spark, name, monkeypatch):
+    """The pieces do not grow with the table until each holds a million rows, and are more than one."""
+    asked = []
+
+    def noted(df, by, order, sums, rows_per_bucket):
+        asked.append(-(-df.count() // rows_per_bucket))
+        return running_totals(df, by, order, sums, rows_per_bucket)
+
+    monkeypatch.setattr(ev, "running_totals", noted)
+    rows = spark.range(20000).select(
+        F.when(F.col("id") % 3 == 0, "F").otherwise("O").alias("o_orderstatus"), (F.col("id") * 1.5).alias("o_totalprice"),
+        F.lit("1-URGENT").alias("o_orderpriority"),
+    )
+    monkeypatch.setattr(queries, "load", lambda *_: rows)
+    getattr(queries, name)(spark, "").collect()
+    assert len(asked) == 1 and 1 < asked[0] <= 64
+    assert all(-(-n // queries._piece_rows(n)) <= max(64, -(-n // 1_000_000)) for n in (0, 1, 96, 6208, 6209, 45_000_000, 10**10))
+
+
 def test_area_matches_the_ml_evaluator(spark):
     rows = spark.createDataFrame(sample(800, 2), SCHEMA)
     ours = ev.auc(rows).first()["STAT_VALUE"]
