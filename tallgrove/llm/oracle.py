@@ -128,6 +128,67 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_
 FROM doc LEFT JOIN sized USING (doc_id) LEFT JOIN least USING (doc_id)
 """
 
+AUDIT = r"""
+WITH doc AS (
+  SELECT d.doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), false) AS copy
+  FROM documents d),
+flag AS (SELECT doc_id, max((quality IS NOT DISTINCT FROM 1)::INT) AS good, max((toxic IS NOT DISTINCT FROM 1)::INT) AS toxic
+  FROM labels GROUP BY doc_id),
+judged AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    [len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w),
+     100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t), regexp_matches(t, '[#$%&*|]'), copy] AS f
+  FROM doc LEFT JOIN flag USING (doc_id)),
+kind AS (SELECT part, good, toxic, f, count(*) AS n FROM judged GROUP BY ALL),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l, unnest(range(1, 6)) AS i),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.i, b.i, c.i, d.i, e.i] AS o
+  FROM letter a, letter b, letter c, letter d, letter e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+steps AS (
+  SELECT part, filter_order, k::INT AS step, o[k] AS i, n, good, toxic, f[o[k]] AS fails,
+    len(list_filter(o[:k - 1], lambda x: f[x])) > 0 AS gone, len(list_filter(f, lambda x: x)) = 1 AS alone
+  FROM kind, orders, unnest(range(1, 6)) t(k)),
+counted AS (
+  SELECT part, filter_order, step, i,
+    coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (fails AND NOT gone), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (fails AND gone), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (fails AND alone), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n * good) FILTER (fails AND NOT gone), 0)::BIGINT AS good_lost,
+    coalesce(sum(n * toxic) FILTER (fails AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM steps GROUP BY ALL)
+SELECT * EXCLUDE (i), sum(removed) OVER (PARTITION BY part, i)::BIGINT AS shapley FROM counted
+"""
+
+SEARCH = rf"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents WHERE text IS NOT NULL),
+total AS (SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS length FROM doc WHERE len(w) > 0),
+item AS (
+  SELECT row_number() OVER () AS q, item_id,
+    regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL),
+asked AS (SELECT q, item_id, term, count(*) AS repeats FROM item, unnest(w) t(term) GROUP BY ALL),
+posting AS (
+  SELECT r, doc_id, len(w) AS n, term, count(*)::BIGINT AS tf FROM doc, unnest(w) t(term)
+  WHERE term IN (SELECT term FROM asked) GROUP BY r, doc_id, len(w), term),
+weight AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight
+  FROM posting, total GROUP BY term, docs),
+part AS (
+  SELECT r, doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // length))) AS worth
+  FROM posting JOIN weight USING (term), total),
+scored AS (
+  SELECT q, item_id, r, doc_id, sum(repeats * worth)::BIGINT AS score FROM asked JOIN part USING (term) GROUP BY ALL),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id ASC NULLS LAST)::INT AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
 ORACLE = {
     "op1_embedding_dedup": VECTORS,
     "op3_line_dedup": LINES,
@@ -135,4 +196,6 @@ ORACLE = {
     "op5_mixing": MIXING,
     "op8_decontamination": DECONTAMINATION,
     "op9_near_dedup": NEAR,
+    "op11_filter_audit": AUDIT,
+    "op13_lexical_search": SEARCH,
 }

@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallgrove.llm import chat_format, decontamination, embedding_dedup, html_extract, language_id, lines, lm_scoring, mixing, near_dedup, suffix_dedup
+from tallgrove.llm import (
+    byte_bpe,
+    chat_format,
+    decontamination,
+    embedding_dedup,
+    filter_audit,
+    html_extract,
+    language_id,
+    lexical_search,
+    lines,
+    lm_scoring,
+    mixing,
+    near_dedup,
+    suffix_dedup,
+)
 from tallgrove.sources.tables import load
 
 
@@ -66,6 +81,29 @@ def op10_html_extract(spark: SparkSession, directory: str) -> DataFrame:
     return html_extract.extract(pages).select("page_id", "url", *html_extract.OUTPUT)
 
 
+def op11_filter_audit(spark: SparkSession, directory: str) -> DataFrame:
+    docs = load(spark, directory, "documents").select("doc_id", "text", "lang")
+    return filter_audit.audit(docs, load(spark, directory, "labels"))
+
+
+def op12_byte_bpe(spark: SparkSession, directory: str, ranks_file: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
+    docs = load(spark, directory, "documents").select("doc_id", "text")
+    ranks = byte_bpe.read_ranks(public_tokenizers.path(ranks_file))
+    coded = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, keep_text=False)
+    ids = F.col("token_ids")
+    return coded.select(
+        "doc_id",
+        F.size(ids).cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(ids.cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decode(ids, ranks), 256).alias("decoded_sha256"),
+    )
+
+
+def op13_lexical_search(spark: SparkSession, directory: str) -> DataFrame:
+    docs = load(spark, directory, "documents").select("doc_id", "text")
+    return lexical_search.search(docs, load(spark, directory, "benchmark"))
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -77,4 +115,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_near_dedup": op9_near_dedup,
     "op10_html_extract": op10_html_extract,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_lexical_search": op13_lexical_search,
 }
