@@ -303,10 +303,12 @@ def encode(
                 pa.ListArray.from_arrays(pa.array(rare_rows, pa.int32()), pa.array(rare, pa.string())),
             ], names=schema.names)
 
-    split = docs.mapInArrow(look_up, schema).withColumn("_ids", fold_words(F.col("_rare"), table))
-    # A document is a run of known ids, a rare word, a run of known ids, and so on.
-    both = F.zip_with("_known", "_which", lambda run, k: F.when(k.isNull(), run).otherwise(F.concat(run, F.get("_ids", k))))
-    return split.select(*names, F.flatten(both).alias("token_ids"))
+    def joined(ids: Column) -> Column:
+        # A document is a run of known ids, a rare word, a run of known ids, and so on.
+        return F.zip_with("_known", "_which", lambda run, k: F.when(k.isNull(), run).otherwise(F.concat(run, F.get(ids, k))))
+
+    split = docs.mapInArrow(look_up, schema)
+    return split.select(*names, F.flatten(_let(fold_words(F.col("_rare"), table), joined)).alias("token_ids"))
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
