@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
@@ -49,6 +50,24 @@ def test_a_version_is_saved_once(registry, forest):
     registry.save("CHURN", "1.1", TREE, forest.model_rows)
 
 
+def test_concurrent_saves_commit_once(registry, forest):
+    """Both savers see no version and write their rows; one commit fails and leaves nothing behind."""
+    folders = [registry.stage("CHURN", 1.1, FOREST, forest.model_rows, NOW) for _ in range(2)]
+    assert registry.versions().isEmpty()
+    registry.commit("CHURN", 1.1, FOREST, folders[0])
+    with pytest.raises(ValueError, match="already saved"):
+        registry.commit("CHURN", "1.10", FOREST, folders[1])
+    assert registry.load("CHURN", 1.1, FOREST).count() == forest.model_rows.count()
+    assert registry.table().count() == forest.model_rows.count()
+
+
+def test_threads_that_save_one_version(registry, forest):
+    with ThreadPoolExecutor(4) as pool:
+        runs = [pool.submit(registry.save, "A/B =1", 2, TREE, forest.model_rows) for _ in range(4)]
+    assert sorted(r.exception() is None for r in runs) == [False, False, False, True]
+    assert registry.load("A/B =1", 2.0, TREE).count() == forest.model_rows.count()
+
+
 def test_champion(registry, forest, spark):
     other = spark.createDataFrame([(0, "header", "x")], "ROW_INDEX int, KEY string, VALUE string")
     assert registry.save_champion("CHURN", "b", (FOREST, forest.model_rows), (BOOSTED, other)) == BOOSTED
