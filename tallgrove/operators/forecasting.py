@@ -2,17 +2,20 @@
 
 A series is cut into blocks of consecutive time points, so that no task holds
 more than a block however long a series is. With a constant smoothing weight a
-block maps its incoming level F to ``a * F + c``; a short scan over the blocks'
-``(a, c)`` gives every block its incoming level, and all blocks then unfold side
-by side. The adaptive weight has no such form: there the blocks of a series run
-one after the other, all series in parallel.
+block maps its incoming level F to ``a * F + c``. Such maps compose, so ranges of
+``RANGE_BLOCKS`` blocks are composed first, a scan over a series' ranges gives every range its
+incoming level and with it every block, and all blocks then unfold side
+by side. The adaptive weight has no such form: there the blocks of a series stream in order through
+one task that carries the state from block to block, all series in parallel.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from statistics import NormalDist
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +24,7 @@ from tallgrove.functions.params import pivot_params
 from tallgrove.sources.tables import bounded, snapshot
 
 BLOCK_POINTS = 20_000
+RANGE_BLOCKS = 1000
 SCAN_PIECE = 128
 SETTINGS = [
     "ADAPTIVE_METHOD", "ALPHA", "DELTA", "FORECAST_NUM", "EXPOST_FLAG",
@@ -106,23 +110,19 @@ def scan(items: Column, start: Column, step, emit) -> Column:
 
 
 def _unfolded(blocks: DataFrame, group: str) -> DataFrame:
-    """Run the recursion over blocks with a known incoming state (f, e, m, a).
+    """Run the recursion with a constant weight over blocks with a known incoming state (f, e, m, a).
 
     Returns ``(group, BLOCK, ORD, STATE, SSE, N, LAST, FITTED)``; ``FITTED`` pairs
     each point's time with the forecast made before the point was seen.
     """
-    adaptive, delta = F.col("ADAPTIVE_METHOD") > 0, F.col("DELTA")
 
     def step(s: Column, p: Column) -> Column:
         error = p["y"] - s["f"]
-        e = F.when(adaptive, delta * error + (1 - delta) * s["e"]).otherwise(s["e"])
-        m = F.when(adaptive, delta * F.abs(error) + (1 - delta) * s["m"]).otherwise(s["m"])
-        a = F.when(adaptive & (m > 0), F.abs(e / m)).otherwise(s["a"])
         return F.struct(
-            (a * p["y"] + (1 - a) * s["f"]).alias("f"),
-            e.alias("e"),
-            m.alias("m"),
-            a.alias("a"),
+            (s["a"] * p["y"] + (1 - s["a"]) * s["f"]).alias("f"),
+            s["e"].alias("e"),
+            s["m"].alias("m"),
+            s["a"].alias("a"),
             (s["sse"] + error * error).alias("sse"),
         )
 
@@ -140,19 +140,19 @@ def _unfolded(blocks: DataFrame, group: str) -> DataFrame:
     )
 
 
-def _entering(blocks: DataFrame, group: str) -> DataFrame:
-    """``(group, BLOCK, ORD, STATE)``: every block's incoming state.
+def _entering(blocks: DataFrame, group: str, range_blocks: int) -> DataFrame:
+    """``(group, BLOCK, ORD, STATE)``: every block's incoming state under a constant weight.
 
-    Each block is reduced to two numbers first, so a series arrives here as one
-    short entry per block. The level before the first point is that point, which
-    makes the second forecast equal to the first value. For an adaptive group
-    only the first block's state is final.
+    Each block is reduced to two numbers first and each range of blocks to two more, so no row holds more than a
+    range's blocks or a series' ranges. The level before the first point is that point, which
+    makes the second forecast equal to the first value.
     """
     alpha = F.col("ALPHA")
     carry = F.aggregate("POINTS", F.lit(0.0), lambda c, p: alpha * p["y"] + (1 - alpha) * c)
     reduced = blocks.select(
         group,
         "ALPHA",
+        F.floor(F.col("BLOCK") / range_blocks).alias("RANGE"),
         F.struct(
             "BLOCK",
             F.element_at("POINTS", 1)["y"].alias("first"),
@@ -160,35 +160,91 @@ def _entering(blocks: DataFrame, group: str) -> DataFrame:
             carry.alias("c"),
         ).alias("b"),
     )
-    per_group = reduced.groupBy(group, "ALPHA").agg(F.array_sort(F.collect_list("b")).alias("bs"))
-    run = scan(F.col("bs"), F.element_at("bs", 1)["first"], lambda f, b: b["a"] * f + b["c"], lambda f: f)
-    paired = F.zip_with("bs", F.flatten("r.out"), lambda b, f: F.struct(b["BLOCK"].alias("BLOCK"), f.alias("f")))
-    return per_group.withColumn("r", run).select(group, "ALPHA", F.posexplode(paired).alias("ORD", "x")).select(
+    one = F.struct(F.lit(1.0).alias("a"), F.lit(0.0).alias("c"))
+    composed = scan(
+        F.col("bs"), one, lambda s, b: F.struct((b["a"] * s["a"]).alias("a"), (b["a"] * s["c"] + b["c"]).alias("c")), lambda s: s
+    )
+    ranges = (
+        reduced.groupBy(group, "ALPHA", "RANGE").agg(F.array_sort(F.collect_list("b")).alias("bs")).withColumn("r", composed)
+    )
+    short = ranges.select(
+        group,
+        F.struct(
+            "RANGE", F.element_at("bs", 1)["first"].alias("first"), F.size("bs").alias("n"),
+            F.col("r.state.a").alias("a"), F.col("r.state.c").alias("c"),
+        ).alias("x"),
+    )
+    per_group = short.groupBy(group).agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    start = F.struct(F.element_at("xs", 1)["first"].alias("f"), F.lit(0).alias("n"))
+    run = scan(
+        F.col("xs"), start, lambda s, x: F.struct((x["a"] * s["f"] + x["c"]).alias("f"), (s["n"] + x["n"]).alias("n")), lambda s: s
+    )
+    levels = per_group.withColumn("r", run).select(
+        group, F.inline(F.zip_with("xs", F.flatten("r.out"), lambda x, s: F.struct(x["RANGE"].alias("RANGE"), s["f"].alias("f"), s["n"].alias("n"))))
+    )
+    placed = ranges.join(levels, [group, "RANGE"])
+    paired = F.zip_with("bs", F.flatten("r.out"), lambda b, s: F.struct(
+        b["BLOCK"].alias("BLOCK"), (s["a"] * F.col("f") + s["c"]).alias("f")
+    ))
+    return placed.select(group, "ALPHA", "n", F.posexplode(paired).alias("pos", "x")).select(
         group,
         F.col("x.BLOCK").alias("BLOCK"),
-        "ORD",
+        (F.col("n") + F.col("pos")).alias("ORD"),
         F.struct(
             F.col("x.f").alias("f"), F.lit(0.0).alias("e"), F.lit(0.0).alias("m"), F.col("ALPHA").alias("a")
         ).alias("STATE"),
     )
 
 
-def _run(blocks: DataFrame, settings: DataFrame, group: str) -> DataFrame:
+def _carried(blocks: DataFrame, group: str) -> DataFrame:
+    """``_unfolded`` under the adaptive weight: one sorted pass, the state goes from block to block."""
+    schema = T.StructType([
+        blocks.schema[group],
+        *T.StructType.fromDDL(
+            "BLOCK bigint, ORD int, STATE struct<f:double,e:double,m:double,a:double>, SSE double, N bigint, LAST bigint,"
+            " FITTED array<struct<t:bigint,f:double>>"
+        ).fields,
+    ])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, order = None, 0
+        f = e = m = a = 0.0
+        for batch in batches:
+            rows = []
+            columns = (batch.column(c) for c in (group, "BLOCK", "ALPHA", "DELTA", "POINTS"))
+            for key, block, alpha, delta, points in zip(*columns):
+                times, values = (points.values.field(c).to_pylist() for c in ("t", "y"))
+                if (key.as_py(),) != current:
+                    current, order, f, e, m, a = (key.as_py(),), 0, values[0], 0.0, 0.0, alpha.as_py()
+                delta, sse, fitted = delta.as_py(), 0.0, []
+                for y in values:
+                    fitted.append(f)
+                    error = y - f
+                    e = delta * error + (1 - delta) * e
+                    m = delta * abs(error) + (1 - delta) * m
+                    if m > 0:
+                        a = abs(e / m)
+                    sse += error * error
+                    f = a * y + (1 - a) * f
+                rows.append((current[0], block.as_py(), order, {"f": f, "e": e, "m": m, "a": a}, sse, len(values), times[-1],
+                             [{"t": t, "f": x} for t, x in zip(times, fitted)]))
+                order += 1
+            kinds = [batch.schema.field(group).type, pa.int64(), pa.int32(), pa.struct([(c, pa.float64()) for c in "fema"]),
+                     pa.float64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("t", pa.int64()), ("f", pa.float64())]))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=schema.names)
+
+    # Sorting a task's blocks spills; only the block at hand is in the worker.
+    ordered = blocks.select(group, F.col("BLOCK").cast("bigint"), "ALPHA", "DELTA", "POINTS").repartition(group)
+    return ordered.sortWithinPartitions(group, "BLOCK").mapInArrow(run, schema)
+
+
+def _run(blocks: DataFrame, settings: DataFrame, group: str, range_blocks: int) -> DataFrame:
     with_settings = blocks.join(settings, group)
-    entering = _entering(with_settings, group)
-    ready = with_settings.join(entering, [group, "BLOCK"])
-    constant = ready.filter("ADAPTIVE_METHOD = 0")
-    if settings.filter("ADAPTIVE_METHOD > 0").isEmpty():
-        return snapshot(_unfolded(constant, group), label="smoothing")
-    done = snapshot(_unfolded(ready.filter("ADAPTIVE_METHOD = 0 OR ORD = 0"), group), label="smoothing")
-    last = entering.agg(F.max("ORD")).first()[0] or 0
-    previous = done.join(settings.filter("ADAPTIVE_METHOD > 0").select(group), group, "left_semi")
-    for number in range(1, last + 1):
-        states = previous.select(group, "STATE")
-        turn = ready.filter((F.col("ADAPTIVE_METHOD") > 0) & (F.col("ORD") == number)).drop("STATE")
-        previous = snapshot(_unfolded(turn.join(states, group), group), label="smoothing")
-        done = done.unionByName(previous)
-    return done
+    constant = with_settings.filter("ADAPTIVE_METHOD = 0")
+    done = _unfolded(constant.join(_entering(constant, group, range_blocks), [group, "BLOCK"]), group)
+    if not settings.filter("ADAPTIVE_METHOD > 0").isEmpty():
+        done = done.unionByName(_carried(with_settings.filter("ADAPTIVE_METHOD > 0"), group))
+    return snapshot(done, label="smoothing")
 
 
 def ses_forecast(
@@ -198,6 +254,7 @@ def ses_forecast(
     value: str,
     params: DataFrame,
     block_points: int = BLOCK_POINTS,
+    range_blocks: int = RANGE_BLOCKS,
 ) -> tuple[DataFrame, DataFrame]:
     """Forecast every group that has parameter rows; ``(forecast, statistics)``.
 
@@ -210,7 +267,7 @@ def ses_forecast(
     settings = group_settings(params, group)
     matched = df.join(settings.select(group), group, "left_semi")
     blocks = snapshot(_blocks(matched, group, time, value, block_points), label="blocks")
-    run = _run(blocks, settings, group)
+    run = _run(blocks, settings, group, range_blocks)
 
     totals = run.groupBy(group).agg(
         F.sum("SSE").alias("SSE"),

@@ -6,7 +6,7 @@ from statistics import NormalDist
 import pytest
 
 from tallgrove.functions.params import SCHEMA, Params
-from tallgrove.operators.forecasting import ses_forecast, unmatched_groups
+from tallgrove.operators.forecasting import _blocks, _carried, _entering, group_settings, ses_forecast, unmatched_groups
 
 
 def param_rows(spark, **by_group):
@@ -63,6 +63,33 @@ def test_against_a_plain_loop(spark, block, adaptive):
             assert row["PI1_LEVEL"] == 0.8
 
 
+@pytest.mark.parametrize("adaptive", [0, 1])
+def test_many_blocks(spark, adaptive):
+    """A series of 10 000 blocks: no job per block, and no row holds all blocks."""
+    ys = [100 + (i * 7919 % 1000) / 50 for i in range(10_000)]
+    df = spark.createDataFrame([("a", t, y) for t, y in enumerate(ys)] + [("b", 3, 1.0)], "g string, t int, y double")
+    settings = dict(ADAPTIVE_METHOD=adaptive, ALPHA=0.3, DELTA=0.2, FORECAST_NUM=1)
+    forecast, stats = ses_forecast(df, "g", "t", "y", param_rows(spark, a=settings, b=settings), block_points=1, range_blocks=64)
+    fitted, level, mse, _ = plain(ys, 0.3, 0.2 if adaptive else None)
+    got = {r["t"]: r["y"] for r in forecast.filter("g = 'a'").collect()}
+    assert [got[t] for t in range(1, 10_000)] == pytest.approx(fitted, rel=1e-10) and got[10_000] == pytest.approx(level)
+    assert {r["g"]: r["STAT_VALUE"] for r in stats.collect()}["a"] == pytest.approx(mse, rel=1e-9)
+
+
+@pytest.mark.parametrize("adaptive,plan", [(0, "collect_list"), (1, "MapInArrow")])
+def test_ranges_bound_the_rows(spark, adaptive, plan):
+    df = spark.createDataFrame([("a", t, 1.0) for t in range(900)], "g string, t int, y double")
+    params = group_settings(param_rows(spark, a=dict(ADAPTIVE_METHOD=adaptive, FORECAST_NUM=1)), "g")
+    blocks = _blocks(df, "g", "t", "y", 1).join(params, "g")
+    if adaptive:
+        run = _carried(blocks, "g")
+        assert plan in run._jdf.queryExecution().executedPlan().toString() and run.count() == 900
+        return
+    entering = _entering(blocks, "g", 30)
+    assert sorted(r["ORD"] for r in entering.collect()) == list(range(900))
+    assert "RANGE" in entering._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_short_series(spark):
     df = spark.createDataFrame([("one", 1, 5.0), ("two", 1, 5.0), ("two", 2, 7.0)], "g string, t int, y double")
     settings = dict(ALPHA=0.5, FORECAST_NUM=2, PREDICTION_CONFIDENCE_1=0.9)
