@@ -1,14 +1,15 @@
 """Byte-level BPE encoding and decoding with a rank file.
 
-Merging is a fold of Spark's higher-order functions over a word's bytes: the state is the word's
+Merging is a fold of Spark's higher-order functions over a word's bytes: the state is the ids of the word's
 pieces and the rank of every neighbouring pair, and each step joins the pair of least rank. Ranks
-come from a literal map, dealt into buckets by crc32 because a map is searched key by key. A byte is one
-ISO-8859-1 character, so pieces are strings that any byte sequence can be.
+come from a literal map of pairs, dealt into buckets because a map is searched key by key. A piece of rank r is always
+joined from the same two pieces, those that the ranks below r leave of it, so one pair a rank is enough;
+``merges`` finds the pairs and refuses ranks where that does not hold.
 
 Only distinct words are folded:
 
 1. A map counts the words of whole texts. The commonest words, at most ``MOST_WORDS`` of at most
-   ``LONGEST_WORD`` characters, are folded once and broadcast with their ids (a few MB at any size of corpus).
+   ``LONGEST_WORD`` characters, are folded once and broadcast with their ids (some 20 MB at any size of corpus).
 2. A second map splits every text again, takes the ids of known words from the broadcast and hands each
    document's other distinct words to the same fold. No document and no word is shuffled for it.
 
@@ -22,7 +23,6 @@ from __future__ import annotations
 import base64
 import json
 import re
-import zlib
 from collections import Counter
 from collections.abc import Callable
 from itertools import repeat
@@ -34,10 +34,12 @@ from pyspark.sql import functions as F
 
 from tallgrove.llm.frames import ready, schema_with, stored, without
 
-MOST_WORDS = 300_000
+MOST_WORDS = 800_000
 LONGEST_WORD = 64
 FLUSH_WORDS = 500_000
-BUCKETS = 1 << 13
+BUCKETS = 8191
+#: More than any id, so that left * WIDE + right names a pair.
+WIDE = 1 << 24
 WINDOW = 128
 NONE = 2**31 - 1
 OUTPUT = ("token_ids",)
@@ -102,13 +104,43 @@ def splitter(pattern: str) -> Callable[[], Callable[[str], list[str]]]:
 # ------------------------------------------------------------------- fold
 
 
+def merges(ranks: dict[bytes, int]) -> list[tuple[int, int, int]]:
+    """(left, right, joined) ids of the pair that makes every piece of more than one byte."""
+    out = []
+    for piece, rank in ranks.items():
+        if len(piece) < 2:
+            continue
+        parts = [piece[i : i + 1] for i in range(len(piece))]
+        while len(parts) > 2:
+            at = [ranks.get(a + b, NONE) for a, b in zip(parts, parts[1:])]
+            least = min(at)
+            if least >= rank:
+                raise ValueError(f"piece {piece!r} is not made by the ranks below its own")
+            i = at.index(least)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        out.append((ranks[parts[0]], ranks[parts[1]], rank))
+    return out
+
+
 def rank_table(ranks: dict[bytes, int]) -> Column:
-    """The literal: an array of maps from piece to rank, by crc32 of the piece."""
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
+    """The literal: an array of maps from pair to rank, by the pair's remainder."""
+    buckets: list[dict[int, int]] = [{} for _ in range(BUCKETS)]
+    for left, right, rank in merges(ranks):
+        pair = left * WIDE + right
+        buckets[pair % BUCKETS][pair] = rank
+    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>").cast("array<map<bigint,int>>")
+
+
+def lengths(ranks: dict[bytes, int]) -> Column:
+    """The literal: the number of bytes by id."""
+    by_id = [0] * (max(ranks.values()) + 1)
     for piece, rank in ranks.items():
-        text = piece.decode("latin-1")
-        buckets[zlib.crc32(text.encode()) % BUCKETS][text] = rank
-    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
+        by_id[rank] = len(piece)
+    return F.from_json(F.lit(json.dumps(by_id)), "array<int>")
+
+
+def byte_ids(ranks: dict[bytes, int]) -> np.ndarray:
+    return np.array([ranks[bytes([i])] for i in range(256)], np.int32)
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -116,62 +148,57 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _rank(table: Column, piece: Column) -> Column:
-    place = F.crc32(piece.cast("binary")).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
-    return F.coalesce(F.try_element_at(F.get(table, place), piece), F.lit(NONE))
+def _rank(table: Column, left: Column, right: Column) -> Column:
+    pair = left.cast("bigint") * WIDE + right
+    return F.coalesce(F.try_element_at(F.get(table, (pair % BUCKETS).cast("int")), pair), F.lit(NONE))
 
 
 def _state(pieces: Column, ranks: Column) -> Column:
-    least = F.coalesce(F.array_min(ranks), F.lit(NONE))
-    return F.struct(
-        pieces.alias("p"), ranks.alias("r"), least.alias("m"), F.array_position(ranks, least).cast("int").alias("i")
-    )
+    return F.struct(pieces.alias("p"), ranks.alias("r"), F.coalesce(F.array_min(ranks), F.lit(NONE)).alias("m"))
 
 
 def _merge(state: Column, table: Column) -> Column:
-    """Join the first pair of least rank: pieces i and i + 1."""
-    p, r, i = state["p"], state["r"], state["i"]
+    """Join the first pair of least rank, which is the joined piece's id: pieces i and i + 1."""
+    p, r, c = state["p"], state["r"], state["m"]
 
-    def joined(c: Column) -> Column:
-        none = F.slice(r, 1, 0)
-        left = F.when(i > 1, F.array(_rank(table, F.concat(F.get(p, i - 2), c)))).otherwise(none)
-        right = F.when(i + 1 < F.size(p), F.array(_rank(table, F.concat(c, F.get(p, i + 1))))).otherwise(none)
+    def joined(i: Column) -> Column:
+        none = F.lit([]).cast("array<int>")
+        left = F.when(i > 1, F.array(_rank(table, F.get(p, i - 2), c))).otherwise(none)
+        right = F.when(i + 1 < F.size(p), F.array(_rank(table, c, F.get(p, i + 1)))).otherwise(none)
         pieces = F.concat(F.slice(p, F.lit(1), i - 1), F.array(c), F.slice(p, i + 2, F.size(p)))
         ranks = F.concat(F.slice(r, F.lit(1), F.greatest(i - 2, F.lit(0))), left, right, F.slice(r, i + 2, F.size(r)))
-        return _let(ranks, lambda x: _state(pieces, x))
+        return F.struct(pieces.alias("p"), ranks.alias("r"))
 
-    return _let(F.concat(F.get(p, i - 1), F.get(p, i)), joined)
+    both = _let(F.array_position(r, c).cast("int"), joined)
+    return _let(both, lambda x: _state(x["p"], x["r"]))
 
 
 def _pieces(word: Column, table: Column) -> Column:
-    """The pieces of one word of bytes (ISO-8859-1 text)."""
-
-    def fold(p: Column) -> Column:
-        pairs = F.transform(F.sequence(F.lit(1), F.size(p) - 1), lambda i: _rank(table, F.concat(F.get(p, i - 1), F.get(p, i))))
-        steps = F.sequence(F.lit(2), F.size(p))
-        done = F.aggregate(
-            steps, _let(pairs, lambda r: _state(p, r)), lambda s, _: F.when(s["m"] == NONE, s).otherwise(_merge(s, table))
-        )
-        return done["p"]
-
-    whole = (_rank(table, word) < NONE) | (F.length(word) < 2)
-    return F.when(whole, F.array(word)).otherwise(_let(F.split(word, ""), fold))
+    """The ids of one word, given as the ids of its bytes."""
+    pairs = F.zip_with(
+        F.slice(word, F.lit(1), F.size(word) - 1), F.slice(word, F.lit(2), F.size(word)), lambda a, b: _rank(table, a, b)
+    )
+    # Every join shortens the word by one, so there are at most so many.
+    done = F.aggregate(
+        word, _let(pairs, lambda r: _state(word, r)), lambda s, _: F.when(s["m"] == NONE, s).otherwise(_merge(s, table))
+    )
+    return F.when(F.size(word) < 2, word).otherwise(done["p"])
 
 
-def _windows(data: Column, table: Column) -> Column:
+def _windows(word: Column, table: Column, sizes: Column) -> Column:
     """The ids of a long word, from windows that overlap by half."""
     step = WINDOW // 2
-    last = F.ceil((F.length(data) - WINDOW) / step).cast("int")
+    last = F.ceil((F.size(word) - WINDOW) / step).cast("int")
 
     def located(k: Column) -> Column:
         def walk(s: Column, piece: Column) -> Column:
-            token = F.struct(s["at"].alias("at"), _rank(table, piece).alias("id"))
-            return F.struct((s["at"] + F.length(piece)).alias("at"), F.concat(s["out"], F.array(token)).alias("out"))
+            token = F.struct(s["at"].alias("at"), piece.alias("id"))
+            return F.struct((s["at"] + F.get(sizes, piece)).alias("at"), F.concat(s["out"], F.array(token)).alias("out"))
 
         start = k * step
         none = F.slice(F.array(F.struct(start.alias("at"), F.lit(0).alias("id"))), 1, 0)
-        text = F.decode(F.substring(data, start + 1, F.lit(WINDOW)), "ISO-8859-1")
-        return F.aggregate(_pieces(text, table), F.struct(start.alias("at"), none.alias("out")), walk, lambda s: s["out"])
+        part = F.slice(word, start + 1, F.lit(WINDOW))
+        return F.aggregate(_pieces(part, table), F.struct(start.alias("at"), none.alias("out")), walk, lambda s: s["out"])
 
     def joined(tokens: Column) -> Column:
         def meet(k: Column) -> Column:
@@ -182,37 +209,34 @@ def _windows(data: Column, table: Column) -> Column:
                 first, end = F.coalesce(F.get(cuts, k - 1), F.lit(0)), F.coalesce(F.get(cuts, k), F.lit(NONE))
                 return F.transform(F.filter(F.get(tokens, k), lambda x: (x["at"] >= first) & (x["at"] < end)), lambda x: x["id"])
 
-            whole = F.transform(_pieces(F.decode(data, "ISO-8859-1"), table), lambda x: _rank(table, x))
             parts = F.flatten(F.transform(F.sequence(F.lit(0), last), part))
-            return F.when(F.exists(cuts, lambda c: c.isNull()), whole).otherwise(parts)
+            return F.when(F.exists(cuts, lambda c: c.isNull()), _pieces(word, table)).otherwise(parts)
 
         return _let(F.transform(F.sequence(F.lit(0), last - 1), meet), cut)
 
     return _let(F.transform(F.sequence(F.lit(0), last), located), joined)
 
 
-def fold_words(words: Column, table: Column) -> Column:
-    """array<array<int>>: the ids of every word of an array of texts."""
+def fold_words(words: Column, ranks: dict[bytes, int]) -> Column:
+    """array<array<int>>: the ids of every word of an array of words, given as ids of bytes."""
 
-    def one(word: Column, ranks: Column) -> Column:
-        data = word.cast("binary")
-        short = F.transform(_pieces(F.decode(data, "ISO-8859-1"), ranks), lambda x: _rank(ranks, x))
-        return F.when(F.length(data) <= WINDOW, short).otherwise(_windows(data, ranks))
+    def all_words(table: Column, sizes: Column) -> Column:
+        return F.transform(words, lambda w: F.when(F.size(w) <= WINDOW, _pieces(w, table)).otherwise(_windows(w, table, sizes)))
 
-    return _let(table, lambda ranks: F.transform(words, lambda w: one(w, ranks)))
+    return _let(rank_table(ranks), lambda table: _let(lengths(ranks), lambda sizes: all_words(table, sizes)))
 
 
 # ----------------------------------------------------------------- corpus
 
 
 def word_counts(docs: DataFrame, make: Callable) -> DataFrame:
-    """(word, n) of the words that some task met twice; a cache is chosen by it, no result depends on it."""
+    """(word, n) of the words of at most ``LONGEST_WORD`` characters."""
 
     def count(batches):
         words, seen = make(), Counter()
 
         def rows():
-            often = [(w, n) for w, n in seen.items() if n > 1 and len(w) <= LONGEST_WORD]
+            often = [(w, n) for w, n in seen.items() if len(w) <= LONGEST_WORD]
             seen.clear()
             for at in range(0, len(often), 20_000):
                 part = often[at : at + 20_000]
@@ -232,9 +256,10 @@ def word_counts(docs: DataFrame, make: Callable) -> DataFrame:
     return partial.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def known_words(spark: SparkSession, docs: DataFrame, make: Callable, table: Column, most: int) -> pa.Table:
+def known_words(spark: SparkSession, docs: DataFrame, make: Callable, ranks: dict[bytes, int], most: int) -> pa.Table:
     """(word, ids) of the commonest words, at most ``most``: whole steps of a logarithmic scale of counts."""
-    counts = stored(word_counts(docs, make), "words")
+    # A word that occurs once is folded where it stands.
+    counts = stored(word_counts(docs, make).filter("n > 1"), "words")
     step = F.floor(F.log2("n") * 4).cast("int")
     total, least = 0, None
     for row in sorted(counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
@@ -244,9 +269,22 @@ def known_words(spark: SparkSession, docs: DataFrame, make: Callable, table: Col
         least = row["step"]
     chosen = counts.filter(step >= least) if least is not None else counts.limit(0)
     tasks = max(32, spark.sparkContext.defaultParallelism)
+    of_byte = byte_ids(ranks)
+
+    def spell(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), spelled(batch.column(0).to_pylist(), of_byte)], names=["word", "bytes"])
+
     # Few bytes but long work, so the words are dealt out anew.
-    spread = chosen.select("word").repartition(tasks, "word")
-    return spread.select("word", F.get(fold_words(F.array("word"), table), F.lit(0)).alias("ids")).toArrow()
+    spread = chosen.select("word").repartition(tasks, "word").mapInArrow(spell, "word string, bytes array<int>")
+    return spread.select("word", F.get(fold_words(F.array("bytes"), ranks), F.lit(0)).alias("ids")).toArrow()
+
+
+def spelled(words: list[str], of_byte: np.ndarray) -> pa.ListArray:
+    """Every word as the ids of its bytes."""
+    data = [w.encode() for w in words]
+    ends = np.cumsum([0, *map(len, data)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(of_byte[np.frombuffer(b"".join(data), np.uint8)]))
 
 
 def encode(
@@ -260,11 +298,11 @@ def encode(
     """
     spark = ready(docs.sparkSession)
     docs = without(docs, *OUTPUT)
-    make, table = splitter(pattern), rank_table(ranks)
-    words = known_words(spark, docs, make, table, most_words)
+    make, of_byte = splitter(pattern), byte_ids(ranks)
+    words = known_words(spark, docs, make, ranks, most_words)
     known = spark.sparkContext.broadcast(words.combine_chunks())
     names = [c for c in docs.columns if keep_text or c != "text"]
-    schema = schema_with(docs.select(*names), _known="array<array<int>>", _which="array<int>", _rare="array<string>")
+    schema = schema_with(docs.select(*names), _known="array<array<int>>", _which="array<int>", _rare="array<array<int>>")
 
     def look_up(batches):
         table = known.value
@@ -300,7 +338,7 @@ def encode(
                 *[batch.column(c) for c in names],
                 pa.ListArray.from_arrays(pa.array(cut_rows, pa.int32()), segments),
                 pa.ListArray.from_arrays(pa.array(which_rows, pa.int32()), pa.array(which, pa.int32())),
-                pa.ListArray.from_arrays(pa.array(rare_rows, pa.int32()), pa.array(rare, pa.string())),
+                pa.ListArray.from_arrays(pa.array(rare_rows, pa.int32()), spelled(rare, of_byte)),
             ], names=schema.names)
 
     def joined(ids: Column) -> Column:
@@ -308,7 +346,7 @@ def encode(
         return F.zip_with("_known", "_which", lambda run, k: F.when(k.isNull(), run).otherwise(F.concat(run, F.get(ids, k))))
 
     split = docs.mapInArrow(look_up, schema)
-    return split.select(*names, F.flatten(_let(fold_words(F.col("_rare"), table), joined)).alias("token_ids"))
+    return split.select(*names, F.flatten(_let(fold_words(F.col("_rare"), ranks), joined)).alias("token_ids"))
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
