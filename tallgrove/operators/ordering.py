@@ -62,6 +62,46 @@ def exact_cuts(df: DataFrame, by: list[str], key: str, tie: str, quotas: list[st
     )
 
 
+def distributed_rank(df: DataFrame, by: list[str], key: str, tie: str, digits: int = HASH_DIGITS) -> DataFrame:
+    """``df`` with RANK (from 1, in the order of ``(key, tie)``) and TOTAL of its group.
+
+    ``key`` is a hash text as ``shuffle_key`` makes it. Rows are counted per bucket of the key's first ``digits``; a bucket's
+    rank begins after those before it, and only rows of one bucket are sorted together. A NULL group is a group; NULL
+    keys come first, as in Spark's order.
+    """
+    bucketed = df.withColumn("_bucket", F.coalesce(F.substring(key, 1, digits), F.lit("")))
+    keys = [*by, "_bucket"]
+    counts = bucketed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # At most 16 ** digits rows per group reach this window.
+    group = Window.partitionBy(*by)
+    before = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = bounded(counts.select(
+        *keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"), F.sum("_n").over(group).alias("TOTAL")
+    ))
+    inside = Window.partitionBy(*keys).orderBy(key, tie)
+    local = bucketed.withColumn("_local", F.row_number().over(inside))
+    joined = local.join(starts, matching(local, starts, keys))
+    return joined.select(*[local[c] for c in df.columns], (F.col("_start") + F.col("_local")).alias("RANK"), "TOTAL")
+
+
+def positions(df: DataFrame, by: str, order: list[str | Column]) -> DataFrame:
+    """``df`` with POSITION (from 1) in the order of ``(by, *order)`` within each value of ``by``.
+
+    The rows are sorted by ranges of the whole order and stored; a range's positions begin after those of the
+    ranges before it, so a value that half of all rows have is spread over as many tasks as it fills ranges.
+    """
+    sorted_rows = df.orderBy(by, *order).withColumn("_at", F.monotonically_increasing_id())
+    stored, _ = counted_snapshot(sorted_rows, label="ordered")
+    ranged = stored.withColumn("_range", F.shiftright("_at", 33))
+    keys = [by, "_range"]
+    counts = ranged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = bounded(counts.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy(*keys).orderBy("_at")))
+    joined = local.join(starts, matching(local, starts, keys))
+    return joined.select(*[local[c] for c in df.columns], (F.col("_start") + F.col("_local")).cast("bigint").alias("POSITION"))
+
+
 def running_totals(
     df: DataFrame,
     by: list[str],

@@ -7,7 +7,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallgrove.operators.ordering import exact_cuts, shuffle_key
+from tallgrove.operators.ordering import distributed_rank, exact_cuts, shuffle_key
 from tallgrove.sources.tables import bounded, matching
 
 TRAIN, TEST, VALIDATE = 1, 2, 3
@@ -118,6 +118,18 @@ def stratified_folds(
     return folds.withColumn("FOLD", F.col("FOLD") - 1)
 
 
+def folds_by_rank(df: DataFrame, id_column: str, stratify: str | None, k: int, seed: int, check_ids: bool = True) -> DataFrame:
+    """``(id, FOLD)``: every stratum's rows in the order of a seeded hash of the id, dealt to folds 0..k-1 in turn."""
+    if k < 2:
+        raise ValueError("at least two folds are needed")
+    if check_ids:
+        require_unique(df, id_column)
+    stratum = F.col(stratify) if stratify else F.lit(0)
+    keyed = df.select(F.col(id_column), stratum.alias("_stratum"), shuffle_key(id_column, seed).alias("_key"))
+    ranked = distributed_rank(keyed, ["_stratum"], "_key", id_column)
+    return ranked.select(id_column, ((F.col("RANK") - 1) % k).cast("int").alias("FOLD"))
+
+
 def split(df: DataFrame, assignment: DataFrame, id_column: str, part: int) -> DataFrame:
     """The rows of ``df`` that were assigned to ``part``."""
     chosen = assignment.filter(F.col("PARTITION_TYPE") == part).select(id_column)

@@ -470,6 +470,12 @@ row_number() OVER (PARTITION BY SCORE ORDER BY CONFIDENCE DESC, AccountID) AS PO
 (CASE WHEN r <= (2 * n + 3) // 6 THEN 1 WHEN r <= (4 * n + 3) // 6 THEN 2 ELSE 3 END)::INTEGER AS PARTITION_TYPE
 FROM (SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5(concat('11:', o_orderkey)), o_orderkey) AS r,
   count(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders)"""
+    queries["order_ranks"] = """SELECT o_orderkey, o_orderpriority,
+row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5(concat('11:', o_orderkey)), o_orderkey) AS "RANK",
+count(*) OVER (PARTITION BY o_orderpriority) AS TOTAL FROM orders"""
+    queries["order_folds"] = """SELECT o_orderkey, ((row_number() OVER (
+PARTITION BY o_orderpriority ORDER BY md5(concat('25:', o_orderkey)), o_orderkey) - 1) % 10)::INTEGER AS FOLD FROM orders"""
+    queries["bucket_totals"] = f"SELECT count(*) AS RECORD_COUNT, 0::BIGINT AS STRAYED, 7 AS LAST_BUCKET FROM ({new_scores})"
     queries["confusion_call"] = queries["class_stats"]
     queries["auc_pieces"] = queries["auc_many_scores"]
     queries["roc_pieces"] = """WITH g AS (SELECT o_orderpriority AS k, o_totalprice / 1000000 AS s,
@@ -481,6 +487,7 @@ UNION ALL SELECT DISTINCT k, 0, 0.0, 0.0 FROM g"""
     queries["train_cm_grouped"] = queries["train_cm"]
     for name, part in (("split_train", 1), ("split_test", 2), ("split_val", 3)):
         queries[name] = f"{with_part} SELECT abt.* FROM abt JOIN part USING (AccountID) WHERE PARTITION_TYPE = {part}"
+    queries["split_bucketed"] = queries["split_train"]
     return queries
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallgrove.functions import calls
@@ -15,10 +15,10 @@ from tallgrove.operators import evaluation as ev
 from tallgrove.operators import payloads as pl
 from tallgrove.operators.forecasting import ses_forecast
 from tallgrove.operators.nodes import tree_rules
-from tallgrove.operators.ordering import ROWS_PER_BUCKET
+from tallgrove.operators.ordering import ROWS_PER_BUCKET, distributed_rank, positions, shuffle_key
 from tallgrove.operators.out_of_bag import bag_weight
 from tallgrove.operators.out_of_bag import oob_error as oob_error_of
-from tallgrove.operators.sampling import TEST, TRAIN, VALIDATE, split, stratified_folds, stratified_partition
+from tallgrove.operators.sampling import TEST, TRAIN, VALIDATE, folds_by_rank, split, stratified_folds, stratified_partition
 from tallgrove.operators.scoring import load_model, score
 from tallgrove.operators.training import TrainResult, train_boosted, train_forest, train_tree, training_matrix
 from tallgrove.operators.tuning import candidate_counts, candidate_metrics
@@ -28,6 +28,7 @@ from tallgrove.sources.model_rows import chunk, unchunk
 from tallgrove.sources.registry import BOOSTED, FOREST, Registry
 from tallgrove.sources.tables import (
     append,
+    bucket_stats,
     drop,
     empty_like,
     hash_partitioned,
@@ -593,6 +594,25 @@ def score_bucketed(spark: SparkSession, directory: str) -> DataFrame:
     return score(view, gs.model(spark, directory), ft.ID)
 
 
+@query
+def split_bucketed(spark: SparkSession, directory: str) -> DataFrame:
+    """Data and assignment bucketed alike by the id, joined where they lie."""
+    name = spark.sparkContext.applicationId.replace("-", "_").replace(".", "_")
+    rows = write_bucketed(gs.feature_table(spark, directory), f"features_{name}", ft.ID, 8)
+    parts = write_bucketed(gs.assignment(spark, directory), f"parts_{name}", ft.ID, 8)
+    return split(rows, parts, ft.ID, TRAIN)
+
+
+@query
+def bucket_totals(spark: SparkSession, directory: str) -> DataFrame:
+    """Rows of a bucketed table by what its files hold: in all, and how many lie in a bucket that is not their hash's."""
+    name = spark.sparkContext.applicationId.replace("-", "_").replace(".", "_")
+    table = write_bucketed(ft.new_customer_view(spark, directory), f"counted_{name}", ft.ID, 8)
+    return bucket_stats(table, ft.ID, 8).agg(
+        F.sum("RECORD_COUNT").alias("RECORD_COUNT"), F.sum("STRAYED").alias("STRAYED"), F.max("BUCKET_ID").alias("LAST_BUCKET")
+    )
+
+
 @query
 def procedure_score(spark: SparkSession, directory: str) -> DataFrame:
     """The same scores by a plain call and by the table function wrapped around it, where both agree."""
@@ -653,10 +673,22 @@ def account_in_list(spark: SparkSession, directory: str) -> DataFrame:
 @query
 def score_positions(spark: SparkSession, directory: str) -> DataFrame:
     """The order of the sorted report, as positions."""
-    ordered = _new_scores(spark, directory).orderBy("SCORE", F.desc("CONFIDENCE"), ft.ID)
-    stored = snapshot(ordered.withColumn("at", F.monotonically_increasing_id()), label="ordered")
-    in_order = Window.partitionBy("SCORE").orderBy("at")
-    return stored.select(ft.ID, "SCORE", F.row_number().over(in_order).cast("bigint").alias("POSITION"))
+    placed = positions(_new_scores(spark, directory), "SCORE", [F.desc("CONFIDENCE"), ft.ID])
+    return placed.select(ft.ID, "SCORE", "POSITION")
+
+
+@query
+def order_ranks(spark: SparkSession, directory: str) -> DataFrame:
+    """Rank and total of every order within its priority, in the order of a seeded hash."""
+    orders = load(spark, directory, "orders").select("o_orderkey", "o_orderpriority")
+    keyed = orders.withColumn("KEY", shuffle_key("o_orderkey", 11))
+    return distributed_rank(keyed, ["o_orderpriority"], "KEY", "o_orderkey").drop("KEY")
+
+
+@query
+def order_folds(spark: SparkSession, directory: str) -> DataFrame:
+    """Folds by rank modulo k over all orders."""
+    return folds_by_rank(load(spark, directory, "orders"), "o_orderkey", "o_orderpriority", 10, 25)
 
 
 # ------------------------------------------------------- calls with parameter tables

@@ -113,6 +113,22 @@ def partition_stats(df: DataFrame) -> DataFrame:
     )
 
 
+def bucket_stats(table: DataFrame, key: str, buckets: int) -> DataFrame:
+    """``(BUCKET_ID, FILES, RECORD_COUNT, STRAYED)`` of a table that ``write_bucketed`` saved, by its files' names.
+
+    Counts are added up file by file where they are read, so a few numbers a task are shuffled. STRAYED counts
+    rows whose key's hash is another bucket; it is 0 unless files were moved or renamed.
+    """
+    name = F.col("_metadata.file_name")
+    bucket = F.regexp_extract(name, r"_(\d+)(?:\.c\d+)?\.", 1).cast("int")
+    hashed = F.pmod(F.hash(key), F.lit(buckets))
+    return table.groupBy(bucket.alias("BUCKET_ID")).agg(
+        F.countDistinct(name).alias("FILES"),
+        F.count(F.lit(1)).alias("RECORD_COUNT"),
+        F.count_if(hashed != bucket).alias("STRAYED"),
+    )
+
+
 def matching(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     """Null-safe equality over ``keys``; stays an equi-join for Spark."""
     condition = F.lit(True)

@@ -84,3 +84,15 @@ def test_no_cross_join_in_the_library():
             continue
         for word in ("crossJoin", "localCheckpoint", ".rdd", "broadcast(F", "F.broadcast"):
             assert word not in text, f"{word} in {path}"
+
+
+def test_bucketed_split_moves_no_row(spark):
+    import __spark_entry__ as contract
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = contract.queries()["split_bucketed"](spark, CHECK)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan

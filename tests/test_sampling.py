@@ -7,7 +7,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tallgrove.operators.sampling import split, stratified_folds, stratified_partition
+from tallgrove.operators.ordering import distributed_rank, positions, shuffle_key
+from tallgrove.operators.sampling import folds_by_rank, split, stratified_folds, stratified_partition
 
 SCHEMA = "id long, label string"
 
@@ -92,3 +93,26 @@ def test_more_folds_than_rows(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a")], SCHEMA)
     folds = stratified_folds(df, "id", "label", 5, 1).collect()
     assert len({r["FOLD"] for r in folds}) == 2
+
+
+@pytest.mark.parametrize("digits", [1, 4])
+def test_distributed_rank(spark, digits):
+    rows = [(i, "hot" if i % 4 else None) for i in range(3000)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5).withColumn("k", shuffle_key("id", 3))
+    got = {r["id"]: (r["RANK"], r["TOTAL"]) for r in distributed_rank(df, ["label"], "k", "id", digits).collect()}
+    for label in ("hot", None):
+        ids = [i for i, x in rows if x == label]
+        order = sorted(ids, key=lambda i: hashlib.md5(f"3:{i}".encode()).hexdigest())
+        assert [got[i] for i in order] == [(k, len(ids)) for k in range(1, len(ids) + 1)]
+    folds = Counter((dict(rows)[r["id"]], r["FOLD"]) for r in folds_by_rank(df, "id", "label", 7, 3).collect())
+    assert {max(n) - min(n) for x in ("hot", None) for n in [[folds[x, f] for f in range(7)]]} == {1}
+
+
+def test_positions_of_a_hot_value(spark):
+    rows = [(i, "hot" if i % 9 else None) for i in range(2000)] + [(5, "hot")]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    got = positions(df, "label", [F.desc("id")]).collect()
+    for label in ("hot", None):
+        mine = sorted((r["POSITION"], -r["id"]) for r in got if r["label"] == label)
+        assert [p for p, _ in mine] == list(range(1, len(mine) + 1)) and [i for _, i in mine] == sorted(i for _, i in mine)
+    assert len(got) == len(rows) and positions(df.limit(0), "label", ["id"]).collect() == []
