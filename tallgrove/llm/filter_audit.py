@@ -177,7 +177,7 @@ def audit(docs: DataFrame, labels: DataFrame, part: str = "lang", filters: dict[
     ``filters`` are failure conditions by letter, by default ``text_filters()``; the last filter, ``copies``, fails
     what has the text of a smaller doc_id. A null or empty text is the text without a character; a null part
     is ''; rows with a null id are counted and are no copies; each of several rows with one id counts, and none
-    is a copy of another. Labels of an id are taken together; null labels count as 0. An empty table of documents gives no rows,
+    is a copy of another. Labels of an id are taken together; null labels count as 0, and a null id has no labels. An empty table of documents gives no rows,
     an empty one of labels no losses. Other columns are not read, whatever their names.
     """
     ready(docs.sparkSession)

@@ -12,8 +12,9 @@ chosen by hash and position over all labelled rows; everything else is a map.
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -195,10 +196,23 @@ def lexicon_of(rows: list[tuple[str, str]], number: dict[str, int]) -> Lexicon:
 def training_chains(labelled: DataFrame, sample: int, per_text: int) -> list[tuple[str, str]]:
     """Bounded sample of (label, chain): texts by hash of their id, chains spread over the whole text."""
     usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / (1 << 30)
-    near = usable.join(counts, "lang").filter(draw * F.col("_n") < 1.5 * sample)
-    order = Window.partitionBy("lang").orderBy(draw, "doc_id")
+    draw = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 30) - 1))
+    # Counts by (lang, eighth of an octave of the draw): a few hundred rows a language tell the least draw
+    # below which it has enough texts, so the map that follows keeps about ``sample`` of them.
+    step = F.floor(F.log2(draw + 1) * 8).cast("int")
+    counts = usable.groupBy("lang", step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()
+    bounds: dict[str, int] = {}
+    for lang in {r["lang"] for r in counts}:
+        total = 0
+        for n, at in sorted((r["step"], r["n"]) for r in counts if r["lang"] == lang):
+            bounds[lang], total = n, total + at
+            if total >= sample:
+                break
+    if not bounds:
+        return []
+    bound = F.element_at(F.from_json(F.lit(json.dumps(bounds)), "map<string,int>"), F.col("lang"))
+    near = usable.filter(step <= bound).select("lang", "doc_id", "text", draw.alias("_draw"))
+    order = Window.partitionBy("lang").orderBy("_draw", "doc_id")
     chosen = near.withColumn("_k", F.row_number().over(order)).filter(F.col("_k") <= sample).select("lang", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,16 +296,22 @@ def held_out(identity: Column, parts: int = 4, part: int = 2) -> Column:
     return F.crc32(F.coalesce(identity.cast("string"), F.lit(""))) % parts == part
 
 
-def reject_unknown(docs: DataFrame) -> DataFrame:
-    """``docs`` less the rows that are 'und' by a model learned from their own labels.
+def reject_unknown(docs: DataFrame, languages: Iterable[str] | None = None) -> DataFrame:
+    """``docs`` less the rows that are in none of ``languages`` by a model learned from their own labels.
 
+    By default the languages are those that rows are labelled with. The model judges the rows without a label and
+    those labelled with a language that is not asked for; a label that is asked for is kept without a
+    judgement. A row that nothing is known of ('und': null texts and those without a letter) goes, whatever its label.
     No score is asked for: in a text of several languages the best mean is low however sure each word is. Where
     nothing is labelled, only null texts and those without a letter go.
     """
     model = train(docs.filter(~held_out(F.col("doc_id"))))
     base = without(docs, *OUTPUT)
     if model:
-        return identify(base, model).filter(F.col("lang_pred") != UNKNOWN).drop(*OUTPUT)
+        wanted = sorted(languages) if languages is not None else list(model.labels)
+        known = F.col("lang_pred") != UNKNOWN
+        keeps = F.col("lang").isin(wanted) if languages is not None else F.col("lang").isNotNull()
+        return identify(base, model).filter(known & (F.coalesce(keeps, F.lit(False)) | F.col("lang_pred").isin(wanted))).drop(*OUTPUT)
 
     def lettered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

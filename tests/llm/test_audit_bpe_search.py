@@ -25,8 +25,8 @@ FILE = "byte_bpe_multi_50k.tiktoken"
 
 def brute_audit(rows, labels):
     """rows: (doc_id, text, lang); labels: (doc_id, quality, toxic)"""
-    good = {i for i, q, _ in labels if q == 1}
-    toxic = {i for i, _, t in labels if t == 1}
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
     parts: dict[str, list] = {}
     for i, text, lang in rows:
         t = text or ""

@@ -168,6 +168,30 @@ def test_unknown_languages_are_told_by_letters(spark):
     assert {r["doc_id"] for r in language_id.reject_unknown(bare).collect()} == want
 
 
+def test_the_model_decides_which_languages_stay(spark):
+    """Unlabelled rows and rows of other labels are judged by their text; no letter rule gives these rows."""
+    en = ["the cat sat there and slept", "there the dog and the cat sat", "and there sat the old dog"]
+    de = ["die Katze saß dort und schlief", "dort saßen der Hund und die Katze", "und der alte Hund saß dort"]
+    rows = [(i, f"{en[i % 3]} " * 4, "en") for i in range(30)] + [(100 + i, f"{de[i % 3]} " * 4, "de") for i in range(30)]
+    rows += [(200, "the cat and the dog sat there", None), (201, "die Katze und der Hund saßen dort", None), (202, "12 !", "en")]
+    rows += [(203, "die Katze und der Hund saßen dort", "en"), (204, "the dog sat there and the cat slept", "de"), (205, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"] for r in language_id.reject_unknown(docs, ["en"]).collect()}
+    assert got == {*range(30), 200, 203, 204}
+    assert {r["doc_id"] for r in language_id.reject_unknown(docs).collect()} == {r[0] for r in rows} - {202, 205}
+
+
+def test_language_sample_moves_no_other_text(spark):
+    """The least draws of every label, found from counts; the texts that are shuffled are about as many as asked for."""
+    rows = [(i, f"word{i} x", "hot" if i % 10 else "rare") for i in range(5000)] + [(9000, "only one", "one"), (9001, None, "one"), (9002, "y", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
+    draw = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 30) - 1)).alias("d"))
+    want = set()
+    for lang in ("hot", "rare", "one"):
+        want |= {(lang, r["text"]) for r in draw.filter(F.col("lang") == lang).orderBy("d").limit(50).collect()}
+    assert set(language_id.training_chains(docs, 50, 4)) == want and len(want) == 101
+
+
 def test_forward_backward_sums_over_all_paths():
     draw = np.random.default_rng(1)
     doc = np.array([0, 0, 0, 1, 2, 2])
