@@ -25,6 +25,7 @@ import json
 import re
 from collections import Counter
 from collections.abc import Callable
+from functools import cache
 from itertools import repeat
 
 import numpy as np
@@ -58,13 +59,33 @@ def read_ranks(path: str) -> dict[bytes, int]:
 # ------------------------------------------------------------------ words
 
 
-def ranges_of(name: str, top: int) -> str:
-    """The characters of a class up to ``top``, as the inside of a bracket expression."""
+@cache
+def members(name: str) -> list[int]:
+    """The characters of a class as the tokenizer library knows it; engines follow Unicode at different versions."""
     import regex
+    import tiktoken
+
+    space = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    chars = regex.findall(name, space)
+    # Twice the character is one piece, and so one token, if and only if the library's pattern joins them.
+    pieces = [bytes([i]) for i in range(256)] + [(c + c).encode() for c in chars]
+    library = tiktoken.Encoding(
+        "classes", pat_str=rf"{name}+|[\s\S]", mergeable_ranks={p: i for i, p in enumerate(pieces)}, special_tokens={}
+    )
+    return [ord(c) for c in chars if len(library.encode_ordinary(c + c)) == 1]
+
 
-    space = "".join(map(chr, [*range(min(top + 1, 0xD800)), *range(0xE000, top + 1)]))
-    runs = regex.finditer(rf"(?:{name})+", space)
-    return "".join(rf"\U{ord(m[0][0]):08x}-\U{ord(m[0][-1]):08x}" for m in runs)
+def ranges_of(name: str, top: int) -> str:
+    """The characters of a class up to ``top``, as the inside of a bracket expression."""
+    runs: list[list[int]] = []
+    for c in members(name):
+        if c > top:
+            break
+        if runs and runs[-1][1] == c - 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return "".join(rf"\U{a:08x}-\U{b:08x}" for a, b in runs)
 
 
 def explicit(pattern: str, top: int) -> str:
