@@ -174,24 +174,20 @@ def _rank(table: Column, left: Column, right: Column) -> Column:
     return F.coalesce(F.try_element_at(F.get(table, (pair % BUCKETS).cast("int")), pair), F.lit(NONE))
 
 
-def _state(pieces: Column, ranks: Column) -> Column:
-    return F.struct(pieces.alias("p"), ranks.alias("r"), F.coalesce(F.array_min(ranks), F.lit(NONE)).alias("m"))
-
-
 def _merge(state: Column, table: Column) -> Column:
     """Join the first pair of least rank, which is the joined piece's id: pieces i and i + 1."""
-    p, r, c = state["p"], state["r"], state["m"]
+    p, r = state["p"], state["r"]
 
     def joined(i: Column) -> Column:
-        none = F.lit([]).cast("array<int>")
+        c, none = F.get(r, i - 1), F.lit([]).cast("array<int>")
         left = F.when(i > 1, F.array(_rank(table, F.get(p, i - 2), c))).otherwise(none)
         right = F.when(i + 1 < F.size(p), F.array(_rank(table, c, F.get(p, i + 1)))).otherwise(none)
         pieces = F.concat(F.slice(p, F.lit(1), i - 1), F.array(c), F.slice(p, i + 2, F.size(p)))
         ranks = F.concat(F.slice(r, F.lit(1), F.greatest(i - 2, F.lit(0))), left, right, F.slice(r, i + 2, F.size(r)))
         return F.struct(pieces.alias("p"), ranks.alias("r"))
 
-    both = _let(F.array_position(r, c).cast("int"), joined)
-    return _let(both, lambda x: _state(x["p"], x["r"]))
+    least = F.coalesce(F.array_min(r), F.lit(NONE))
+    return F.when(least == NONE, state).otherwise(_let(F.array_position(r, least).cast("int"), joined))
 
 
 def _pieces(word: Column, table: Column) -> Column:
@@ -200,9 +196,7 @@ def _pieces(word: Column, table: Column) -> Column:
         F.slice(word, F.lit(1), F.size(word) - 1), F.slice(word, F.lit(2), F.size(word)), lambda a, b: _rank(table, a, b)
     )
     # Every join shortens the word by one, so there are at most so many.
-    done = F.aggregate(
-        word, _let(pairs, lambda r: _state(word, r)), lambda s, _: F.when(s["m"] == NONE, s).otherwise(_merge(s, table))
-    )
+    done = F.aggregate(word, F.struct(word.alias("p"), pairs.alias("r")), lambda s, _: _merge(s, table))
     return F.when(F.size(word) < 2, word).otherwise(done["p"])
 
 
@@ -251,13 +245,16 @@ def fold_words(words: Column, ranks: dict[bytes, int]) -> Column:
 
 
 def word_counts(docs: DataFrame, make: Callable) -> DataFrame:
-    """(word, n) of the words of at most ``LONGEST_WORD`` characters."""
+    """(word, n) of the words of at most ``LONGEST_WORD`` characters, as often as a task met them twice and more.
+
+    Only the choice of the words that are folded once rests on it; no result does.
+    """
 
     def count(batches):
         words, seen = make(), Counter()
 
         def rows():
-            often = [(w, n) for w, n in seen.items() if len(w) <= LONGEST_WORD]
+            often = [(w, n) for w, n in seen.items() if n > 1 and len(w) <= LONGEST_WORD]
             seen.clear()
             for at in range(0, len(often), 20_000):
                 part = often[at : at + 20_000]
@@ -279,8 +276,7 @@ def word_counts(docs: DataFrame, make: Callable) -> DataFrame:
 
 def known_words(spark: SparkSession, docs: DataFrame, make: Callable, ranks: dict[bytes, int], most: int) -> pa.Table:
     """(word, ids) of the commonest words, at most ``most``: whole steps of a logarithmic scale of counts."""
-    # A word that occurs once is folded where it stands.
-    counts = stored(word_counts(docs, make).filter("n > 1"), "words")
+    counts = stored(word_counts(docs, make), "words")
     step = F.floor(F.log2("n") * 4).cast("int")
     total, least = 0, None
     for row in sorted(counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):

@@ -345,17 +345,21 @@ def closure_of(nodes: tuple, generated: bool = False, depth: int = 0) -> Callabl
     return lambda env: itertools.chain.from_iterable(step(env) for step in steps)
 
 
+#: Behind the last item of a loop; an item may be null.
+END = object()
+
+
 def loop_of(node: For, generated: bool, depth: int) -> Callable[[dict], Pieces]:
     source, body = value_of(node.source), closure_of(node.body, generated, depth + 1)
 
     def run(env: dict) -> Pieces:
         items = iter(source(env) or ())
-        item, more = next(items, None), True
-        if item is None:
+        item, more = next(items, END), True
+        if item is END:
             return
         for index in itertools.count(1):
-            following = next(items, None)
-            more = following is not None
+            following = next(items, END)
+            more = following is not END
             loop = {"index": index, "first": index == 1, "last": not more}
             yield from body({**env, node.name: item, "loop": loop})
             if not depth:

@@ -3,8 +3,8 @@
 The exact side is a log of postings (line key, document, +1 or -1); a key's reference count is the
 number of documents that hold it now. The filters hold the keys whose count has reached the
 threshold, dealt into shards by hash: insertions of documents add keys to them, deletions take
-keys out again. A document's keys are first put to the filters; only those that may be repeated are
-looked up in the postings, so a filter's false positives cost a look and change nothing.
+keys out again. The postings are summed by key, and sums of keys that pass the filters are exact counts, so a
+filter's false positives change nothing. The sums are made for all keys; the filters save no lookup there.
 
 Keys are 128-bit hashes and evenly dealt; a line that a third of all documents hold is one key
 in the filters, and in the joins with postings its rows are the side that can be split.

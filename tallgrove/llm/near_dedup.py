@@ -7,8 +7,8 @@
    the run's first document, however long the run. Runs that overlap over the trees form regions;
    two texts above the threshold are in one region but for a chance of
    (1 - s**least_depth)**trees. The trees follow the threshold (12 at 0.85, 17 at 0.8), so the chance is at most ``MISSED``.
-3. Adaptive depth: regions too large for one task take deeper prefixes until they are small enough or the deepest is
-   reached; but a deeper prefix would lose pairs, so there it only gives the region's pivots. Texts that match
+3. The depth of a prefix is fixed, since a deeper one would lose pairs: the minima beyond ``least_depth`` only order
+   the rows of a run. Of a region too large for one task the text of least id is the pivot. Texts that match
    the pivot are settled; blocks compare all others with the whole region.
 4. In a region whole sets are compared by sparse intersection counts; only ties of a spanning forest leave a
    task.

@@ -23,6 +23,8 @@ def test_templates():
     assert rendered("{% for m in xs %}{{ loop.index }}{{ m.a }}{% if not loop.last %},{% endif %}{% endfor %}", xs=[{"a": "p"}, {"a": "q"}]) == "1p,2q"
     assert rendered("{% if a == 'x' and not b %}1{% elif b or c != 2 %}2{% else %}3{% endif %}", a="y", b=0, c=2) == "3"
     assert rendered("{{ missing.field }}{{ none }}") == ""
+    assert rendered("{% for m in xs %}[{{ m }}{% if loop.last %}.{% endif %}]{% endfor %}", xs=["a", None, "b", None]) == "[a][][b][.]"
+    assert rendered("{% for m in xs %}[{{ m }}]{% endfor %}", xs=[None]) == "[]"
 
 
 def test_folding():
