@@ -38,11 +38,12 @@ class Tree:
 
     weight: float
     nodes: dict[int, dict]
+    of_class: int = 0  # whose margin a boosted tree adds to; without classes there is one margin
 
     @classmethod
     def parse(cls, text: str) -> Tree:
         raw = json.loads(text)
-        return cls(raw["WEIGHT"], {n["NODE"]: n for n in raw["NODES"]})
+        return cls(raw["WEIGHT"], {n["NODE"]: n for n in raw["NODES"]}, raw.get("CLASS", 0))
 
     @property
     def depth(self) -> int:
@@ -69,7 +70,7 @@ class Tree:
 
         return Tree(self.weight, {
             k: {**n, "LEFT": -1, "RIGHT": -1} if leaf(n) else n for k, n in self.nodes.items()
-        })
+        }, self.of_class)
 
 
 @dataclass
@@ -103,7 +104,7 @@ def trees_of(rows: list) -> list[Tree]:
     trees: dict[int, Tree] = {}
     for row in rows:
         node = {k: v for k, v in row.asDict(recursive=True).items() if v is not None}
-        trees.setdefault(row["TREE"], Tree(row["WEIGHT"], {})).nodes[row["NODE"]] = node
+        trees.setdefault(row["TREE"], Tree(row["WEIGHT"], {}, node.get("CLASS", 0))).nodes[row["NODE"]] = node
     return [trees[number] for number in sorted(trees)]
 
 
@@ -125,9 +126,9 @@ def load_model(rows: DataFrame, broadcast_chars: int = BROADCAST_CHARS) -> Model
 
 
 def _payload(header: Header, tree: Tree, node: dict, vote: str) -> list[float]:
-    """What a leaf adds to the row's sum: votes per class, or a margin."""
+    """What a leaf adds to the row's sum: votes per class, or a margin of its tree's class."""
     if header.kind == "boosted":
-        return [tree.weight * node["VALUE"]]
+        return [tree.weight * node["VALUE"] if i == tree.of_class else 0.0 for i in range(slots(header))]
     counts = node["COUNTS"]
     if header.kind == "forest" and vote == "hard":
         winner = int(np.argmax(counts))  # the first of equals, i.e. the smallest label
@@ -273,8 +274,8 @@ def _sums_type(header: Header) -> T.StructType:
 
 
 def slots(header: Header) -> int:
-    """Numbers a row's sum consists of: one margin, or a share per class."""
-    return 1 if header.kind == "boosted" else len(header.labels)
+    """Numbers a row's sum consists of: one margin for two classes, or a margin or share per class."""
+    return 1 if header.kind == "boosted" and len(header.labels) == 2 else len(header.labels)
 
 
 def descent_udf(shared, header: Header):
@@ -303,10 +304,17 @@ def part_sums(df: DataFrame, model: Model, part: int, vote: str, fill: float | N
 
 
 def probabilities(header: Header, sums: Column, trees: int) -> Column:
-    """Class probabilities in label order from a row's sums."""
-    if header.kind == "boosted":
+    """Class probabilities in label order from a row's sums; of more than two boosted classes, normalised ones.
+
+    Where no class has a probability that a double can hold, all have the same.
+    """
+    if header.kind == "boosted" and slots(header) == 1:
         second = 1 / (1 + F.exp(-2 * sums["s0"]))
         return F.array(1 - second, second)
+    if header.kind == "boosted":
+        alone = [1 / (1 + F.exp(-2 * sums[f"s{i}"])) for i in range(slots(header))]
+        total = reduce(add, alone)
+        return F.array(*[F.when(total > 0, p / total).otherwise(1.0 / len(alone)) for p in alone])
     return F.array(*[sums[f"s{i}"] / F.lit(float(trees)) for i in range(slots(header))])
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
@@ -134,8 +135,7 @@ def prepare(
     return Prepared(df if source is None else source, cached, roles, features, labels, max(MIN_BINS, largest + 1))
 
 
-def _importance(model, header: Header, spark, name_column: str) -> DataFrame:
-    values = model.featureImportances.toArray()
+def _importance(values, header: Header, spark, name_column: str) -> DataFrame:
     rows = [(name, float(v)) for (name, _), v in zip(header.features, values)]
     return spark.createDataFrame(rows, f"{name_column} string, IMPORTANCE double")
 
@@ -198,13 +198,13 @@ def train_forest(df: DataFrame, params, max_depth: int | None = None) -> TrainRe
         model = forest_estimator(prepared, params, max_depth).fit(prepared.rows)
         tell_depth([tree.depth for tree in model.trees], max_depth)
         nodes = export_nodes(model, header, spark).withColumn("WEIGHT", F.lit(1.0))
-        return finish(prepared, header, nodes, _importance(model, header, spark, "COLUMN_NAME"))
+        return finish(prepared, header, nodes, _importance(model.featureImportances.toArray(), header, spark, "COLUMN_NAME"))
     finally:
         prepared.release()
 
 
 def boosted_estimator(prepared: Prepared, params: Params, **more) -> GBTClassifier:
-    if len(prepared.labels) != 2:
+    if len(prepared.labels) < 2:
         raise ValueError(f"boosted trees need two classes, found {len(prepared.labels)}")
     settings = dict(
         maxDepth=params.whole("MAX_TREE_DEPTH", 6),
@@ -218,8 +218,27 @@ def boosted_estimator(prepared: Prepared, params: Params, **more) -> GBTClassifi
     return GBTClassifier(**{**settings, **more})
 
 
-def train_boosted(df: DataFrame, params) -> TrainResult:
-    """Boosted trees for two classes; ``RANGE_*`` parameters start a search first."""
+def fit_boosted(estimator: GBTClassifier, rows: DataFrame, header: Header) -> tuple[DataFrame, list[float]]:
+    """Node rows and importances. Of more than two classes each is boosted against all others.
+
+    The trees of class c then carry CLASS = c, and are numbered from those of the first class on.
+    """
+    spark, classes = rows.sparkSession, len(header.labels)
+    if classes == 2:
+        model = estimator.fit(rows)
+        return export_nodes(model, header, spark), model.featureImportances.toArray().tolist()
+    nodes, importances, before = [], [], 0
+    for c in range(classes):
+        model = estimator.fit(rows.withColumn("label", (F.col("label") == c).cast("double")))
+        mine = export_nodes(model, header, spark)
+        nodes.append(mine.withColumn("TREE", F.col("TREE") + before).withColumn("CLASS", F.lit(c)))
+        importances.append(model.featureImportances.toArray())
+        before += len(model.trees)
+    return reduce(DataFrame.unionByName, nodes), (sum(importances) / classes).tolist()
+
+
+def train_boosted(df: DataFrame, params, store: str | None = None) -> TrainResult:
+    """Boosted trees; ``RANGE_*`` parameters start a search first, whose finished fits ``store`` keeps."""
     from tallgrove.operators.tuning import needs_folds, prepare_with_folds, search
 
     params = Params.read(params, "boosted")
@@ -229,14 +248,13 @@ def train_boosted(df: DataFrame, params) -> TrainResult:
         spark = df.sparkSession
         more, chosen = {}, params
         if searching:
-            found = search(prepared, params, "boosted")
+            found = search(prepared, params, "boosted", store=store)
             chosen = Params.of(**{**params, **found.best})
             more = {"selected_params": found.selected("PARM_NAME"), "candidates": found.candidates,
                     "statistics": found.statistics()}
         header = prepared.header("boosted")
-        model = boosted_estimator(prepared, chosen).fit(prepared.rows)
-        nodes = export_nodes(model, header, spark)
-        return finish(prepared, header, nodes, _importance(model, header, spark, "VARIABLE_NAME"), **more)
+        nodes, values = fit_boosted(boosted_estimator(prepared, chosen), prepared.rows, header)
+        return finish(prepared, header, nodes, _importance(values, header, spark, "VARIABLE_NAME"), **more)
     finally:
         prepared.release()
 
@@ -255,8 +273,8 @@ def tree_estimator(prepared: Prepared, params: Params, max_depth: int, **more) -
     return DecisionTreeClassifier(**{**settings, **more})
 
 
-def train_tree(df: DataFrame, params, max_depth: int | None = None) -> TrainResult:
-    """CART: model rows, rules, training matrix, and statistics of a CV or grid search."""
+def train_tree(df: DataFrame, params, max_depth: int | None = None, store: str | None = None) -> TrainResult:
+    """CART: model rows, rules, training matrix, and statistics of a CV or grid search, whose finished fits ``store`` keeps."""
     from tallgrove.operators.tuning import needs_folds, prepare_with_folds, search
 
     params = Params.read(params, "tree")
@@ -267,7 +285,7 @@ def train_tree(df: DataFrame, params, max_depth: int | None = None) -> TrainResu
         spark = df.sparkSession
         more, chosen = {}, params
         if searching:
-            found = search(prepared, params, "tree", max_depth)
+            found = search(prepared, params, "tree", max_depth, store)
             chosen = Params.of(**{**params, **found.best})
             more = {"selected_params": found.selected("PARAM_NAME"), "candidates": found.candidates,
                     "statistics": found.statistics()}
@@ -277,6 +295,7 @@ def train_tree(df: DataFrame, params, max_depth: int | None = None) -> TrainResu
         nodes = prune(export_nodes(model, header, spark), chosen.whole("MIN_RECORDS_OF_PARENT", 0))
         if params.whole("IS_OUTPUT_RULES", 0) == 1:
             more["rules"] = tree_rules(nodes, header.labels).drop("TREE")
-        return finish(prepared, header, nodes, _importance(model, header, spark, "COLUMN_NAME"), **more)
+        importance = _importance(model.featureImportances.toArray(), header, spark, "COLUMN_NAME")
+        return finish(prepared, header, nodes, importance, **more)
     finally:
         prepared.release()

@@ -6,6 +6,10 @@ with the most iterations contains those with fewer. Only what changes the growth
 itself (leaf size, learning rate, split loss) needs a fit of its own. Held-out
 rows are read once per fit and answered for all its candidates; they reach the
 shuffle as counts per (candidate, score).
+
+The counts of a fit are kept in a folder named by the digest of all that they depend on: the rows,
+the fold, the parameters and the candidates. A search that is started again with the same
+``store`` skips the fits that are finished there.
 """
 
 from __future__ import annotations
@@ -13,11 +17,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from hashlib import sha256
 from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallgrove.functions.params import Params, parse_range, parse_values, typed_row
@@ -27,7 +32,7 @@ from tallgrove.operators.nodes import export_nodes
 from tallgrove.operators.ordering import running_totals
 from tallgrove.operators.sampling import stratified_folds
 from tallgrove.operators.scoring import Descent, Tree, feature_value, trees_of
-from tallgrove.operators.training import DEEPEST, Prepared, boosted_estimator, prepare, tree_estimator
+from tallgrove.operators.training import DEEPEST, Prepared, boosted_estimator, fit_boosted, prepare, tree_estimator
 from tallgrove.sources.model_rows import Header
 from tallgrove.sources.tables import scratch_path, snapshot
 
@@ -106,6 +111,10 @@ class _Tree:
             prepared, Params.of(**{**params, **fixed, "SPLIT_THRESHOLD": float(loosest)}), max_depth
         )
 
+    @staticmethod
+    def fit(estimator, rows: DataFrame, header: Header) -> DataFrame:
+        return export_nodes(estimator.fit(rows), header, rows.sparkSession)
+
     @staticmethod
     def answers(header: Header, trees: list[Tree], variants: list[dict]):
         walks = [
@@ -127,16 +136,28 @@ class _Boosted:
         most = {"ITER_NUM": max(counts)} if counts else {}
         return boosted_estimator(prepared, Params.of(**{**params, **fixed, **most}))
 
+    @staticmethod
+    def fit(estimator, rows: DataFrame, header: Header) -> DataFrame:
+        return fit_boosted(estimator, rows, header)[0]
+
     @staticmethod
     def answers(header: Header, trees: list[Tree], variants: list[dict]):
         walk = Descent(header, trees, "soft")
-        stops = [min(v["ITER_NUM"] or len(trees), len(trees)) for v in variants]
+        margins = range(walk.payload.shape[1])
+        roots = [[root for root, tree in zip(walk.roots, trees) if tree.of_class == c] for c in margins]
+        stops = [min(v["ITER_NUM"] or len(roots[0]), len(roots[0])) for v in variants]
 
         def probabilities(rows: pd.DataFrame) -> np.ndarray:
             x = walk.matrix(rows)
-            steps = np.stack([walk.payload[walk.leaves(x, root), 0] for root in walk.roots], axis=1)
-            second = 1 / (1 + np.exp(-2 * np.cumsum(steps, axis=1)[:, [s - 1 for s in stops]]))
-            return np.stack([1 - second, second], axis=2)
+            found = []
+            for c in margins:
+                steps = np.stack([walk.payload[walk.leaves(x, root), c] for root in roots[c]], axis=1)
+                found.append(1 / (1 + np.exp(-2 * np.cumsum(steps, axis=1)[:, [s - 1 for s in stops]])))
+            if len(found) == 1:
+                return np.stack([1 - found[0], found[0]], axis=2)
+            alone = np.stack(found, axis=2)
+            total = alone.sum(axis=2, keepdims=True)
+            return np.divide(alone, total, out=np.full_like(alone, 1 / len(found)), where=total > 0)
 
         return probabilities
 
@@ -191,10 +212,26 @@ def candidate_metrics(counts: DataFrame, by: list[str], classes: int = 2) -> Dat
     return errors.join(areas, by).select(*by, "ERROR_RATE", F.col("STAT_VALUE").alias("AUC"))
 
 
-def search(prepared: Prepared, params: Params, kind: str, max_depth: int = DEEPEST) -> SearchResult:
+def rows_digest(rows: DataFrame) -> str:
+    """Of the training rows in any order: their number and two sums of hashes."""
+    columns = [c for c in rows.columns if c != "features"]  # the vector is made of the others
+    wide = [F.xxhash64(F.lit(seed), *columns).cast("decimal(38,0)") for seed in (1, 2)]
+    return repr(tuple(rows.agg(F.count(F.lit(1)), *[F.sum(w) for w in wide]).first()))
+
+
+def finished(spark: SparkSession, folder: str) -> bool:
+    """Whether a write to the folder has come to its end."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def search(
+    prepared: Prepared, params: Params, kind: str, max_depth: int = DEEPEST, store: str | None = None
+) -> SearchResult:
     """Try every candidate on every fold and pick the best mean of the chosen metric.
 
-    ``CV_METRIC`` (or ``EVALUATION_METRIC``) selects: AUC is maximised, ERROR_RATE
+    ``store`` is a folder that all executors reach; fits finished there are not made again, and one that
+    was stopped is. Without it results last as long as the run. ``CV_METRIC`` (or ``EVALUATION_METRIC``) selects: AUC is maximised, ERROR_RATE
     minimised, ties go to the earlier candidate. Both metrics are reported.
     """
     spark = prepared.rows.sparkSession
@@ -211,26 +248,31 @@ def search(prepared: Prepared, params: Params, kind: str, max_depth: int = DEEPE
     candidates = [dict(zip(names, values)) for values in product(*grid.values())]
     fixed_values = list(product(*[grid[n] for n in way.fit_names]))
     folds = params.whole("FOLD_NUM", 5)
-    path = scratch_path(spark, "search")
+    path = store.rstrip("/") if store else scratch_path(spark, "search")
+    shared_by_all = (kind, header.to_json(), sorted(params.items()), max_depth, folds, rows_digest(prepared.rows))
 
-    def run(job: tuple[int, tuple[int, tuple]]) -> None:
-        number, (fold, values) = job
+    def run(job: tuple[int, tuple]) -> str:
+        fold, values = job
+        mine = [i for i, c in enumerate(candidates) if all(c[n] == v for n, v in zip(way.fit_names, values))]
+        told = repr((shared_by_all, fold, values, [(i, candidates[i]) for i in mine]))
+        folder = f"{path}/fit={sha256(told.encode()).hexdigest()}"  # fits run side by side and must not share a commit
+        if finished(spark, folder):
+            return folder
         fixed = {n: v for n, v in zip(way.fit_names, values) if v is not None}
         estimator = way.estimator(prepared, params, grid, fixed, max_depth)
-        model = estimator.fit(prepared.rows.filter(F.col(FOLD) != fold))
-        trees = trees_of(export_nodes(model, header, spark).collect())  # one fit's nodes
-        mine = [i for i, c in enumerate(candidates) if all(c[n] == v for n, v in zip(way.fit_names, values))]
+        nodes = way.fit(estimator, prepared.rows.filter(F.col(FOLD) != fold), header)
+        trees = trees_of(nodes.collect())  # one fit's nodes
         held_out = prepared.rows.filter(F.col(FOLD) == fold)
         shared = spark.sparkContext.broadcast((header, trees, [candidates[i] for i in mine]))
         counts = candidate_counts(held_out, header, shared, kind, mine)
-        # Own folder per fit: fits run side by side and must not share a commit.
-        counts.withColumn(FOLD, F.lit(fold)).write.parquet(f"{path}/fit={number}")
+        counts.withColumn(FOLD, F.lit(fold)).write.mode("overwrite").parquet(folder)
         shared.destroy()
+        return folder
 
     with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-        list(pool.map(run, enumerate(product(range(folds), fixed_values))))
+        folders = list(pool.map(run, product(range(folds), fixed_values)))
 
-    counts = spark.read.parquet(path)
+    counts = spark.read.parquet(*folders)
     means = (
         candidate_metrics(counts, ["CANDIDATE", FOLD], len(header.labels))
         .groupBy("CANDIDATE")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallgrove.operators.leaf_counts import fill_counts
+from tallgrove.operators.nodes import NODE_SCHEMA
 from tallgrove.operators.sampling import TRAIN, stratified_partition
 from tallgrove.operators.scoring import Model, Tree, load_model
 from tallgrove.sources import features as ft
@@ -124,3 +125,25 @@ def probability(name: str = "CHURN_PROBABILITY"):
     """Probability of the positive class from SCORE and CONFIDENCE, rounded for ties."""
     confidence = F.col("CONFIDENCE")
     return F.round(F.when(F.col("SCORE") == ft.POSITIVE, confidence).otherwise(1 - confidence), 9).alias(name)
+
+
+def three_class_rows(spark: SparkSession) -> DataFrame:
+    """Model rows of two boosted stumps for each of three classes of customers."""
+    segments = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+    features = (("c_mktsegment", segments), ("c_acctbal", None), ("c_nationkey", None))
+    header = Header("boosted", ("gold", "plain", "risk"), features)
+    stumps = [  # class, weight, feature, threshold or categories, value to the left, value to the right
+        (0, 1.0, "c_acctbal", 3000.0, -0.8, 0.9),
+        (0, 0.3, "c_mktsegment", ["BUILDING", "MACHINERY"], 0.3, -0.2),
+        (1, 1.0, "c_acctbal", 6000.0, 0.5, -0.6),
+        (1, 0.3, "c_nationkey", 12.0, 0.25, -0.15),
+        (2, 1.0, "c_acctbal", 0.0, 1.1, -0.7),
+        (2, 0.3, "c_mktsegment", ["HOUSEHOLD"], 0.4, -0.1),
+    ]
+    nodes = []
+    for tree, (of_class, weight, feature, cut, left, right) in enumerate(stumps):
+        threshold, categories = (None, cut) if isinstance(cut, list) else (cut, None)
+        nodes.append((tree, weight, 0, feature, threshold, categories, 1, 2, None, 0.0, None, None, of_class))
+        for node, value in ((1, left), (2, right)):
+            nodes.append((tree, weight, node, None, None, None, -1, -1, None, value, None, None, of_class))
+    return encode(header, spark.createDataFrame(nodes, f"{NODE_SCHEMA}, CLASS int"))

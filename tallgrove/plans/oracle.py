@@ -487,6 +487,24 @@ UNION ALL SELECT DISTINCT k, 0, 0.0, 0.0 FROM g"""
     queries["train_cm_grouped"] = queries["train_cm"]
     for name, part in (("split_train", 1), ("split_test", 2), ("split_val", 3)):
         queries[name] = f"{with_part} SELECT abt.* FROM abt JOIN part USING (AccountID) WHERE PARTITION_TYPE = {part}"
+    queries["scripted_champion"] = queries["champion"]
+    queries["boosted_verbose"] = f"""{NEW}, b AS (SELECT AccountID, {BOOSTED} FROM newvotes)
+SELECT AccountID, SCORE, round(CONFIDENCE, 6) AS CONFIDENCE, 'string' AS KIND FROM b
+UNION ALL SELECT AccountID, CASE SCORE WHEN 'Churned' THEN 'Active' ELSE 'Churned' END, round(1 - CONFIDENCE, 6), 'string' FROM b"""
+    queries["stream_latest"] = f"""{SCORED}, b AS (SELECT AccountID, {BOOSTED} FROM newvotes)
+SELECT AccountID, SCORE, round(CONFIDENCE, 6) AS CONFIDENCE, 1.0::DOUBLE AS MODEL_VERSION, 'RDT' AS MODEL_TYPE
+FROM scored WHERE AccountID % 2 = 0
+UNION ALL SELECT AccountID, SCORE, round(CONFIDENCE, 6), 2.0, 'GBDT' FROM b WHERE AccountID % 2 = 1"""
+    margins = """WITH m AS (SELECT c_custkey,
+  CASE WHEN c_acctbal <= 3000 THEN -0.8 ELSE 0.9 END + 0.3 * CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 0.3 ELSE -0.2 END AS g,
+  CASE WHEN c_acctbal <= 6000 THEN 0.5 ELSE -0.6 END + 0.3 * CASE WHEN c_nationkey <= 12 THEN 0.25 ELSE -0.15 END AS p,
+  CASE WHEN c_acctbal <= 0 THEN 1.1 ELSE -0.7 END + 0.3 * CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 0.4 ELSE -0.1 END AS r FROM customer),
+a AS (SELECT c_custkey, x.k AS SCORE, 1 / (1 + exp(-2 * x.v::DOUBLE)) AS alone
+  FROM (SELECT c_custkey, unnest([{'k': 'gold', 'v': g}, {'k': 'plain', 'v': p}, {'k': 'risk', 'v': r}]) AS x FROM m)),
+s AS (SELECT c_custkey, SCORE, round(alone / sum(alone) OVER (PARTITION BY c_custkey), 6) AS CONFIDENCE FROM a)"""
+    queries["boosted_classes"] = f"{margins} SELECT * FROM s"
+    queries["boosted_class_score"] = f"""{margins} SELECT * FROM s
+QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY CONFIDENCE DESC, SCORE) = 1"""
     queries["split_bucketed"] = queries["split_train"]
     return queries
 

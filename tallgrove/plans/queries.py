@@ -40,7 +40,7 @@ from tallgrove.sources.tables import (
     snapshot,
     write_bucketed,
 )
-from tallgrove.streaming.scoring import read_feature_stream, score_stream, write_scores
+from tallgrove.streaming.scoring import read_feature_stream, read_scores, score_stream, write_latest_scores, write_scores
 
 QUERIES: dict = {}
 
@@ -194,6 +194,30 @@ def boosted_score(spark: SparkSession, directory: str) -> DataFrame:
     return scored.withColumn("CONFIDENCE", F.round("CONFIDENCE", 6))
 
 
+@query
+def boosted_verbose(spark: SparkSession, directory: str) -> DataFrame:
+    """One row per account and class, the confidence as text."""
+    view = ft.new_customer_view(spark, directory)
+    scored = score(view, gs.model(spark, directory, "boosted", 0.1), ft.ID, verbose=True, text_confidence=True)
+    number = F.round(F.col("CONFIDENCE").cast("double"), 6)
+    return scored.select(ft.ID, "SCORE", number.alias("CONFIDENCE"), F.typeof("CONFIDENCE").alias("KIND"))
+
+
+@query
+def boosted_classes(spark: SparkSession, directory: str) -> DataFrame:
+    """Given boosted trees of three classes, by way of their model rows."""
+    model = load_model(gs.three_class_rows(spark))
+    scored = score(load(spark, directory, "customer"), model, "c_custkey", verbose=True)
+    return scored.withColumn("CONFIDENCE", F.round("CONFIDENCE", 6))
+
+
+@query
+def boosted_class_score(spark: SparkSession, directory: str) -> DataFrame:
+    model = load_model(gs.three_class_rows(spark))
+    scored = score(load(spark, directory, "customer"), model, "c_custkey", engine="arrays")
+    return scored.withColumn("CONFIDENCE", F.round("CONFIDENCE", 6))
+
+
 @query
 def array_score(spark: SparkSession, directory: str) -> DataFrame:
     """The vectorised scorer, whatever the model's size."""
@@ -409,6 +433,32 @@ def champion(spark: SparkSession, directory: str) -> DataFrame:
     return registry.versions(FOREST_NAME, above=99).select("MODEL_NAME", "MODEL_VERSION", "MODEL_TYPE")
 
 
+@query
+def scripted_champion(spark: SparkSession, directory: str) -> DataFrame:
+    """The choice between two models as one script over their areas; its one row says which is saved."""
+    register(snapshot(_model_areas(spark, directory), label="areas"), "script_areas")
+    chosen = spark.sql(f"""BEGIN
+  DECLARE forest DOUBLE;
+  DECLARE boosted DOUBLE;
+  SET forest = (SELECT STAT_VALUE FROM script_areas WHERE MODEL_TYPE = '{FOREST}');
+  SET boosted = (SELECT STAT_VALUE FROM script_areas WHERE MODEL_TYPE = '{BOOSTED}');
+  IF forest > boosted THEN
+    SELECT 'a' AS CHOICE;
+  ELSE
+    SELECT 'b' AS CHOICE;
+  END IF;
+END""")
+    registry = Registry.create(spark, scratch_path(spark, "registry"))
+    registry.save_champion(
+        FOREST_NAME,
+        ev.single_value(chosen, "CHOICE"),
+        (FOREST, gs.model_rows(spark, directory)),
+        (BOOSTED, gs.model_rows(spark, directory, "boosted", 0.1)),
+        saved_at=SAVED_AT,
+    )
+    return registry.versions(FOREST_NAME, above=99).select("MODEL_NAME", "MODEL_VERSION", "MODEL_TYPE")
+
+
 # ------------------------------------------------- parameters, model text, rows
 
 
@@ -578,6 +628,21 @@ def stream_score(spark: SparkSession, directory: str) -> DataFrame:
     return spark.read.schema(scored.schema).parquet(sink)
 
 
+@query
+def stream_latest(spark: SparkSession, directory: str) -> DataFrame:
+    """Accounts with even ids arrive before a second version is saved, the others after."""
+    view = ft.new_customer_view(spark, directory)
+    source, sink, state = (scratch_path(spark, f"stream-{n}") for n in ("latest-in", "latest-out", "latest-state"))
+    registry = Registry.create(spark, scratch_path(spark, "registry"))
+    versions = (FOREST, gs.model_rows(spark, directory)), (BOOSTED, gs.model_rows(spark, directory, "boosted", 0.1))
+    for i, (kind, rows) in enumerate(versions):
+        registry.save(FOREST_NAME, 1.0 + i, kind, rows, saved_at=SAVED_AT)
+        append(view.filter(F.col(ft.ID) % 2 == i), source)
+        stream = read_feature_stream(spark, source, view.schema)
+        write_latest_scores(stream, registry, FOREST_NAME, ft.ID, sink, state).awaitTermination()
+    return read_scores(spark, sink).drop("batch").withColumn("CONFIDENCE", F.round("CONFIDENCE", 6))
+
+
 @query
 def score_grouped(spark: SparkSession, directory: str) -> DataFrame:
     """A model that travels as several groups of trees, over rows whose ids repeat."""
@@ -637,13 +702,22 @@ def routine_columns(spark: SparkSession, directory: str) -> DataFrame:
 
 @query
 def scripted_block(spark: SparkSession, directory: str) -> DataFrame:
-    """A script of statements: name the scores, count them, keep those of the larger class."""
+    """A script that counts the scores and names those of the larger class.
+
+    What a script selects is held by the driver, so it names a relation instead, which stays lazy.
+    """
     register(_new_scores(spark, directory), "block_scores")
-    register(spark.sql("SELECT SCORE, count(*) AS n FROM block_scores GROUP BY SCORE"), "block_counts")
-    larger = ev.single_value(spark.sql("SELECT max_by(SCORE, struct(n, SCORE)) AS s FROM block_counts"), "s")
-    found = spark.sql("SELECT AccountID, CONFIDENCE FROM block_scores WHERE SCORE = :larger", args={"larger": larger})
-    drop(spark, "block_counts")
-    return found
+    spark.sql("""BEGIN
+  DECLARE churned BIGINT;
+  DECLARE active BIGINT;
+  SET (churned, active) = (SELECT count_if(SCORE = 'Churned'), count_if(SCORE = 'Active') FROM block_scores);
+  IF churned >= active THEN
+    CREATE OR REPLACE TEMPORARY VIEW block_found AS SELECT AccountID, CONFIDENCE FROM block_scores WHERE SCORE = 'Churned';
+  ELSE
+    CREATE OR REPLACE TEMPORARY VIEW block_found AS SELECT AccountID, CONFIDENCE FROM block_scores WHERE SCORE = 'Active';
+  END IF;
+END""")
+    return spark.table("block_found")
 
 
 @query

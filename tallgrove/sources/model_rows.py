@@ -1,6 +1,7 @@
 """Models as rows: tree nodes as text, cut into pieces of bounded length.
 
-A model is a header (kind, class labels, features) and one document per tree.
+A model is a header (kind, class labels, features) and one document per tree. Boosted trees of more than two
+classes belong to one class each: its number stands in the document and in the key (class_2_tree_17).
 Three row layouts exist, told apart by their columns:
 
 * forest   ``ROW_INDEX, TREE_INDEX, MODEL_CONTENT`` (up to 5000 characters)
@@ -64,32 +65,40 @@ def unchunk(df: DataFrame, keys: list[str], order: str = "PIECE", content: str =
 
 
 def _tree_texts(nodes: DataFrame) -> DataFrame:
+    """``(DOC, CLASS, TEXT)``; without a class the text has no such field."""
     node = F.struct(*NODE_FIELDS)
+    if "CLASS" not in nodes.columns:
+        nodes = nodes.withColumn("CLASS", F.lit(None).cast("int"))
     return (
         nodes.groupBy("TREE")
-        .agg(F.max("WEIGHT").alias("WEIGHT"), F.array_sort(F.collect_list(node)).alias("NODES"))
-        .select(F.col("TREE").alias("DOC"), F.to_json(F.struct("WEIGHT", "NODES")).alias("TEXT"))
+        .agg(
+            F.max("WEIGHT").alias("WEIGHT"), F.max("CLASS").alias("CLASS"),
+            F.array_sort(F.collect_list(node)).alias("NODES"),
+        )
+        .select(F.col("TREE").alias("DOC"), "CLASS", F.to_json(F.struct("WEIGHT", "CLASS", "NODES")).alias("TEXT"))
     )
 
 
 def encode(header: Header, nodes: DataFrame) -> DataFrame:
-    """Node rows ``(TREE, WEIGHT, *NODE_FIELDS)`` to model rows of the header's layout.
+    """Node rows ``(TREE, WEIGHT, *NODE_FIELDS[, CLASS])`` to model rows of the header's layout.
 
     The window that numbers the rows covers one model's text, nothing else.
     """
     spark = nodes.sparkSession
-    head = spark.createDataFrame([(HEADER, header.to_json())], "DOC int, TEXT string")
+    head = spark.createDataFrame([(HEADER, None, header.to_json())], "DOC int, CLASS int, TEXT string")
     texts = head.unionByName(_tree_texts(nodes))
     # A single tree leaves room for the line break between header and tree.
     width = {"boosted": VALUE_WIDTH, "tree": CONTENT_WIDTH - 1}.get(header.kind, CONTENT_WIDTH)
-    rows = chunk(texts, ["DOC"], "TEXT", width)
+    rows = chunk(texts, ["DOC", "CLASS"], "TEXT", width)
     number = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("DOC", "PIECE")) - 1
     if header.kind == "forest":
         return rows.select(
             number.alias("ROW_INDEX"), F.col("DOC").alias("TREE_INDEX"), F.col("CONTENT").alias("MODEL_CONTENT")
         )
     if header.kind == "boosted":
-        key = F.when(F.col("DOC") == HEADER, "header").otherwise(F.concat(F.lit("tree_"), F.col("DOC")))
+        key = F.when(F.col("DOC") == HEADER, "header").otherwise(
+            F.concat(F.coalesce(F.concat(F.lit("class_"), "CLASS", F.lit("_")), F.lit("")), F.lit("tree_"), "DOC")
+        )
         return rows.select(number.alias("ROW_INDEX"), key.alias("KEY"), F.col("CONTENT").alias("VALUE"))
     # A single tree is one text: header and tree, separated by a line break.
     line = F.when((F.col("DOC") > HEADER) & (F.col("PIECE") == 0), F.lit("\n")).otherwise(F.lit(""))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -148,6 +148,20 @@ class Registry:
             return rows.select("ROW_INDEX", "MODEL_CONTENT")
         return rows.select("ROW_INDEX", "TREE_INDEX", "MODEL_CONTENT")
 
+    def latest(self, name: str, *model_types: str) -> tuple[float, str] | None:
+        """(version, type) of the greatest version saved, from the manifests alone; of equal versions the first type given.
+
+        Without types all of them count, in alphabetical order.
+        """
+        files, place = self._place("manifests")
+        found = []
+        for status in files.listStatus(place):
+            of, version, kind = map(unquote, status.getPath().getName().split("="))
+            if of == name and (kind in model_types or not model_types):
+                found.append((float(version), kind))
+        order = model_types or sorted({kind for _, kind in found})
+        return max(found, key=lambda f: (f[0], -order.index(f[1])), default=None)
+
     def versions(self, name: str | None = None, above: float | None = None) -> DataFrame:
         """Distinct saved versions with date and time."""
         listed = self.table()

@@ -9,10 +9,12 @@ from conftest import SMALL
 from tallgrove.functions import columns as fc
 from tallgrove.operators import payloads as pl
 from tallgrove.operators import scoring as sc
+from tallgrove.operators.training import train_tree
 from tallgrove.sources import features as ft
 from tallgrove.sources import tables as tb
 from tallgrove.sources.model_rows import chunk, unchunk
-from tallgrove.streaming.scoring import read_feature_stream, score_stream, write_scores
+from tallgrove.sources.registry import Registry
+from tallgrove.streaming.scoring import read_feature_stream, read_scores, score_stream, write_latest_scores, write_scores
 
 
 def test_empty_like_has_the_schema_and_no_rows(churn):
@@ -164,3 +166,34 @@ def test_stream_scores_equal_batch_scores(spark, churn, forest, tmp_path):
         view = view.withColumn(ft.ID, F.col(ft.ID) + 100_000).unionByName(view) if _ == 0 else view
         if _ == 0:
             view.filter(F.col(ft.ID) >= 100_000).write.mode("append").parquet(source)
+
+
+def test_stream_takes_the_latest_model(spark, churn, forest, tmp_path):
+    """Each batch is scored by the version there is when it begins; a repeated batch replaces its own rows."""
+    source, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    view = churn.drop(ft.LABEL)
+    registry = Registry.create(spark, str(tmp_path / "registry"))
+    assert registry.latest("M") is None
+    other = train_tree(churn, {"HAS_ID": 1, "DEPENDENT_VARIABLE": ft.LABEL, "ALGORITHM": 3}, max_depth=1)
+
+    def run(times: int = 1):
+        for _ in range(times):
+            stream = read_feature_stream(spark, source, view.schema)
+            write_latest_scores(stream, registry, "M", ft.ID, sink, state).awaitTermination()
+
+    registry.save("M", 2.0, "RDT", forest.model_rows)
+    registry.save("OTHER", 9.0, "DT", other.model_rows)
+    view.filter(F.col(ft.ID) % 2 == 0).write.parquet(source)
+    run(2)
+    registry.save("M", 10.0, "DT", other.model_rows)
+    assert registry.latest("M") == (10.0, "DT") and registry.latest("M", "RDT") == (2.0, "RDT")
+    view.filter(F.col(ft.ID) % 2 == 1).write.mode("append").parquet(source)
+    run()
+    (tmp_path / "state" / "commits" / "1").unlink()  # as if the run had ended before the commit
+    (tmp_path / "state" / "commits" / ".1.crc").unlink(missing_ok=True)
+    run()
+    got = read_scores(spark, sink).drop("batch").toPandas().sort_values(ft.ID, ignore_index=True)
+    old = sc.score(view.filter(F.col(ft.ID) % 2 == 0), forest.model, ft.ID).withColumn("MODEL_VERSION", F.lit(2.0))
+    new = sc.score(view.filter(F.col(ft.ID) % 2 == 1), other.model, ft.ID).withColumn("MODEL_VERSION", F.lit(10.0))
+    wanted = old.unionByName(new).toPandas().sort_values(ft.ID, ignore_index=True)
+    pd.testing.assert_frame_equal(got.drop(columns="MODEL_TYPE"), wanted)

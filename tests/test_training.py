@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tallgrove.operators import evaluation as ev
 from tallgrove.operators import training as tr
+from tallgrove.operators import tuning
 from tallgrove.operators.out_of_bag import bag_weight
 from tallgrove.operators.sampling import stratified_partition
 from tallgrove.operators.scoring import score
@@ -94,7 +95,28 @@ def test_three_classes(spark, parts):
     wrong = result.confusion_matrix.filter("ACTUAL_CLASS <> PREDICTED_CLASS").agg(F.sum("COUNT")).first()[0]
     assert wrong == 0
     with pytest.raises(ValueError, match="two classes"):
-        tr.train_boosted(three, {**BASE, "ITER_NUM": 2})
+        tr.train_boosted(train.withColumn(ft.LABEL, F.lit("one")), {**BASE, "ITER_NUM": 2})
+
+
+def test_boosted_trees_of_three_classes(spark, parts):
+    """Each class has its trees and key; probabilities are those of the single models, normalised."""
+    three = parts[0].withColumn(ft.LABEL, F.least(F.col("DataUsage_PCT"), F.lit(2)).cast("string"))
+    params = {**BASE, "MAX_TREE_DEPTH": 2, "LEARNING_RATE": 0.3}
+    result = tr.train_boosted(three, {**params, "ITER_NUM": 3})
+    keys = {r["KEY"] for r in result.model_rows.select("KEY").distinct().collect()}
+    assert keys == {"header", *[f"class_{i // 3}_tree_{i}" for i in range(9)]}
+    assert result.confusion_matrix.filter("ACTUAL_CLASS <> PREDICTED_CLASS").agg(F.sum("COUNT")).first()[0] == 0
+    got = {(r[ft.ID], r["SCORE"]): r["CONFIDENCE"] for r in score(three, result.model, ft.ID, verbose=True).collect()}
+    alone = {}
+    for c in "012":
+        two = three.withColumn(ft.LABEL, F.when(F.col(ft.LABEL) == c, "b").otherwise("a"))
+        model = tr.train_boosted(two, {**params, "ITER_NUM": 3}).model
+        alone |= {(r[ft.ID], c): r["CONFIDENCE"] for r in score(two, model, ft.ID, verbose=True).filter("SCORE = 'b'").collect()}
+    for (i, c), p in got.items():
+        assert p == pytest.approx(alone[i, c] / sum(alone[i, k] for k in "012"), abs=1e-9)
+    found = tr.train_boosted(three, {**params, "FOLD_NUM": 2, "RANGE_ITER_NUM": "[1,3,5]"})
+    rates = {r["ITER_NUM"]: (r["ERROR_RATE"], r["AUC"]) for r in found.candidates.collect()}
+    assert set(rates) == {1, 3, 5} and all(rate < 0.2 and area is None for rate, area in rates.values())
 
 
 def test_only_cart(parts):
@@ -139,6 +161,27 @@ def test_search_picks_the_best_mean_and_prunes_correctly(parts):
     prepared.release()
 
 
+def test_search_skips_finished_fits(parts, tmp_path, monkeypatch):
+    """A search started again makes the fits that were stopped and no others; other rows or parameters share none."""
+    grid = {"MIN_RECORDS_OF_LEAF_VALUES": "{3,30}", "FOLD_NUM": 2, "ALGORITHM": 3}
+    params, store = Params.of(**BASE, **grid), str(tmp_path / "fits")
+    prepared = prepare_with_folds(parts[0], params)
+    first = search(prepared, params, "tree", 4, store).candidates.orderBy("CANDIDATE").collect()
+    folders = sorted((tmp_path / "fits").iterdir())
+    assert len(folders) == 4
+    made, fit = [], tuning._Tree.fit
+    monkeypatch.setattr(tuning._Tree, "fit", staticmethod(lambda *a: made.append(a) or fit(*a)))
+    (folders[1] / "_SUCCESS").unlink()
+    assert search(prepared, params, "tree", 4, store).candidates.orderBy("CANDIDATE").collect() == first
+    assert len(made) == 1
+    search(prepared, params, "tree", 3, store)
+    assert len(made) == 5
+    told = tuning.rows_digest(prepared.rows)
+    assert tuning.rows_digest(prepared.rows.repartition(3)) == told
+    assert tuning.rows_digest(prepared.rows.filter(F.col(ft.ID) > 3)) != told
+    prepared.release()
+
+
 def test_boosted_search_truncates_correctly(parts):
     train, _ = parts
     params = Params.of(
