@@ -49,6 +49,8 @@ FURNITURE = frozenset(
     " cookies consent gdpr notice banner comments comment disqus breadcrumb breadcrumbs share sharing social related promo popup"
     " modal newsletter subscribe login search widget toolbar".split()
 )
+#: Running text, whose compound class names ("ad-hoc", "related-work") tell of its content.
+RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 pre code em strong b i q".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert".split())
 
 
@@ -68,10 +70,11 @@ def is_furniture(tag: str, found: dict[str, str], in_article: bool) -> bool:
 
 
 def named_furniture(tag: str, found: dict[str, str], in_article: bool) -> bool:
-    """By a word of its class or id."""
+    """By a word of its class or id; running text only by a whole name."""
     if tag in ("html", "body", "article", "main"):
         return False
-    words = set(re.split(r"[^a-z]+", f"{found.get('class', '')} {found.get('id', '')}".lower()))
+    names = f"{found.get('class', '')} {found.get('id', '')}".lower()
+    words = set(names.split() if tag in RUNNING else re.split(r"[^a-z]+", names))
     return bool(words & FURNITURE) or ("header" in words and not in_article)
 
 

@@ -111,6 +111,12 @@ def test_whole_articles():
     assert main(f"<article><p>some <span class=share>Share</span> words</p>{side}</article>") == "some words"
 
 
+def test_compound_names_of_running_text():
+    names = ("ad-hoc", "search-results", "social-history", "notice-of-claim", "related-work", "widget-theory")
+    kept = "".join(f"<p class='{n}'>{n} text</p>" for n in names)
+    assert main(f"<article><h2 class=header-2>title</h2>{kept}<p class='wide ad'>buy</p></article>") == "\n".join(["title", *[f"{n} text" for n in names]])
+
+
 def test_hosts_keep_whole_articles(spark):
     """Votes of a host's pages do not cut its pages to a part of the article."""
     page = "<body><div class='page has-sidebar'><article><h1>title</h1><p>lead</p><div class=body>" + "long text " * 60 + "</div></article></div></body>"
