@@ -282,8 +282,17 @@ for _k in range(12):
     CDF.append((CDF[-1] if CDF else 0.0) + math.exp(-1) / math.factorial(_k))
 
 
-def _uniform(tree: str) -> str:
-    return f"(('0x' || substr(md5(concat('2:', {tree}, ':', AccountID)), 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
+def _start(at: int) -> str:
+    return f"(('0x' || substr(md5(concat('2:', AccountID)), {at}, 8))::BIGINT % 2147483647)"
+
+
+def _uniform(a: object, b: object) -> str:
+    mixed = f"(({_start(1)} * {a}::BIGINT + {b}::BIGINT) % 2147483647)"
+    return f"((({mixed} * {mixed} + {_start(9)}) % 2147483647)::DOUBLE / 2147483647.0::DOUBLE)"
+
+
+def _factors(tree: int) -> tuple[int, int]:
+    return pow(48271, tree + 1, 2147483647), pow(69621, tree + 1, 2147483647)
 
 
 def _draws(uniform: str) -> str:
@@ -408,11 +417,12 @@ CASE WHEN c1 > c0 THEN 'Churned' ELSE 'Active' END AS RULES_CONTENT FROM {RULES}
         "registry_versions": """SELECT DISTINCT 'CUSTOMER_CHURN' AS MODEL_NAME, v AS MODEL_VERSION, k AS MODEL_TYPE,
 DATE '2024-01-02' AS MODEL_DATE, '03:04:05' AS MODEL_TIME FROM customer, (VALUES (1.1::DOUBLE, 'RDT'), (1.2, 'GBDT')) AS x(v, k)""",
         "append_refill": f"{OLD} SELECT {CHURN_COLUMNS} FROM old WHERE PARTITION_TYPE IN (1, 2)",
-        "bag_counts": f"""{only_abt}, d AS (SELECT t, {_uniform('t')} AS u FROM abt, range(8) AS x(t))
+        "bag_counts": f"""{only_abt}, f(t, a, b) AS (VALUES {", ".join(str((t, *_factors(t))) for t in range(100))}),
+d AS (SELECT t, {_uniform('a', 'b')} AS u FROM abt, f)
 SELECT t::INTEGER AS TREE_INDEX, count(*) FILTER (w = 0) AS N_OUTSIDE, sum(w)::BIGINT AS N_DRAWN
 FROM (SELECT t, {_draws('u')} AS w FROM d) GROUP BY t""",
         "oob_given_trees": f"""{BASE}, v AS (SELECT ContractActivityLABEL AS y,
-{", ".join(f"({_uniform(str(t))} < {CDF[0]!r})::INTEGER AS o{t}" for t in range(3))},
+{", ".join(f"({_uniform(*_factors(t))} < {CDF[0]!r})::INTEGER AS o{t}" for t in range(3))},
 {", ".join(f"coalesce((SELECT (c1 > c0)::INTEGER FROM cnt WHERE t = {t} AND l = l{t}), 0) AS v{t}" for t in range(3))}
 FROM trainleaf), u AS (
 SELECT 0 AS t, y, o0 AS o, o0 * v0 AS p FROM v UNION ALL SELECT 1, y, o0 + o1, o0 * v0 + o1 * v1 FROM v

@@ -16,7 +16,7 @@ from tallgrove.operators import payloads as pl
 from tallgrove.operators.forecasting import ses_forecast
 from tallgrove.operators.nodes import tree_rules
 from tallgrove.operators.ordering import ROWS_PER_BUCKET, distributed_rank, positions, shuffle_key
-from tallgrove.operators.out_of_bag import bag_weight
+from tallgrove.operators.out_of_bag import bag_counts as bag_counts_of
 from tallgrove.operators.out_of_bag import oob_error as oob_error_of
 from tallgrove.operators.sampling import TEST, TRAIN, VALIDATE, folds_by_rank, split, stratified_folds, stratified_partition
 from tallgrove.operators.scoring import load_model, score
@@ -856,14 +856,8 @@ def oob_error(spark: SparkSession, directory: str) -> DataFrame:
 
 @query
 def bag_counts(spark: SparkSession, directory: str) -> DataFrame:
-    """Rows outside each tree's bag, and the rows the bag holds with repetition."""
-    table = gs.feature_table(spark, directory)
-    weights = F.array(*[bag_weight(ft.ID, 2, t) for t in range(8)])
-    return (
-        table.select(F.posexplode(weights).alias("TREE_INDEX", "w"))
-        .groupBy("TREE_INDEX")
-        .agg(F.count_if(F.col("w") == 0).alias("N_OUTSIDE"), F.sum("w").cast("bigint").alias("N_DRAWN"))
-    )
+    """Rows outside each tree's bag, and the rows the bag holds with repetition, for a forest of 100 trees."""
+    return bag_counts_of(gs.feature_table(spark, directory), ft.ID, seed=2, trees=100)
 
 
 @query

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tallgrove.operators import evaluation as ev
 from tallgrove.operators import training as tr
 from tallgrove.operators import tuning
-from tallgrove.operators.out_of_bag import bag_weight
+from tallgrove.operators.out_of_bag import bag_counts, bag_weight, bag_weights, stream_start
 from tallgrove.operators.sampling import stratified_partition
 from tallgrove.operators.scoring import score
 from tallgrove.operators.tuning import search, prepare_with_folds
@@ -81,6 +82,22 @@ def test_bag_weights_are_poisson(spark):
     assert mean == pytest.approx(1.0, abs=0.03) and none == pytest.approx(0.3679, abs=0.015)
 
 
+def test_bags_of_columns_and_arrays_agree(spark):
+    first, second = stream_start("id", 3)
+    trees = (0, 1, 50, 99)
+    rows = spark.range(3000).select(first.alias("a"), second.alias("b"), *[bag_weight("id", 3, t).alias(f"t{t}") for t in trees])
+    plain = rows.toPandas()
+    weights = bag_weights(plain["a"].to_numpy(), plain["b"].to_numpy(), 100)
+    assert all((weights[:, t] == plain[f"t{t}"]).all() for t in trees)
+    # Bags of any two trees are drawn apart.
+    apart = np.corrcoef(weights.T) - np.eye(100)
+    assert abs(apart).max() < 0.1
+    assert weights.mean() == pytest.approx(1.0, abs=0.01) and weights.var() == pytest.approx(1.0, abs=0.02)
+    with_null = spark.range(3000).unionByName(spark.createDataFrame([(None,)], "id long"))
+    counts = {r["TREE_INDEX"]: (r["N_OUTSIDE"], r["N_DRAWN"]) for r in bag_counts(with_null, "id", 3, 100).collect()}
+    assert counts == {t: (int((weights[:, t] == 0).sum()), int(weights[:, t].sum())) for t in range(100)}
+
+
 def test_unlabelled_rows_are_left_out(parts):
     train, _ = parts
     holes = train.withColumn(ft.LABEL, F.when(F.col(ft.ID) % 5 > 0, F.col(ft.LABEL)))
