@@ -460,7 +460,8 @@ UNION ALL SELECT PRODUCT_ID, (last + h)::INTEGER, round(f, 4) FROM final, range(
 CASE WHEN count(*) >= 45 THEN 'OK' ELSE 'model is registered but not available' END AS "Longtext"
 FROM embeddings GROUP BY label UNION ALL
 SELECT DISTINCT 'SOURCE_' || source, '2', 'model is not registered' FROM documents""",
-        "payload_classify": NEAREST.format(label="label"),
+        "payload_classify": f"""SELECT 'CLASS' AS MODEL_NAME, * FROM ({NEAREST.format(label="label")})
+UNION ALL SELECT 'PARITY', * FROM ({NEAREST.format(label="label % 2")})""",
         "payload_parity": NEAREST.format(label="label % 2"),
     }
     queries["score_grouped"] = f"{new_scores} UNION ALL SELECT {CHURN_COLUMNS} FROM scored"

@@ -1085,20 +1085,34 @@ def _payloads(spark: SparkSession, directory: str) -> DataFrame:
     return pl.hex_payloads(load(spark, directory, "embeddings"), "vec_id", "embedding")
 
 
-def _classified(spark: SparkSession, directory: str, vectors: DataFrame) -> DataFrame:
-    model = pl.centroid_model(vectors, "label", "embedding", "PAYLOAD")
+def _payload_models(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFrame]:
+    """A catalogue of two models (the class, whether it is odd) and their rows, stored once."""
+    vectors = load(spark, directory, "embeddings")
+    parity = vectors.withColumn("label", F.col("label") % 2)
+    models = snapshot(
+        pl.centroid_model(vectors, "label", "embedding", "CLASS").unionByName(
+            pl.centroid_model(parity, "label", "embedding", "PARITY")
+        ),
+        label="payload-models",
+    )
+    listed = [("CLASS", "nearest_mean", True), ("PARITY", "nearest_mean", True)]
+    return spark.createDataFrame(listed, "MODEL_NAME string, LOADER string, AVAILABLE boolean"), models
+
+
+def _classified(spark: SparkSession, directory: str, *names: str) -> DataFrame:
+    catalogue, models = _payload_models(spark, directory)
     images = pl.decode_payloads(_payloads(spark, directory))
-    found = pl.classify_payloads(images, "NR", "IMAGE", model)
+    found = pl.classify_by_catalogue(images, "NR", "IMAGE", catalogue, models, names)
     return found.withColumn("SCORE", F.round("SCORE", 5))
 
 
 @query
 def payload_classify(spark: SparkSession, directory: str) -> DataFrame:
-    return _classified(spark, directory, load(spark, directory, "embeddings"))
+    """Every payload by two models of the catalogue, from one read."""
+    return _classified(spark, directory, "CLASS", "PARITY")
 
 
 @query
 def payload_parity(spark: SparkSession, directory: str) -> DataFrame:
-    """A second model over the same payloads: is the class even or odd?"""
-    vectors = load(spark, directory, "embeddings").withColumn("label", F.col("label") % 2)
-    return _classified(spark, directory, vectors)
+    """The second model alone: is the class even or odd?"""
+    return _classified(spark, directory, "PARITY").drop("MODEL_NAME")

@@ -133,6 +133,26 @@ def test_payload_round_trip_and_nearest_class(spark):
     assert all(r["LABEL"] == str(int(r["NR"]) % 3) and r["SCORE"] == pytest.approx(0) for r in found)
 
 
+def test_catalogue_names_loaders(spark):
+    data = [(i, [float(i % 3) * 5 + 0.25 * d for d in range(4)], i % 3) for i in range(30)] + [(30, None, 0)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>, label int")
+    low = df.withColumn("label", F.col("label") == 0)
+    models = pl.centroid_model(df, "label", "embedding", "A").unionByName(pl.centroid_model(low, "label", "embedding", "B"))
+    rows = [("A", "nearest_mean", True), ("B", "nearest_mean", True), ("C", "nearest_mean", False), ("D", "other", True)]
+    catalogue = spark.createDataFrame(rows, "MODEL_NAME string, LOADER string, AVAILABLE boolean")
+    images = pl.decode_payloads(pl.hex_payloads(df, "vec_id", "embedding"))
+    found = pl.classify_by_catalogue(images, "NR", "IMAGE", catalogue, models, ["A", "B"])
+    got = {(r["NR"], r["MODEL_NAME"]): (r["LABEL"], r["SCORE"]) for r in found.collect()}
+    assert len(got) == 62 and got["30", "A"] == got["30", "B"] == (None, None)
+    assert all(got[str(i), "A"] == (str(i % 3), 0.0) for i in range(30))
+    assert all(got[str(i), "B"][0] == ("true" if i % 3 == 0 else "false") for i in range(30))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1 and plan.count("ArrowEvalPython") <= 2  # one turns numbers to bytes, one asks both models
+    for name, message in (("C", "not available"), ("D", "no loader"), ("E", "not registered")):
+        with pytest.raises(ValueError, match=message):
+            pl.classify_by_catalogue(images, "NR", "IMAGE", catalogue, models, [name])
+
+
 def test_payload_classes_match_numpy(spark):
     vectors = tb.load(spark, SMALL, "embeddings")
     model = pl.centroid_model(vectors, "label", "embedding", "M")
