@@ -25,10 +25,13 @@ OUTPUT = ("text", "n_chars")
 #: Part of a host's votes that its winner needs.
 AGREED = 0.5
 
-TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|</?[a-zA-Z][^>]*>|</?[a-zA-Z][^<>]*\Z",
-    re.DOTALL,
-)
+#: Tags whose quotes never close that are read with their quotes; after so many, quotes of the page hide no '>'.
+MOST_UNCLOSED = 16
+#: Containers, from the nearest, that the text of a block counts for.
+NEAREST = 64
+
+NAMED_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 # Names of the HTML standard and of common page furniture.
@@ -42,6 +45,9 @@ BLOCKS = frozenset(
 CONTAINERS = frozenset("body article main section div td center blockquote".split())
 #: Elements that a class or id word makes furniture only if they are not the page's wrapper.
 WRAPPERS = CONTAINERS | frozenset("table tbody tr".split())
+BARRIERS = CONTAINERS | frozenset("ul ol table dl".split())
+#: Elements whose end tag also ends the containers in them.
+LEAVES_ROOMS = CONTAINERS | frozenset("html form nav footer aside header".split())
 CLOSED_BY_OWN = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                  "th": {"td", "th"}, "option": {"option"}}
 FURNITURE = frozenset(
@@ -50,6 +56,8 @@ FURNITURE = frozenset(
     " modal newsletter subscribe login search widget toolbar".split()
 )
 #: Running text, whose compound class names ("ad-hoc", "related-work") tell of its content.
+#: What a title's own header is named after ("entry-header").
+CONTENT = frozenset("entry post article story content".split())
 RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 pre code em strong b i q".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert".split())
 
@@ -75,21 +83,64 @@ def named_furniture(tag: str, found: dict[str, str], in_article: bool) -> bool:
         return False
     names = f"{found.get('class', '')} {found.get('id', '')}".lower()
     words = set(names.split() if tag in RUNNING else re.split(r"[^a-z]+", names))
-    return bool(words & FURNITURE) or ("header" in words and not in_article)
+    return bool(words & FURNITURE) or ("header" in words and not words & CONTENT and not in_article)
+
+
+def tags_of(source: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, slash, name, attributes) of comments, declarations and tags, from the left and never back.
+
+    Only whole tags have a name. A tag whose quotes never close ends at the next '>'; a '<' that nothing
+    ends is text, unless it begins a tag that the page's end cuts off.
+    """
+    at, unclosed = 0, 0
+    last_end = source.rfind(">")
+    while (start := source.find("<", at)) >= 0:
+        mark = source[start + 1 : start + 2]
+        opens = source[start + 2 : start + 3] if mark == "/" else mark
+        found = None
+        if source.startswith("<!--", start):
+            end = source.find("-->", start + 4)
+            end = end + 3 if end >= 0 else len(source)
+        elif mark in ("!", "?") or (opens.isascii() and opens.isalpha()):
+            if start < last_end:
+                if mark not in ("!", "?") and unclosed < MOST_UNCLOSED:
+                    found = NAMED_TAG.match(source, start)
+                    unclosed += found is None
+                elif mark not in ("!", "?"):
+                    found = PLAIN_TAG.match(source, start)
+                end = found.end() if found else source.index(">", start) + 1
+            elif mark not in ("!", "?") and source.find("<", start + 1) < 0:
+                end = len(source)
+            else:
+                at = start + 1
+                continue
+        else:
+            at = start + 1
+            continue
+        # A search for elements of raw text may skip ahead.
+        ahead = yield (start, end, found[1], found[2].lower(), found[3]) if found else (start, end, "", "", "")
+        at = max(end, ahead or 0)
 
 
 class Page:
-    """Blocks of a page's text, and the containers they stand in."""
+    """Blocks of a page's text, and the containers they stand in; parents are links, so memory follows the page."""
 
     def __init__(self, source: str) -> None:
-        self.paths: list[str] = []  # of each container
-        self.above: list[int] = []  # the container around it, or -1
-        self.blocks: list[tuple[str, tuple[int, ...], int]] = []  # text, containers from the outside, characters outside links
+        self.above: list[int] = []  # of each container the one around it, or -1
+        self.path: list[int] = []  # of each container its path
+        self.steps: list[tuple[int, str]] = []  # of each path the path around it, or -1, and its last step
+        self.blocks: list[tuple[str, int, int]] = []  # text, container or -1, characters outside links
         self.titles: set[int] = set()  # blocks that are an h1
-        self._marks: list[tuple[tuple[str, int], ...]] = []  # of each block: (tag, number) of the elements in _named, articles and mains around it
-        self._named: list[int] = []  # numbers of the elements that a class or id word may make furniture
-        self._elements = 0
-        self._stack: list[tuple[str, int, tuple[str, int] | None]] = []  # tag, container or -1, mark
+        self._path_of: dict[tuple[int, str], int] = {}
+        # Articles, mains and elements that a class or id word may make furniture: (tag, the one around it, named).
+        self._marks: list[tuple[str, int, bool]] = []
+        self._mark_of: list[int] = []  # of each block
+        self._stack: list[tuple[str, bool, bool]] = []  # tag, whether it is a container, whether it is a mark
+        self._at: dict[str, list[int]] = {}  # depths of the open elements by tag
+        self._barriers: list[int] = []  # depths at which the search for elements to close ends
+        self._rooms: list[int] = []  # depths of elements of CONTAINERS
+        self._inside: list[int] = [-1]  # open containers
+        self._within: list[int] = [-1]  # open marks
         self._text: list[str] = []
         self._linked = 0
         self._links = 0
@@ -101,11 +152,10 @@ class Page:
             return
         text = " ".join("".join(self._text).split())
         if text:
-            inside = tuple(c for _, c, _ in self._stack if c >= 0)
-            if any(tag == "h1" for tag, _, _ in self._stack):
+            if self._at.get("h1"):
                 self.titles.add(len(self.blocks))
-            self._marks.append(tuple(m for _, _, m in self._stack if m))
-            self.blocks.append((text, inside, max(0, len(text) - self._linked)))
+            self._mark_of.append(self._within[-1])
+            self.blocks.append((text, self._inside[-1], max(0, len(text) - self._linked)))
         self._text, self._linked = [], 0
 
     def _add(self, text: str) -> None:
@@ -119,137 +169,186 @@ class Page:
 
     def _close(self, depth: int) -> None:
         """Close all elements from this depth on."""
-        for tag, _, _ in self._stack[depth:]:
+        for tag, container, mark in self._stack[depth:]:
             self._links -= tag == "a"
+            self._at[tag].pop()
+            if container:
+                self._inside.pop()
+            if mark:
+                self._within.pop()
         del self._stack[depth:]
+        for depths in (self._barriers, self._rooms):
+            while depths and depths[-1] >= depth:
+                depths.pop()
         if self._skip >= depth:
             self._skip = -1
 
+    def _close_before(self, tag: str) -> None:
+        """Close what a block of this tag ends, as far as the next barrier."""
+        ends = CLOSED_BY_OWN.get(tag, frozenset()) | {"p"}
+        barrier = len(self._barriers) - 1
+        while barrier >= 0 and self._stack[self._barriers[barrier]][0] in ends:
+            barrier -= 1
+        least = self._barriers[barrier] if barrier >= 0 else -1
+        first = len(self._stack)
+        for end in ends:
+            for depth in reversed(self._at.get(end, ())):
+                if depth <= least:
+                    break
+                first = min(first, depth)
+        if first < len(self._stack):
+            self._close(first)
+
     def _open(self, tag: str, source: str) -> None:
-        stack = self._stack
         if tag in BLOCKS:
             self._flush()
-            ends = CLOSED_BY_OWN.get(tag, frozenset()) | {"p"}
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] in ends:
-                    self._close(depth)
-                elif stack[depth][0] in CONTAINERS or stack[depth][0] in ("ul", "ol", "table", "dl"):
-                    break
+            self._close_before(tag)
         if tag in VOID:
             if tag == "br":
                 self._add(" ")
             return
-        container, mark = -1, None
+        depth = len(self._stack)
+        container = mark = False
         if self._skip < 0:
             found = attributes(source) if source.strip(" /") else {}
-            in_article = any(t in ("article", "main") for t, _, _ in stack)
+            in_article = bool(self._at.get("article") or self._at.get("main"))
             named = named_furniture(tag, found, in_article)
-            if named and tag in WRAPPERS or tag in ("article", "main"):
-                mark = (tag, self._elements)
-                self._elements += 1
+            mark = (named and tag in WRAPPERS) or tag in ("article", "main")
             if is_furniture(tag, found, in_article) or (named and not mark):
-                self._skip, mark = len(stack), None
-            elif named:
-                self._named.append(mark[1])
+                self._skip, mark = depth, False
+            if mark:
+                self._marks.append((tag, self._within[-1], named))
+                self._within.append(len(self._marks) - 1)
             if self._skip < 0 and tag in CONTAINERS:
-                above = next((c for _, c, _ in reversed(stack) if c >= 0), -1)
-                self.above.append(above)
-                names = sorted({re.sub(r"\d+", "0", n) for n in found.get("class", "").lower().split()})
-                self.paths.append((self.paths[above] + ">" if above >= 0 else "") + ".".join([tag, *names]))
-                container = len(self.paths) - 1
+                names = sorted({re.sub(r"\d+", "0", n.replace(">", "")) for n in found.get("class", "").lower().split()})
+                around = self._inside[-1]
+                step = (self.path[around] if around >= 0 else -1, ".".join([tag, *names]))
+                if step not in self._path_of:
+                    self._path_of[step] = len(self.steps)
+                    self.steps.append(step)
+                container = True
+                self._inside.append(len(self.above))
+                self.above.append(around)
+                self.path.append(self._path_of[step])
         if tag == "a":
             self._links += 1
-        stack.append((tag, container, mark))
+        self._stack.append((tag, container, mark))
+        self._at.setdefault(tag, []).append(depth)
+        if tag in CONTAINERS:
+            self._rooms.append(depth)
+        if tag in BARRIERS:
+            self._barriers.append(depth)
 
     def _shut(self, tag: str) -> None:
         if tag in BLOCKS:
             self._flush()
-        for depth in range(len(self._stack) - 1, -1, -1):
-            if self._stack[depth][0] == tag:
-                self._close(depth)
-                return
-            if self._stack[depth][0] in CONTAINERS and tag not in CONTAINERS and tag not in ("html", "form", "nav", "footer", "aside", "header"):
-                return
+        depths = self._at.get(tag)
+        if depths and (tag in LEAVES_ROOMS or not self._rooms or self._rooms[-1] <= depths[-1]):
+            self._close(depths[-1])
 
     def _read(self, source: str) -> None:
         at = 0
-        found = TAG.search(source)
+        tags = tags_of(source)
+        found = next(tags, None)
         while found:
-            if found.start() > at:
-                self._add(source[at : found.start()])
-            at = found.end()
-            tag = (found[2] or "").lower()
-            if tag and found[1]:
+            start, end, slash, tag, rest = found
+            if start > at:
+                self._add(source[at:start])
+            at = end
+            if tag and slash:
                 self._shut(tag)
             elif tag:
-                closed = found[3].endswith("/")
+                closed = rest.endswith("/")
                 if tag in RAW and not closed:
-                    end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(source, at)
-                    at = end.end() if end else len(source)
+                    raw = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(source, at)
+                    at = raw.end() if raw else len(source)
                 else:
-                    self._open(tag, found[3])
+                    self._open(tag, rest)
                     if closed and tag not in BLOCKS and tag not in VOID:
                         self._shut(tag)
-            found = TAG.search(source, at)
+            try:
+                found = tags.send(at)
+            except StopIteration:
+                found = None
         self._add(source[at:])
         self._flush()
-        if self._named:
+        if any(named for _, _, named in self._marks):
             wrappers = self._wrappers()
-            gone = {n for n in self._named if n not in wrappers}
-            left = [i for i, marks in enumerate(self._marks) if not any(n in gone for _, n in marks)]
+            gone: list[bool] = []  # of each mark: it or one around it is furniture
+            for n, (_, around, named) in enumerate(self._marks):
+                gone.append((named and n not in wrappers) or (around >= 0 and gone[around]))
+            left = [i for i, mark in enumerate(self._mark_of) if mark < 0 or not gone[mark]]
             self.titles = {k for k, i in enumerate(left) if i in self.titles}
             self.blocks = [self.blocks[i] for i in left]
 
     def _wrappers(self) -> set[int]:
         """Elements around the page's article or main or most of its text, so that their names do not count."""
-        named = set(self._named)
-        own: dict[int, int] = {}  # characters outside links in each
-        held: dict[int, set[str]] = {}  # article and main, if in it
-        over: dict[int, tuple[set[int], bool]] = {}  # the named elements around it (-1: page), whether an article or main is
-        text_in: dict[str, set[int]] = {"article": set(), "main": set()}  # the nearest named elements around the text of such
+        marks = self._marks
+        kinds = ("article", "main")
+        own = [0] * len(marks)  # characters outside links in each
+        full = [False] * len(marks)  # whether a block is in it
+        inside: list[frozenset[str]] = []  # article and main around it or itself
+        nearest: list[int] = []  # the nearest named element around it or itself, or -1
+        for n, (tag, around, named) in enumerate(marks):
+            inside.append((inside[around] if around >= 0 else frozenset()) | ({tag} if not named else frozenset()))
+            nearest.append(n if named else nearest[around] if around >= 0 else -1)
+        text_in: dict[str, set[int]] = {kind: set() for kind in kinds}  # the nearest named elements around the text of such
         whole = 0
-        for marks, (_, _, size) in zip(self._marks, self.blocks, strict=True):
+        for mark, (_, _, size) in zip(self._mark_of, self.blocks, strict=True):
             whole += size
-            around, inside, nearest = {-1}, False, -1
-            for tag, n in marks:
-                if n in named:
-                    if n not in over:
-                        over[n] = (set(around), inside)
-                    around.add(n)
-                    nearest = n
-                    own[n] = own.get(n, 0) + size
-                else:
-                    inside = True
-            found: set[str] = set()
-            for tag, n in reversed(marks):
-                if n in named:
-                    held.setdefault(n, set()).update(found)
-                else:
-                    found.add(tag)
-            for tag in found:
-                text_in[tag].add(nearest)
+            if mark >= 0:
+                own[mark] += size
+                full[mark] = True
+                for kind in inside[mark]:
+                    text_in[kind].add(nearest[mark])
+        held: list[set[str]] = [set() for _ in marks]  # article and main in it
+        for n in range(len(marks) - 1, -1, -1):
+            tag, around, named = marks[n]
+            if around >= 0 and full[n]:
+                own[around] += own[n]
+                full[around] = True
+                held[around] |= held[n] | ({tag} if not named else set())
         out = set()
-        for n, (around, inside) in over.items():
+        meets: list[dict[str, bool]] = []  # whether text of such is next to it or to a named element around it
+        for n, (_, around, named) in enumerate(marks):
+            before = meets[around] if around >= 0 else {kind: -1 in text_in[kind] for kind in kinds}
+            meets.append({kind: before[kind] or (named and n in text_in[kind]) for kind in kinds})
+            if not named or not full[n]:
+                continue
             if "main" in held[n]:
                 out.add(n)
-            elif not text_in["article"] & around:
-                if "article" in held[n] and not inside:
+            elif not before["article"]:
+                if "article" in held[n] and not (around >= 0 and inside[around]):
                     out.add(n)
-                elif ("article" in held[n] or not text_in["main"] & around) and 2 * own[n] > whole:
+                elif ("article" in held[n] or not before["main"]) and 2 * own[n] > whole:
                     out.add(n)
         return out
 
+    def _tag(self, container: int) -> str:
+        return self.steps[self.path[container]][1].partition(".")[0]
+
+    def path_text(self, container: int) -> str:
+        steps, path = [], self.path[container]
+        while path >= 0:
+            path, step = self.steps[path]
+            steps.append(step)
+        return ">".join(reversed(steps))
+
     def best(self) -> str:
-        """Path of the container that ``_rise`` finds from the one with the highest score; '' if no text stands in one."""
-        scores = [0.0] * len(self.paths)
-        for _, inside, own in self.blocks:
-            for distance, container in enumerate(reversed(inside), 1):
+        """Path of the container that ``_rise`` finds from the one with the highest score; '' if no text stands in one.
+
+        Text counts for the ``NEAREST`` containers around it, divided by their distance.
+        """
+        scores = [0.0] * len(self.above)
+        for _, container, own in self.blocks:
+            distance = 1
+            while container >= 0 and distance <= NEAREST:
                 scores[container] += own / distance
-        for i, path in enumerate(self.paths):
-            if path.rpartition(">")[2].partition(".")[0] in ("article", "main"):
-                scores[i] *= 1.5
+                container = self.above[container]
+                distance += 1
+        scores = [score * 1.5 if score and self._tag(i) in ("article", "main") else score for i, score in enumerate(scores)]
         top = max(scores, default=0.0)
-        return self.paths[self._rise(scores.index(top))] if top > 0 else ""
+        return self.path_text(self._rise(scores.index(top))) if top > 0 else ""
 
     def _rise(self, container: int) -> int:
         """The outermost article or main around a container; without one, the ancestor that holds its headings and leads.
@@ -260,28 +359,38 @@ class Page:
         line = [container]
         while self.above[line[-1]] >= 0:
             line.append(self.above[line[-1]])
-        tags = [self.paths[c].rpartition(">")[2].partition(".")[0] for c in line]
-        whole = [c for c, tag in zip(line, tags) if tag in ("article", "main")]
+        whole = [c for c in line if self._tag(c) in ("article", "main")]
         if whole:
             return whole[-1]
-        for ancestor, tag in zip(line[1:], tags[1:]):
-            kept = adds = other = 0
-            for i, (_, inside, own) in enumerate(self.blocks):
-                if container in inside:
-                    kept += own
-                elif ancestor in inside:
-                    if i in self.titles or inside[-1] in line:
-                        adds += own
-                    else:
-                        other += own
-            if adds and (other < kept if tag != "body" else not other):
+        on_line = set(line)
+        leads, others = [0] * len(self.above), [0] * len(self.above)  # characters in each container
+        for i, (_, inner, own) in enumerate(self.blocks):
+            if inner >= 0:
+                (leads if i in self.titles or inner in on_line else others)[inner] += own
+        for c in range(len(self.above) - 1, -1, -1):
+            if self.above[c] >= 0:
+                leads[self.above[c]] += leads[c]
+                others[self.above[c]] += others[c]
+        for ancestor in line[1:]:
+            kept = leads[container] + others[container]
+            adds, other = leads[ancestor] - leads[container], others[ancestor] - others[container]
+            if adds and (other < kept if self._tag(ancestor) != "body" else not other):
                 container = ancestor
         return container
 
     def text_at(self, path: str) -> list[str]:
         """Blocks in the containers with the path, in page order; '' is the whole page."""
-        chosen = {i for i, p in enumerate(self.paths) if p == path}
-        return [text for text, inside, _ in self.blocks if not path or chosen.intersection(inside)]
+        if not path:
+            return [text for text, _, _ in self.blocks]
+        wanted: int | None = -1
+        for step in path.split(">"):
+            wanted = self._path_of.get((wanted, step))
+            if wanted is None:
+                return []
+        chosen: list[bool] = []
+        for c, around in enumerate(self.above):
+            chosen.append(self.path[c] == wanted or (around >= 0 and chosen[around]))
+        return [text for text, container, _ in self.blocks if container >= 0 and chosen[container]]
 
 
 def host_of(url: str | None) -> str | None:

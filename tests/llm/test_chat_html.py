@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -136,3 +137,32 @@ def test_hosts_agree(spark):
     assert by[10]["text"] == "tiny" and by[11]["text"].startswith("other words") and by[12]["text"] == by[11]["text"]
     assert by[13]["text"] == "" and by[13]["n_chars"] == 0 and by[14]["text"] == "x" and len(got) == len(rows)
     assert html_extract.extract(df.limit(0)).collect() == []
+
+
+def test_long_broken_pages_take_time_by_length():
+    pages = {
+        "<div>t " * 50_000: 50_000,
+        "<a b='" * 40_000: 1,
+        "<a b='>" * 40_001: 0,
+        "<b>" * 30_000 + "<p>x" * 30_000: 30_000,
+        "<b>" * 30_000 + "</i>x" * 30_000: 1,
+        "<ul><li>a" * 30_000: 30_000,
+        "< " * 100_000: 1,
+    }
+    started = time.perf_counter()
+    for source, blocks in pages.items():
+        page = Page(source)
+        assert len(page.text_at(page.best())) == blocks, source[:20]
+    assert time.perf_counter() - started < 20
+
+
+def test_names_of_containers_around_titles():
+    page = Page("<body><div class='post'><div class='entry-header'><h1>Title</h1></div><div><p>long text</p></div></div></body>")
+    assert page.text_at("") == ["Title", "long text"]
+    assert Page("<div class='header'><h1>Site</h1></div><div><p>long text</p></div>").text_at("") == ["long text"]
+
+
+def test_tags_that_do_not_end():
+    assert Page("a <b title='x>y'>c</b> <i d=\"e> f</i> < 3 <u").text_at("") == ["a c f < 3"]
+    assert Page("one <!-- two > three --> four <!-- five").text_at("") == ["one four"]
+    assert Page("<p>x<script>if (a < b) '</p>'</script>y<style>z").text_at("") == ["xy"]
