@@ -1,10 +1,11 @@
 """Reversible line deduplication: sharded cuckoo filters before exact reference tables.
 
-The exact side is a log of postings (line key, document, +1 or -1); a key's reference count is the
-number of documents that hold it now. The filters hold the keys whose count has reached the
-threshold, dealt into shards by hash: insertions of documents add keys to them, deletions take
-keys out again. The postings are summed by key, and sums of keys that pass the filters are exact counts, so a
-filter's false positives change nothing. The sums are made for all keys; the filters save no lookup there.
+The exact side is two logs, a table per change: postings (line key, document, +1 or -1), and the change of each key's
+reference count, the number of documents that hold it, with the largest document added. The filters hold the
+keys whose count has reached the threshold, dealt into shards by hash: insertions of documents add keys to them, deletions
+take keys out again. A lookup probes the filters first; only the hits meet the logged counts, where a filter's false
+positives fall out, and only the keys found repeated meet the postings. Where a deletion may have taken a key's
+largest document, that is looked up in the key's postings.
 
 Keys are 128-bit hashes and evenly dealt; a line that a third of all documents hold is one key
 in the filters, and in the joins with postings its rows are the side that can be split.
@@ -24,7 +25,9 @@ from tallgrove.llm.frames import ascii_lower, ready, schema_with, stored, withou
 
 MIN_CHARS = 20
 MIN_DOCS = 3
+#: Least number of shards, and distinct keys that a shard is made for; shards double as the keys grow.
 SHARDS = 64
+SHARD_KEYS = 250_000
 #: White space stripped from both ends of a line: [\x20\x09-\x0D].
 BLANK = " \t\n\x0b\x0c\r"
 NO_ID = -(2**63)
@@ -134,26 +137,57 @@ class LineIndex:
         min_chars: int = MIN_CHARS,
         shards: int = SHARDS,
         log: tuple[DataFrame, ...] = (),
+        counted: tuple[DataFrame, ...] = (),
         filters: DataFrame | None = None,
+        shard_keys: int = SHARD_KEYS,
     ) -> None:
         self.spark, self.min_docs, self.min_chars, self.shards = ready(spark), min_docs, min_chars, shards
-        self.log, self.filters = log, filters
+        self.log, self.counted, self.filters, self.shard_keys = log, counted, filters, shard_keys
 
-    def _changed(self, log: tuple[DataFrame, ...], filters: DataFrame) -> LineIndex:
-        return LineIndex(self.spark, self.min_docs, self.min_chars, self.shards, log, filters)
+    def _changed(self, postings: DataFrame, counts: DataFrame, shards: int) -> LineIndex:
+        """With a further change in the logs, before the filters follow."""
+        logs = (*self.log, postings), (*self.counted, counts)
+        same = self.filters if shards == self.shards else None
+        return LineIndex(self.spark, self.min_docs, self.min_chars, shards, *logs, same, self.shard_keys)
 
-    def postings(self) -> DataFrame:
-        """Distinct (hi, lo, doc) that hold now."""
-        if len(self.log) == 1:
-            return self.log[0].filter("sign > 0").select("hi", "lo", "doc")
+    def _with_filters(self, filters: DataFrame) -> LineIndex:
+        return LineIndex(
+            self.spark, self.min_docs, self.min_chars, self.shards, self.log, self.counted, filters, self.shard_keys
+        )
+
+    def postings(self, keys: DataFrame | None = None) -> DataFrame:
+        """Distinct (hi, lo, doc) that hold now, of the distinct keys asked for."""
         rows = reduce(DataFrame.unionByName, self.log)
+        if keys is not None:
+            rows = rows.join(keys.select("hi", "lo"), ["hi", "lo"])
+        if len(self.log) == 1:
+            return rows.filter("sign > 0").select("hi", "lo", "doc")
         return rows.groupBy("hi", "lo", "doc").agg(F.sum("sign").alias("n")).filter("n > 0").drop("n")
 
     def counts(self, keys: DataFrame | None = None) -> DataFrame:
-        """(hi, lo, n, last) of the keys asked for: reference count and largest document."""
-        totals = self.postings().groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n"), F.max("doc").alias("last"))
-        # Summed before the join, so that a key of very many documents is one row in it.
-        return totals if keys is None else totals.join(keys.select("hi", "lo").distinct(), ["hi", "lo"])
+        """(hi, lo, n, last) of the distinct keys asked for: reference count and largest document."""
+        rows = reduce(DataFrame.unionByName, self.counted)
+        if keys is not None:
+            rows = rows.join(keys.select("hi", "lo"), ["hi", "lo"])
+        if len(self.counted) == 1:
+            return rows
+        totals = rows.groupBy("hi", "lo").agg(
+            F.sum("n").alias("n"), F.max("last").alias("last"), F.max((F.col("n") < 0)).alias("shrunk")
+        ).filter("n > 0")
+        shrunk = self.postings(totals.filter("shrunk")).groupBy("hi", "lo").agg(F.max("doc").alias("held"))
+        exact = F.when(F.col("shrunk"), F.col("held")).otherwise(F.col("last"))
+        return totals.join(shrunk, ["hi", "lo"], "left").select("hi", "lo", "n", exact.alias("last"))
+
+    def _crossed(self, change: DataFrame) -> DataFrame:
+        """The keys of a change (hi, lo, n) whose count it takes over the threshold, up or down."""
+        before = F.lit(0)
+        if self.counted:
+            rows = reduce(DataFrame.unionByName, self.counted).join(change.select("hi", "lo"), ["hi", "lo"])
+            sums = rows.groupBy("hi", "lo").agg(F.sum("n").alias("before"))
+            change = change.join(sums, ["hi", "lo"], "left")
+            before = F.coalesce("before", F.lit(0))
+        least = F.lit(self.min_docs)
+        return change.filter((before >= least) != (before + F.col("n") >= least)).select("hi", "lo")
 
     def _shard(self) -> Column:
         return F.pmod("lo", F.lit(self.shards)).cast("int").alias("shard")
@@ -174,20 +208,26 @@ class LineIndex:
         made = now.groupBy("shard").cogroup(changes.groupBy("shard")).applyInPandas(change, schema)
         return stored(made, "line-filters")
 
+    def _wanted_shards(self, new: int) -> int:
+        """Enough for all keys, held and new; those of several changes count more than once."""
+        keys, shards = new + sum(df.count() for df in self.counted), self.shards
+        while shards * self.shard_keys < keys:
+            shards *= 2
+        return shards
+
     def insert(self, docs: DataFrame) -> LineIndex:
         """Add documents; those of an id that is held already add only the lines that are new to it."""
         batch = postings_of(docs, self.min_chars)
         if self.log:
             batch = batch.join(self.postings(), ["hi", "lo", "doc"], "left_anti")
         batch = stored(batch.withColumn("sign", F.lit(1)), "line-postings")
-        after = self._changed((*self.log, batch), self.filters)
-        new = batch.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("new"))
-        if self.log:
-            totals = after.counts(new).join(new, ["hi", "lo"])
-        else:
-            totals = new.withColumn("n", F.col("new"))
-        crossed = totals.filter((F.col("n") >= self.min_docs) & (F.col("n") - F.col("new") < self.min_docs))
-        return after._changed(after.log, after._with_keys(crossed, None))
+        sums = batch.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n"), F.max("doc").alias("last"))
+        new = stored(sums, "line-counts")
+        after = self._changed(batch, new, self._wanted_shards(new.count()))
+        if self.filters is not None and after.filters is None:  # more shards: deal all keys anew
+            held = after.counts().filter(F.col("n") >= self.min_docs)
+            return after._with_filters(after._with_keys(held, None))
+        return after._with_filters(after._with_keys(self._crossed(new), None))
 
     def delete(self, ids: DataFrame) -> LineIndex:
         """Take out whole documents by ``doc_id``; ids that are not held change nothing."""
@@ -197,24 +237,24 @@ class LineIndex:
         batch = stored(
             self.postings().join(gone, "doc", "left_semi").select("hi", "lo", "doc", F.lit(-1).alias("sign")), "line-postings"
         )
-        lost = stored(batch.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("lost")), "line-lost")
-        totals = lost.join(self.counts(lost), ["hi", "lo"])
-        crossed = totals.filter((F.col("n") >= self.min_docs) & (F.col("n") - F.col("lost") < self.min_docs))
-        return self._changed((*self.log, batch), self._with_keys(None, crossed))
+        sums = batch.groupBy("hi", "lo").agg((-F.count(F.lit(1))).alias("n"), F.lit(None).cast("long").alias("last"))
+        lost = stored(sums, "line-counts")
+        after = self._changed(batch, lost, self.shards)
+        return after._with_filters(after._with_keys(None, self._crossed(lost)))
 
     def maybe_repeated(self, keys: DataFrame) -> DataFrame:
-        """The distinct (hi, lo) that the filters have; a superset of the repeated ones."""
+        """Those of the distinct (hi, lo) that the filters have; a superset of the repeated ones."""
 
         def probe(key, now: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
             if not len(now):
                 return rows.iloc[:0][["hi", "lo"]]
             return rows.loc[CuckooFilter.of_bytes(list(now["tables"].iloc[0])).has(rows["hi"].to_numpy()), ["hi", "lo"]]
 
-        distinct = keys.select("hi", "lo").distinct().withColumn("shard", self._shard())
-        return self.filters.groupBy("shard").cogroup(distinct.groupBy("shard")).applyInPandas(probe, "hi long, lo long")
+        dealt = keys.select("hi", "lo", self._shard())
+        return self.filters.groupBy("shard").cogroup(dealt.groupBy("shard")).applyInPandas(probe, "hi long, lo long")
 
     def repeated(self, keys: DataFrame) -> DataFrame:
-        """Exact (hi, lo, n, last) of those keys that at least ``min_docs`` documents hold."""
+        """Exact (hi, lo, n, last) of those distinct keys that at least ``min_docs`` documents hold."""
         return self.counts(self.maybe_repeated(keys)).filter(F.col("n") >= self.min_docs)
 
 
@@ -226,8 +266,12 @@ def drop_repeated(docs: DataFrame, index: LineIndex, inserted: bool = False) ->
     An empty table gives no rows. Input columns named like an output column are replaced.
     """
     base = without(docs, *OUTPUT)
-    held = index.postings() if inserted else postings_of(base, index.min_chars)
-    over = stored(index.repeated(held), "line-repeated").select("hi", "lo", "last")
+    if inserted and len(index.log) == 1:  # the documents are the one insertion, whose keys are counted already
+        held, keys = index.postings(), index.counted[0]
+    else:
+        held = postings_of(base, index.min_chars)
+        keys = held.select("hi", "lo").distinct()
+    over = stored(index.repeated(keys), "line-repeated").select("hi", "lo", "last")
     lost = held.join(over, ["hi", "lo"]).filter("doc < last").groupBy("doc").agg(F.collect_list("lo").alias("_lost"))
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     joined = base.join(lost.withColumnRenamed("doc", "_doc"), doc == F.col("_doc"), "left").drop("_doc")

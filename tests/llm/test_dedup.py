@@ -119,6 +119,35 @@ def test_line_index_is_reversible(spark):
     assert {r["doc_id"]: r["kept_text"] for r in again} == {i: v[2] for i, v in brute.lines(texts).items()}
 
 
+def test_line_index_counts_and_grows(spark):
+    texts = line_texts(5)
+    parts = [{i: t for i, t in texts.items() if i % 3 == k} for k in range(3)]
+    index = LineIndex(spark, shards=1, shard_keys=3)
+    for part in parts:
+        index = index.insert(frame(spark, part))
+    assert index.shards >= 4
+    index = index.delete(spark.createDataFrame([(29,), (28,), (None,)], "doc_id long"))
+    rest = {i: t for i, t in texts.items() if i not in (28, 29)}
+    held: dict[str, set[int]] = {}
+    for i, text in rest.items():
+        for line in (text or "").split("\n"):
+            key = line.strip(lines.BLANK).lower()
+            if len(key) >= 20:
+                held.setdefault(key, set()).add(i)
+    got = sorted((r["n"], r["last"]) for r in index.counts().collect())
+    assert got == sorted((len(v), max(v)) for v in held.values())
+    kept = lines.drop_repeated(frame(spark, rest), index).collect()
+    assert {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["kept_text"]) for r in kept} == brute.lines(rest)
+
+
+def test_line_lookups_meet_hits_only(spark):
+    index = LineIndex(spark).insert(frame(spark, line_texts(6)))
+    # The filters are probed first and only their hits are joined with the counts; no posting is read.
+    plan = index.repeated(index.counted[0])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("FlatMapCoGroupsInPandas")
+    assert "Aggregate" not in plan and "doc#" not in plan
+
+
 def test_cuckoo_filter_adds_and_removes():
     keys = np.random.default_rng(1).integers(-(2**63), 2**63, 6000)
     cuckoo = CuckooFilter()
