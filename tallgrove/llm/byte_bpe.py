@@ -8,10 +8,11 @@ joined from the same two pieces, those that the ranks below r leave of it, so on
 
 Only distinct words are folded:
 
-1. A map counts the words of whole texts. The commonest words, at most ``MOST_WORDS`` of at most
-   ``LONGEST_WORD`` characters, are folded once and broadcast with their ids (some 20 MB at any size of corpus).
+1. A map counts the words of whole texts; distinct words are shuffled with their counts. The commonest words that occur
+   twice, at most ``MOST_WORDS`` of at most ``LONGEST_WORD`` characters, are folded once and broadcast with their ids
+   (some 30 MB at any size of corpus).
 2. A second map splits every text again, takes the ids of known words from the broadcast and hands each
-   document's other distinct words to the same fold. No document and no word is shuffled for it.
+   document's other distinct words to the same fold. No document is shuffled.
 
 A word of more than ``WINDOW`` bytes is folded in overlapping windows that are joined at a token which both
 windows hold: a token row is the encoding of its bytes if every two neighbours are the encoding of theirs.
@@ -35,10 +36,10 @@ from pyspark.sql import functions as F
 
 from tallgrove.llm.frames import ready, schema_with, stored, without
 
-MOST_WORDS = 800_000
+MOST_WORDS = 1_000_000
 LONGEST_WORD = 64
 FLUSH_WORDS = 500_000
-BUCKETS = 8191
+BUCKETS = 65_521
 #: More than any id, so that left * WIDE + right names a pair.
 WIDE = 1 << 24
 WINDOW = 128
@@ -245,19 +246,20 @@ def fold_words(words: Column, ranks: dict[bytes, int]) -> Column:
 
 
 def word_counts(docs: DataFrame, make: Callable) -> DataFrame:
-    """(word, n) of the words of at most ``LONGEST_WORD`` characters, as often as a task met them twice and more.
+    """(word, n) of the words of at most ``LONGEST_WORD`` characters.
 
-    Only the choice of the words that are folded once rests on it; no result does.
+    Tasks add up before the shuffle, so a word leaves a task once for every ``FLUSH_WORDS`` distinct words. Only the
+    choice of the words that are folded once rests on it; no result does.
     """
 
     def count(batches):
         words, seen = make(), Counter()
 
         def rows():
-            often = [(w, n) for w, n in seen.items() if n > 1 and len(w) <= LONGEST_WORD]
+            short = [(w, n) for w, n in seen.items() if len(w) <= LONGEST_WORD]
             seen.clear()
-            for at in range(0, len(often), 20_000):
-                part = often[at : at + 20_000]
+            for at in range(0, len(short), 20_000):
+                part = short[at : at + 20_000]
                 yield pa.RecordBatch.from_pydict({
                     "word": pa.array([w for w, _ in part], pa.string()), "n": pa.array([n for _, n in part], pa.int64()),
                 })
@@ -275,8 +277,8 @@ def word_counts(docs: DataFrame, make: Callable) -> DataFrame:
 
 
 def known_words(spark: SparkSession, docs: DataFrame, make: Callable, ranks: dict[bytes, int], most: int) -> pa.Table:
-    """(word, ids) of the commonest words, at most ``most``: whole steps of a logarithmic scale of counts."""
-    counts = stored(word_counts(docs, make), "words")
+    """(word, ids) of the commonest words that occur twice, at most ``most``: whole steps of a logarithmic scale of counts."""
+    counts = stored(word_counts(docs, make).filter("n > 1"), "words")
     step = F.floor(F.log2("n") * 4).cast("int")
     total, least = 0, None
     for row in sorted(counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
