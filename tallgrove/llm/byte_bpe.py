@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with a rank file.
 
-Merging is a fold of Spark's higher-order functions over a word's bytes: the state is the ids of the word's
-pieces and the rank of every neighbouring pair, and each step joins the pair of least rank. Ranks
+Merging is a fold of Spark's higher-order functions over a word's bytes: the state is one array of the word's
+pieces and, between them, the rank of every neighbouring pair, and each step joins the pair of least rank. Ranks
 come from a literal map of pairs, dealt into buckets because a map is searched key by key. A piece of rank r is always
 joined from the same two pieces, those that the ranks below r leave of it, so one pair a rank is enough;
 ``merges`` finds the pairs and refuses ranks where that does not hold.
@@ -11,7 +11,8 @@ Only distinct words are folded:
 1. A map counts the words of whole texts. The commonest words, at most ``MOST_WORDS`` of at most
    ``LONGEST_WORD`` characters, are folded once and broadcast with their ids (some 20 MB at any size of corpus).
 2. A second map splits every text again, takes the ids of known words from the broadcast and hands each
-   document's other distinct words to the same fold. No document and no word is shuffled for it.
+   document's other distinct words to the same fold, whose ids a third map puts in their places. All three run in
+   one stage; no document and no word is shuffled for it.
 
 A word of more than ``WINDOW`` bytes is folded in overlapping windows that are joined at a token which both
 windows hold: a token row is the encoding of its bytes if every two neighbours are the encoding of theirs.
@@ -21,15 +22,17 @@ Where two windows share no token the whole word is folded. Decoding joins the pi
 from __future__ import annotations
 
 import base64
+import hashlib
 import json
 import re
 from collections import Counter
-from collections.abc import Callable
-from functools import cache
-from itertools import repeat
+from collections.abc import Callable, Iterator
+from functools import cache, cached_property
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,11 +41,14 @@ from tallgrove.llm.frames import ready, schema_with, stored, without
 MOST_WORDS = 800_000
 LONGEST_WORD = 64
 FLUSH_WORDS = 500_000
-BUCKETS = 8191
-#: More than any id, so that left * WIDE + right names a pair.
+BUCKETS = 16381
+#: More than any id. A piece is its id + WIDE in the fold, and left * TWICE_WIDE + right names a pair of pieces.
 WIDE = 1 << 24
+TWICE_WIDE = 2 * WIDE
 WINDOW = 128
 NONE = 2**31 - 1
+#: Ids whose pieces are joined at once.
+TAKEN = 1 << 20
 OUTPUT = ("token_ids",)
 
 
@@ -147,9 +153,9 @@ def rank_table(ranks: dict[bytes, int]) -> Column:
     """The literal: an array of maps from pair to rank, by the pair's remainder."""
     buckets: list[dict[int, int]] = [{} for _ in range(BUCKETS)]
     for left, right, rank in merges(ranks):
-        pair = left * WIDE + right
+        pair = (left + WIDE) * TWICE_WIDE + right + WIDE
         buckets[pair % BUCKETS][pair] = rank
-    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>").cast("array<map<bigint,int>>")
+    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,bigint>>").cast("array<map<bigint,bigint>>")
 
 
 def lengths(ranks: dict[bytes, int]) -> Column:
@@ -169,35 +175,46 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _none() -> Column:
+    return F.lit(NONE).cast("bigint")
+
+
 def _rank(table: Column, left: Column, right: Column) -> Column:
-    pair = left.cast("bigint") * WIDE + right
-    return F.coalesce(F.try_element_at(F.get(table, (pair % BUCKETS).cast("int")), pair), F.lit(NONE))
+    """The rank of a pair of pieces, given as in a row of the fold."""
+    pair = left * TWICE_WIDE + right
+    return F.coalesce(F.get(table, pair % BUCKETS)[pair], _none())
 
 
-def _merge(state: Column, table: Column) -> Column:
-    """Join the first pair of least rank, which is the joined piece's id: pieces i and i + 1."""
-    p, r = state["p"], state["r"]
+def _merge(row: Column, table: Column) -> Column:
+    """Join the first pair of least rank, which is the joined piece's id."""
 
-    def joined(i: Column) -> Column:
-        c, none = F.get(r, i - 1), F.lit([]).cast("array<int>")
-        left = F.when(i > 1, F.array(_rank(table, F.get(p, i - 2), c))).otherwise(none)
-        right = F.when(i + 1 < F.size(p), F.array(_rank(table, c, F.get(p, i + 1)))).otherwise(none)
-        pieces = F.concat(F.slice(p, F.lit(1), i - 1), F.array(c), F.slice(p, i + 2, F.size(p)))
-        ranks = F.concat(F.slice(r, F.lit(1), F.greatest(i - 2, F.lit(0))), left, right, F.slice(r, i + 2, F.size(r)))
-        return F.struct(pieces.alias("p"), ranks.alias("r"))
+    def joined(row: Column, k: Column) -> Column:
+        # The rank is the k-th; its pieces stand beside it, then the ranks that go, then the pieces beyond.
+        rank = F.get(row, k - 1)
+        piece = rank + WIDE
+        before, after = _rank(table, F.get(row, k - 4), piece), _rank(table, piece, F.get(row, k + 2))
+        parts = F.array(F.slice(row, F.lit(1), k - 3), F.array(before, piece, after), F.slice(row, k + 3, F.size(row)))
+        return F.when(rank >= WIDE, row).otherwise(F.flatten(parts))
 
-    least = F.coalesce(F.array_min(r), F.lit(NONE))
-    return F.when(least == NONE, state).otherwise(_let(F.array_position(r, least).cast("int"), joined))
+    # A fold over one place, which unlike _let copies no array.
+    return F.aggregate(F.array(F.array_position(row, F.array_min(row)).cast("int")), row, joined)
 
 
 def _pieces(word: Column, table: Column) -> Column:
-    """The ids of one word, given as the ids of its bytes."""
-    pairs = F.zip_with(
-        F.slice(word, F.lit(1), F.size(word) - 1), F.slice(word, F.lit(2), F.size(word)), lambda a, b: _rank(table, a, b)
-    )
+    """The ids of one word, given as the ids of its bytes.
+
+    The fold's row holds pieces (id + ``WIDE``, so above all ranks) and between every two the rank of their pair, with
+    ``NONE`` twice at both ends, so that a join is one cut and every pair has neighbours.
+    """
+    end = F.array(_none(), _none())
+    at = lambda w: w.cast("bigint") + WIDE
+    pairs = F.transform(word, lambda w, i: F.array(at(w), _rank(table, at(w), at(F.get(word, i + 1)))))
+    # The last piece has no right neighbour, so its rank is the first NONE of the end.
+    row = F.flatten(F.concat(F.array(end), pairs, F.array(F.array(_none()))))
     # Every join shortens the word by one, so there are at most so many.
-    done = F.aggregate(word, F.struct(word.alias("p"), pairs.alias("r")), lambda s, _: _merge(s, table))
-    return F.when(F.size(word) < 2, word).otherwise(done["p"])
+    done = F.aggregate(F.slice(word, F.lit(2), F.size(word)), row, lambda s, _: _merge(s, table))
+    ids = F.transform(F.filter(done, lambda x: x < NONE), lambda x: (x - WIDE).cast("int"))
+    return F.when(F.size(word) < 2, word).otherwise(ids)
 
 
 def _windows(word: Column, table: Column, sizes: Column) -> Column:
@@ -304,66 +321,156 @@ def spelled(words: list[str], of_byte: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(of_byte[np.frombuffer(b"".join(data), np.uint8)]))
 
 
+class Known:
+    """The words that are folded once, as a worker looks them up; what a worker derives stays for its next tasks."""
+
+    def __init__(self, words: pa.Table) -> None:
+        self.words = words.combine_chunks()
+
+    @cached_property
+    def lookup(self) -> tuple[dict[str, int], np.ndarray, np.ndarray, np.ndarray]:
+        """The place of each word; where its ids start, how many they are, and all ids, each with one more behind."""
+        ids = self.words.column("ids").combine_chunks()
+        ids = ids if isinstance(ids, pa.Array) else ids.chunk(0)
+        sizes = np.append(ids.value_lengths().to_numpy(zero_copy_only=False), 0).astype(np.int64)
+        flat = np.append(ids.flatten().to_numpy(zero_copy_only=False), 0).astype(np.int32)
+        return {w: i for i, w in enumerate(self.words.column("word").to_pylist())}, np.cumsum(sizes) - sizes, sizes, flat
+
+    def __getstate__(self) -> dict:
+        return {"words": self.words}
+
+
+def some_rows(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts have some ``most`` bytes; no row is cut."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // most)) + 1
+    for a, b in pairwise([0, *cuts.tolist(), batch.num_rows]):
+        yield batch.slice(a, b - a)
+
+
+def filled(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of all runs, one run after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
+def put_in(tokens: pa.ListArray, words: pa.ListArray) -> pa.ListArray:
+    """``tokens`` with the ids of a row's k-th word in place of -1 - k."""
+    held = tokens.flatten().to_numpy(zero_copy_only=False)
+    cuts = np.concatenate([[0], np.cumsum(tokens.value_lengths().to_numpy(zero_copy_only=False))])
+    at = np.flatnonzero(held < 0)
+    first = np.concatenate([[0], np.cumsum(words.value_lengths().to_numpy(zero_copy_only=False))])
+    word = first[np.searchsorted(cuts, at, "right") - 1] - 1 - held[at]
+    spelt = words.flatten()
+    lengths_ = spelt.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    starts = np.cumsum(lengths_) - lengths_
+    n = np.ones(len(held), np.int64)
+    n[at] = lengths_[word]
+    ends = np.concatenate([[0], np.cumsum(n)])
+    out = np.repeat(held, n)
+    out[filled(ends[at], n[at])] = spelt.flatten().to_numpy(zero_copy_only=False)[filled(starts[word], n[at])]
+    return pa.ListArray.from_arrays(pa.array(ends[cuts], pa.int32()), pa.array(out, pa.int32()))
+
+
 def encode(
-    docs: DataFrame, ranks: dict[bytes, int], pattern: str, most_words: int = MOST_WORDS, keep_text: bool = True
+    docs: DataFrame, ranks: dict[bytes, int], pattern: str, most_words: int = MOST_WORDS, keep_text: bool = True,
+    derive: Callable[[pa.ListArray], dict[str, pa.Array]] | None = None, **derived: str,
 ) -> DataFrame:
     """``docs`` with token_ids (array of int): every match of ``pattern`` in the whole text encoded by ``ranks``.
 
     There are no special tokens. A null or empty text has no tokens; an empty table gives no rows; rows are
     encoded one by one, so repeated rows and nulls in other columns stay as they are. An input column
-    named token_ids is replaced. ``keep_text=False`` leaves the text out of the result.
+    named token_ids is replaced. ``keep_text=False`` leaves the text out of the result. ``derive`` makes further
+    columns, given by name and type, of the finished token_ids of a batch.
     """
     spark = ready(docs.sparkSession)
-    docs = without(docs, *OUTPUT)
+    docs = without(docs, *OUTPUT, *derived)
     make, of_byte = splitter(pattern), byte_ids(ranks)
-    words = known_words(spark, docs, make, ranks, most_words)
-    known = spark.sparkContext.broadcast(words.combine_chunks())
+    known = spark.sparkContext.broadcast(Known(known_words(spark, docs, make, ranks, most_words)))
     names = [c for c in docs.columns if keep_text or c != "text"]
-    schema = schema_with(docs.select(*names), _known="array<array<int>>", _which="array<int>", _rare="array<array<int>>")
+    others = docs.select(*names)
+    schema = schema_with(others, _tokens="array<int>", _rare="array<array<int>>")
 
     def look_up(batches):
-        table = known.value
-        place = {w: i for i, w in enumerate(table.column("word").to_pylist())}
-        ids = table.column("ids").combine_chunks() if len(table) else pa.array([], pa.list_(pa.int32()))
-        if isinstance(ids, pa.ChunkedArray):
-            ids = ids.chunk(0)
-        starts = np.append(ids.offsets.to_numpy(), 0)[: len(ids) + 1].astype(np.int64)
-        flat, words = ids.values.to_numpy(), make()
-        for batch in batches:
-            values, cuts, cut_rows, which, which_rows, rare, rare_rows = [], [0], [0], [], [0], [], [0]
-            for text in batch.column("text").to_pylist():
-                found = words(text) if text else []
-                at = np.fromiter(map(place.get, found, repeat(-1)), np.int64, len(found))
-                unknown = np.flatnonzero(at < 0)
-                n = np.where(at < 0, 0, starts[at + 1] - starts[at]) if len(starts) > 1 else np.zeros(len(at), np.int64)
-                ends = np.cumsum(n)
-                total = int(ends[-1]) if len(ends) else 0
-                if total:
-                    values.append(flat[np.arange(total) + np.repeat(starts[at] - ends + n, n)])
-                own: dict[str, int] = {}
-                which.extend(own.setdefault(found[j], len(own)) for j in unknown.tolist())
+        place, starts, sizes, flat = known.value.lookup
+        get, words = place.get, make()
+        for whole in batches:
+            for batch in some_rows(whole):
+                found, cuts = [], [0]
+                for text in batch.column("text").to_pylist():
+                    if text:
+                        found += words(text)
+                    cuts.append(len(found))
+                codes = np.fromiter(map(get, found, repeat(-1)), np.int64, len(found))
+                unknown = np.flatnonzero(codes < 0)
+                codes[unknown] = 0
+                # The ids of a document's own words come later; one place holds such a word's number.
+                begins, n = starts[codes], sizes[codes]
+                n[unknown] = 1
+                ends = np.concatenate([[0], np.cumsum(n)])
+                tokens = flat[filled(begins, n)]
+                rare, rare_cuts, own, row = [], [0], {}, 0
+                rows = np.searchsorted(cuts, unknown, "right") - 1
+                for i, r, at in zip(unknown.tolist(), rows.tolist(), ends[unknown].tolist()):
+                    while row < r:
+                        rare.extend(own)
+                        rare_cuts.append(len(rare))
+                        own, row = {}, row + 1
+                    tokens[at] = -1 - own.setdefault(found[i], len(own))
                 rare.extend(own)
-                base = cuts[-1]
-                cuts.extend((ends[unknown] + base).tolist())
-                cuts.append(base + total)
-                cut_rows.append(len(cuts) - 1)
-                which_rows.append(len(which))
-                rare_rows.append(len(rare))
-            everything = np.concatenate(values) if values else np.zeros(0, np.int32)
-            segments = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(everything, pa.int32()))
-            yield pa.RecordBatch.from_arrays([
-                *[batch.column(c) for c in names],
-                pa.ListArray.from_arrays(pa.array(cut_rows, pa.int32()), segments),
-                pa.ListArray.from_arrays(pa.array(which_rows, pa.int32()), pa.array(which, pa.int32())),
-                pa.ListArray.from_arrays(pa.array(rare_rows, pa.int32()), spelled(rare, of_byte)),
-            ], names=schema.names)
-
-    def joined(ids: Column) -> Column:
-        # A document is a run of known ids, a rare word, a run of known ids, and so on.
-        return F.zip_with("_known", "_which", lambda run, k: F.when(k.isNull(), run).otherwise(F.concat(run, F.get(ids, k))))
+                rare_cuts += [len(rare)] * (batch.num_rows - row)
+                yield pa.RecordBatch.from_arrays([
+                    *[batch.column(c) for c in names],
+                    pa.ListArray.from_arrays(pa.array(ends[cuts], pa.int32()), pa.array(tokens, pa.int32())),
+                    pa.ListArray.from_arrays(pa.array(rare_cuts, pa.int32()), spelled(rare, of_byte)),
+                ], names=schema.names)
+
+    def put_together(batches):
+        for batch in batches:
+            ids = put_in(batch.column("_tokens"), batch.column("_ids"))
+            more = derive(ids) if derive else {}
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in names], ids, *[more[c] for c in derived]], names=[*names, *OUTPUT, *derived]
+            )
 
     split = docs.mapInArrow(look_up, schema)
-    return split.select(*names, F.flatten(_let(fold_words(F.col("_rare"), ranks), joined)).alias("token_ids"))
+    folded = split.select(*names, "_tokens", fold_words(F.col("_rare"), ranks).alias("_ids"))
+    return folded.mapInArrow(put_together, schema_with(others, token_ids="array<int>", **derived))
+
+
+DIGESTS = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
+
+
+def digests(ranks: dict[bytes, int]) -> Callable[[pa.ListArray], dict[str, pa.Array]]:
+    """For ``encode``: number, digest of the decimal ids joined by commas, and digest of the decoded bytes of each row.
+
+    Taking the pieces of a row's ids lays them one behind the other, which is the row decoded.
+    """
+    by_rank = [b""] * (max(ranks.values()) + 1)
+    for piece, rank in ranks.items():
+        by_rank[rank] = piece
+    pieces = pa.array(by_rank, pa.binary())
+    numbers = pa.array([b",%d" % i for i in range(len(by_rank))], pa.binary())
+
+    def digest(texts: pa.Array, ids: pa.Array, skip: int) -> str:
+        found = hashlib.sha256()
+        for at in range(0, len(ids), TAKEN):
+            part = texts.take(ids.slice(at, TAKEN))
+            _, offsets, data = part.buffers()
+            if data is not None:
+                found.update(memoryview(data)[0 if at else skip : np.frombuffer(offsets, np.int32)[len(part)]])
+        return found.hexdigest()
+
+    def derive(rows: pa.ListArray) -> dict[str, pa.Array]:
+        ids, cuts = rows.values, rows.offsets.to_pylist()
+        each = [ids.slice(a, b - a) for a, b in pairwise(cuts)]
+        return {
+            "n_tokens": pa.array([len(x) for x in each], pa.int64()),
+            "ids_sha256": pa.array([digest(numbers, x, 1) for x in each], pa.string()),
+            "decoded_sha256": pa.array([digest(pieces, x, 0) for x in each], pa.string()),
+        }
+
+    return derive
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:

@@ -10,6 +10,7 @@ from collections import Counter
 from itertools import permutations
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from conftest import SMALL
@@ -166,6 +167,39 @@ def test_bpe_query_against_the_library(spark, library):
         assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
 
 
+def test_bpe_digests_stay_in_arrow(spark, ranks, library, monkeypatch):
+    """Words known and not, rows without text, ids taken in several parts: the digests are those of the ids."""
+    monkeypatch.setattr(byte_bpe, "some_rows", lambda batch: (batch.slice(i, 1) for i in range(batch.num_rows)))
+    texts = [None, "", "new1 old old", "old" * 3, "new2 new3 new2 old", None, "q", " " * 9 + "new4"]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, n_tokens int").repartition(2)
+    coded = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, derive=byte_bpe.digests(ranks), **byte_bpe.DIGESTS)
+    assert coded.columns == ["doc_id", "text", "token_ids", *byte_bpe.DIGESTS]
+    for r in coded.collect():
+        ids = library.encode_ordinary(r["text"] or "")
+        assert (r["token_ids"], r["n_tokens"]) == (ids, len(ids))
+        assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256((r["text"] or "").encode()).hexdigest()
+
+
+def test_bpe_digests_of_a_row_taken_in_parts(ranks, library, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "TAKEN", 3)
+    texts = ["", "a b c d e f g h", "été " * 40]
+    coded = [library.encode_ordinary(t) for t in texts]
+    got = byte_bpe.digests(ranks)(pa.array(coded, pa.list_(pa.int32())))
+    assert got["n_tokens"].to_pylist() == [len(c) for c in coded]
+    assert got["ids_sha256"].to_pylist() == [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in coded]
+    assert got["decoded_sha256"].to_pylist() == [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+
+
+def test_ids_of_own_words_take_their_places():
+    """Sliced batches too; a word may stand twice, have no place, or many ids."""
+    tokens = pa.array([[9], [-1, 5, -2, -1], [], [-2, -1]], pa.list_(pa.int32()))
+    words = pa.array([[], [[1, 2], [3]], [], [[7], [4, 4, 4]]], pa.list_(pa.list_(pa.int32())))
+    want = [[9], [1, 2, 5, 3, 1, 2], [], [4, 4, 4, 7]]
+    assert byte_bpe.put_in(tokens, words).to_pylist() == want
+    assert byte_bpe.put_in(tokens.slice(1, 3), words.slice(1, 3)).to_pylist() == want[1:]
+
+
 # ----------------------------------------------------------------- search
 
 
