@@ -47,6 +47,8 @@ WIDE = 1 << 24
 TWICE_WIDE = 2 * WIDE
 WINDOW = 128
 NONE = 2**31 - 1
+#: Bytes of text or ids that a map works on at once; a longer text is worked on whole.
+AT_ONCE = 1 << 18
 #: Ids whose pieces are joined at once.
 TAKEN = 1 << 20
 OUTPUT = ("token_ids",)
@@ -329,21 +331,27 @@ class Known:
 
     @cached_property
     def lookup(self) -> tuple[dict[str, int], np.ndarray, np.ndarray, np.ndarray]:
-        """The place of each word; where its ids start, how many they are, and all ids, each with one more behind."""
-        ids = self.words.column("ids").combine_chunks()
+        """The place of each word; where its ids start, how many they are, and all ids, each with one more behind.
+
+        It takes the place of the table, which a worker need not hold as well.
+        """
+        words, self.words = self.words, None
+        ids = words.column("ids").combine_chunks()
         ids = ids if isinstance(ids, pa.Array) else ids.chunk(0)
         sizes = np.append(ids.value_lengths().to_numpy(zero_copy_only=False), 0).astype(np.int64)
         flat = np.append(ids.flatten().to_numpy(zero_copy_only=False), 0).astype(np.int32)
-        return {w: i for i, w in enumerate(self.words.column("word").to_pylist())}, np.cumsum(sizes) - sizes, sizes, flat
-
-    def __getstate__(self) -> dict:
-        return {"words": self.words}
-
-
-def some_rows(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows whose texts have some ``most`` bytes; no row is cut."""
-    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
-    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // most)) + 1
+        place = {}
+        for part in words.column("word").chunks:
+            for at in range(0, len(part), 10_000):
+                for word in part.slice(at, 10_000).to_pylist():
+                    place[word] = len(place)
+        return place, np.cumsum(sizes) - sizes, sizes, flat
+
+
+def some_rows(batch: pa.RecordBatch, sizes: pa.Array) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose sizes add up to some ``AT_ONCE``; no row is cut."""
+    ends = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = np.flatnonzero(np.diff(ends // AT_ONCE)) + 1
     for a, b in pairwise([0, *cuts.tolist(), batch.num_rows]):
         yield batch.slice(a, b - a)
 
@@ -395,7 +403,7 @@ def encode(
         place, starts, sizes, flat = known.value.lookup
         get, words = place.get, make()
         for whole in batches:
-            for batch in some_rows(whole):
+            for batch in some_rows(whole, pc.binary_length(whole.column("text"))):
                 found, cuts = [], [0]
                 for text in batch.column("text").to_pylist():
                     if text:
@@ -426,12 +434,13 @@ def encode(
                 ], names=schema.names)
 
     def put_together(batches):
-        for batch in batches:
-            ids = put_in(batch.column("_tokens"), batch.column("_ids"))
-            more = derive(ids) if derive else {}
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in names], ids, *[more[c] for c in derived]], names=[*names, *OUTPUT, *derived]
-            )
+        for whole in batches:
+            for batch in some_rows(whole, whole.column("_tokens").value_lengths()):
+                ids = put_in(batch.column("_tokens"), batch.column("_ids"))
+                more = derive(ids) if derive else {}
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c) for c in names], ids, *[more[c] for c in derived]], names=[*names, *OUTPUT, *derived]
+                )
 
     split = docs.mapInArrow(look_up, schema)
     folded = split.select(*names, "_tokens", fold_words(F.col("_rare"), ranks).alias("_ids"))

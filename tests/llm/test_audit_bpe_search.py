@@ -169,7 +169,7 @@ def test_bpe_query_against_the_library(spark, library):
 
 def test_bpe_digests_stay_in_arrow(spark, ranks, library, monkeypatch):
     """Words known and not, rows without text, ids taken in several parts: the digests are those of the ids."""
-    monkeypatch.setattr(byte_bpe, "some_rows", lambda batch: (batch.slice(i, 1) for i in range(batch.num_rows)))
+    monkeypatch.setattr(byte_bpe, "AT_ONCE", 8)
     texts = [None, "", "new1 old old", "old" * 3, "new2 new3 new2 old", None, "q", " " * 9 + "new4"]
     docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, n_tokens int").repartition(2)
     coded = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, derive=byte_bpe.digests(ranks), **byte_bpe.DIGESTS)
