@@ -8,7 +8,7 @@ import brute
 import numpy as np
 import pytest
 
-from tallgrove.llm import components, embedding_dedup, lines, near_dedup, suffix_dedup
+from tallgrove.llm import components, embedding_dedup, frames, lines, near_dedup, suffix_dedup
 from tallgrove.llm.lines import CuckooFilter, LineIndex
 
 WORDS = [f"w{i}" for i in range(60)] + ["été", "straße", "ñandú", "日本"]
@@ -90,6 +90,41 @@ def test_suffix_edge_rows(spark):
     assert suffix_dedup.remove_repeats(df.limit(0)).collect() == []
 
 
+def test_suffix_classes_of_one_key_are_split(spark, monkeypatch):
+    """An anchor string with very many surroundings is dealt over several tasks (before: all its classes in one)."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    plans = {}
+
+    def stored(df, label):
+        df.collect()
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return frames.stored(df, label)
+
+    monkeypatch.setattr(suffix_dedup, "stored", stored)
+    hot = [(i, i, 0, 7, around) for i, around in enumerate([*range(2000), *range(2000), -1])]
+    cold = [(i, i, 1, 100 + i % 40, i % 40) for i in range(80)]
+    rows = spark.createDataFrame(hot + cold, "doc long, digest long, pos int, key long, around long")
+    again = spark.createDataFrame([(7,), *((100 + i,) for i in range(40))], "key long")
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = suffix_dedup.marks(rows, again, suffix_dedup.ID).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plans["full-classes"]
+    marked = sorted((r["doc"], p, f, w) for r in got for p, f, w in zip(r["pos"], r["full"], r["witness"]))
+    want = [(i, 0, i < 4000, i < 2000) for i in range(4001)] + [(i, 1, True, False) for i in range(80)]
+    assert marked == sorted(want)
+
+
 def line_texts(seed: int) -> dict[int, str | None]:
     draw = random.Random(seed)
     pool = [f"  Line number {i} WITH some text{' ' * (i % 3)}" for i in range(12)] + ["short", "", "exactly twenty chars"]
