@@ -6,9 +6,10 @@ exact word counts and a Bloom filter, in which a gram of count c stands as often
 logarithm has steps: (gram, 1), (gram, 2), ... A count is read back by probing step after step
 until one is missing.
 
-Scoring: filters leave the executors in rounds of at most ``round_bytes``; each round is one broadcast
-and one map over the documents that adds what its shards know. With one round (the usual case) nothing is
-stored in between; however large the corpus grows, no broadcast passes the bound and no gram is dropped.
+Scoring: documents are packed into blocks of about ``BLOCK_BYTES``. A block asks for each of its distinct grams
+once: the sorted hashes go to the shards that know them, levels and counts come back in the same order and meet
+the block again. Every gram is asked once a block, however many shards there are, so what is moved and
+stored follows the text; nothing of the model reaches the driver.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallgrove.llm.frames import ready, schema_with, stored, without
+from tallgrove.llm.frames import ready, schema_with, settled, without
 from tallgrove.llm.words import BASE, SPACED, Words, mix, words
 
 BITS = 10  # of the filter for each entry
@@ -30,7 +32,9 @@ PROBES = 4
 STEP = 1.5  # ratio of neighbouring count levels
 WEIGHT = 0.6  # of two-word grams
 SHARD_BYTES = 8_000_000  # of text for each shard
-ROUND_BYTES = 64_000_000
+ROUND_BYTES = 64_000_000  # of the model, in a task that looks grams up
+LOOKUPS = 256  # tasks that look grams up, unless ROUND_BYTES asks for more
+BLOCK_BYTES = 8_000_000  # of documents that ask together
 FLUSH = 1_000_000  # grams a task holds before it deals them out
 END = np.uint64(0x2545F4914F6CDD1D)
 START = np.uint64(0x9FB21C651E98DF25)
@@ -183,7 +187,7 @@ def counts_of(row) -> np.ndarray:
 
 
 class Shards(NamedTuple):
-    """What one round knows: the shards' words in order, and their filters end to end."""
+    """What one range of shards knows: the shards' words in order, and their filters end to end."""
 
     first: int
     last: int
@@ -208,11 +212,6 @@ class Shards(NamedTuple):
             np.concatenate(parts), (np.cumsum(lengths) - lengths) * 8, (lengths * 8).astype(np.uint64),
         )
 
-    def mine(self, keys: np.ndarray) -> np.ndarray:
-        """Index of the keys that this round's shards hold."""
-        shard = shard_of(keys, self.of)
-        return np.flatnonzero((shard >= self.first) & (shard < self.last))
-
     def exact(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.keys):
             return np.zeros(len(keys), np.int64)
@@ -220,8 +219,7 @@ class Shards(NamedTuple):
         return np.where(self.keys[at] == keys, self.counts[at], 0).astype(np.int64)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
-        """Probe level by level until an entry is missing; each distinct key once."""
-        keys, inverse = np.unique(keys, return_inverse=True)
+        """Probe level by level until an entry is missing."""
         shard = shard_of(keys, self.of) - self.first
         start, size = self.starts[shard], self.sizes[shard]
         found = np.zeros(len(keys), np.uint8)
@@ -235,11 +233,11 @@ class Shards(NamedTuple):
             if not len(open_):
                 break
             found[open_] = step
-        return found[inverse]
+        return found
 
 
 class Model:
-    """Counts of a corpus, as stored shards; ``rounds`` gives them out in broadcasts of bounded size."""
+    """Counts of a corpus, as stored shards; ``ranges`` are the shards that are asked together."""
 
     def __init__(self, docs: DataFrame, shard_bytes: int = SHARD_BYTES, round_bytes: int = ROUND_BYTES) -> None:
         self.spark = ready(docs.sparkSession)
@@ -248,27 +246,136 @@ class Model:
         self.count = max(1, -(-size // shard_bytes))
         dealt = texts.mapInArrow(count_grams(self.count), DEALT)
         built = dealt.repartition(self.count, "shard").sortWithinPartitions("shard").mapInArrow(build, BUILT)
-        self.table = stored(built, "gram-shards")
+        self.table = settled(built, "gram-shards")
         known = self.table.select(
             "shard", "words", "tokens", (F.length("keys") + F.length("counts") + F.length("filter")).alias("bytes")
         ).orderBy("shard").collect()  # one small row for each shard
         self.tokens = sum(r["tokens"] for r in known)
         self.words = sum(r["words"] for r in known)
         sizes = {r["shard"]: r["bytes"] for r in known}
+        bound = min(round_bytes, sum(sizes.values()) // LOOKUPS)
         self.ranges, first, held = [], 0, 0
         for shard in range(self.count):
-            if held and held + sizes.get(shard, 0) > round_bytes:
+            if held and held + sizes.get(shard, 0) > bound:
                 self.ranges.append((first, shard))
                 first, held = shard, 0
             held += sizes.get(shard, 0)
         self.ranges.append((first, self.count))
 
-    def rounds(self) -> Iterator:
-        for first, last in self.ranges:
-            rows = self.table.filter((F.col("shard") >= first) & (F.col("shard") < last)).select(
-                "shard", "keys", "counts", "filter"
-            ).collect()
-            yield self.spark.sparkContext.broadcast(Shards.of_rows(rows, first, last, self.count))
+
+def packed(keys: np.ndarray) -> bytes:
+    """Sorted keys as the bytes of their differences, plane by plane: the upper ones are empty."""
+    planes = np.ascontiguousarray(np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 8 * n, codec="zstd", asbytes=True), np.uint8) if n else np.zeros(0, np.uint8)
+    return np.cumsum(np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel(), dtype=np.uint64)
+
+
+def shrunk(values: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(values), codec="zstd", asbytes=True)
+
+
+def grown(data: bytes, n: int, kind: type) -> np.ndarray:
+    size = n * np.dtype(kind).itemsize
+    return np.frombuffer(pa.decompress(data, size, codec="zstd", asbytes=True) if n else b"", kind)
+
+
+BLOCK = "block long, part int, data binary, n_words int, words binary, n_pairs int, pairs binary"
+BLOCK_TYPES = (pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.int32(), pa.binary())
+BLOCK_NAMES = ("block", "part", "data", "n_words", "words", "n_pairs", "pairs")
+#: The part of the rows that must stand first: a range's model, a block's documents.
+FIRST = -1
+
+
+def block_rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * len(BLOCK_TYPES), BLOCK_TYPES)], names=list(BLOCK_NAMES)
+    )
+
+
+def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents, whole rows, as blocks of about ``BLOCK_BYTES``; a block is written once and read as it is."""
+    task, number = TaskContext.get().partitionId() << 32, 0
+    open_: list[pa.RecordBatch] = []
+
+    def close() -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, open_[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            for batch in open_:
+                out.write_batch(batch)
+        return block_rows([(task + number, FIRST, sink.getvalue().to_pybytes(), 0, b"", 0, b"")])
+
+    held = 0
+    for batch in batches:
+        if open_ and held + batch.nbytes > BLOCK_BYTES:
+            yield close()
+            open_, held, number = [], 0, number + 1
+        open_.append(batch)
+        held += batch.nbytes
+    if open_:
+        yield close()
+
+
+def block_of(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all()
+
+
+def grams_of(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of a block's texts, the row of each, and the pair that ends with each."""
+    parts: list[tuple] = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+    for w in words(texts, SPACED):
+        tokens, rows = tokens_of(w)
+        parts.append((tokens, rows + w.first, pairs_of(tokens, rows)))
+    return tuple(np.concatenate(c) for c in zip(*parts))
+
+
+def ask(ranges: list[tuple[int, int]], shards: int):
+    """Map of blocks to their distinct words and pairs, cut by the ranges that know them."""
+    borders = np.array([first for first, _ in ranges] + [shards])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, data in zip(batch.column("block").to_pylist(), batch.column("data")):
+                tokens, _, pairs = grams_of(block_of(data.as_buffer()).column("text"))
+                asked, cuts = [np.unique(tokens), np.unique(pairs)], []
+                for keys in asked:
+                    cuts.append(np.searchsorted(shard_of(keys, shards), borders).tolist())
+                rows = []
+                for part in range(len(ranges)):
+                    some = [keys[at[part] : at[part + 1]] for keys, at in zip(asked, cuts)]
+                    if len(some[0]) or len(some[1]):
+                        rows.append((block, part, None, len(some[0]), packed(some[0]), len(some[1]), packed(some[1])))
+                yield block_rows(rows)
+
+    return run
+
+
+def answer(ranges: list[tuple[int, int]], shards: int):
+    """Map of a range's model and then its questions to answers: levels and counts of words, levels of pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, known, held = None, None, []
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                if r["part"] != now:
+                    now, known, held = r["part"], None, []
+                if r["block"] == FIRST:
+                    held.append({"shard": r["n_words"], "keys": r["words"], "counts": r["pairs"], "filter": r["data"]})
+                    continue
+                if known is None:
+                    known, held = Shards.of_rows(held, *ranges[now], shards), []
+                asked, pairs = unpacked(r["words"], r["n_words"]), unpacked(r["pairs"], r["n_pairs"])
+                rows.append((
+                    r["block"], now, shrunk(known.exact(asked)), len(asked), shrunk(known.levels(asked)),
+                    len(pairs), shrunk(known.levels(pairs)),
+                ))
+            yield block_rows(rows)
+
+    return run
 
 
 def score(docs: DataFrame, model: Model, weight: float = WEIGHT) -> DataFrame:
@@ -281,19 +388,16 @@ def score(docs: DataFrame, model: Model, weight: float = WEIGHT) -> DataFrame:
     training text all counts are 0. Input columns named like the output are replaced.
     """
     base = without(docs, *OUTPUT)
-    total, distinct = model.tokens, model.words
+    total, distinct, ranges, shards = model.tokens, model.words, model.ranges, model.count
     names = base.columns
-    state = base.withColumn("_known", F.lit(0).cast("long")).withColumn("_base", F.lit(0.0)).withColumn(
-        "_levels", F.lit(b"").cast("binary")
-    )
     final = schema_with(
         base, n_tokens="long", n_known="long", train_tokens="long", base_score="double", score="double"
     )
     started = int(level(np.array([model.texts]))[0]) if model.texts else 0
-    floor, rounds = math.log10(total + distinct + 1), len(model.ranges)
+    floor = math.log10(total + distinct + 1)
 
-    def likelihoods(rows: np.ndarray, found: np.ndarray, texts: int) -> np.ndarray:
-        word, pair = COUNT_OF[found[:, 0]], COUNT_OF[found[:, 1]]
+    def likelihoods(rows: np.ndarray, word_levels: np.ndarray, pair_levels: np.ndarray, texts: int) -> np.ndarray:
+        word, pair = COUNT_OF[word_levels], COUNT_OF[pair_levels]
         context = np.r_[COUNT_OF[started], word[:-1]]
         context[np.r_[True, rows[1:] != rows[:-1]]] = COUNT_OF[started]
         alone = np.minimum(1.0, (word + 1) / (total + distinct + 1))
@@ -301,49 +405,61 @@ def score(docs: DataFrame, model: Model, weight: float = WEIGHT) -> DataFrame:
         both = np.where(context > 0, weight * share + (1 - weight) * alone, alone)
         return np.bincount(rows, np.log10(both), texts)
 
-    for i, known in enumerate(model.rounds()):
-
-        def add(batches, known=known, opening=i == 0, closing=i + 1 == rounds):
-            shards = known.value
-            for batch in batches:
-                n_tokens, n_known, sums, levels, scores = [], [], [], [], []
-                held = batch.column("_levels").to_pylist()
-                for w in words(batch.column("text"), SPACED):
-                    tokens, rows = tokens_of(w)
-                    pairs = pairs_of(tokens, rows)
-                    here, there = shards.mine(tokens), shards.mine(pairs)
-                    counts = shards.exact(tokens[here])
-                    n_known.append(np.bincount(rows[here], counts > 0, w.rows).astype(np.int64))
-                    sums.append(np.bincount(rows[here], np.log10(counts + 1.0) - floor, w.rows))
-                    found = np.zeros((len(tokens), 2), np.uint8)
-                    found[here, 0] = shards.levels(tokens[here])
-                    found[there, 1] = shards.levels(pairs[there])
-                    if not opening:
-                        found |= np.frombuffer(b"".join(held[w.first : w.first + w.rows]), np.uint8).reshape(-1, 2)
-                    if closing:
-                        n_tokens.append(np.bincount(rows, minlength=w.rows))
-                        scores.append(likelihoods(rows, found, w.rows))
-                    else:
-                        flat = found.tobytes()
-                        bounds = (2 * np.searchsorted(rows, np.arange(w.rows + 1))).tolist()
-                        levels.extend(flat[a:b] for a, b in zip(bounds, bounds[1:]))
-                table = [batch.column(n) for n in names]
-                all_known = pa.array(batch.column("_known").to_numpy() + np.concatenate(n_known or [np.zeros(0, np.int64)]))
-                all_base = pa.array(batch.column("_base").to_numpy() + np.concatenate(sums or [np.zeros(0)]))
-                if closing:
-                    table += [
-                        pa.array(np.concatenate(n_tokens or [np.zeros(0, np.int64)]).astype(np.int64)), all_known,
-                        pa.array(np.full(batch.num_rows, total)), all_base, pa.array(np.concatenate(scores or [np.zeros(0)])),
-                    ]
-                    yield pa.RecordBatch.from_arrays(table, names=[*names, *OUTPUT])
+    def finish(data: bytes, said: list[dict]) -> Iterator[pa.RecordBatch]:
+        """said: the answers to a block, by range, which is the order of its sorted grams."""
+        table = block_of(data)
+        tokens, rows, pairs = grams_of(table.column("text"))
+        count = [np.concatenate([np.zeros(0, np.int64), *(grown(r["data"], r["n_words"], np.int64) for r in said)])]
+        count += [
+            np.concatenate([np.zeros(0, np.uint8), *(grown(r[c], r[f"n_{c}"], np.uint8) for r in said)])
+            for c in ("words", "pairs")
+        ]
+        asked, which = np.unique(tokens, return_inverse=True)
+        asked_pairs, which_pair = np.unique(pairs, return_inverse=True)
+        if (len(asked), len(asked_pairs)) != (len(count[0]), len(count[2])):
+            raise ValueError(f"{len(asked)} words and {len(asked_pairs)} pairs asked, {len(count[0])} and {len(count[2])} answered")
+        n, known = table.num_rows, count[0][which]
+        columns = [
+            np.bincount(rows, minlength=n).astype(np.int64), np.bincount(rows, known > 0, n).astype(np.int64),
+            np.full(n, total), np.bincount(rows, np.log10(known + 1.0) - floor, n),
+            likelihoods(rows, count[1][which], count[2][which_pair], n),
+        ]
+        for name, column in zip(OUTPUT, columns):
+            table = table.append_column(name, pa.array(column))
+        yield from table.select([*names, *OUTPUT]).to_batches()
+
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, data, said = None, None, []
+        for batch in batches:
+            for r in batch.to_pylist():
+                if r["block"] != now:
+                    if now is not None:
+                        yield from finish(data, said)
+                    now, data, said = r["block"], r["data"], []
                 else:
-                    table += [all_known, all_base, pa.array(levels, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(table, names=[*names, "_known", "_base", "_levels"])
-
-        if i + 1 == rounds:
-            return state.mapInArrow(add, final)
-        state = stored(state.mapInArrow(add, state.schema), "scoring-round")
-        known.destroy()  # the executors need room for the next
+                    said.append(r)
+        if now is not None:
+            yield from finish(data, said)
+
+    # A block is one long row, so row groups are closed by size after each.
+    blocks = settled(base.mapInArrow(pack, BLOCK), "blocks", **{
+        "parquet.block.size": 16 << 20, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1,
+    })
+    questions = blocks.select("block", "data").mapInArrow(ask(ranges, shards), BLOCK)
+    part = F.size(F.filter(F.lit([first for first, _ in ranges]), lambda first: first <= F.col("shard"))) - 1
+    shelves = model.table.select(
+        F.lit(FIRST).cast("long").alias("block"), part.cast("int").alias("part"), F.col("filter").alias("data"),
+        F.col("shard").alias("n_words"), F.col("keys").alias("words"), F.lit(0).alias("n_pairs"), F.col("counts").alias("pairs"),
+    )
+    answers = settled(
+        questions.unionByName(shelves).repartition(len(ranges), "part").sortWithinPartitions("part", "block").mapInArrow(
+            answer(ranges, shards), BLOCK
+        ),
+        "answers",
+    )
+    parts = max(1, -(-blocks.count() // 2))
+    met = blocks.unionByName(answers).repartition(parts, "block").sortWithinPartitions("block", "part")
+    return met.mapInArrow(rate, final)
 
 
 def held_out(identity: Column, parts: int = 7, part: int = 2) -> Column:
