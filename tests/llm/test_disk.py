@@ -6,9 +6,11 @@ import random
 import time
 from pathlib import Path
 
+import brute
 import numpy as np
+import pytest
 
-from tallgrove.llm import frames, lm_scoring
+from tallgrove.llm import embedding_dedup, frames, lm_scoring
 
 
 def shuffle_files(spark) -> set[str]:
@@ -51,3 +53,43 @@ def test_lm_hashes_travel_whole():
         levels = draw.integers(0, 120, len(keys)).astype(np.uint8)
         assert (lm_scoring.grown(lm_scoring.shrunk(levels), len(keys), np.uint8) == levels).all()
     assert len(lm_scoring.packed(some)) < 7.5 * len(some)
+
+
+def vectors(spark, n: int, tight: int):
+    """Rows in two labels, without a direction that is rarer than others; some are near others, ``tight`` very near each other."""
+    draw = np.random.default_rng(5)
+    x = draw.normal(size=(n, 24))
+    x[: n // 4] = x[n // 2 : n // 2 + n // 4] + draw.normal(scale=0.13, size=(n // 4, 24))
+    x[-tight:] = x[-1] + draw.normal(scale=0.02, size=(tight, 24))
+    x = np.float32(x)
+    label = np.r_[np.arange(n // 2) % 2, np.arange(n - n // 2) % 2]
+    rows = [(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(x, label))]
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(5), x.astype(float), label
+
+
+@pytest.mark.parametrize("cell, chunk", [(40, 90), (40, 10_000), (10_000, 300)])
+def test_vectors_meet_once_in_districts_and_pieces(spark, cell, chunk):
+    df, x, label = vectors(spark, 1600, 150)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = (unit @ unit.T >= 0.98) & (label[:, None] == label)
+    np.fill_diagonal(linked, False)
+    root = brute.groups(range(len(x)), [*zip(*np.nonzero(np.triu(linked)))])
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embedding_dedup.duplicate_vectors(df, cell=cell, chunk=chunk).collect()}
+    assert 100 < len(set(root.values())) < 1500
+    assert got == {i: (int(linked[i].sum()), root[i], root[i] == i) for i in range(len(x))}
+
+
+def test_vectors_are_stored_once(spark):
+    df, x, _ = vectors(spark, 3000, 10)
+    before = set(tables_below(spark))
+    embedding_dedup.duplicate_vectors(df, cell=60, chunk=100).count()
+    new = {p: n for p, n in tables_below(spark).items() if p not in before}
+    # Most vectors visit several districts; none is written for that, and each wave's shuffle goes with it.
+    assert max(new.values()) < 8 * x.size and sum(new.values()) < 16 * x.size
+    assert sum("vector-links" in p.name for p in new) > 2
+
+
+def test_one_of_two_districts_visits_the_other():
+    for n in range(12):
+        one = embedding_dedup.visits(n)
+        assert (one ^ one.T == ~np.eye(n, dtype=bool)).all() and (not n or np.ptp(one.sum(1)) <= 1)
