@@ -6,7 +6,7 @@ cells make a district, so that a task can hold what a label has of one (``CHUNK`
 pieces). A vector is held in its own district and streamed past another one in which a partner could be: a
 partner turns by at most acos(threshold), so the border must be as near as that. Of two districts one
 visits the other, so a pair meets in one task only. In a task the products are blocked by cells: a
-vector meets the cells whose border is near enough and whose radius (over the members held) reaches as far.
+vector meets the cells whose border is within half that angle and whose radius (over the members held) reaches as far.
 All bounds are exact, no pair is lost. Links stay in the task: out come counts and the ties of a spanning forest.
 Tasks run in waves, each of which moves about as much as the distinct vectors take, whatever the number of visits.
 """
@@ -35,6 +35,8 @@ MAX_CELLS = 4096
 SAMPLE_PER_CELL = 300
 #: Vectors that a task holds; others stream past them.
 CHUNK = 262_144
+#: Rows that stream past at once.
+VISITORS = 65_536
 #: Of a wave, in multiples of the distinct vectors.
 WAVE = 1.25
 #: Rows and columns of a product that are held at once, and numbers of a slab's cosines to the centres.
@@ -103,72 +105,72 @@ class Vectors:
             setattr(self, name, value[order])
 
 
+def rows_of(bits: np.ndarray, n: int) -> np.ndarray:
+    return np.flatnonzero(np.unpackbits(bits, count=n))
+
+
 class Held:
-    """Vectors that a task holds, in order of their cells; what is linked with them."""
+    """Vectors that a task holds, in order of their cells; what is linked with them.
+
+    Of two partners in two cells one is within half the threshold's angle of the border between them. So the
+    vectors that are as near to a cell are multiplied with that cell's, from both sides; a link that is met
+    from both counts once.
+    """
 
     def __init__(self, vectors: Vectors, centres: np.ndarray, threshold: float) -> None:
         self.vectors, self.threshold = vectors, threshold
         x = vectors.x
+        n = len(x)
         self.centres = centres.astype(np.float32)
         # What the error of a 32-bit product can make of a cosine.
         self.off = (x.shape[1] + 16) * 2.0**-23
-        self.angle = float(np.arccos(np.clip(threshold, -1, 1)))
+        angle = float(np.arccos(np.clip(threshold, -1, 1)))
         if len(centres):
             # How far the cosine to another centre may fall behind that to the own one.
-            slack = np.sin(min(self.angle, np.pi / 2)) * gaps_of(centres) + 4 * self.off
-            near = [self.cosines(x[a:b]) for a, b in self.slabs(len(x))]
-            home, away = (np.concatenate(v) for v in zip(*((n.argmax(0), n.max(0)) for n in near)))
-            del near
+            self.slack = (np.sin(angle / 2) * gaps_of(centres) + 4 * self.off).astype(np.float32)
+            home, away = (np.concatenate(v) for v in zip(*((c.argmax(0), c.max(0)) for c in self.cosines(x))))
             order = np.argsort(home, kind="stable")
             vectors.take(order)
             self.home, away = home[order], away[order]
-            cells, starts = np.unique(self.home, return_index=True)
-            self.slack = slack[cells].astype(np.float32)
+            self.cells, starts, self.cell_at = np.unique(self.home, return_index=True, return_inverse=True)
             reach = np.arccos(np.clip(np.minimum.reduceat(away, starts).astype(np.float64) - 4 * self.off, -1, 1))
-            self.least = (np.cos(np.minimum(np.pi, reach + self.angle)) - 4 * self.off).astype(np.float32)
+            self.least = (np.cos(np.minimum(np.pi, reach + angle)) - 4 * self.off).astype(np.float32)
+            self.bits = np.concatenate([self.borders(c, c.argmax(0)) for c in self.cosines(vectors.x)], 1)
         else:
-            self.home, cells, starts = np.zeros(len(x), np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64)
-        self.cells = cells
-        self.blocks = list(zip(starts.tolist(), [*starts[1:].tolist(), len(x)]))
-        self.total, self.root = np.zeros(len(x), np.int64), np.arange(len(x))
+            self.home, self.cells, starts = np.zeros(n, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.blocks = list(zip(starts.tolist(), [*starts[1:].tolist(), n]))
+        self.total, self.root = np.zeros(n, np.int64), np.arange(n)
         self.pending: list[tuple[np.ndarray, np.ndarray]] = []
         self.waiting = 0
 
-    def slabs(self, n: int) -> Iterator[tuple[int, int]]:
-        step = max(STRIP, SLAB // max(1, len(self.centres)))
-        return ((a, min(a + step, n)) for a in range(0, n, step))
-
-    def cosines(self, x: np.ndarray) -> np.ndarray:
-        return self.centres @ x.T
-
-    def near(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """[cell held, row]: whether the row can have a partner there; and the rows' own cells."""
-        if not len(self.centres):
-            return np.ones((1, len(x)), bool), np.zeros(len(x), np.int64)
-        cosines = self.cosines(x)
-        home = cosines.argmax(0)
-        best = cosines[home, np.arange(len(x))]
-        cosines = cosines[self.cells]
-        return (best - cosines <= self.slack[:, home]) & (cosines >= self.least[:, None]), home
-
-    def pairs(self, others: Vectors, rows: np.ndarray, block: tuple[int, int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Links (row of others, row held) of some rows with a block."""
-        mine, (first, last) = self.vectors, block
-        for at in range(0, len(rows), STRIP):
-            strip = rows[at : at + STRIP]
-            x = others.x[strip]
-            for left in range(first, last, TILE):
-                cosine = x @ mine.x[left : min(left + TILE, last)].T
+    def cosines(self, x: np.ndarray) -> Iterator[np.ndarray]:
+        """[cell, row] of slabs of rows; but for the last they are whole bytes of bits."""
+        step = max(STRIP, SLAB // len(self.centres) // 8 * 8)
+        return (self.centres @ x[at : at + step].T for at in range(0, len(x), step))
+
+    def borders(self, cosines: np.ndarray, home: np.ndarray) -> np.ndarray:
+        """[cell, row / 8], as bits: whether the row is near the border to the cell."""
+        best = cosines[home, np.arange(len(home))]
+        return np.packbits(best - cosines <= self.slack[:, home], axis=1)
+
+    def pairs(self, others: Vectors, rows: np.ndarray, mine: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Links (row of others, row held) of some rows with some that are held."""
+        for left in range(0, len(mine), TILE):
+            tile = mine[left : left + TILE]
+            y = self.vectors.x[tile].T
+            for at in range(0, len(rows), STRIP):
+                strip = rows[at : at + STRIP]
+                cosine = others.x[strip] @ y
                 near = cosine >= self.threshold - self.off
                 if not near.any():
                     continue
                 i, j = np.nonzero(near)
                 unsure = np.flatnonzero(cosine[i, j] < self.threshold + self.off)
-                i, j = strip[i], j + left
+                i, j = strip[i], tile[j]
                 if len(unsure):
                     linked = np.ones(len(i), bool)
                     for some in np.array_split(unsure, -(-len(unsure) // 16384)):
-                        a, b = (unit(v.astype(np.float64)) for v in (others.own[i[some]], mine.own[j[some]]))
+                        a, b = (unit(v.astype(np.float64)) for v in (others.own[i[some]], self.vectors.own[j[some]]))
                         linked[some] = np.einsum("ij,ij->i", a, b) >= self.threshold
                     i, j = i[linked], j[linked]
                 yield i, j
@@ -207,30 +209,56 @@ class Held:
             np.add.at(self.total, j, mine.copies[i])
             self.tie(i, j)
 
-        for block in self.blocks:
-            for at in range(*block, STRIP):
-                for i, j in self.pairs(mine, np.arange(at, min(at + STRIP, block[1])), (at, block[1])):
+        for first, last in self.blocks:
+            for at in range(first, last, STRIP):
+                for i, j in self.pairs(mine, np.arange(at, min(at + STRIP, last)), np.arange(at, last)):
                     after = j > i
                     link(i[after], j[after])
-        if len(self.blocks) > 1:
-            for a, b in self.slabs(len(mine.x)):
-                near, home = self.near(mine.x[a:b])[0], self.home[a:b]
-                for cell, block, close in zip(self.cells.tolist(), self.blocks, near):
-                    for i, j in self.pairs(mine, a + np.flatnonzero(close & (home < cell)), block):
-                        link(i, j)
+        if len(self.blocks) == 1:
+            return
+        for (first, last), cell, least in zip(self.blocks, self.cells.tolist(), self.least):
+            rows = rows_of(self.bits[cell], len(mine.x))
+            rows = rows[(rows < first) | (rows >= last)]
+            rows = rows[mine.x[rows] @ self.centres[cell] >= least]
+            for i, j in self.pairs(mine, rows, np.arange(first, last)):
+                home = self.home[i]
+                back = self.bits[home, j >> 3] >> (7 - (j & 7)).astype(np.uint8) & 1 == 1
+                once = (home < cell) | ~back
+                link(i[once], j[once])
 
     def meet(self, others: Vectors) -> tuple[np.ndarray, np.ndarray]:
         """Of each streamed row how many it is linked with, and the first row held of them."""
-        total, partner = np.zeros(len(others.x), np.int64), np.full(len(others.x), -1)
-        for a, b in self.slabs(len(others.x)):
-            near, _ = self.near(others.x[a:b])
-            for block, close in zip(self.blocks, near):
-                for i, j in self.pairs(others, a + np.flatnonzero(close), block):
-                    np.add.at(total, i, self.vectors.copies[j])
-                    np.add.at(self.total, j, others.copies[i])
-                    new = np.flatnonzero(partner[i] < 0)[::-1]
-                    partner[i[new]] = j[new]
-                    self.tie(partner[i], j)
+        n = len(others.x)
+        total, partner = np.zeros(n, np.int64), np.full(n, -1)
+
+        def link(i: np.ndarray, j: np.ndarray) -> None:
+            np.add.at(total, i, self.vectors.copies[j])
+            np.add.at(self.total, j, others.copies[i])
+            new = np.flatnonzero(partner[i] < 0)[::-1]
+            partner[i[new]] = j[new]
+            self.tie(partner[i], j)
+
+        if not len(self.centres):
+            for i, j in self.pairs(others, np.arange(n), np.arange(len(self.home))):
+                link(i, j)
+            return total, partner
+        homes, near = [], []
+        for cosines in self.cosines(others.x):
+            homes.append(cosines.argmax(0))
+            near.append(self.borders(cosines, homes[-1])[self.cells])
+        home, bits = np.concatenate(homes), np.concatenate(near, 1)
+        for (first, last), cell, least, some in zip(self.blocks, self.cells.tolist(), self.least, bits):
+            rows = rows_of(some, n)
+            rows = rows[others.x[rows] @ self.centres[cell] >= least]
+            for i, j in self.pairs(others, rows, np.arange(first, last)):
+                link(i, j)
+        order = np.argsort(home, kind="stable")
+        cells, starts = np.unique(home[order], return_index=True)
+        for cell, rows in zip(cells.tolist(), np.split(order, starts[1:])):
+            held = rows_of(self.bits[cell], len(self.home))
+            for i, j in self.pairs(others, rows, held[self.home[held] != cell]):
+                met = bits[self.cell_at[j], i >> 3] >> (7 - (i & 7)).astype(np.uint8) & 1 == 1
+                link(i[~met], j[~met])
         return total, partner
 
 
@@ -415,7 +443,7 @@ def duplicate_vectors(
         open_: list[pa.RecordBatch] = []
         for batch in batches:
             open_.append(batch)
-            if sum(b.num_rows for b in open_) >= 1 << 14:
+            if sum(b.num_rows for b in open_) >= VISITORS:
                 yield open_
                 open_ = []
         if open_:
