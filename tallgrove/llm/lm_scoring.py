@@ -34,6 +34,7 @@ WEIGHT = 0.6  # of two-word grams
 SHARD_BYTES = 8_000_000  # of text for each shard
 ROUND_BYTES = 64_000_000  # of the model, in a task that looks grams up
 LOOKUPS = 256  # tasks that look grams up, unless ROUND_BYTES asks for more
+TOGETHER = 500_000  # grams that are looked up together
 BLOCK_BYTES = 8_000_000  # of documents that ask together
 FLUSH = 1_000_000  # grams a task holds before it deals them out
 END = np.uint64(0x2545F4914F6CDD1D)
@@ -353,14 +354,28 @@ def ask(ranges: list[tuple[int, int]], shards: int):
     return run
 
 
+def answers_to(rows: list[dict], known: Shards) -> pa.RecordBatch:
+    """The rows' grams are looked up together, each distinct one once."""
+    asked = [unpacked(r[c], r[f"n_{c}"]) for r in rows for c in ("words", "pairs")]
+    keys, which = np.unique(np.concatenate(asked), return_inverse=True)
+    levels = np.split(known.levels(keys)[which], np.cumsum([len(a) for a in asked])[:-1])
+    counts = np.split(known.exact(np.concatenate(asked[::2])), np.cumsum([len(a) for a in asked[::2]])[:-1])
+    return block_rows([
+        (r["block"], r["part"], shrunk(count), r["n_words"], shrunk(word), r["n_pairs"], shrunk(pair))
+        for r, count, word, pair in zip(rows, counts, levels[::2], levels[1::2])
+    ])
+
+
 def answer(ranges: list[tuple[int, int]], shards: int):
     """Map of a range's model and then its questions to answers: levels and counts of words, levels of pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, known, held = None, None, []
+        now, known, held, open_, waiting = None, None, [], [], 0
         for batch in batches:
-            rows = []
             for r in batch.to_pylist():
+                if open_ and (r["part"] != now or waiting >= TOGETHER):
+                    yield answers_to(open_, known)
+                    open_, waiting = [], 0
                 if r["part"] != now:
                     now, known, held = r["part"], None, []
                 if r["block"] == FIRST:
@@ -368,12 +383,10 @@ def answer(ranges: list[tuple[int, int]], shards: int):
                     continue
                 if known is None:
                     known, held = Shards.of_rows(held, *ranges[now], shards), []
-                asked, pairs = unpacked(r["words"], r["n_words"]), unpacked(r["pairs"], r["n_pairs"])
-                rows.append((
-                    r["block"], now, shrunk(known.exact(asked)), len(asked), shrunk(known.levels(asked)),
-                    len(pairs), shrunk(known.levels(pairs)),
-                ))
-            yield block_rows(rows)
+                open_.append(r)
+                waiting += r["n_words"] + r["n_pairs"]
+        if open_:
+            yield answers_to(open_, known)
 
     return run
 
